@@ -75,11 +75,13 @@ def bulk_load(
     rows.write.mode("overwrite").partitionBy(BUCKET).parquet(store.data_path(spec, load_id))
     seen = metrics.get
 
+    keys, most_versions = count_keys(store, spec, load_id) if conf.count_keys and seen["rows"] else (None, None)
     entry = LogRow(
         load_id=load_id,
         load_epoch=load_epoch,
         rows=seen["rows"],
-        keys=distinct_keys(store, spec, load_id) if conf.count_keys and seen["rows"] else None,
+        keys=keys,
+        most_versions=most_versions,
         rejected=rejected,
         min_wts=seen["min_wts"],
         max_wts=seen["max_wts"],
@@ -113,10 +115,14 @@ def mutation_rows(df: DataFrame, spec: TableSpec, names: list[str], conf: LoadCo
     return with_static_options(rows, conf, load_epoch, partial)
 
 
-def distinct_keys(store: KeyedStore, spec: TableSpec, load_id: str) -> int:
-    """Distinct primary keys of a written load. Scans and shuffles key columns only."""
-    keys = store.loads(spec, [load_id]).select(*[col(c) for c in spec.key])
-    return keys.distinct().count()
+def count_keys(store: KeyedStore, spec: TableSpec, load_id: str) -> tuple[int, int]:
+    """Distinct primary keys of a written load, and the rows of the most frequent one.
+
+    Scans and shuffles key columns only, one row per key and map task.
+    """
+    keys = store.loads(spec, [load_id]).groupBy(*[col(c) for c in spec.key]).agg(F.count(F.lit(1)).alias("_n"))
+    found = keys.agg(F.count(F.lit(1)), F.max("_n")).first()
+    return found[0], found[1]
 
 
 def _write_rejects(store: KeyedStore, spec: TableSpec, bad: DataFrame | None, load_id: str) -> int:

@@ -12,7 +12,9 @@ The load log decides how much of that a read needs:
 ``tied``    one write timestamp in all, all columns, no ttl: per cell null if any is null, else max.
 ``cells``   the general case: ``max(struct(...))`` per cell.
 
-All of them combine on the map side, so a key with very many versions does not overload a task.
+Merging combines on the map side before its one shuffle, so a key with very many versions does not
+overload a task. Where the log proves that keys have few versions, combining would gain nothing: then the
+plain rows are shuffled, which are several times smaller than partly merged cells.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ import time
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,6 +37,10 @@ STRATEGIES = ("auto", "direct", "latest", "tied", "cells")
 # Up to so many published loads are named one by one in the plan; beyond, the log is joined.
 MAX_NAMED_LOADS = 1000
 
+# Rows are shuffled before they are merged when no key has more versions than this, and the average is low.
+FEW_VERSIONS = 1000
+FEW_ON_AVERAGE = 4
+
 
 @dataclass(frozen=True)
 class Facts:
@@ -46,13 +52,14 @@ class Facts:
     disjoint_times: bool
     one_time: bool
     has_ttl: bool
+    few_versions: bool
     always: frozenset[str]  # columns every load has written
     ever: frozenset[str]  # columns some load has written
 
 
 def facts_of(spec: TableSpec, loads: list[LogRow] | None) -> Facts:
     if loads is None:
-        return Facts(None, False, False, False, False, True, frozenset(spec.key), frozenset(spec.columns))
+        return Facts(None, False, False, False, False, True, False, frozenset(spec.key), frozenset(spec.columns))
     sets = [frozenset(r.columns) for r in loads]
     times = sorted((r.min_wts, r.max_wts) for r in loads)
     return Facts(
@@ -62,11 +69,20 @@ def facts_of(spec: TableSpec, loads: list[LogRow] | None) -> Facts:
         disjoint_times=all(a[1] < b[0] for a, b in zip(times, times[1:])),
         one_time=bool(times) and times[0][0] == max(t[1] for t in times),
         has_ttl=any(r.has_ttl for r in loads),
+        few_versions=_few_versions(loads),
         always=frozenset.intersection(*sets) if sets else frozenset(),
         ever=frozenset.union(*sets) if sets else frozenset(),
     )
 
 
+def _few_versions(loads: list[LogRow]) -> bool:
+    """True when the log bounds the versions of every key, and they are few."""
+    if not loads or any(r.most_versions is None or r.keys is None for r in loads):
+        return False
+    average = sum(r.rows for r in loads) / max(r.keys for r in loads)
+    return sum(r.most_versions for r in loads) <= FEW_VERSIONS and average <= FEW_ON_AVERAGE
+
+
 def allowed_strategies(facts: Facts) -> list[str]:
     """Strategies that give the right rows for these loads, fastest first."""
     out = []
@@ -128,6 +144,13 @@ def _whole_rows(rows: DataFrame, spec: TableSpec, facts: Facts, as_of: int) -> D
     return rows.select(*[col(c) for c in spec.columns])
 
 
+def _by_key(rows: DataFrame, spec: TableSpec, facts: Facts) -> GroupedData:
+    key = [col(c) for c in spec.key]
+    if facts.few_versions:
+        rows = rows.repartition(*key)
+    return rows.groupBy(*key)
+
+
 def _tied(rows: DataFrame, spec: TableSpec, facts: Facts) -> DataFrame:
     written = [c for c in spec.regular if c in facts.ever]
     if not written:
@@ -137,7 +160,7 @@ def _tied(rows: DataFrame, spec: TableSpec, facts: Facts) -> DataFrame:
         for i, c in enumerate(written):
             value = F.max(_comparable(col(c), spec.type_of(c)))
             aggs.append(F.when(F.count(col(c)) == F.count(F.lit(1)), value).alias(f"_v{i}"))
-        merged = rows.groupBy(*[col(c) for c in spec.key]).agg(*aggs)
+        merged = _by_key(rows, spec, facts).agg(*aggs)
     values = {c: F.col(f"_v{i}") for i, c in enumerate(written)}
     return merged.select(*_output(spec, values))
 
@@ -157,7 +180,7 @@ def _cells(rows: DataFrame, spec: TableSpec, facts: Facts, as_of: int) -> DataFr
             cell = F.when(F.col(WRITTEN).isNull() | F.array_contains(F.col(WRITTEN), c), cell)
         aggs.append(F.max(cell).alias(f"_c{i}"))
     key = [col(c) for c in spec.key]
-    merged = rows.groupBy(*key).agg(*aggs) if aggs else rows.select(*key).distinct()
+    merged = _by_key(rows, spec, facts).agg(*aggs) if aggs else rows.select(*key).distinct()
     values = {}
     for i, c in enumerate(written):
         value = F.col(f"_c{i}.v")

@@ -29,6 +29,7 @@ LOG_SCHEMA = (
     .add("load_epoch", T.LongType())
     .add("rows", T.LongType())
     .add("keys", T.LongType())
+    .add("most_versions", T.LongType())
     .add("rejected", T.LongType())
     .add("min_wts", T.LongType())
     .add("max_wts", T.LongType())
@@ -63,6 +64,7 @@ class LogRow:
     load_epoch: int
     rows: int
     keys: int | None
+    most_versions: int | None
     rejected: int
     min_wts: int | None
     max_wts: int | None

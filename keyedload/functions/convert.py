@@ -60,11 +60,29 @@ def convert(name: str, source: T.DataType, target: T.DataType) -> Column:
     return to_millis(checked, target)
 
 
+# Letters no number of the kind is written with; "e" marks an exponent, floats may be infinite or NaN.
+_NOT_IN_EXACT = "[A-DF-Za-df-z]"
+_NOT_IN_FLOAT = "[bcghj-mo-su-xzBCGHJ-MO-SU-XZ]"
+
+
+def _clearly_no_number(name: str, source: T.DataType, target: T.DataType) -> Column | None:
+    """A cheap sign of a bad number. A failing cast costs far more than a look at the letters."""
+    if not isinstance(source, T.StringType):
+        return None
+    if type(target) in _INTEGRAL or isinstance(target, T.DecimalType):
+        return col(name).rlike(_NOT_IN_EXACT)
+    if isinstance(target, (T.FloatType, T.DoubleType)):
+        return col(name).rlike(_NOT_IN_FLOAT)
+    return None
+
+
 def is_bad(name: str, source: T.DataType, target: T.DataType) -> Column | None:
     """Condition that finds values which do not fit, or None when all do."""
     if same_shape(source, target) or cannot_fail(source, target) or isinstance(target, _COMPLEX):
         return None
-    return col(name).isNotNull() & col(name).try_cast(target).isNull()
+    fails = col(name).try_cast(target).isNull()
+    obvious = _clearly_no_number(name, source, target)
+    return col(name).isNotNull() & (fails if obvious is None else obvious | fails)
 
 
 def convert_columns(df: DataFrame, spec: TableSpec, columns: list[str]) -> dict[str, Column]:

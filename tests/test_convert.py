@@ -1,0 +1,125 @@
+"""Conversion of single values, strict and in search of bad ones."""
+
+import datetime as dt
+import decimal
+
+import pytest
+from pyspark.sql import types as T
+
+from keyedload import TableSpec
+from keyedload.functions.convert import convert, is_bad, split_rejects
+
+GOOD = [
+    ("int", "-95213", -95213),
+    ("int", " 12 ", 12),
+    ("int", "+7", 7),
+    ("bigint", "9223372036854775807", 2**63 - 1),
+    ("smallint", "-32768", -32768),
+    ("float", "0", 0.0),
+    ("double", "-314123.9832", -314123.9832),
+    ("double", "1e3", 1000.0),
+    ("double", "Infinity", float("inf")),
+    ("double", "-inf", float("-inf")),
+    ("decimal(10,2)", "12.345", decimal.Decimal("12.35")),
+    ("decimal(10,2)", "1E2", decimal.Decimal("100.00")),
+    ("boolean", "true", True),
+    ("date", "2019-08-02", dt.date(2019, 8, 2)),
+    ("timestamp_ntz", "2019-08-04 17:54:22.242999", dt.datetime(2019, 8, 4, 17, 54, 22, 242000)),
+    ("timestamp_ntz", "1969-12-31 23:59:59.999999", dt.datetime(1969, 12, 31, 23, 59, 59, 999000)),
+    ("string", "x", "x"),
+]
+BAD = [
+    ("int", "x"),
+    ("int", "1.9"),
+    ("int", ""),
+    ("int", "2147483648"),
+    ("tinyint", "128"),
+    ("bigint", "12a"),
+    ("double", "one"),
+    ("double", "1,5"),
+    ("double", "nant"),
+    ("decimal(4,2)", "123.4"),
+    ("decimal(4,2)", "x1"),
+    ("boolean", "perhaps"),
+    ("date", "01.02.2019"),
+    ("timestamp", "yesterday"),
+]
+
+
+def one(spark, text):
+    return spark.createDataFrame([(text,)], "v string")
+
+
+def type_of(name):
+    return T.StructType.fromDDL(f"v {name}")["v"].dataType
+
+
+def row_of(spark, texts):
+    """One row, one text column per case."""
+    return spark.createDataFrame([tuple(texts)], ", ".join(f"v{i} string" for i in range(len(texts))))
+
+
+def test_good_values(spark):
+    df = row_of(spark, [text for _, text, _ in GOOD])
+    got = df.select(*[convert(f"v{i}", T.StringType(), type_of(t)).alias(f"v{i}") for i, (t, _, _) in enumerate(GOOD)])
+    assert list(got.first()) == [value for _, _, value in GOOD]
+    bad = [is_bad(f"v{i}", T.StringType(), type_of(t)) for i, (t, _, _) in enumerate(GOOD)]
+    assert not any(df.select(*[b for b in bad if b is not None]).first())
+    assert [b is None for b in bad].count(True) == 1
+
+
+def test_bad_values(spark):
+    df = row_of(spark, [text for _, text in BAD])
+    assert all(df.select(*[is_bad(f"v{i}", T.StringType(), type_of(t)) for i, (t, _) in enumerate(BAD)]).first())
+
+
+@pytest.mark.parametrize("target, text", [("int", "x"), ("int", "2147483648"), ("double", "1,5"), ("date", "01.02.2019")])
+def test_bad_values_raise(spark, target, text):
+    with pytest.raises(Exception, match=f"column v: cannot convert to {target}: {text}"):
+        one(spark, text).select(convert("v", T.StringType(), type_of(target))).collect()
+
+
+def test_null_stays_null(spark):
+    targets = ["int", "double", "date", "timestamp", "timestamp_ntz", "decimal(5,1)", "boolean"]
+    df = one(spark, None)
+    assert set(df.select(*[convert("v", T.StringType(), type_of(t)) for t in targets]).first()) == {None}
+    assert set(df.select(*[is_bad("v", T.StringType(), type_of(t)) for t in targets]).first()) == {False}
+
+
+def test_letters_tell_numbers_as_the_cast_does(spark):
+    """The quick look at the letters must never condemn what the cast accepts."""
+    pieces = ["1", "-1", "+1", "1e5", "1E-5", "1d", "1f", "1D", "1F", "nan", "NaN", "NAN", "inf", "+Inf", "Infinity", "-INFINITY", "1l", "0x1", "b1", ".5", "5.", "1_000", "१"]
+    df = spark.createDataFrame([(p,) for p in pieces], "v string")
+    for target in ("tinyint", "int", "bigint", "float", "double", "decimal(20,5)"):
+        t = type_of(target)
+        got = df.select("v", is_bad("v", T.StringType(), t).alias("bad"), df.v.try_cast(t).isNull().alias("fails")).collect()
+        assert [(r.v, r.bad) for r in got] == [(r.v, r.fails) for r in got], target
+
+
+def test_narrowing_of_numbers(spark):
+    df = spark.createDataFrame([(300,)], "v bigint")
+    assert df.select(convert("v", T.LongType(), T.IntegerType())).first()[0] == 300
+    with pytest.raises(Exception, match="cannot convert to tinyint: 300"):
+        df.select(convert("v", T.LongType(), T.ByteType())).collect()
+
+
+def test_zone_free_timestamps_do_not_depend_on_the_session(spark):
+    """02:30 does not exist in Berlin on that day, but it is a fine local time."""
+    df = one(spark, "2024-03-31 02:30:00.123456")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        got = df.select(convert("v", T.StringType(), T.TimestampNTZType())).first()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert got == dt.datetime(2024, 3, 31, 2, 30, 0, 123000)
+
+
+def test_split_rejects(spark):
+    spec = TableSpec("t", "t", "a int, b date", ("a",))
+    df = spark.createDataFrame([("1", "2020-01-01"), ("x", "2020-01-01"), ("y", "z"), ("2", None)], "a string, b string")
+    good, bad = split_rejects(df, spec, ["a", "b"])
+    assert sorted(r.a for r in good.collect()) == ["1", "2"]
+    assert {r.a: r._bad_columns for r in bad.collect()} == {"x": ["a"], "y": ["a", "b"]}
+    typed = spark.createDataFrame([(1, None)], "a int, b date")
+    assert split_rejects(typed, spec, ["a", "b"]) == (typed, None)

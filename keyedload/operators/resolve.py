@@ -7,6 +7,9 @@ A row exists while its marker, or any of its cells, is alive.
 The load log decides how much of that a read needs:
 
 ``direct``  one load without duplicate keys. A plain scan: no shuffle, all filters reach Parquet.
+``overlay`` a base load without duplicate keys, and smaller loads of the same columns that are newer
+            throughout. The newer rows are merged, the base gives the keys they lack: an anti join,
+            and with few newer rows a broadcast one, so the base is scanned but not shuffled.
 ``latest``  loads without duplicate keys, of the same columns, with disjoint write timestamps. No
             ties, so the newest whole row wins: ``row_number() = 1``, at most one row per load and key.
 ``tied``    one write timestamp in all, all columns, no ttl: per cell null if any is null, else max.
@@ -32,7 +35,7 @@ from keyedload.sources.store import KeyedStore, LogRow
 from keyedload.spec import EXPIRES, LOAD_ID, WRITTEN, WTS, LoadError, TableSpec
 
 NEVER = 2**63 - 1
-STRATEGIES = ("auto", "direct", "latest", "tied", "cells")
+STRATEGIES = ("auto", "direct", "overlay", "latest", "tied", "cells")
 
 # Up to so many published loads are named one by one in the plan; beyond, the log is joined.
 MAX_NAMED_LOADS = 1000
@@ -41,6 +44,25 @@ MAX_NAMED_LOADS = 1000
 FEW_VERSIONS = 1000
 FEW_ON_AVERAGE = 4
 
+# A base load is read apart when it has at least so many times the rows of the newer loads.
+BASE_FACTOR = 4
+
+# So many keys of fixed width are broadcast at most: about 100 bytes each in the hash table, 100 MB in all.
+MAX_BROADCAST_KEYS = 1_000_000
+MAX_BROADCAST_KEY_COLUMNS = 4
+_FIXED_WIDTH = (
+    T.BooleanType,
+    T.ByteType,
+    T.ShortType,
+    T.IntegerType,
+    T.LongType,
+    T.FloatType,
+    T.DoubleType,
+    T.DateType,
+    T.TimestampType,
+    T.TimestampNTZType,
+)
+
 
 @dataclass(frozen=True)
 class Facts:
@@ -55,6 +77,10 @@ class Facts:
     few_versions: bool
     always: frozenset[str]  # columns every load has written
     ever: frozenset[str]  # columns some load has written
+    base: str | None = None  # load that all others may overlay
+    base_rows: int = 0
+    newer: Facts | None = None  # of the other loads
+    newer_rows: int = 0
 
 
 def facts_of(spec: TableSpec, loads: list[LogRow] | None) -> Facts:
@@ -62,6 +88,7 @@ def facts_of(spec: TableSpec, loads: list[LogRow] | None) -> Facts:
         return Facts(None, False, False, False, False, True, False, frozenset(spec.key), frozenset(spec.columns))
     sets = [frozenset(r.columns) for r in loads]
     times = sorted((r.min_wts, r.max_wts) for r in loads)
+    base, newer = _base_of(loads) if len(set(sets)) == 1 else (None, [])
     return Facts(
         loads=len(loads),
         distinct=all(r.distinct_keys for r in loads),
@@ -72,9 +99,24 @@ def facts_of(spec: TableSpec, loads: list[LogRow] | None) -> Facts:
         few_versions=_few_versions(loads),
         always=frozenset.intersection(*sets) if sets else frozenset(),
         ever=frozenset.union(*sets) if sets else frozenset(),
+        base=base.load_id if base else None,
+        base_rows=base.rows if base else 0,
+        newer=facts_of(spec, newer) if base else None,
+        newer_rows=sum(r.rows for r in newer),
     )
 
 
+def _base_of(loads: list[LogRow]) -> tuple[LogRow | None, list[LogRow]]:
+    """The oldest load and the others, when all of these are newer and it has no duplicate keys."""
+    if len(loads) < 2:
+        return None, []
+    oldest = min(loads, key=lambda r: r.min_wts)
+    newer = [r for r in loads if r is not oldest]
+    if not oldest.distinct_keys or oldest.max_wts >= min(r.min_wts for r in newer):
+        return None, []
+    return oldest, newer
+
+
 def _few_versions(loads: list[LogRow]) -> bool:
     """True when the log bounds the versions of every key, and they are few."""
     if not loads or any(r.most_versions is None or r.keys is None for r in loads):
@@ -88,11 +130,17 @@ def allowed_strategies(facts: Facts) -> list[str]:
     out = []
     if facts.distinct and facts.loads == 1:
         out.append("direct")
+    big_base = facts.base is not None and facts.base_rows >= BASE_FACTOR * facts.newer_rows
+    if big_base:
+        out.append("overlay")
     if facts.distinct and facts.same_columns and facts.disjoint_times:
         out.append("latest")
     if facts.one_time and facts.same_columns and not facts.has_ttl:
         out.append("tied")
-    return out + ["cells"]
+    out.append("cells")
+    if facts.base is not None and not big_base:
+        out.append("overlay")
+    return out
 
 
 def read_table(
@@ -129,6 +177,8 @@ def resolve(
         raise LoadError(f"{spec.full_name}: {strategy} would not give the right rows, possible are {allowed}")
     if strategy == "direct":
         return _whole_rows(rows, spec, facts, as_of)
+    if strategy == "overlay":
+        return _overlay(rows, spec, facts, as_of)
     if strategy == "latest":
         newest = Window.partitionBy(*[col(c) for c in spec.key]).orderBy(F.col(WTS).desc())
         ranked = rows.withColumn("_rank", F.row_number().over(newest)).where(F.col("_rank") == 1)
@@ -144,6 +194,22 @@ def _whole_rows(rows: DataFrame, spec: TableSpec, facts: Facts, as_of: int) -> D
     return rows.select(*[col(c) for c in spec.columns])
 
 
+def _overlay(rows: DataFrame, spec: TableSpec, facts: Facts, as_of: int) -> DataFrame:
+    newer = rows.where(F.col(LOAD_ID) != F.lit(facts.base))
+    base = _whole_rows(rows.where(F.col(LOAD_ID) == F.lit(facts.base)), spec, facts, as_of)
+    # A newer row hides the base row even when it has expired.
+    keys = newer.select(*[col(c) for c in spec.key])
+    if _bounded(spec, facts.newer_rows):
+        keys = F.broadcast(keys)
+    return base.join(keys, spec.key, "left_anti").unionByName(resolve(newer, spec, facts.newer, as_of))
+
+
+def _bounded(spec: TableSpec, rows: int) -> bool:
+    """True when the counted keys take little memory for sure; else Spark decides by what it measures."""
+    fixed = all(isinstance(spec.type_of(c), _FIXED_WIDTH) for c in spec.key)
+    return fixed and len(spec.key) <= MAX_BROADCAST_KEY_COLUMNS and rows <= MAX_BROADCAST_KEYS
+
+
 def _by_key(rows: DataFrame, spec: TableSpec, facts: Facts) -> GroupedData:
     key = [col(c) for c in spec.key]
     if facts.few_versions:

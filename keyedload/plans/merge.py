@@ -126,6 +126,22 @@ def later_load_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.read()
 
 
+@query(
+    "small_update_over_base",
+    """SELECT o_orderkey, o_custkey, o_orderstatus,
+              CASE WHEN o_orderpriority = '1-URGENT' AND o_orderstatus = 'F' THEN o_totalprice * 2 ELSE o_totalprice END
+              AS o_totalprice, o_orderdate, o_orderpriority FROM orders""",
+)
+def small_update_over_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A large load and a much smaller newer one: the base is read without a shuffle."""
+    orders = source(spark, sf_dir, "orders")
+    table = orders_table(spark, orders)
+    table.load(orders)
+    urgent = orders.where((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "F"))
+    table.load(urgent.withColumn("o_totalprice", F.col("o_totalprice") * 2), load_epoch=EPOCH + 1)
+    return table.read()
+
+
 @query(
     "partial_column_merge",
     f"""WITH e AS ({EVENTS_SQL}),

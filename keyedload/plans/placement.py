@@ -79,7 +79,7 @@ def hash_bucket_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bucket_report(table.store, KEYSPACE, table.spec.name).select("bucket", "rows")
 
 
-@query("hash_placement", "SELECT count(*) AS rows, count(DISTINCT l_orderkey) AS keys, 0 AS misplaced, 0 AS split_keys FROM lineitem")
+@query("hash_placement", "SELECT count(*) AS rows, count(DISTINCT l_orderkey) AS keys, CAST(0 AS BIGINT) AS misplaced, CAST(0 AS BIGINT) AS split_keys FROM lineitem")
 def hash_placement(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The hash has no SQL twin, its properties have: a key lies in one bucket, that of its token."""
     table = _loaded(spark, sf_dir, _counting())
@@ -151,7 +151,7 @@ def byte_ordered_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("clustered_write_sorted", "SELECT count(*) AS rows, 0 AS violations FROM lineitem")
+@query("clustered_write_sorted", "SELECT count(*) AS rows, CAST(0 AS BIGINT) AS violations FROM lineitem")
 def clustered_write_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = source(spark, sf_dir, "lineitem")
     table = lineitem_table(spark, lineitem)
@@ -161,7 +161,7 @@ def clustered_write_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bad.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(entry.rows).cast("bigint").alias("rows"), "violations")
 
 
-@query("clustering_descending", "SELECT count(*) AS rows, 0 AS violations FROM orders")
+@query("clustering_descending", "SELECT count(*) AS rows, CAST(0 AS BIGINT) AS violations FROM orders")
 def clustering_descending(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders lie newest first inside a customer, in key order over customers."""
     orders = source(spark, sf_dir, "orders")

@@ -161,3 +161,8 @@ def test_unusual_column_names(spark, store):
     bulk_load(store, df, "test", "odd", conf=LoadConf(ttl=10), load_epoch=0)
     bulk_load(store, df, "test", "odd", columns=["a.b", "x y"], load_epoch=1)
     assert [tuple(r) for r in read_table(store, "test", "odd", as_of=5).collect()] == [(1, "z", 3.0)]
+    store.create_table(TableSpec("test", "odd2", schema, ("a.b",), ("x y",)))
+    bulk_load(store, df.limit(1), "test", "odd2", load_epoch=0)
+    bulk_load(store, df, "test", "odd2", load_epoch=1)
+    for s in ("overlay", "cells"):
+        assert [tuple(r) for r in read_table(store, "test", "odd2", strategy=s).collect()] == [(1, "z", 3.0)]

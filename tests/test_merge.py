@@ -106,9 +106,11 @@ def test_strategy_choice(spark, store, table):
     bulk_load(store, unique.limit(0), "test", "m", load_epoch=1)
     assert strategies(store, table) == ["direct", "latest", "tied", "cells"]
     bulk_load(store, unique, "test", "m", load_epoch=2)
-    assert strategies(store, table) == ["latest", "cells"]
-    # The same write timestamp again: ties are possible.
+    assert strategies(store, table) == ["latest", "cells", "overlay"]
+    # The same write timestamp again: ties are possible, but not with the first load.
     bulk_load(store, unique, "test", "m", load_epoch=2)
+    assert strategies(store, table) == ["cells", "overlay"]
+    bulk_load(store, unique, "test", "m", load_epoch=1)
     assert strategies(store, table) == ["cells"]
     with pytest.raises(LoadError):
         read_table(store, "test", "m", strategy="direct")
@@ -116,6 +118,37 @@ def test_strategy_choice(spark, store, table):
         read_table(store, "test", "m", strategy="guess")
 
 
+def test_small_newer_loads_overlay_a_base(spark, store, table):
+    base = spark.createDataFrame([(i, 1, i, "a", 1.0) for i in range(100)], SCHEMA)
+    bulk_load(store, base, "test", "m", load_epoch=1)
+    changes = spark.createDataFrame([(5, 1, -5, None, 2.0), (5, 1, -6, "z", 2.0), (500, 1, 500, "new", 0.0)], SCHEMA)
+    bulk_load(store, changes, "test", "m", load_epoch=2)
+    expiring = spark.createDataFrame([(7, 1, -7, "soon gone", 2.0)], SCHEMA)
+    bulk_load(store, expiring, "test", "m", conf=LoadConf(ttl=10), load_epoch=3)
+    assert strategies(store, table) == ["overlay", "cells"]
+    for as_of, n in ((12, 101), (13, 100)):
+        got = {s: sorted(tuple(r) for r in read_table(store, "test", "m", as_of, s).collect()) for s in ("overlay", "cells")}
+        assert got["overlay"] == got["cells"] and len(got["cells"]) == n
+        assert (5, 1, -5, None, 2.0) in got["cells"]
+    plan = read_table(store, "test", "m", 12)._jdf.queryExecution().executedPlan().toString()
+    head = plan[: plan.index("BroadcastExchange")]
+    assert "LeftAnti" in head and "hashpartitioning" not in head
+
+
+def test_overlay_without_a_proven_bound_leaves_the_join_to_spark(spark, store, table, monkeypatch):
+    base = spark.createDataFrame([(i, 1, i, "a", 1.0) for i in range(100)], SCHEMA)
+    bulk_load(store, base, "test", "m", load_epoch=1)
+    bulk_load(store, base.where("k < 10").withColumn("x", base.k * 2), "test", "m", load_epoch=2)
+    monkeypatch.setattr(resolve, "MAX_BROADCAST_KEYS", 5)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        read = read_table(store, "test", "m", strategy="overlay")
+        assert "SortMergeJoin" in read._jdf.queryExecution().executedPlan().toString()
+        assert sorted(tuple(r) for r in read.collect()) == [(i, 1, i * 2 if i < 10 else i, "a", 1.0) for i in range(100)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_duplicates_are_never_read_directly(spark, store, table):
     twice = spark.createDataFrame([(1, 1, 1, "b", 1.0), (1, 1, 2, "a", None)], SCHEMA)
     bulk_load(store, twice, "test", "m", load_epoch=1)

@@ -5,7 +5,7 @@ All of it is plain column arithmetic, evaluated in the scan stage; no lookup tab
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -20,18 +20,23 @@ def hash_token(partition_key: Sequence[str]) -> Column:
     return F.xxhash64(*[col(c) for c in partition_key])
 
 
-def md5_token(partition_key: Sequence[str]) -> Column:
-    """Top 60 bits of the MD5 digest of the partition key, a number in [0, 2**60)."""
-    text = F.concat_ws(SEPARATOR, *[col(c).cast("string") for c in partition_key])
+def md5_token(partition_key: Sequence[str], instants: Collection[str] = ()) -> Column:
+    """Top 60 bits of the MD5 digest of the partition key, a number in [0, 2**60).
+
+    ``instants`` are the key columns of type timestamp: their text would depend on the session's
+    zone, so their microseconds are taken.
+    """
+    values = [F.unix_micros(col(c)) if c in instants else col(c) for c in partition_key]
+    text = F.concat_ws(SEPARATOR, *[v.cast("string") for v in values])
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
 
 
-def token(partitioner: str, partition_key: Sequence[str]) -> Column | None:
+def token(partitioner: str, partition_key: Sequence[str], instants: Collection[str] = ()) -> Column | None:
     """Token column of a partitioner; None where the key itself is the token."""
     if partitioner == "hash":
         return hash_token(partition_key)
     if partitioner == "md5":
-        return md5_token(partition_key)
+        return md5_token(partition_key, instants)
     return None
 
 

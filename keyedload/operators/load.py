@@ -43,12 +43,13 @@ def bulk_load(
     table columns not named keep their values. Without it the input must have exactly the table's
     columns. ``mapper`` reshapes the input first. ``positional`` binds input columns by order.
     ``load_epoch`` is the clock of the load in seconds: the default write timestamp, and the start
-    of every ttl. With ``publish=False`` the files are written but stay invisible until
+    of every ttl; left out, it is the time of the call, for the timestamp to the microsecond. With ``publish=False`` the files are written but stay invisible until
     ``publish_load``.
     """
     spec = store.spec(keyspace, table)
     conf = LoadConf.from_spark(store.spark) if conf is None else conf
-    load_epoch = int(time.time()) if load_epoch is None else load_epoch
+    micros = time.time_ns() // 1000 if load_epoch is None else load_epoch * 1_000_000
+    load_epoch = micros // 1_000_000
     if load_id is None:
         load_id = new_load_id()
     elif store.is_published(spec, check_load_id(load_id)):
@@ -68,7 +69,7 @@ def bulk_load(
         rejected = _write_rejects(store, spec, bad, load_id)
 
     metrics = Observation()
-    rows = mutation_rows(df, spec, names, conf, load_epoch)
+    rows = mutation_rows(df, spec, names, conf, micros)
     rows = rows.observe(
         metrics, F.count(F.lit(1)).alias("rows"), F.min(WTS).alias("min_wts"), F.max(WTS).alias("max_wts")
     )
@@ -106,13 +107,13 @@ def publish_load(store: KeyedStore, keyspace: str, table: str, entry: LogRow) ->
     store.publish(spec, entry)
 
 
-def mutation_rows(df: DataFrame, spec: TableSpec, names: list[str], conf: LoadConf, load_epoch: int) -> DataFrame:
-    """The rows a load writes: converted, placed and sorted, with their system columns."""
+def mutation_rows(df: DataFrame, spec: TableSpec, names: list[str], conf: LoadConf, micros: int) -> DataFrame:
+    """The rows a load of the clock ``micros`` writes: converted, placed, sorted, with system columns."""
     data = convert_columns(df, spec, names)
-    options = per_row_options(df, conf, load_epoch)
+    options = per_row_options(df, conf, micros)
     rows = clustered(df.select(*data.values(), *options.values()), spec, conf)
     partial = None if set(names) == set(spec.columns) else names
-    return with_static_options(rows, conf, load_epoch, partial)
+    return with_static_options(rows, conf, micros, partial)
 
 
 def count_keys(store: KeyedStore, spec: TableSpec, load_id: str) -> tuple[int, int]:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from keyedload.functions.names import col
 from keyedload.functions.tokens import even_range, ring_range, split_range, token
@@ -24,7 +25,8 @@ def with_placement(df: DataFrame, spec: TableSpec, conf: LoadConf) -> DataFrame:
         types = [spec.type_of(c) for c in spec.partition_key]
         bucket = split_range([col(c) for c in spec.partition_key], conf.split_points, types)
         return df.withColumn(BUCKET, bucket).withColumn(SLICE, _key_slice(spec, k))
-    df = df.withColumn(TOKEN, token(conf.partitioner, spec.partition_key))
+    instants = [c for c in spec.partition_key if isinstance(spec.type_of(c), T.TimestampType)]
+    df = df.withColumn(TOKEN, token(conf.partitioner, spec.partition_key, instants))
     if conf.ring is not None:
         return df.withColumn(BUCKET, ring_range(F.col(TOKEN), conf.ring)).withColumn(SLICE, _key_slice(spec, k))
     # Slices of an even bucket are token ranges too, so files of one bucket overlap less.

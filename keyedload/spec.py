@@ -66,7 +66,7 @@ class TableSpec:
         names = schema.names
         if len(set(names)) != len(names):
             raise ValueError(f"{self.full_name}: duplicate column names")
-        reserved = set(names) & set(SYSTEM_COLUMNS)
+        reserved = {c for c in names if c.lower() in SYSTEM_COLUMNS}
         if reserved:
             raise ValueError(f"{self.full_name}: reserved column names {sorted(reserved)}")
         if not self.partition_key:
@@ -175,6 +175,10 @@ class LoadConf:
         split_points = tuple(tuple(p) if isinstance(p, list) else p for p in self.split_points)
         if split_points and self.partitioner != "ordered":
             raise ValueError("split_points belong to the ordered partitioner")
+        for point in split_points:
+            for value in point if isinstance(point, tuple) else (point,):
+                if not isinstance(value, (int, float, str)):
+                    raise ValueError("split points are numbers or text; give dates and timestamps as text")
         object.__setattr__(self, "split_points", split_points)
         if isinstance(self.ttl, int) and self.ttl < 0:
             raise ValueError("ttl must not be negative")

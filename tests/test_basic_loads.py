@@ -6,6 +6,7 @@ import pytest
 
 from keyedload import LoadConf, TableSpec, bulk_load, from_rdd, read_csv, read_table
 
+# The inputs these cases are checked with.
 SIMPLE = [
     ("1", "20190801", "aaa"),
     ("1", "20190802", "bbb"),

@@ -149,6 +149,14 @@ def test_overlay_without_a_proven_bound_leaves_the_join_to_spark(spark, store, t
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_a_later_load_wins_within_the_same_second(spark, store, table):
+    for x in (9, 5, 7):
+        bulk_load(store, spark.createDataFrame([(1, 1, x, "a", 1.0)], SCHEMA), "test", "m")
+    assert [r.x for r in read_table(store, "test", "m").collect()] == [7]
+    times = [r.min_wts for r in store.published(table, 10)]
+    assert len(set(times)) == 3
+
+
 def test_duplicates_are_never_read_directly(spark, store, table):
     twice = spark.createDataFrame([(1, 1, 1, "b", 1.0), (1, 1, 2, "a", None)], SCHEMA)
     bulk_load(store, twice, "test", "m", load_epoch=1)

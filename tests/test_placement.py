@@ -5,7 +5,7 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
-from keyedload import LoadConf, TableSpec, bulk_load, read_table
+from keyedload import LoadConf, TableSpec, bulk_load, lookup, read_table
 from keyedload.functions.tokens import even_range, md5_token, ring_range, ring_replicas, split_range
 from keyedload.operators.report import bucket_report, load_log, misordered_rows, replica_report
 from keyedload.spec import BUCKET, TOKEN
@@ -22,6 +22,22 @@ def test_md5_token(spark):
     assert got[0].x == 648541476951500027
 
 
+@pytest.mark.parametrize("partitioner", ["hash", "md5", "ordered"])
+def test_placement_by_time_does_not_depend_on_the_session_zone(spark, store, partitioner):
+    schema = "at timestamp, v int"
+    store.create_table(TableSpec("test", "times", schema, ("at",)))
+    df = spark.range(50).select(F.timestamp_seconds(F.col("id") * 86_400).alias("at"), F.col("id").cast("int").alias("v"))
+    points = ("1970-01-20 00:00:00Z",) if partitioner == "ordered" else ()
+    bulk_load(store, df, "test", "times", conf=LoadConf(partitioner, split_points=points))
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        # Day 30 since 1970, in local time of the session.
+        assert [r.v for r in lookup(store, "test", "times", ("1970-01-31 09:00:00",)).collect()] == [30]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 @pytest.mark.parametrize("partitioner, low, high", [("hash", -(2**63), 2**63 - 1), ("md5", 0, 2**60 - 1)])
 @pytest.mark.parametrize("n", [1, 2, 16, 1000, 100_000])
 def test_even_ranges_cover_the_token_space(spark, partitioner, low, high, n):

@@ -1,3 +1,5 @@
+import datetime as dt
+
 import pytest
 from pyspark.sql import types as T
 
@@ -21,6 +23,7 @@ def test_spec_survives_json(spark):
         ("a int, b int", ("a",), ("a",)),
         ("a int, b int", ("a",), (("b", "sideways"),)),
         ("a int, _wts int", ("a",), ()),
+        ("a int, Load_Id int", ("a",), ()),
         ("a array<int>, b int", ("a",), ()),
     ],
 )
@@ -51,6 +54,7 @@ def test_unknown_partitioner_lists_the_known_ones():
         {"ring": ()},
         {"ring": (1,), "partitioner": "ordered"},
         {"split_points": (1,)},
+        {"split_points": (dt.date(2024, 1, 1),), "partitioner": "ordered"},
         {"bytes_per_trigger": 0},
         {"trigger_seconds": 0},
         {"ttl": "x", "timestamp": "x"},

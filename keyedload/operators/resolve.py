@@ -7,9 +7,9 @@ A row exists while its marker, or any of its cells, is alive.
 The load log decides how much of that a read needs:
 
 ``direct``  one load without duplicate keys. A plain scan: no shuffle, all filters reach Parquet.
-``overlay`` a base load without duplicate keys, and smaller loads of the same columns that are newer
-            throughout. The newer rows are merged, the base gives the keys they lack: an anti join,
-            and with few newer rows a broadcast one, so the base is scanned but not shuffled.
+``overlay`` a base load without duplicate keys, and smaller other loads. Base rows whose key no other load
+            has are taken as they are, by an anti join; where the other keys are counted and few it is
+            a broadcast one, so the base is scanned but not shuffled. Only the rest is merged.
 ``latest``  loads without duplicate keys, of the same columns, with disjoint write timestamps. No
             ties, so the newest whole row wins: ``row_number() = 1``, at most one row per load and key.
 ``tied``    one write timestamp in all, all columns, no ttl: per cell null if any is null, else max.
@@ -44,7 +44,7 @@ MAX_NAMED_LOADS = 1000
 FEW_VERSIONS = 1000
 FEW_ON_AVERAGE = 4
 
-# A base load is read apart when it has at least so many times the rows of the newer loads.
+# A base load is read apart when it has at least so many times the rows of the other loads.
 BASE_FACTOR = 4
 
 # So many keys of fixed width are broadcast at most: about 100 bytes each in the hash table, 100 MB in all.
@@ -77,10 +77,12 @@ class Facts:
     few_versions: bool
     always: frozenset[str]  # columns every load has written
     ever: frozenset[str]  # columns some load has written
-    base: str | None = None  # load that all others may overlay
+    base: str | None = None  # largest load without duplicate keys
     base_rows: int = 0
-    newer: Facts | None = None  # of the other loads
-    newer_rows: int = 0
+    others: tuple[LogRow, ...] = ()  # the loads but the base
+    other_rows: int = 0
+    others_hide_base: bool = False  # newer throughout, and of the same columns
+    few_other_keys: bool = False  # proven to fit into memory
 
 
 def facts_of(spec: TableSpec, loads: list[LogRow] | None) -> Facts:
@@ -88,7 +90,10 @@ def facts_of(spec: TableSpec, loads: list[LogRow] | None) -> Facts:
         return Facts(None, False, False, False, False, True, False, frozenset(spec.key), frozenset(spec.columns))
     sets = [frozenset(r.columns) for r in loads]
     times = sorted((r.min_wts, r.max_wts) for r in loads)
-    base, newer = _base_of(loads) if len(set(sets)) == 1 else (None, [])
+    candidates = [r for r in loads if r.distinct_keys] if len(loads) > 1 else []
+    base = max(candidates, key=lambda r: r.rows, default=None)
+    others = [r for r in loads if r is not base] if base else []
+    other_rows = sum(r.rows for r in others)
     return Facts(
         loads=len(loads),
         distinct=all(r.distinct_keys for r in loads),
@@ -101,20 +106,17 @@ def facts_of(spec: TableSpec, loads: list[LogRow] | None) -> Facts:
         ever=frozenset.union(*sets) if sets else frozenset(),
         base=base.load_id if base else None,
         base_rows=base.rows if base else 0,
-        newer=facts_of(spec, newer) if base else None,
-        newer_rows=sum(r.rows for r in newer),
+        others=tuple(others),
+        other_rows=other_rows,
+        others_hide_base=bool(base) and len(set(sets)) == 1 and base.max_wts < min(r.min_wts for r in others),
+        few_other_keys=_bounded(spec, other_rows),
     )
 
 
-def _base_of(loads: list[LogRow]) -> tuple[LogRow | None, list[LogRow]]:
-    """The oldest load and the others, when all of these are newer and it has no duplicate keys."""
-    if len(loads) < 2:
-        return None, []
-    oldest = min(loads, key=lambda r: r.min_wts)
-    newer = [r for r in loads if r is not oldest]
-    if not oldest.distinct_keys or oldest.max_wts >= min(r.min_wts for r in newer):
-        return None, []
-    return oldest, newer
+def _bounded(spec: TableSpec, rows: int) -> bool:
+    """True when so many keys take little memory for sure; else Spark decides by what it measures."""
+    fixed = all(isinstance(spec.type_of(c), _FIXED_WIDTH) for c in spec.key)
+    return fixed and len(spec.key) <= MAX_BROADCAST_KEY_COLUMNS and rows <= MAX_BROADCAST_KEYS
 
 
 def _few_versions(loads: list[LogRow]) -> bool:
@@ -130,15 +132,17 @@ def allowed_strategies(facts: Facts) -> list[str]:
     out = []
     if facts.distinct and facts.loads == 1:
         out.append("direct")
-    big_base = facts.base is not None and facts.base_rows >= BASE_FACTOR * facts.newer_rows
-    if big_base:
+    # Base rows that need a merge are found by a second join; that pays only when both are broadcast.
+    may_overlay = facts.base is not None and (facts.others_hide_base or facts.few_other_keys)
+    big_base = facts.base_rows >= BASE_FACTOR * facts.other_rows
+    if may_overlay and big_base:
         out.append("overlay")
     if facts.distinct and facts.same_columns and facts.disjoint_times:
         out.append("latest")
     if facts.one_time and facts.same_columns and not facts.has_ttl:
         out.append("tied")
     out.append("cells")
-    if facts.base is not None and not big_base:
+    if may_overlay and not big_base:
         out.append("overlay")
     return out
 
@@ -195,19 +199,18 @@ def _whole_rows(rows: DataFrame, spec: TableSpec, facts: Facts, as_of: int) -> D
 
 
 def _overlay(rows: DataFrame, spec: TableSpec, facts: Facts, as_of: int) -> DataFrame:
-    newer = rows.where(F.col(LOAD_ID) != F.lit(facts.base))
-    base = _whole_rows(rows.where(F.col(LOAD_ID) == F.lit(facts.base)), spec, facts, as_of)
-    # A newer row hides the base row even when it has expired.
-    keys = newer.select(*[col(c) for c in spec.key])
-    if _bounded(spec, facts.newer_rows):
+    base = rows.where(F.col(LOAD_ID) == F.lit(facts.base))
+    others = rows.where(F.col(LOAD_ID) != F.lit(facts.base))
+    keys = others.select(*[col(c) for c in spec.key])
+    if facts.few_other_keys:
         keys = F.broadcast(keys)
-    return base.join(keys, spec.key, "left_anti").unionByName(resolve(newer, spec, facts.newer, as_of))
-
-
-def _bounded(spec: TableSpec, rows: int) -> bool:
-    """True when the counted keys take little memory for sure; else Spark decides by what it measures."""
-    fixed = all(isinstance(spec.type_of(c), _FIXED_WIDTH) for c in spec.key)
-    return fixed and len(spec.key) <= MAX_BROADCAST_KEY_COLUMNS and rows <= MAX_BROADCAST_KEYS
+    untouched = _whole_rows(base.join(keys, spec.key, "left_anti"), spec, facts, as_of)
+    if facts.others_hide_base:
+        # Even an expired newer row hides the base row. The others may have a base of their own.
+        merged = resolve(others, spec, facts_of(spec, list(facts.others)), as_of)
+    else:
+        merged = _cells(base.join(keys, spec.key, "left_semi").unionByName(others), spec, facts, as_of)
+    return untouched.unionByName(merged)
 
 
 def _by_key(rows: DataFrame, spec: TableSpec, facts: Facts) -> GroupedData:
@@ -294,4 +297,6 @@ def lookup(
     spec = store.spec(keyspace, table)
     loads = store.published(spec, MAX_NAMED_LOADS)
     rows, facts = published_rows(store, spec)
-    return resolve(only_partition(rows, spec, loads, partition_key), spec, facts, as_of)
+    # Little is left to read, so a base is not worth its joins.
+    strategy = next(s for s in allowed_strategies(facts) if s != "overlay")
+    return resolve(only_partition(rows, spec, loads, partition_key), spec, facts, as_of, strategy)

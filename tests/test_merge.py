@@ -1,6 +1,7 @@
 """Merged reads against a row-by-row model, under every strategy that may be used."""
 
 import random
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import types as T
@@ -110,8 +111,10 @@ def test_strategy_choice(spark, store, table):
     # The same write timestamp again: ties are possible, but not with the first load.
     bulk_load(store, unique, "test", "m", load_epoch=2)
     assert strategies(store, table) == ["cells", "overlay"]
-    bulk_load(store, unique, "test", "m", load_epoch=1)
-    assert strategies(store, table) == ["cells"]
+    # Without counted keys there is neither a base nor a bound.
+    bulk_load(store, unique, "test", "m", conf=LoadConf(count_keys=False), load_epoch=1)
+    facts = facts_of(table, [replace(r, keys=None) for r in store.published(table, 100) if r.rows])
+    assert allowed_strategies(facts) == ["cells"]
     with pytest.raises(LoadError):
         read_table(store, "test", "m", strategy="direct")
     with pytest.raises(ValueError):
@@ -135,6 +138,35 @@ def test_small_newer_loads_overlay_a_base(spark, store, table):
     assert "LeftAnti" in head and "hashpartitioning" not in head
 
 
+def test_small_partial_loads_overlay_a_base(spark, store, table):
+    """Some columns, deletes, older timestamps, ties: only the base rows concerned are merged."""
+    base = spark.createDataFrame([(i, 1, i, "a", 1.0) for i in range(100)], SCHEMA)
+    bulk_load(store, base, "test", "m", load_epoch=5)
+    bulk_load(store, spark.createDataFrame([(1, 1, -1, "old", 9.0), (200, 1, 2, "b", 3.0)], SCHEMA), "test", "m", load_epoch=4)
+    bulk_load(store, spark.createDataFrame([(2, 1, 99), (3, 1, None)], "k int, c int, x int"), "test", "m", columns=["k", "c", "x"], load_epoch=5)
+    bulk_load(store, spark.createDataFrame([(4, 1, "new")], "k int, c int, y string"), "test", "m", columns=["k", "c", "y"], conf=LoadConf(ttl=10), load_epoch=6)
+    assert strategies(store, table) == ["overlay", "cells"]
+    for as_of, y in ((15, "new"), (16, None)):
+        got = {s: sorted((tuple(r) for r in read_table(store, "test", "m", as_of, s).collect()), key=repr) for s in ("overlay", "cells")}
+        assert got["overlay"] == got["cells"] and len(got["cells"]) == 101
+        for row in [(1, 1, 1, "a", 1.0), (200, 1, 2, "b", 3.0), (2, 1, 99, "a", 1.0), (3, 1, None, "a", 1.0), (4, 1, 4, y, 1.0)]:
+            assert row in got["cells"]
+    plan = read_table(store, "test", "m", 15)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan and "LeftSemi" in plan and "SortMergeJoin" not in plan
+
+
+def test_many_loads_of_growing_size(spark, store, table):
+    """A base of a base: each read strips off the largest load, merging only what is left."""
+    expected = {}
+    for n, size in enumerate((200, 40, 8, 1)):
+        df = spark.createDataFrame([(i, 1, n, "a", 1.0) for i in range(size)], SCHEMA)
+        bulk_load(store, df, "test", "m", load_epoch=n)
+        expected.update({i: n for i in range(size)})
+    got = read_table(store, "test", "m")
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("LeftAnti") == 3
+    assert {r.k: r.x for r in got.collect()} == expected
+
+
 def test_overlay_without_a_proven_bound_leaves_the_join_to_spark(spark, store, table, monkeypatch):
     base = spark.createDataFrame([(i, 1, i, "a", 1.0) for i in range(100)], SCHEMA)
     bulk_load(store, base, "test", "m", load_epoch=1)
@@ -142,6 +174,7 @@ def test_overlay_without_a_proven_bound_leaves_the_join_to_spark(spark, store, t
     monkeypatch.setattr(resolve, "MAX_BROADCAST_KEYS", 5)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
+        assert strategies(store, table)[0] == "overlay"
         read = read_table(store, "test", "m", strategy="overlay")
         assert "SortMergeJoin" in read._jdf.queryExecution().executedPlan().toString()
         assert sorted(tuple(r) for r in read.collect()) == [(i, 1, i * 2 if i < 10 else i, "a", 1.0) for i in range(100)]
@@ -175,7 +208,7 @@ def test_partial_load_is_not_read_as_whole_rows(spark, store, table):
     df = spark.createDataFrame([(1, 1, 1, "a", 1.0)], SCHEMA)
     bulk_load(store, df, "test", "m", load_epoch=1)
     bulk_load(store, df, "test", "m", columns=["k", "c", "x"], load_epoch=2)
-    assert strategies(store, table) == ["cells"]
+    assert strategies(store, table) == ["cells", "overlay"]
 
 
 def test_direct_read_has_no_shuffle_and_pushes_filters(spark, store, table):

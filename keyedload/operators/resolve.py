@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keyedload.functions.names import col
+from keyedload.operators.prune import only_partition
 from keyedload.sources.store import KeyedStore, LogRow
 from keyedload.spec import EXPIRES, LOAD_ID, WRITTEN, WTS, LoadError, TableSpec
 
@@ -158,7 +159,10 @@ def read_table(
 
 def published_rows(store: KeyedStore, spec: TableSpec) -> tuple[DataFrame, Facts]:
     """Mutation rows of the published loads, and what the log says about them."""
-    loads = store.published(spec, MAX_NAMED_LOADS)
+    return _rows_of(store, spec, store.published(spec, MAX_NAMED_LOADS))
+
+
+def _rows_of(store: KeyedStore, spec: TableSpec, loads: list[LogRow] | None) -> tuple[DataFrame, Facts]:
     if loads is None:
         # Spark measures the log's size itself and picks the join.
         rows = store.all_loads(spec).join(store.log(spec).select(LOAD_ID), LOAD_ID, "left_semi")
@@ -292,11 +296,9 @@ def lookup(
     Every load is narrowed to the bucket and token of the key, so partition pruning and the
     row-group statistics of the sorted files leave little to read.
     """
-    from keyedload.operators.prune import only_partition
-
     spec = store.spec(keyspace, table)
     loads = store.published(spec, MAX_NAMED_LOADS)
-    rows, facts = published_rows(store, spec)
+    rows, facts = _rows_of(store, spec, loads)
     # Little is left to read, so a base is not worth its joins.
     strategy = next(s for s in allowed_strategies(facts) if s != "overlay")
     return resolve(only_partition(rows, spec, loads, partition_key), spec, facts, as_of, strategy)

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyedload.llm import decontam, packing, simhash
-from keyedload.llm.common import documents
+from keyedload.llm import decontam, packing, pii, simhash, toxicity
+from keyedload.llm.common import crc_remainder, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -24,6 +24,21 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op3_pii")
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(documents(spark, sf_dir)).select("doc_id", "spans", F.filter("spans", lambda s: s["base"]).alias("base"))
+
+    def count(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *[count(k) for k in pii.KINDS],
+        F.sha2(pii.listed("base"), 256).alias("base_sha256"),
+        pii.listed("spans").alias("spans"),
+    )
+
+
 @query("op4_packing")
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
@@ -66,6 +81,18 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op7_toxicity")
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    machine = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.toxicity(docs, machine).select(
+        "doc_id",
+        (crc_remainder("doc_id", 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 @query("op10_simhash")
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_copies(documents(spark, sf_dir), shingle=3, max_distance=2)

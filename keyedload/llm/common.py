@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,7 +29,16 @@ def staged(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def importable(spark: SparkSession) -> None:
+    """Lets Python workers of this machine import the package from where the driver has it."""
+    root = str(Path(__file__).resolve().parents[2])
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [known, root]))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
@@ -48,6 +59,7 @@ def map_batches(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return work(b.slice(i, BATCH_ROWS) for b in batches for i in range(0, b.num_rows, BATCH_ROWS))
 
+    importable(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyedload.llm import decontam, packing, pii, simhash, toxicity
+from keyedload.llm import decontam, langid, packing, pii, simhash, tokens, toxicity
 from keyedload.llm.common import crc_remainder, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,25 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+TOKEN_LIMIT = 2048
+
+
+@query("op1_tokens")
+def op1_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    counted = tokens.token_counts(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+    return counted.select("*", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
+
+
+@query("op2_langid")
+def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = crc_remainder("doc_id", 4) == 2
+    found = langid.languages(docs, langid.train(docs.where(~held_out)))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
 @query("op3_pii")
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(documents(spark, sf_dir)).select("doc_id", "spans", F.filter("spans", lambda s: s["base"]).alias("base"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyedload.llm import decontam, langid, packing, pii, simhash, tokens, toxicity
+from keyedload.llm import decontam, langid, packing, pii, secret_scan, simhash, tokens, toxicity
 from keyedload.llm.common import crc_remainder, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -112,6 +112,23 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op9_secrets")
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, _ = secret_scan.find(documents(spark, sf_dir))
+    base = [r.kind for r in secret_scan.BASE_RULES]
+    found = found.select("doc_id", "spans", F.filter("spans", lambda s: s["kind"].isin(base)).alias("base"))
+
+    def count(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *[count(k) for k in base],
+        F.sha2(pii.listed("base"), 256).alias("base_sha256"),
+        pii.listed("spans").alias("spans"),
+    )
+
+
 @query("op10_simhash")
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_copies(documents(spark, sf_dir), shingle=3, max_distance=2)

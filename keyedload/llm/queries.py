@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyedload.llm import decontam, langid, packing, pii, secret_scan, simhash, tokens, toxicity
+from keyedload.llm import decontam, langid, merkle, packing, pii, secret_scan, simhash, tokens, toxicity
 from keyedload.llm.common import crc_remainder, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,6 +100,11 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op6_merkle")
+def op6_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.compared_with_next(documents(spark, sf_dir))
+
+
 @query("op7_toxicity")
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)

@@ -53,11 +53,13 @@ def text_of(name: str) -> Column:
     return F.coalesce(col(name).cast("string"), F.lit(""))
 
 
-def map_batches(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """``mapInArrow`` that hands ``work`` small slices, whatever the session's batch size is."""
+def map_batches(
+    df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str, rows: int = BATCH_ROWS
+) -> DataFrame:
+    """``mapInArrow`` that hands ``work`` slices of at most ``rows`` rows, whatever the session's batch size is."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return work(b.slice(i, BATCH_ROWS) for b in batches for i in range(0, b.num_rows, BATCH_ROWS))
+        return work(b.slice(i, rows) for b in batches for i in range(0, b.num_rows, rows))
 
     importable(df.sparkSession)
     return df.mapInArrow(run, schema)

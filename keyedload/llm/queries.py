@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyedload.llm import decontam, langid, merkle, packing, pii, secret_scan, simhash, tokens, toxicity
+from keyedload.llm import decontam, kneser_ney, langid, merkle, packing, pii, secret_scan, simhash, tokens, toxicity
 from keyedload.llm.common import crc_remainder, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -117,6 +117,14 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op8_kneser_ney")
+def op8_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = crc_remainder("doc_id", 7) == 2
+    scored = kneser_ney.score(docs, kneser_ney.train(docs.where(~held_out)))
+    return scored.select("*", held_out.alias("held_out"))
+
+
 @query("op9_secrets")
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found, _ = secret_scan.find(documents(spark, sf_dir))

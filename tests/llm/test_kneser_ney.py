@@ -1,0 +1,118 @@
+"""The model against a dictionary-based one, with one and with many shards."""
+
+import math
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from keyedload.llm import kneser_ney
+from keyedload.llm.arrays import squeeze, unsqueeze
+
+TEXTS = [
+    "the cat sat on the mat",
+    "the cat ate the rat",
+    "The dog sat on the cat and the cat sat on the dog",
+    "a cat, a dog; and the rat on the mat",
+    "one two three four five six",
+    "the the the the the the",
+    "on the mat the cat sat",
+    "",
+    None,
+    "é à ü é à",
+] + [f"w{i} w{i % 7} the w{i % 3} cat w{(i * 5) % 11} sat" for i in range(60)]
+
+
+def words(text):
+    return (text or "").encode().lower().split()
+
+
+class Plain:
+    def __init__(self, texts):
+        self.pairs, self.counts = Counter(), Counter()
+        for t in texts:
+            line = [b"<s>", *words(t), b"</s>"]
+            self.pairs.update(zip(line, line[1:]))
+            self.counts.update(line[1:])
+        self.texts = len(texts)
+        self.total, self.v = sum(self.counts.values()), len(self.counts)
+        follow, self.after = defaultdict(Counter), Counter()
+        for (c, w), n in self.pairs.items():
+            follow[c][min(n, 3)] += 1
+            self.after[w] += 1
+        self.follow = follow
+        self.upper = self.discounts(Counter(self.pairs.values()))
+        self.lower = self.discounts(Counter(self.after.values()))
+        of = Counter(min(n, 3) for n in self.after.values())
+        self.left = sum(self.lower[k] * of[k] for k in (1, 2, 3)) / len(self.pairs)
+
+    @staticmethod
+    def discounts(of):
+        if not all(of[k] for k in (1, 2, 3, 4)):
+            return {0: 0, 1: 0.5, 2: 1.0, 3: 1.5}
+        y = of[1] / (of[1] + 2 * of[2])
+        raw = {k: k - (k + 1) * y * of[k + 1] / of[k] for k in (1, 2, 3)}
+        return {0: 0, **{k: min(max(d, 0.05 * k), 0.95 * k) for k, d in raw.items()}}
+
+    def p(self, c, w):
+        n = self.after[w]
+        low = max(n - self.lower[min(n, 3)], 0) / len(self.pairs) + self.left / (self.v + 1)
+        total = self.texts if c == b"<s>" else self.counts[c]
+        if not total:
+            return low
+        k = self.pairs[c, w]
+        left = sum(self.upper[i] * self.follow[c][i] for i in (1, 2, 3)) / total
+        return max(k - self.upper[min(k, 3)], 0) / total + left * low
+
+    def score(self, text):
+        line = [b"<s>", *words(text), b"</s>"]
+        return sum(math.log10(self.p(c, w)) for c, w in zip(line, line[1:]))
+
+    def base(self, text):
+        return sum(math.log10((self.counts[w] + 1) / (self.total + self.v + 1)) for w in [*words(text), b"</s>"])
+
+
+@pytest.mark.parametrize("shard_tokens", [10_000, 25])
+def test_scores_are_those_of_a_plain_model(spark, shard_tokens):
+    asked = [*TEXTS, "never seen words", "the never cat", "\t\n ", "x " * 3000]
+    train = spark.createDataFrame([(t, 1) for t in TEXTS], "text string, t int").repartition(3)
+    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(asked)] + [(None, "the cat", "x")], "doc_id bigint, text string, h string")
+    model = kneser_ney.train(train, shard_tokens=shard_tokens)
+    assert (model.shards > 5) == (shard_tokens == 25) and (len(model.hot) > 0) == (shard_tokens == 25)
+    plain = Plain(TEXTS)
+    got = kneser_ney.score(docs, model).collect()
+    assert len(got) == len(asked) + 1
+    for r in got:
+        text = "the cat" if r.doc_id is None else asked[r.doc_id]
+        assert r.n_tokens == len(words(text)) + 1 and r.train_tokens == plain.total
+        assert r.n_known == sum(plain.counts[w] > 0 for w in [*words(text), b"</s>"])
+        assert r.base_score == pytest.approx(plain.base(text), abs=1e-9)
+        assert r.score == pytest.approx(plain.score(text), abs=1e-9)
+    # All words after a context, and one for all unknown ones, have probability one together.
+    for context in (b"the", b"<s>", b"unseen"):
+        assert sum(plain.p(context, w) for w in [*plain.counts, b"?"]) == pytest.approx(1)
+
+
+def test_no_training_texts(spark):
+    model = kneser_ney.train(spark.createDataFrame([], "text string"))
+    docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id int, text string")
+    assert [(r.n_tokens, r.n_known, r.base_score, r.score) for r in kneser_ney.score(docs, model).orderBy("doc_id").collect()] == [
+        (3, 0, 0.0, 0.0),
+        (1, 0, 0.0, 0.0),
+    ]
+
+
+def test_long_texts_come_in_pieces(monkeypatch):
+    text = "alpha beta\tgamma  delta\n" * 50
+    whole = list(kneser_ney.pairs([text, "x"]))
+    monkeypatch.setattr(kneser_ney, "BYTES_AT_ONCE", 7)
+    parts = list(kneser_ney.pairs([text, "x"], at_once=11))
+    assert len(parts) > 10
+    for i in range(3):
+        assert (np.concatenate([p[i] for p in parts]) == whole[0][i]).all()
+
+
+def test_arrays_come_back():
+    a = np.sort(np.random.default_rng(1).integers(0, 2**63, 1000).astype(np.uint64))
+    assert (unsqueeze(squeeze(a, True), np.uint64, True) == a).all()
+    assert len(unsqueeze(squeeze(np.zeros(0, np.uint32)), np.uint32)) == 0

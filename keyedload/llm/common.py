@@ -15,6 +15,7 @@ from keyedload.sources.store import scratch_root
 
 # Texts of one Arrow batch; long documents make batches large, so few of them travel together.
 BATCH_ROWS = 512
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def shared_dir(spark: SparkSession, what: str) -> str:
@@ -29,16 +30,19 @@ def staged(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def importable(spark: SparkSession) -> None:
-    """Lets Python workers of this machine import the package from where the driver has it."""
+def prepare(spark: SparkSession) -> None:
+    """Lets Python workers of this machine import the package from where the driver has it, and keeps Arrow batches of
+    texts small in the JVM too, unless the session asks for a size of its own."""
     root = str(Path(__file__).resolve().parents[2])
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in known.split(os.pathsep):
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [known, root]))
+    if spark.conf.get(_BATCH_SETTING) == "10000":
+        spark.conf.set(_BATCH_SETTING, str(BATCH_ROWS))
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    importable(spark)
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
@@ -61,7 +65,7 @@ def map_batches(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return work(b.slice(i, rows) for b in batches for i in range(0, b.num_rows, rows))
 
-    importable(df.sparkSession)
+    prepare(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 

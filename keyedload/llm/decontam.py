@@ -106,17 +106,16 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _with_hits(df: DataFrame, table: dict[bytes, dict], last: bool) -> DataFrame:
-    """Adds a block's hits to ``spans`` and ``items``; the last block drops the text."""
+def _with_hits(df: DataFrame, text: str, table: dict[bytes, dict], keep: list[str]) -> DataFrame:
+    """Adds a block's hits to ``spans`` and ``items``; returns the columns to keep."""
     shared = df.sparkSession.sparkContext.broadcast(table)
-    keep = df.columns if not last else [c for c in df.columns if c != "t"]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name in keep)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         for b in batches:
             n_words, spans, items = [], [], []
-            for t, old_spans, old_items in zip(*(b.column(c).to_pylist() for c in ("t", "spans", "items"))):
+            for t, old_spans, old_items in zip(*(b.column(c).to_pylist() for c in (text, "spans", "items"))):
                 words = words_of(t)
                 new_spans, new_items = hits_in(words, known)
                 n_words.append(len(words))
@@ -157,9 +156,10 @@ def contamination(
     total = asked.count()
     blocks = max(1, -(-total // block_windows))
     kept = ([doc_id] if doc_id else []) + (carry or [])
+    held = f"c{kept.index(text)}" if text in kept else "t"
     out = docs.select(
         *[col(c).alias(f"c{i}") for i, c in enumerate(kept)],
-        text_of(text).alias("t"),
+        *([] if text in kept else [col(text).alias("t")]),
         F.lit(0).cast("bigint").alias("n_words"),
         F.array().cast("array<struct<start:int,end:int>>").alias("spans"),
         F.array().cast("array<string>").alias("items"),
@@ -170,7 +170,8 @@ def contamination(
         block = [(r.item, bytes(r.window)) for r in part.collect()]
         vocabulary = frozenset(w for _, x in block for w in x.split(b" "))
         counts = word_counts(docs.select(text_of(text).alias("t")), vocabulary) if vocabulary else {}
-        out = _with_hits(out, prefix_table(block, counts), k == blocks - 1)
+        keep = [c for c in out.columns if c != "t" or k < blocks - 1]
+        out = _with_hits(out, held, prefix_table(block, counts), keep)
     asked.unpersist()
     return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(kept)], "n_words", "spans", "items")
 

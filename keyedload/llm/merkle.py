@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from keyedload.functions.names import col
-from keyedload.llm.common import batch, importable, map_batches, text_of
+from keyedload.llm.common import batch, map_batches, prepare, text_of
 
 # A piece has about so many words and at most so many, a section about so many paragraphs.
 WORDS_IN_PIECE = 4
@@ -217,7 +217,7 @@ def compared_with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     to the driver. The texts are then dealt to their ranges in one shuffle, the first of a range also to the one before it.
     """
     spark = docs.sparkSession
-    importable(spark)
+    prepare(spark)
     kind = docs.schema[doc_id].dataType.simpleString()
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(

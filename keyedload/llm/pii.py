@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keyedload.functions.names import col
-from keyedload.llm.common import text_of
+from keyedload.llm.common import prepare, text_of
 from keyedload.llm.decontam import words_of
 
 KINDS = ("email", "ip", "card", "phone")
@@ -257,11 +257,13 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
 
     A null or empty text has no spans. Repeated rows and null ids are kept; other columns are not read.
     """
+    prepare(docs.sparkSession)
     return docs.select(col(doc_id), _spans(text_of(text)).alias("spans"))
 
 
 def redacted(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with personal data replaced in ``text``; null texts stay null and no row goes."""
+    prepare(docs.sparkSession)
     return docs.select(*[_redacted(col(c)).alias(c) if c == text else col(c) for c in docs.columns])
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keyedload.functions.names import col
-from keyedload.llm.common import batch, crc_remainder, map_batches, staged, text_of
+from keyedload.llm.common import batch, crc_remainder, map_batches, prepare, staged, text_of
 
 # Labelled rows that terms and weights are learned from, at most (a sample by hash of the id; about so many).
 TRAIN_ROWS = 20_000
@@ -197,6 +197,7 @@ def rows_of(words: set[str], table: dict[int, int], cache: dict[str, tuple[int,
 
 def score(machine: Machine, text: Column, docs: DataFrame) -> Column:
     """Column with the probability that a text is toxic; null and empty texts are scored as texts without terms."""
+    prepare(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(machine)
 
     @partial(F.pandas_udf, returnType="double")

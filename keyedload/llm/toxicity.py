@@ -174,9 +174,10 @@ def train(
             yield batch({"toxic": b.column(0), "terms": known}, {"terms": pa.list_(pa.int32())})
 
     # At most train_rows lists of at most ``terms`` numbers; in a fixed order, since sums depend on it.
-    rows = map_batches(sample.select("toxic", "t"), work, "toxic int, terms array<int>").orderBy("toxic", "terms").toPandas()
-    lists = [np.asarray(x, np.int64) for x in rows["terms"]]
-    bias, weights, vectors = fit_machine(lists, rows["toxic"].to_numpy(np.float64), len(table), rank)
+    rows = map_batches(sample.select("toxic", "t"), work, "toxic int, terms array<int>").toPandas()
+    known = sorted((toxic, tuple(map(int, x))) for toxic, x in zip(rows["toxic"], rows["terms"]))
+    lists = [np.array(x, np.int64) for _, x in known]
+    bias, weights, vectors = fit_machine(lists, np.array([x for x, _ in known], np.float64), len(table), rank)
     return Machine(bias, weights, vectors, table)
 
 

@@ -22,7 +22,7 @@ from keyedload.llm.common import text_of
 # Characters of a sequence: about 2048 tokens of four characters.
 CAPACITY = 8192
 # Pieces in a shard on average; bounds the task's memory and the length of a search.
-SHARD_PIECES = 4096
+SHARD_PIECES = 1024
 
 PLACED = "id {id}, copy bigint, piece int, start int, n_chars int, bin_id string, bin_start int"
 

@@ -1,0 +1,53 @@
+"""Token counts against the tokenizer itself."""
+
+import public_tokenizers
+import pytest
+
+from keyedload.llm import tokens
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+TEXTS = [
+    None, "", " \n\t", "Hello, World's end -- it's 'REALLY' 12345!", "<|endoftext|> inside <|startoftext|>x", "a<|b", "İstanbul Σας ſ ŉ",
+    "a b\u0085c\x1cd", "日本語 テスト", "é é", "'s''s 's.'t", "ªº µ × ÷ Ÿ", "１２", "x" * 3000, "\x00\x01 a\x7f",
+    "same words " * 20_000, "Ångström ÆØÅ ĳ Ŀ", "!?" * 40,
+]
+
+
+def library(texts):
+    found = tokens.load_tokenizer(PATH).encode_batch([t or "" for t in texts], add_special_tokens=False)
+    return [len(e.ids) for e in found]
+
+
+def test_counts_are_those_of_the_tokenizer(spark):
+    rows = [(i, t, 1) for i, t in enumerate(TEXTS)] + [(None, TEXTS[3], 1), (3, TEXTS[3], 1)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, n_tokens int")
+    want = dict(zip(TEXTS, library(TEXTS)))
+    for entries in (5, 50_000):
+        got = tokens.token_counts(docs, PATH, entries=entries).collect()
+        expected = sorted(repr((i, len((t or "").encode()), want[t])) for i, t, _ in rows)
+        assert sorted(repr((r.doc_id, r.n_bytes, r.n_tokens)) for r in got) == expected
+    assert tokens.token_counts(docs.limit(0), PATH).count() == 0
+
+
+def test_every_plain_character():
+    counts = tokens.Counts(PATH, {})
+    plain = [chr(i) for i in range(0x180) if tokens.pre_tokens(chr(i), ()) is not None]
+    assert len(plain) > 280
+    texts = [t for c in plain for t in (c, f"a{c}b", c * 3, f"1{c} {c}.")]
+    assert counts.of(texts) == library(texts)
+
+
+def test_the_cache_is_bounded(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHED", 10)
+    counts = tokens.Counts(PATH, {"the": 1})
+    for i in range(5):
+        assert counts.of([f"the word{i} other{i} and more of it {i}"]) == library([f"the word{i} other{i} and more of it {i}"])
+        assert len(counts.cache) <= 12
+
+
+@pytest.mark.parametrize("sf", ["sf0.01"])
+def test_documents(spark, sf):
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet").where("doc_id < 200")
+    rows = docs.collect()
+    got = {r.doc_id: r.n_tokens for r in tokens.token_counts(docs, PATH).collect()}
+    assert got == dict(zip([r.doc_id for r in rows], library([r.text for r in rows])))

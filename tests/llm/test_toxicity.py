@@ -1,0 +1,63 @@
+"""The factorization machine: pairs of terms, held-out accuracy, edge cases."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from keyedload.llm import toxicity
+from keyedload.llm.common import crc_remainder
+
+SF_DIR = "/root/testdata/sf0.1"
+
+
+def test_pairs_are_learned():
+    # Either term alone is harmless, both together are not: no sum of weights can say so.
+    rng = np.random.default_rng(2)
+    lists, marks = [], []
+    for _ in range(600):
+        a, b = rng.random(2) < 0.5
+        lists.append(np.array([i for i, on in enumerate((a, b)) if on] + [2 + rng.integers(5)]))
+        marks.append(float(a == b))
+    bias, weights, vectors = toxicity.fit_machine(lists, np.array(marks), 7, 4)
+    machine = toxicity.Machine(bias, weights, vectors, {})
+    right = [(machine.score(list(x)) >= 0.5) == bool(m) for x, m in zip(lists, marks)]
+    assert np.mean(right) > 0.97
+
+
+def test_score_is_the_plain_sum():
+    rng = np.random.default_rng(1)
+    m = toxicity.Machine(0.3, rng.normal(size=6), rng.normal(size=(6, 3)), {})
+    rows = [0, 2, 5]
+    z = 0.3 + sum(m.weights[i] for i in rows)
+    z += sum(float(m.vectors[i] @ m.vectors[j]) for k, i in enumerate(rows) for j in rows[k + 1 :])
+    assert m.score(rows) == pytest.approx(1 / (1 + np.exp(-z)))
+
+
+def test_held_out_documents(spark):
+    docs, labels = (spark.read.parquet(f"{SF_DIR}/{t}.parquet") for t in ("documents", "labels"))
+    machine = toxicity.train(docs, labels)
+    held = labels.where(crc_remainder("doc_id", 5) == 0)
+    seen = toxicity.toxicity(docs.withColumn("score", F.lit("x")), machine).join(held, "doc_id").toPandas()
+    called, toxic = seen["score"] >= 0.5, seen["toxic"] == 1
+    assert (called & toxic).sum() / toxic.sum() > 0.8
+    assert (called & toxic).sum() / called.sum() > 0.9
+
+
+def test_edge_cases(spark):
+    schema = "doc_id bigint, text string, score string"
+    docs = spark.createDataFrame([(1, None, "c"), (1, "", "c"), (None, "awful " * 100_000, "c"), (2, "x", "c"), (2, "x", "c")], schema)
+    labels = spark.createDataFrame([(1, 1), (1, 0), (None, 1), (2, None)], "doc_id bigint, toxic int")
+    for known in (labels, labels.limit(0)):
+        machine = toxicity.train(docs, known)
+        scores = toxicity.toxicity(docs, machine).collect()
+        assert len(scores) == 5 and all(0 <= r.score <= 1 for r in scores)
+    assert toxicity.without_toxic(docs, machine).columns == docs.columns
+    assert toxicity.without_toxic(docs, machine).count() == 5
+    assert toxicity.toxicity(docs.limit(0), machine).count() == 0
+
+
+def test_sample_is_bounded(spark):
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("some words").alias("text"))
+    labels = spark.range(3000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).alias("toxic"))
+    n = toxicity.labelled(docs, labels, "doc_id", "text", "toxic", 5, 0, 500).count()
+    assert 350 < n < 650

@@ -1,10 +1,12 @@
 """Load progress over a table of progress events.
 
     load_id string, ts timestamp, kind string, peer string, session int, success boolean,
-    file string, current_bytes bigint, total_bytes bigint
+    file string, current_bytes bigint, total_bytes bigint, total_files bigint
 
-``kind`` is one of PREPARED, COMPLETE, PROGRESS; events of other kinds are ignored. A later event of
-a file replaces the earlier one, so all totals come from the newest event per file.
+``kind`` is one of PREPARED, COMPLETE, PROGRESS; events of other kinds are ignored. A prepared session
+announces its ``total_files`` and ``total_bytes``; they are what its progress is measured by, whether or not
+all of its files have reported yet. Files of sessions that were never prepared do not count. A later event of
+a file, or a later announcement of a session, replaces the earlier one.
 
 Nothing here windows over raw events: rates first reduce them to one row per file and time bin, and a
 window only runs over bins.
@@ -57,23 +59,37 @@ def latest_per_file(events: DataFrame, *also_by: Column) -> DataFrame:
     )
 
 
+def prepared_sessions(events: DataFrame) -> DataFrame:
+    """Sessions with the files and bytes they announced last; what is not announced counts as none."""
+    announced = F.max(F.struct("ts", "total_files", "total_bytes")).alias("a")
+    sessions = of_kind(events, PREPARED).groupBy(*SESSION).agg(announced)
+    none = F.lit(0).cast("bigint")
+    return sessions.select(
+        *SESSION, F.coalesce("a.total_files", none).alias("files"), F.coalesce("a.total_bytes", none).alias("bytes")
+    )
+
+
 def session_progress(events: DataFrame) -> DataFrame:
-    """Files done and in all, bytes done and in all, percent: per session."""
-    return _totals(latest_per_file(events), SESSION)
+    """Files done and in all, bytes done and in all, percent: per prepared session, idle ones included."""
+    sent = (
+        latest_per_file(events)
+        .groupBy(*SESSION)
+        .agg(
+            F.count_if(F.col("current_bytes") == F.col("total_bytes")).alias("files_done"),
+            F.sum("current_bytes").alias("bytes_done"),
+        )
+    )
+    joined = prepared_sessions(events).join(sent, SESSION, "left").na.fill(0, ["files_done", "bytes_done"])
+    return _with_percent(joined.select(*SESSION, "files_done", "files", "bytes_done", "bytes"))
 
 
 def load_progress(events: DataFrame) -> DataFrame:
     """The same totals for a whole load."""
-    return _totals(latest_per_file(events), ["load_id"])
+    sums = [F.sum(c).alias(c) for c in ("files_done", "files", "bytes_done", "bytes")]
+    return _with_percent(session_progress(events).groupBy("load_id").agg(*sums))
 
 
-def _totals(files: DataFrame, by: list[str]) -> DataFrame:
-    sums = files.groupBy(*by).agg(
-        F.count_if(F.col("current_bytes") == F.col("total_bytes")).alias("files_done"),
-        F.count(F.lit(1)).alias("files"),
-        F.sum("current_bytes").alias("bytes_done"),
-        F.sum("total_bytes").alias("bytes"),
-    )
+def _with_percent(sums: DataFrame) -> DataFrame:
     return sums.withColumn("percent", percent(F.col("bytes_done"), F.col("bytes")))
 
 
@@ -92,10 +108,12 @@ def mb_per_second(size: Column, seconds: Column) -> Column:
 def rates(events: DataFrame, bin_seconds: int = 3600) -> DataFrame:
     """Transfer rate per time bin: of the bin, average since the start, peak of the average so far.
 
-    A file's bytes in a bin are its newest count there less its newest count before.
+    A file's bytes in a bin are its newest count there less its newest count before. Only prepared sessions count.
+    The windows run over the bins of a load in one task each: as many rows as the load's time has bins.
     """
     bin_no = F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / F.lit(bin_seconds)).alias("bin")
     per_file = latest_per_file(events.withColumn("bin", bin_no), F.col("bin"))
+    per_file = per_file.join(session_pairs(events), SESSION, "left_semi")
     earlier = F.lag("current_bytes", 1, 0).over(Window.partitionBy(*FILE).orderBy("bin"))
     per_bin = (
         per_file.withColumn("delta", F.col("current_bytes") - earlier)

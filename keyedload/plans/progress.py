@@ -11,18 +11,31 @@ from keyedload.plans.registry import DAY, query, source
 # A file of a session is 1 to 30 days long at one byte per microsecond; an event reports how far it
 # has come by then. The derivation is row by row:
 #   view -> prepared, signup -> complete, error -> failed, click -> progress, purchase -> unknown.
+# A prepared session announces its five files and their bytes together; every fiftieth peer announces nothing to send.
 START_SECONDS = 1_704_067_200  # 2024-01-01T00:00:00Z, the first day of the events
 
 EVENTS_SQL = f"""SELECT 'L' AS load_id, ts, event_type, CAST(user_id AS VARCHAR) AS peer,
         CAST(event_id % 3 AS INTEGER) AS session, 'f' || CAST(event_id // 3 % 5 AS VARCHAR) AS file,
         least(epoch_us(ts) - {START_SECONDS * 1_000_000},
               (1 + (user_id * 5 + event_id % 15) % 30) * {DAY * 1_000_000}) AS current_bytes,
-        (1 + (user_id * 5 + event_id % 15) % 30) * {DAY * 1_000_000} AS total_bytes FROM events"""
+        (1 + (user_id * 5 + event_id % 15) % 30) * {DAY * 1_000_000} AS total_bytes,
+        CASE WHEN user_id % 50 = 0 THEN 0 ELSE 5 END AS session_files,
+        CASE WHEN user_id % 50 = 0 THEN 0 ELSE ({" + ".join(f"1 + (user_id * 5 + event_id % 3 + {3 * f}) % 30" for f in range(5))})
+             * {DAY * 1_000_000} END AS session_bytes FROM events"""
 
 LATEST_SQL = f"""SELECT load_id, peer, session, file, arg_max(current_bytes, ts) AS current_bytes,
         arg_max(total_bytes, ts) AS total_bytes FROM ({EVENTS_SQL}) WHERE event_type = 'click'
         GROUP BY load_id, peer, session, file"""
 
+# Prepared sessions, each with what it announced and what its files have sent.
+SESSIONS_SQL = f"""SELECT p.load_id, p.peer, p.session, files, bytes, coalesce(files_done, 0) AS files_done,
+        coalesce(bytes_done, 0) AS bytes_done
+        FROM (SELECT load_id, peer, session, any_value(session_files) AS files, any_value(session_bytes) AS bytes
+              FROM ({EVENTS_SQL}) WHERE event_type = 'view' GROUP BY load_id, peer, session) p
+        LEFT JOIN (SELECT load_id, peer, session, count(*) FILTER (current_bytes = total_bytes) AS files_done,
+                          sum(current_bytes) AS bytes_done
+                   FROM ({LATEST_SQL}) GROUP BY load_id, peer, session) f USING (load_id, peer, session)"""
+
 
 def progress_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind: Column = F.lit("other")
@@ -34,7 +47,14 @@ def progress_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     }.items():
         kind = F.when(F.col("event_type") == event_type, name).otherwise(kind)
     at = F.unix_micros(F.from_utc_timestamp(F.col("ts").cast("timestamp"), F.current_timezone()))
-    total = (F.lit(1) + (F.col("user_id") * 5 + F.col("event_id") % 15) % 30) * F.lit(DAY * 1_000_000)
+
+    def size(number: Column) -> Column:
+        return (F.lit(1) + (F.col("user_id") * 5 + number) % 30) * F.lit(DAY * 1_000_000)
+
+    total = size(F.col("event_id") % 15)
+    session_total = sum((size(F.col("event_id") % 3 + 3 * f) for f in range(5)), F.lit(0))
+    silent = F.col("user_id") % 50 == 0
+    prepared = F.col("event_type") == "view"
     return source(spark, sf_dir, "events").select(
         F.lit("L").alias("load_id"),
         F.col("ts"),
@@ -44,7 +64,8 @@ def progress_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("event_type") == "signup").alias("success"),
         F.concat(F.lit("f"), F.expr("event_id div 3 % 5").cast("string")).alias("file"),
         F.least(at - F.lit(START_SECONDS * 1_000_000), total).alias("current_bytes"),
-        total.alias("total_bytes"),
+        F.when(~prepared, total).when(silent, 0).otherwise(session_total).cast("bigint").alias("total_bytes"),
+        F.when(prepared, F.when(silent, 0).otherwise(5)).cast("bigint").alias("total_files"),
     )
 
 
@@ -80,22 +101,18 @@ def progress_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return progress.latest_per_file(progress_events(spark, sf_dir))
 
 
-@query(
-    "progress_files",
-    f"""SELECT load_id, peer, session, count(*) FILTER (current_bytes = total_bytes) AS files_done, count(*) AS files
-        FROM ({LATEST_SQL}) GROUP BY load_id, peer, session""",
-)
+@query("progress_files", f"SELECT load_id, peer, session, files_done, CAST(files AS BIGINT) AS files FROM ({SESSIONS_SQL})")
 def progress_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return progress.session_progress(progress_events(spark, sf_dir)).select(*progress.SESSION, "files_done", "files")
 
 
-_PERCENT_SQL = """CAST(sum(current_bytes) AS BIGINT) AS bytes_done, CAST(sum(total_bytes) AS BIGINT) AS bytes,
-    CAST(CASE WHEN sum(total_bytes) = 0 THEN 100 ELSE sum(current_bytes) * 100 // sum(total_bytes) END AS BIGINT) AS percent"""
+_PERCENT_SQL = """CAST(sum(bytes_done) AS BIGINT) AS bytes_done, CAST(sum(bytes) AS BIGINT) AS bytes,
+    CAST(CASE WHEN sum(bytes) = 0 THEN 100 ELSE sum(bytes_done) * 100 // sum(bytes) END AS BIGINT) AS percent"""
 
 
 @query(
     "progress_percent",
-    f"SELECT load_id, peer, session, {_PERCENT_SQL} FROM ({LATEST_SQL}) GROUP BY load_id, peer, session",
+    f"SELECT load_id, peer, session, {_PERCENT_SQL} FROM ({SESSIONS_SQL}) GROUP BY load_id, peer, session",
 )
 def progress_percent(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = progress.session_progress(progress_events(spark, sf_dir))
@@ -104,8 +121,8 @@ def progress_percent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "progress_total",
-    f"""SELECT load_id, count(*) FILTER (current_bytes = total_bytes) AS files_done, count(*) AS files, {_PERCENT_SQL}
-        FROM ({LATEST_SQL}) GROUP BY load_id""",
+    f"""SELECT load_id, CAST(sum(files_done) AS BIGINT) AS files_done, CAST(sum(files) AS BIGINT) AS files, {_PERCENT_SQL}
+        FROM ({SESSIONS_SQL}) GROUP BY load_id""",
 )
 def progress_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     return progress.load_progress(progress_events(spark, sf_dir))
@@ -113,7 +130,8 @@ def progress_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Per hour: what all files have sent by its end, less what they had sent before.
 RATES_SQL = f"""per_file AS (SELECT peer, session, file, epoch_us(ts) // 3600000000 AS bin,
-        arg_max(current_bytes, ts) AS sent FROM ({EVENTS_SQL}) WHERE event_type = 'click' GROUP BY ALL),
+        arg_max(current_bytes, ts) AS sent FROM ({EVENTS_SQL}) WHERE event_type = 'click'
+        AND (peer, session) IN (SELECT (peer, session) FROM ({EVENTS_SQL}) WHERE event_type = 'view') GROUP BY ALL),
     steps AS (SELECT bin, sent - coalesce(lag(sent) OVER (PARTITION BY peer, session, file ORDER BY bin), 0) AS step
         FROM per_file),
     bins AS (SELECT bin, CAST(sum(step) AS BIGINT) AS delta_bytes FROM steps GROUP BY bin),

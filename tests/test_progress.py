@@ -8,21 +8,24 @@ T0 = dt.datetime(2024, 1, 1)
 MB = progress.BYTES_PER_MB
 
 
-def ev(minute, kind, peer="p1", session=0, success=None, file=None, done=None, size=None):
-    return ("L", T0 + dt.timedelta(minutes=minute), kind, peer, session, success, file, done, size)
+def ev(minute, kind, peer="p1", session=0, success=None, file=None, done=None, size=None, files=None):
+    return ("L", T0 + dt.timedelta(minutes=minute), kind, peer, session, success, file, done, size, files)
 
 
-SCHEMA = "load_id string, ts timestamp_ntz, kind string, peer string, session int, success boolean, file string, current_bytes bigint, total_bytes bigint"
+SCHEMA = "load_id string, ts timestamp_ntz, kind string, peer string, session int, success boolean, file string, current_bytes bigint, total_bytes bigint, total_files bigint"
 
 
 @pytest.fixture
 def events(spark):
     return spark.createDataFrame(
         [
-            ev(0, "prepared"),
-            ev(0, "prepared", session=1),
-            ev(1, "prepared", session=1),
-            ev(1, "prepared", peer="p2"),
+            ev(0, "prepared", size=7200 * MB, files=10),
+            ev(0, "prepared", session=1, size=1, files=1),
+            ev(1, "prepared", session=1, size=14400 * MB, files=1),
+            ev(1, "prepared", peer="p2", size=0, files=1),
+            # Never reports, and never prepared.
+            ev(1, "prepared", peer="idle", size=3600 * MB, files=4),
+            ev(7, "progress", peer="stranger", file="a", done=50 * MB, size=50 * MB),
             ev(2, "progress", file="a", done=100 * MB, size=3600 * MB),
             ev(3, "progress", file="a", done=1800 * MB, size=3600 * MB),
             ev(61, "progress", file="a", done=3600 * MB, size=3600 * MB),
@@ -42,8 +45,8 @@ def rows(df, *columns):
 
 
 def test_sessions(events):
-    assert rows(progress.session_pairs(events), "peer", "session") == [("p1", 0), ("p1", 1), ("p2", 0)]
-    assert rows(progress.sessions_per_peer(events), "peer", "sessions") == [("p1", 2), ("p2", 1)]
+    assert rows(progress.session_pairs(events), "peer", "session") == [("idle", 0), ("p1", 0), ("p1", 1), ("p2", 0)]
+    assert rows(progress.sessions_per_peer(events), "peer", "sessions") == [("idle", 1), ("p1", 2), ("p2", 1)]
     assert rows(progress.session_outcomes(events), "peer", "completed", "failed") == [("p1", 1, 1), ("p2", 0, 1)]
 
 
@@ -52,10 +55,11 @@ def test_newest_state_and_totals(events):
         ("p1", 0, "a", 3600 * MB),
         ("p1", 1, "b", 7200 * MB),
         ("p2", 0, "a", 0),
+        ("stranger", 0, "a", 50 * MB),
     ]
     got = rows(progress.session_progress(events), "peer", "session", "files_done", "files", "percent")
-    assert got == [("p1", 0, 1, 1, 100), ("p1", 1, 0, 1, 50), ("p2", 0, 1, 1, 100)]
-    assert rows(progress.load_progress(events), "files_done", "files", "percent") == [(2, 3, 60)]
+    assert got == [("idle", 0, 0, 4, 0), ("p1", 0, 1, 10, 50), ("p1", 1, 0, 1, 50), ("p2", 0, 1, 1, 100)]
+    assert rows(progress.load_progress(events), "files_done", "files", "percent") == [(2, 16, 42)]
 
 
 def test_percent_is_cut_not_rounded(spark):

@@ -47,12 +47,34 @@ def to_millis(value: Column, target: T.DataType) -> Column:
 
 
 def convert(name: str, source: T.DataType, target: T.DataType) -> Column:
-    """Column ``name`` as ``target``; nulls stay null and a value that does not fit raises."""
-    value = col(name)
+    """Column ``name`` as ``target``; nulls stay null and a value that does not fit raises, inside collections too."""
+    return _converted(name, col(name), source, target)
+
+
+def _converted(name: str, value: Column, source: T.DataType, target: T.DataType) -> Column:
     if same_shape(source, target):
         return to_millis(value, target)
-    if cannot_fail(source, target) or isinstance(target, _COMPLEX):
+    if cannot_fail(source, target):
         return to_millis(value.cast(target), target)
+    if isinstance(source, T.ArrayType) and isinstance(target, T.ArrayType):
+        return F.transform(value, lambda x: _converted(name, x, source.elementType, target.elementType))
+    if isinstance(source, T.MapType) and isinstance(target, T.MapType):
+        entries = F.transform(
+            F.map_entries(value),
+            lambda e: F.struct(
+                _converted(name, e["key"], source.keyType, target.keyType).alias("key"),
+                _converted(name, e["value"], source.valueType, target.valueType).alias("value"),
+            ),
+        )
+        return F.map_from_entries(entries)
+    if _same_width(source, target):
+        fields = [
+            _converted(name, value.getField(s.name), s.dataType, t.dataType).alias(t.name)
+            for s, t in zip(source.fields, target.fields)
+        ]
+        return F.when(value.isNotNull(), F.struct(*fields)).cast(target)
+    if isinstance(target, _COMPLEX):
+        return value.cast(target)
     converted = value.try_cast(target)
     shown = F.coalesce(value.cast("string"), F.lit("?"))
     problem = F.concat(F.lit(f"column {name}: cannot convert to {target.simpleString()}: "), shown)
@@ -60,29 +82,69 @@ def convert(name: str, source: T.DataType, target: T.DataType) -> Column:
     return to_millis(checked, target)
 
 
+def _same_width(source: T.DataType, target: T.DataType) -> bool:
+    both = isinstance(source, T.StructType) and isinstance(target, T.StructType)
+    return both and len(source.fields) == len(target.fields)
+
+
 # Letters no number of the kind is written with; "e" marks an exponent, floats may be infinite or NaN.
 _NOT_IN_EXACT = "[A-DF-Za-df-z]"
 _NOT_IN_FLOAT = "[bcghj-mo-su-xzBCGHJ-MO-SU-XZ]"
 
 
-def _clearly_no_number(name: str, source: T.DataType, target: T.DataType) -> Column | None:
+def _clearly_no_number(value: Column, source: T.DataType, target: T.DataType) -> Column | None:
     """A cheap sign of a bad number. A failing cast costs far more than a look at the letters."""
     if not isinstance(source, T.StringType):
         return None
     if type(target) in _INTEGRAL or isinstance(target, T.DecimalType):
-        return col(name).rlike(_NOT_IN_EXACT)
+        return value.rlike(_NOT_IN_EXACT)
     if isinstance(target, (T.FloatType, T.DoubleType)):
-        return col(name).rlike(_NOT_IN_FLOAT)
+        return value.rlike(_NOT_IN_FLOAT)
     return None
 
 
 def is_bad(name: str, source: T.DataType, target: T.DataType) -> Column | None:
-    """Condition that finds values which do not fit, or None when all do."""
-    if same_shape(source, target) or cannot_fail(source, target) or isinstance(target, _COMPLEX):
+    """Condition that finds values which do not fit, or hold an element that does not; None when all fit."""
+    found = _bad(col(name), source, target)
+    return None if found is None else F.coalesce(found, F.lit(False))
+
+
+def _bad(value: Column, source: T.DataType, target: T.DataType) -> Column | None:
+    if same_shape(source, target) or cannot_fail(source, target):
+        return None
+    if isinstance(source, T.ArrayType) and isinstance(target, T.ArrayType):
+        return _any_bad([(value, lambda x: x, source.elementType, target.elementType)])
+    if isinstance(source, T.MapType) and isinstance(target, T.MapType):
+        entries = F.map_entries(value)
+        key = (entries, lambda e: e["key"], source.keyType, target.keyType)
+        return _any_bad([key, (entries, lambda e: e["value"], source.valueType, target.valueType)])
+    if _same_width(source, target):
+        pairs = zip(source.fields, target.fields)
+        found = [_bad(value.getField(s.name), s.dataType, t.dataType) for s, t in pairs]
+        return _either([F.coalesce(b, F.lit(False)) for b in found if b is not None])
+    if isinstance(target, _COMPLEX):
         return None
-    fails = col(name).try_cast(target).isNull()
-    obvious = _clearly_no_number(name, source, target)
-    return col(name).isNotNull() & (fails if obvious is None else obvious | fails)
+    fails = value.try_cast(target).isNull()
+    obvious = _clearly_no_number(value, source, target)
+    return value.isNotNull() & (fails if obvious is None else obvious | fails)
+
+
+def _any_bad(parts: list) -> Column | None:
+    """Whether an element of an array is bad; ``parts`` are arrays, what to look at in an element, and its types."""
+
+    def exists(elements: Column, part, source: T.DataType, target: T.DataType) -> Column | None:
+        if same_shape(source, target) or cannot_fail(source, target):
+            return None
+        return F.coalesce(F.exists(elements, lambda x: F.coalesce(_bad(part(x), source, target), F.lit(False))), F.lit(False))
+
+    return _either([b for b in (exists(*p) for p in parts) if b is not None])
+
+
+def _either(conditions: list[Column]) -> Column | None:
+    out = None
+    for c in conditions:
+        out = c if out is None else out | c
+    return out
 
 
 def convert_columns(df: DataFrame, spec: TableSpec, columns: list[str]) -> dict[str, Column]:

@@ -5,7 +5,7 @@ All of it is plain column arithmetic, evaluated in the scan stage; no lookup tab
 
 from __future__ import annotations
 
-from collections.abc import Collection, Sequence
+from collections.abc import Collection, Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -20,23 +20,32 @@ def hash_token(partition_key: Sequence[str]) -> Column:
     return F.xxhash64(*[col(c) for c in partition_key])
 
 
-def md5_token(partition_key: Sequence[str], instants: Collection[str] = ()) -> Column:
+def md5_token(partition_key: Sequence[str], instants: Collection[str] = (), floats: Mapping[str, str] = {}) -> Column:
     """Top 60 bits of the MD5 digest of the partition key, a number in [0, 2**60).
 
     ``instants`` are the key columns of type timestamp: their text would depend on the session's
-    zone, so their microseconds are taken.
+    zone, so their microseconds are taken. ``floats`` are those of a float type, by name: zeros of either sign are equal
+    and must lie together.
     """
-    values = [F.unix_micros(col(c)) if c in instants else col(c) for c in partition_key]
+
+    def shown(c: str) -> Column:
+        if c in instants:
+            return F.unix_micros(col(c))
+        return col(c) + F.lit(0.0).cast(floats[c]) if c in floats else col(c)
+
+    values = [shown(c) for c in partition_key]
     text = F.concat_ws(SEPARATOR, *[v.cast("string") for v in values])
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
 
 
-def token(partitioner: str, partition_key: Sequence[str], instants: Collection[str] = ()) -> Column | None:
+def token(
+    partitioner: str, partition_key: Sequence[str], instants: Collection[str] = (), floats: Mapping[str, str] = {}
+) -> Column | None:
     """Token column of a partitioner; None where the key itself is the token."""
     if partitioner == "hash":
         return hash_token(partition_key)
     if partitioner == "md5":
-        return md5_token(partition_key, instants)
+        return md5_token(partition_key, instants, floats)
     return None
 
 
@@ -58,8 +67,18 @@ def ring_range(token_col: Column, bounds: Sequence[int]) -> Column:
     The ring is closed: a token below the first bound belongs to the last range.
     """
     starts = F.array(*[F.lit(b).cast("bigint") for b in bounds])
-    below = F.size(F.filter(starts, lambda b: b <= token_col))
-    return F.pmod(below - F.lit(1), F.lit(len(bounds))).cast("int")
+    return F.pmod(not_above(starts, len(bounds), token_col) - F.lit(1), F.lit(len(bounds))).cast("int")
+
+
+def not_above(ascending: Column, size: int, value: Column) -> Column:
+    """How many of a constant array's ascending entries are at most ``value``, by binary search."""
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(size.bit_length()))])
+
+    def step(found: Column, width: Column) -> Column:
+        reached = found + width
+        return F.when((reached <= size) & (F.get(ascending, reached - F.lit(1)) <= value), reached).otherwise(found)
+
+    return F.aggregate(steps, F.lit(0), step)
 
 
 def split_range(key_cols: Sequence[Column], split_points: Sequence, types: Sequence) -> Column:
@@ -72,7 +91,7 @@ def split_range(key_cols: Sequence[Column], split_points: Sequence, types: Seque
     starts = F.array(
         *[F.struct(*[F.lit(v).cast(t).alias(f"k{i}") for i, (v, t) in enumerate(zip(p, types))]) for p in points]
     )
-    return F.size(F.filter(starts, lambda s: s <= key)).cast("int")
+    return not_above(starts, len(points), key).cast("int")
 
 
 def ring_replicas(range_col: Column, ranges: int, copies: int) -> Column:

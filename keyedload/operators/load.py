@@ -6,6 +6,7 @@ failed or retried task leaves nothing behind: Spark's commit protocol owns the f
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Callable, Sequence
 
@@ -36,23 +37,30 @@ def bulk_load(
     load_id: str | None = None,
     load_epoch: int | None = None,
     publish: bool = True,
-) -> LogRow:
+    if_published: str = "fail",
+) -> LogRow | None:
     """Load ``df`` into a table and return the load's log row.
 
     ``columns`` names the table columns to write; other input columns are then discarded and the
     table columns not named keep their values. Without it the input must have exactly the table's
     columns. ``mapper`` reshapes the input first. ``positional`` binds input columns by order.
     ``load_epoch`` is the clock of the load in seconds: the default write timestamp, and the start
-    of every ttl; left out, it is the time of the call, for the timestamp to the microsecond. With ``publish=False`` the files are written but stay invisible until
-    ``publish_load``.
+    of every ttl; left out, it is the time of the call, for the timestamp to the microsecond. With
+    ``publish=False`` the files are written but stay invisible until ``publish_load``. A ``load_id`` that is published
+    already fails the call, or with ``if_published="skip"`` is passed over with None. A cap on the rate holds for
+    streams only, so a load with one is refused.
     """
     spec = store.spec(keyspace, table)
     conf = LoadConf.from_spark(store.spark) if conf is None else conf
+    if conf.throttled:
+        raise LoadError(f"{spec.full_name}: one load cannot be capped; stream the input with stream_load")
     micros = time.time_ns() // 1000 if load_epoch is None else load_epoch * 1_000_000
     load_epoch = micros // 1_000_000
     if load_id is None:
         load_id = new_load_id()
     elif store.is_published(spec, check_load_id(load_id)):
+        if if_published == "skip":
+            return None
         raise LoadError(f"load {load_id} of {spec.full_name} is published already")
 
     names = selected_columns(spec, columns, conf)
@@ -91,7 +99,7 @@ def bulk_load(
         partitioner=conf.partitioner,
         buckets=bucket_count(conf),
         ring=conf.ring,
-        split_points=repr(conf.split_points),
+        split_points=json.dumps(conf.split_points),
         seconds=time.monotonic() - started,
     )
     if publish:

@@ -26,7 +26,9 @@ def with_placement(df: DataFrame, spec: TableSpec, conf: LoadConf) -> DataFrame:
         bucket = split_range([col(c) for c in spec.partition_key], conf.split_points, types)
         return df.withColumn(BUCKET, bucket).withColumn(SLICE, _key_slice(spec, k))
     instants = [c for c in spec.partition_key if isinstance(spec.type_of(c), T.TimestampType)]
-    df = df.withColumn(TOKEN, token(conf.partitioner, spec.partition_key, instants))
+    kinds = {c: spec.type_of(c) for c in spec.partition_key}
+    floats = {c: t.simpleString() for c, t in kinds.items() if isinstance(t, (T.FloatType, T.DoubleType))}
+    df = df.withColumn(TOKEN, token(conf.partitioner, spec.partition_key, instants, floats))
     if conf.ring is not None:
         return df.withColumn(BUCKET, ring_range(F.col(TOKEN), conf.ring)).withColumn(SLICE, _key_slice(spec, k))
     # Slices of an even bucket are token ranges too, so files of one bucket overlap less.

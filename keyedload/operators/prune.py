@@ -2,51 +2,56 @@
 
 from __future__ import annotations
 
-import ast
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from keyedload.functions.convert import to_millis
 from keyedload.functions.names import col
 from keyedload.operators.place import SLICE, with_placement
 from keyedload.sources.store import LogRow
 from keyedload.spec import BUCKET, LOAD_ID, TOKEN, LoadConf, TableSpec
 
 
-def only_partition(rows: DataFrame, spec: TableSpec, loads: list[LogRow] | None, key: Sequence) -> DataFrame:
+def only_partition(rows: DataFrame, spec: TableSpec, loads: list[LogRow], key: Sequence) -> DataFrame:
     if len(key) != len(spec.partition_key):
         raise ValueError(f"{spec.full_name}: the partition key has {len(spec.partition_key)} columns")
-    wanted = {c: F.lit(v).cast(spec.type_of(c)) for c, v in zip(spec.partition_key, key)}
+    # As stored values are: of the column's type, timestamps in milliseconds.
+    types = {c: spec.type_of(c) for c in spec.partition_key}
+    wanted = {c: to_millis(F.lit(v).cast(types[c]), types[c]) for c, v in zip(types, key)}
     for c, v in wanted.items():
         rows = rows.where(col(c) == v)
     if not loads:
         return rows
 
-    # One small evaluation per placement in use: where does this key lie?
     by_placement: dict[LoadConf, list[str]] = {}
     for r in loads:
         conf = LoadConf(
-            partitioner=r.partitioner,
-            buckets=r.buckets,
-            ring=r.ring,
-            split_points=ast.literal_eval(r.split_points),
+            partitioner=r.partitioner, buckets=r.buckets, ring=r.ring, split_points=json.loads(r.split_points)
         )
         by_placement.setdefault(conf, []).append(r.load_id)
     narrowed: Column | None = None
-    for conf, load_ids in by_placement.items():
-        where = _where(rows, spec, conf, wanted)
+    for conf, here in zip(by_placement, _places(rows, spec, list(by_placement), wanted)):
         if len(by_placement) > 1:
-            where = F.col(LOAD_ID).isin(load_ids) & where
-        narrowed = where if narrowed is None else narrowed | where
+            here = F.col(LOAD_ID).isin(by_placement[conf]) & here
+        narrowed = here if narrowed is None else narrowed | here
     return rows.where(narrowed)
 
 
-def _where(rows: DataFrame, spec: TableSpec, conf: LoadConf, wanted: dict[str, Column]) -> Column:
+def _places(rows: DataFrame, spec: TableSpec, placements: list[LoadConf], wanted: dict[str, Column]) -> list[Column]:
+    """Where the key lies under each placement: one small evaluation for all of them."""
     one = rows.sparkSession.range(1, numPartitions=1).select(*[v.alias(c) for c, v in wanted.items()])
-    clustering = [F.lit(None).cast(spec.type_of(c)).alias(c) for c, _ in spec.clustering]
-    place = with_placement(one.select("*", *clustering), spec, conf).drop(SLICE).first()
-    here = F.col(BUCKET) == F.lit(place[BUCKET])
-    if TOKEN in place:
-        here = here & (F.col(TOKEN) == F.lit(place[TOKEN]))
-    return here
+    one = one.select("*", *[F.lit(None).cast(spec.type_of(c)).alias(c) for c, _ in spec.clustering])
+    for i, conf in enumerate(placements):
+        one = with_placement(one, spec, conf).drop(SLICE)
+        one = one.withColumnsRenamed({BUCKET: f"{BUCKET}{i}", TOKEN: f"{TOKEN}{i}"})
+    place = one.first()
+    out = []
+    for i in range(len(placements)):
+        here = F.col(BUCKET) == F.lit(place[f"{BUCKET}{i}"])
+        if f"{TOKEN}{i}" in place:
+            here = here & (F.col(TOKEN) == F.lit(place[f"{TOKEN}{i}"]))
+        out.append(here)
+    return out

@@ -38,9 +38,6 @@ from keyedload.spec import EXPIRES, LOAD_ID, WRITTEN, WTS, LoadError, TableSpec
 NEVER = 2**63 - 1
 STRATEGIES = ("auto", "direct", "overlay", "latest", "tied", "cells")
 
-# Up to so many published loads are named one by one in the plan; beyond, the log is joined.
-MAX_NAMED_LOADS = 1000
-
 # Rows are shuffled before they are merged when no key has more versions than this, and the average is low.
 FEW_VERSIONS = 1000
 FEW_ON_AVERAGE = 4
@@ -48,7 +45,8 @@ FEW_ON_AVERAGE = 4
 # A base load is read apart when it has at least so many times the rows of the other loads.
 BASE_FACTOR = 4
 
-# So many keys of fixed width are broadcast at most: about 100 bytes each in the hash table, 100 MB in all.
+# So many keys of fixed width get a broadcast hint: about 100 bytes each in the hash table, 100 MB in all. For more,
+# Spark picks the join itself.
 MAX_BROADCAST_KEYS = 1_000_000
 MAX_BROADCAST_KEY_COLUMNS = 4
 _FIXED_WIDTH = (
@@ -69,7 +67,7 @@ _FIXED_WIDTH = (
 class Facts:
     """What the log says about the mutation rows of a read."""
 
-    loads: int | None
+    loads: int
     distinct: bool
     same_columns: bool
     disjoint_times: bool
@@ -86,9 +84,7 @@ class Facts:
     few_other_keys: bool = False  # proven to fit into memory
 
 
-def facts_of(spec: TableSpec, loads: list[LogRow] | None) -> Facts:
-    if loads is None:
-        return Facts(None, False, False, False, False, True, False, frozenset(spec.key), frozenset(spec.columns))
+def facts_of(spec: TableSpec, loads: list[LogRow]) -> Facts:
     sets = [frozenset(r.columns) for r in loads]
     times = sorted((r.min_wts, r.max_wts) for r in loads)
     candidates = [r for r in loads if r.distinct_keys] if len(loads) > 1 else []
@@ -133,17 +129,18 @@ def allowed_strategies(facts: Facts) -> list[str]:
     out = []
     if facts.distinct and facts.loads == 1:
         out.append("direct")
-    # Base rows that need a merge are found by a second join; that pays only when both are broadcast.
-    may_overlay = facts.base is not None and (facts.others_hide_base or facts.few_other_keys)
-    big_base = facts.base_rows >= BASE_FACTOR * facts.other_rows
-    if may_overlay and big_base:
+    # Base rows that need a merge are found by a second join; that pays when both are broadcast.
+    may_overlay = facts.base is not None
+    pays = facts.others_hide_base or facts.few_other_keys
+    first = may_overlay and pays and facts.base_rows >= BASE_FACTOR * facts.other_rows
+    if first:
         out.append("overlay")
     if facts.distinct and facts.same_columns and facts.disjoint_times:
         out.append("latest")
     if facts.one_time and facts.same_columns and not facts.has_ttl:
         out.append("tied")
     out.append("cells")
-    if may_overlay and not big_base:
+    if may_overlay and not first:
         out.append("overlay")
     return out
 
@@ -159,14 +156,10 @@ def read_table(
 
 def published_rows(store: KeyedStore, spec: TableSpec) -> tuple[DataFrame, Facts]:
     """Mutation rows of the published loads, and what the log says about them."""
-    return _rows_of(store, spec, store.published(spec, MAX_NAMED_LOADS))
+    return _rows_of(store, spec, store.published(spec))
 
 
-def _rows_of(store: KeyedStore, spec: TableSpec, loads: list[LogRow] | None) -> tuple[DataFrame, Facts]:
-    if loads is None:
-        # Spark measures the log's size itself and picks the join.
-        rows = store.all_loads(spec).join(store.log(spec).select(LOAD_ID), LOAD_ID, "left_semi")
-        return rows, facts_of(spec, None)
+def _rows_of(store: KeyedStore, spec: TableSpec, loads: list[LogRow]) -> tuple[DataFrame, Facts]:
     loads = [r for r in loads if r.rows]
     return store.loads(spec, [r.load_id for r in loads]), facts_of(spec, loads)
 
@@ -266,9 +259,46 @@ def _cells(rows: DataFrame, spec: TableSpec, facts: Facts, as_of: int) -> DataFr
     return merged.select(*_output(spec, values))
 
 
+def _holds_map(data_type: T.DataType) -> bool:
+    if isinstance(data_type, T.ArrayType):
+        return _holds_map(data_type.elementType)
+    if isinstance(data_type, T.StructType):
+        return any(_holds_map(f.dataType) for f in data_type.fields)
+    return isinstance(data_type, T.MapType)
+
+
 def _comparable(value: Column, data_type: T.DataType) -> Column:
-    """Maps have no order; compare them as their sorted entries."""
-    return F.array_sort(F.map_entries(value)) if isinstance(data_type, T.MapType) else value
+    """Maps have no order; compare them as their sorted entries, at any depth."""
+    if not _holds_map(data_type):
+        return value
+    if isinstance(data_type, T.ArrayType):
+        return F.transform(value, lambda x: _comparable(x, data_type.elementType))
+    if isinstance(data_type, T.StructType):
+        return _rebuilt(value, data_type, _comparable)
+    entry = F.transform(
+        F.map_entries(value),
+        lambda e: F.struct(e["key"].alias("key"), _comparable(e["value"], data_type.valueType).alias("value")),
+    )
+    return F.array_sort(entry)
+
+
+def _from_comparable(value: Column, data_type: T.DataType) -> Column:
+    if not _holds_map(data_type):
+        return value
+    if isinstance(data_type, T.ArrayType):
+        return F.transform(value, lambda x: _from_comparable(x, data_type.elementType))
+    if isinstance(data_type, T.StructType):
+        return _rebuilt(value, data_type, _from_comparable)
+    return F.map_from_entries(
+        F.transform(
+            value, lambda e: F.struct(e["key"].alias("key"), _from_comparable(e["value"], data_type.valueType).alias("value"))
+        )
+    )
+
+
+def _rebuilt(value: Column, data_type: T.StructType, change) -> Column:
+    fields = [change(value.getField(f.name), f.dataType).alias(f.name) for f in data_type.fields]
+    return F.when(value.isNotNull(), F.struct(*fields))
 
 
 def _output(spec: TableSpec, values: dict[str, Column]) -> list[Column]:
@@ -280,10 +310,8 @@ def _output(spec: TableSpec, values: dict[str, Column]) -> list[Column]:
             value = col(c)
         elif c not in values:
             value = F.lit(None).cast(data_type)
-        elif isinstance(data_type, T.MapType):
-            value = F.map_from_entries(values[c])
         else:
-            value = values[c]
+            value = _from_comparable(values[c], data_type)
         out.append(value.alias(c))
     return out
 
@@ -297,7 +325,7 @@ def lookup(
     row-group statistics of the sorted files leave little to read.
     """
     spec = store.spec(keyspace, table)
-    loads = store.published(spec, MAX_NAMED_LOADS)
+    loads = store.published(spec)
     rows, facts = _rows_of(store, spec, loads)
     # Little is left to read, so a base is not worth its joins.
     strategy = next(s for s in allowed_strategies(facts) if s != "overlay")

@@ -73,10 +73,13 @@ def salted_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bucket_report(table.store, KEYSPACE, table.spec.name).select("bucket", "rows")
 
 
-@query("hash_bucket_rows")
+@query("hash_bucket_rows", "SELECT count(*) AS rows, CAST(16 AS BIGINT) AS buckets, TRUE AS even FROM lineitem")
 def hash_bucket_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hash has no SQL twin; it must use all buckets, and none with half or twice its share."""
     table = _loaded(spark, sf_dir, _counting())
-    return bucket_report(table.store, KEYSPACE, table.spec.name).select("bucket", "rows")
+    per_bucket = bucket_report(table.store, KEYSPACE, table.spec.name)
+    even = (F.max("rows") < 2 * F.avg("rows")) & (F.min("rows") > F.avg("rows") / 2)
+    return per_bucket.agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("buckets"), even.alias("even"))
 
 
 @query("hash_placement", "SELECT count(*) AS rows, count(DISTINCT l_orderkey) AS keys, CAST(0 AS BIGINT) AS misplaced, CAST(0 AS BIGINT) AS split_keys FROM lineitem")
@@ -198,21 +201,25 @@ def load_log_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_log(table.store, KEYSPACE, table.spec.name).select("rows", "keys", "min_wts", "max_wts", "has_ttl")
 
 
+_LINEITEM_COLUMNS = (
+    "l_partkey l_suppkey l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus l_shipdate"
+).split()
+
+
 @query(
     "throttled_load_rows",
-    """SELECT l_orderkey, l_linenumber, max(l_quantity) AS l_quantity, max(l_extendedprice) AS l_extendedprice
+    f"""SELECT l_orderkey, l_linenumber, {", ".join(f"max({c}) AS {c}" for c in _LINEITEM_COLUMNS)}
        FROM lineitem GROUP BY l_orderkey, l_linenumber""",
 )
 def throttled_load_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items streamed in at a capped rate, then merged over all micro-batches."""
-    wanted = ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice"]
-    lineitem = source(spark, sf_dir, "lineitem").select(*wanted)
-    table = Table(spark, "lineitem", lineitem.schema, ("l_orderkey",), ("l_linenumber",))
+    lineitem = source(spark, sf_dir, "lineitem")
+    table = lineitem_table(spark, lineitem)
     base = scratch_root(spark)
-    lineitem.repartition(3).write.parquet(f"{base}/in")
-    # Two of the three files per batch, whatever their size.
-    size = spark.read.format("binaryFile").load(f"{base}/in/*.parquet").agg(F.max("length")).first()[0]
-    conf = LoadConf(timestamp=EPOCH * 1_000_000, bytes_per_trigger=2 * size)
+    # Files of a quarter of the rows at most, and about half of the bytes in a batch.
+    lineitem.write.option("maxRecordsPerFile", -(-lineitem.count() // 4)).parquet(f"{base}/in")
+    size = spark.read.format("binaryFile").load(f"{base}/in/*.parquet").agg(F.sum("length")).first()[0]
+    conf = LoadConf(timestamp=EPOCH * 1_000_000, bytes_per_trigger=max(1, size // 2))
     stream = throttled_files(spark, f"{base}/in", lineitem.schema, conf)
     running = stream_load(table.store, stream, KEYSPACE, table.spec.name, f"{base}/checkpoint", conf=conf)
     try:

@@ -98,12 +98,24 @@ def check_load_id(load_id: str) -> str:
     return load_id
 
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def scratch_root(spark: SparkSession) -> str:
-    """A fresh directory in the folder all executors share; a local one only where none is set."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/keyedload-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix="keyedload-")
+    """A fresh directory in the folder all executors share, below one folder per application.
+
+    The folder is ``spark.checkpoint.dir``, or the checkpoint directory of the context. Where neither is set a local
+    temporary folder serves, but only for a local master: executors elsewhere would not see it.
+    """
+    app = spark.sparkContext.applicationId
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not shared:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise LoadError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        if app not in _LOCAL_FOLDERS:
+            _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="keyedload-")
+        shared = _LOCAL_FOLDERS[app]
+    return f"{shared.rstrip('/')}/keyedload-{app}/{uuid.uuid4().hex}"
 
 
 class KeyedStore:
@@ -112,6 +124,7 @@ class KeyedStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._specs: dict[tuple[str, str], TableSpec] = {}
 
     def table_path(self, keyspace: str, table: str) -> str:
         for name in (keyspace, table):
@@ -131,8 +144,6 @@ class KeyedStore:
     def create_table(self, spec: TableSpec) -> TableSpec:
         """Record a table definition. Raises when the table exists."""
         base = self.table_path(spec.keyspace, spec.name)
-        # The definition comes last: a table exists once it is there.
-        self.spark.createDataFrame([], LOG_SCHEMA).write.mode("append").parquet(f"{base}/log")
         line = self.spark.range(1, numPartitions=1).select(F.lit(spec.to_json()).alias("value"))
         try:
             line.write.text(f"{base}/spec")
@@ -140,10 +151,14 @@ class KeyedStore:
             if e.getCondition() != "PATH_ALREADY_EXISTS":
                 raise
             raise LoadError(f"table {spec.full_name} exists already") from e
+        self._specs[spec.keyspace, spec.name] = spec
         return spec
 
     def spec(self, keyspace: str, table: str) -> TableSpec:
-        """Definition of a table, read anew on each call."""
+        """Definition of a table. Definitions never change, so a store reads each once."""
+        known = self._specs.get((keyspace, table))
+        if known is not None:
+            return known
         path = f"{self.table_path(keyspace, table)}/spec"
         try:
             lines = self.spark.read.text(path).limit(1).collect()
@@ -153,7 +168,8 @@ class KeyedStore:
             lines = []
         if not lines:
             raise TableNotFound(f"table {keyspace}.{table} not found")
-        return TableSpec.from_json(lines[0].value)
+        found = self._specs[keyspace, table] = TableSpec.from_json(lines[0].value)
+        return found
 
     # -- log of published loads --------------------------------------------------------------
 
@@ -162,14 +178,17 @@ class KeyedStore:
         return self._log_files(spec).dropDuplicates([LOAD_ID])
 
     def _log_files(self, spec: TableSpec) -> DataFrame:
-        return self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.table_path(spec.keyspace, spec.name)}/log")
+        try:
+            return self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.table_path(spec.keyspace, spec.name)}/log")
+        except AnalysisException as e:
+            # The first publication makes the log.
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], LOG_SCHEMA)
 
-    def published(self, spec: TableSpec, at_most: int) -> list[LogRow] | None:
-        """The published loads as driver objects, or None when there are more than ``at_most``."""
-        rows = self._log_files(spec).limit(at_most + 1).collect()
-        if len(rows) > at_most:
-            return None
-        return list({r[LOAD_ID]: LogRow.from_row(r) for r in rows}.values())
+    def published(self, spec: TableSpec) -> list[LogRow]:
+        """The published loads as driver objects: one row of metadata per load, however many there are."""
+        return list({r[LOAD_ID]: LogRow.from_row(r) for r in self._log_files(spec).collect()}.values())
 
     def is_published(self, spec: TableSpec, load_id: str) -> bool:
         return bool(self._log_files(spec).where(F.col(LOAD_ID) == load_id).limit(1).count())
@@ -202,7 +221,3 @@ class KeyedStore:
             return self.spark.createDataFrame([], schema)
         paths = [self.data_path(spec, i) for i in load_ids]
         return self.spark.read.schema(schema).option("basePath", self.data_path(spec)).parquet(*paths)
-
-    def all_loads(self, spec: TableSpec) -> DataFrame:
-        """Mutation rows of every load directory, published or not."""
-        return self.spark.read.schema(self.read_schema(spec)).parquet(self.data_path(spec))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
@@ -66,6 +67,8 @@ class TableSpec:
         names = schema.names
         if len(set(names)) != len(names):
             raise ValueError(f"{self.full_name}: duplicate column names")
+        if len({c.lower() for c in names}) != len(names):
+            raise ValueError(f"{self.full_name}: column names that differ only in case")
         reserved = {c for c in names if c.lower() in SYSTEM_COLUMNS}
         if reserved:
             raise ValueError(f"{self.full_name}: reserved column names {sorted(reserved)}")
@@ -80,7 +83,7 @@ class TableSpec:
             if direction not in ("asc", "desc"):
                 raise ValueError(f"{self.full_name}: clustering order of {column} must be asc or desc")
         for column in self.key:
-            if isinstance(schema[column].dataType, (T.ArrayType, T.MapType)):
+            if isinstance(schema[column].dataType, T.ArrayType) or "map<" in schema[column].dataType.simpleString():
                 raise ValueError(f"{self.full_name}: collection column {column} cannot be part of the key")
 
     @property
@@ -179,6 +182,8 @@ class LoadConf:
             for value in point if isinstance(point, tuple) else (point,):
                 if not isinstance(value, (int, float, str)):
                     raise ValueError("split points are numbers or text; give dates and timestamps as text")
+                if isinstance(value, float) and not math.isfinite(value):
+                    raise ValueError("split points are finite numbers")
         object.__setattr__(self, "split_points", split_points)
         if isinstance(self.ttl, int) and self.ttl < 0:
             raise ValueError("ttl must not be negative")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -48,23 +49,22 @@ def stream_load(
     """
     conf = LoadConf.from_spark(store.spark) if conf is None else conf
     stream_id = hashlib.md5(checkpoint.encode()).hexdigest() if stream_id is None else stream_id
-    spec = store.spec(keyspace, table)
+    store.spec(keyspace, table)  # fails at once where there is no such table
+    uncapped = replace(conf, bytes_per_trigger=None)
 
     def load_batch(batch: DataFrame, number: int) -> None:
-        load_id = f"{stream_id}-{number}"
-        if store.is_published(spec, load_id):
-            return
         bulk_load(
             store,
             batch,
             keyspace,
             table,
             columns,
-            conf,
+            uncapped,
             mapper=mapper,
             positional=positional,
-            load_id=load_id,
+            load_id=f"{stream_id}-{number}",
             load_epoch=load_epoch,
+            if_published="skip",
         )
 
     return (

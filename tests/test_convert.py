@@ -6,7 +6,7 @@ import decimal
 import pytest
 from pyspark.sql import types as T
 
-from keyedload import TableSpec
+from keyedload import LoadConf, TableSpec, bulk_load, read_rejects, read_table
 from keyedload.functions.convert import convert, is_bad, split_rejects
 
 GOOD = [
@@ -123,3 +123,25 @@ def test_split_rejects(spark):
     assert {r.a: r._bad_columns for r in bad.collect()} == {"x": ["a"], "y": ["a", "b"]}
     typed = spark.createDataFrame([(1, None)], "a int, b date")
     assert split_rejects(typed, spec, ["a", "b"]) == (typed, None)
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_elements_of_collections_are_checked(spark, store, ansi):
+    table = "k int, a array<int>, m map<string,int>, s struct<p:int,q:date>, n array<array<int>>"
+    given = "k int, a array<string>, m map<string,string>, s struct<p:string,q:string>, n array<array<string>>"
+    store.create_table(TableSpec("test", "parts", table, ("k",)))
+    good = (1, ["1", None, " 2"], {"a": "3", "b": None}, ("4", "2024-02-03"), [["5"], None, []])
+    bad = [(2, ["1", "x"], None, None, None), (3, None, {"a": "y"}, None, None), (4, None, None, ("1", "no"), None), (5, None, None, None, [["z"]])]
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        for row in bad:
+            with pytest.raises(Exception, match="cannot convert"):
+                bulk_load(store, spark.createDataFrame([row], given), "test", "parts")
+        entry = bulk_load(store, spark.createDataFrame([good, (6, None, None, None, None), *bad], given), "test", "parts", conf=LoadConf(on_bad_value="reject"))
+        got = {r.k: r for r in read_table(store, "test", "parts").collect()}
+        assert sorted(got) == [1, 6] and entry.rejected == 4
+        assert got[1].a == [1, None, 2] and got[1].m == {"a": 3, "b": None} and got[1].s.p == 4 and got[1].n == [[5], None, []]
+        assert sorted((r.k, r._bad_columns[0]) for r in read_rejects(store, "test", "parts", entry.load_id).collect()) == [(2, "a"), (3, "m"), (4, "s"), (5, "n")]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)

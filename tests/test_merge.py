@@ -91,13 +91,13 @@ def test_random_loads(spark, store, table, ttl, partial, per_row_time):
     simple = [([(r, w, e) for r, w, _, e in rows], columns) for rows, columns in loads]
     for as_of in (15, 40) if ttl else (15,):
         expected = model(simple, as_of)
-        for strategy in allowed_strategies(facts_of(table, [r for r in store.published(table, 100) if r.rows])):
+        for strategy in allowed_strategies(facts_of(table, [r for r in store.published(table) if r.rows])):
             got = read_table(store, "test", "m", as_of, strategy).collect()
             assert sorted((tuple(r) for r in got), key=repr) == expected, strategy
 
 
 def strategies(store, table):
-    return allowed_strategies(facts_of(table, [r for r in store.published(table, 100) if r.rows]))
+    return allowed_strategies(facts_of(table, [r for r in store.published(table) if r.rows]))
 
 
 def test_strategy_choice(spark, store, table):
@@ -113,7 +113,7 @@ def test_strategy_choice(spark, store, table):
     assert strategies(store, table) == ["cells", "overlay"]
     # Without counted keys there is neither a base nor a bound.
     bulk_load(store, unique, "test", "m", conf=LoadConf(count_keys=False), load_epoch=1)
-    facts = facts_of(table, [replace(r, keys=None) for r in store.published(table, 100) if r.rows])
+    facts = facts_of(table, [replace(r, keys=None) for r in store.published(table) if r.rows])
     assert allowed_strategies(facts) == ["cells"]
     with pytest.raises(LoadError):
         read_table(store, "test", "m", strategy="direct")
@@ -186,7 +186,7 @@ def test_a_later_load_wins_within_the_same_second(spark, store, table):
     for x in (9, 5, 7):
         bulk_load(store, spark.createDataFrame([(1, 1, x, "a", 1.0)], SCHEMA), "test", "m")
     assert [r.x for r in read_table(store, "test", "m").collect()] == [7]
-    times = [r.min_wts for r in store.published(table, 10)]
+    times = [r.min_wts for r in store.published(table)]
     assert len(set(times)) == 3
 
 
@@ -228,16 +228,59 @@ def test_unneeded_columns_are_not_read(spark, store, table):
     assert "ReadSchema: struct<k:int,c:int,x:int,_wts:bigint>" in plan
 
 
-def test_more_loads_than_are_named(spark, store, table, monkeypatch):
-    """Beyond the limit the log is joined, and the general merge is used."""
-    for i in range(4):
-        df = spark.createDataFrame([(i, 1, i, "a", 1.0), (9, 9, i, "b", None)], SCHEMA)
-        bulk_load(store, df, "test", "m", columns=COLUMNS if i % 2 else COLUMNS[:4], load_epoch=i)
-    bulk_load(store, df, "test", "m", load_epoch=50, publish=False)
-    expected = sorted(tuple(r) for r in read_table(store, "test", "m", 10).collect())
-    monkeypatch.setattr(resolve, "MAX_NAMED_LOADS", 3)
-    assert sorted(tuple(r) for r in read_table(store, "test", "m", 10).collect()) == expected
-    assert [tuple(r) for r in lookup(store, "test", "m", (9,), 10).collect()] == [(9, 9, 3, "b", None)]
+def test_very_many_loads_are_read_as_few_are(spark, store, table):
+    """1,200 published loads, a row each: the same strategy, filters and rows, and no unpublished directory is read."""
+    entry = bulk_load(store, spark.createDataFrame([(0, 1, -1, "a", 1.0)], SCHEMA), "test", "m", load_epoch=0)
+    few = strategies(store, table)
+    rows = store.loads(table, [entry.load_id]).drop("load_id")
+    more = rows.drop("_wts", "x").crossJoin(spark.range(1, 1200).selectExpr("concat('n', id) AS load_id", "id AS _wts", "cast(id AS int) AS x"))
+    more.write.mode("append").partitionBy("load_id", "_bucket").parquet(store.data_path(table))
+    log = store.log(table).drop("load_id", "min_wts", "max_wts")
+    log = log.crossJoin(spark.range(1, 1200).selectExpr("concat('n', id) AS load_id", "id AS min_wts", "id AS max_wts"))
+    log.write.mode("append").parquet(f"{store.table_path('test', 'm')}/log")
+    bulk_load(store, spark.createDataFrame([(0, 1, 7, "b", 1.0)], SCHEMA), "test", "m", load_epoch=9, publish=False)
+    assert few[0] == "direct" and strategies(store, table)[0] == "latest"
+    assert len(store.published(table)) == 1200
+    expected = [(0, 1, 1199, "a", 1.0)]
+    assert [tuple(r) for r in read_table(store, "test", "m", 10).collect()] == expected
+    found = lookup(store, "test", "m", (0,), 10)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "_bucket" in plan[plan.index("PartitionFilters") :] and "EqualTo(_token" in plan
+    assert [tuple(r) for r in found.collect()] == expected
+
+
+def test_overlay_is_right_at_any_size(spark, store, table, monkeypatch):
+    bulk_load(store, spark.createDataFrame([(i, 1, i, "a", 1.0) for i in range(40)], SCHEMA), "test", "m", load_epoch=1)
+    some = spark.createDataFrame([(i, 1, -i) for i in range(9)], "k int, c int, x int")
+    bulk_load(store, some, "test", "m", columns=["k", "c", "x"], load_epoch=2)
+    expected = sorted(tuple(r) for r in read_table(store, "test", "m", 10, strategy="cells").collect())
+    monkeypatch.setattr(resolve, "MAX_BROADCAST_KEYS", 5)
+    assert sorted(tuple(r) for r in read_table(store, "test", "m", 10, strategy="overlay").collect()) == expected
+
+
+def test_maps_inside_collections_are_merged(spark, store):
+    schema = "k int, a array<map<string,int>>, s struct<m:map<string,int>,n:int>"
+    store.create_table(TableSpec("test", "nested", schema, ("k",)))
+    first = [(1, [{"b": 2, "a": 1}], ({"x": 1}, 1)), (2, None, None), (3, [None], (None, 2))]
+    bulk_load(store, spark.createDataFrame(first, schema), "test", "nested", load_epoch=1)
+    bulk_load(store, spark.createDataFrame([(1, [{"c": 3}, {"d": 4}])], "k int, a array<map<string,int>>"), "test", "nested", columns=["k", "a"], load_epoch=2)
+    got = {r.k: r for r in read_table(store, "test", "nested").collect()}
+    assert got[1].a == [{"c": 3}, {"d": 4}] and got[1].s.m == {"x": 1} and got[1].s.n == 1
+    assert got[2].a is None and got[2].s is None and got[3].a == [None] and got[3].s.m is None and got[3].s.n == 2
+
+
+def test_lookup_by_values_as_they_were_loaded(spark, store):
+    import datetime as dt
+    import math
+
+    at = dt.datetime(2024, 5, 1, 12, 0, 0, 123456)
+    for partitioner in ("hash", "md5"):
+        name = f"t_{partitioner}"
+        store.create_table(TableSpec("test", name, "d double, t timestamp_ntz, v int", ("d", "t")))
+        df = spark.createDataFrame([(-0.0, at, 1), (math.nan, at, 2), (0.5, at, 3)], "d double, t timestamp_ntz, v int")
+        bulk_load(store, df, "test", name, conf=LoadConf(partitioner))
+        for d, v in ((0.0, 1), (-0.0, 1), (math.nan, 2), (0.5, 3)):
+            assert [r.v for r in lookup(store, "test", name, (d, at)).collect()] == [v], (partitioner, d)
 
 
 def test_unpublished_loads(spark, store, table):
@@ -255,7 +298,7 @@ def test_log_counts_a_replayed_publication_once(spark, store, table):
     entry = bulk_load(store, df, "test", "m")
     store.publish(table, entry)
     assert store.log(table).count() == 1
-    assert store.published(table, 10) == [entry]
+    assert store.published(table) == [entry]
     assert strategies(store, table)[0] == "direct"
 
 

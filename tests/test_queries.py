@@ -25,7 +25,8 @@ def test_query(spark, con, name):
 
 def test_every_oracle_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"hash_bucket_rows"}
+    without = set(entry.queries()) - set(entry.oracle_sql())
+    assert all(name == "pipeline" or name.startswith("op") for name in without)
 
 
 def test_entry(spark):

@@ -13,6 +13,8 @@ The load log decides how much of that a read needs:
 ``latest``  loads without duplicate keys, of the same columns, with disjoint write timestamps. No
             ties, so the newest whole row wins: ``row_number() = 1``, at most one row per load and key.
 ``tied``    one write timestamp in all, all columns, no ttl: per cell null if any is null, else max.
+``newest``  loads of the same columns, and few versions of every key. Only rows of a key's newest timestamp matter, found
+            by ``rank() = 1``, which Spark also limits before the shuffle; their ties are then merged where they lie.
 ``cells``   the general case: ``max(struct(...))`` per cell.
 
 Merging combines on the map side before its one shuffle, so a key with very many versions does not
@@ -24,7 +26,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
@@ -36,7 +38,7 @@ from keyedload.sources.store import KeyedStore, LogRow
 from keyedload.spec import EXPIRES, LOAD_ID, WRITTEN, WTS, LoadError, TableSpec
 
 NEVER = 2**63 - 1
-STRATEGIES = ("auto", "direct", "overlay", "latest", "tied", "cells")
+STRATEGIES = ("auto", "direct", "overlay", "latest", "tied", "newest", "cells")
 
 # Rows are shuffled before they are merged when no key has more versions than this, and the average is low.
 FEW_VERSIONS = 1000
@@ -139,6 +141,8 @@ def allowed_strategies(facts: Facts) -> list[str]:
         out.append("latest")
     if facts.one_time and facts.same_columns and not facts.has_ttl:
         out.append("tied")
+    if facts.same_columns and facts.few_versions:
+        out.append("newest")
     out.append("cells")
     if may_overlay and not first:
         out.append("overlay")
@@ -186,6 +190,12 @@ def resolve(
         return _whole_rows(ranked, spec, facts, as_of)
     if strategy == "tied":
         return _tied(rows, spec, facts)
+    if strategy == "newest":
+        newest = Window.partitionBy(*[col(c) for c in spec.key]).orderBy(F.col(WTS).desc())
+        rows = rows.withColumn("_rank", F.rank().over(newest)).where(F.col("_rank") == 1)
+        # Rows of a key are together already.
+        facts = replace(facts, few_versions=False)
+        return _cells(rows, spec, facts, as_of) if facts.has_ttl else _tied(rows, spec, facts)
     return _cells(rows, spec, facts, as_of)
 
 

@@ -1,0 +1,112 @@
+"""The pipeline stage by stage against plain code, on rows with nulls, repeats and columns of clashing names."""
+
+import importlib
+import os
+import subprocess
+import sys
+
+import pytest
+from pyspark.sql import functions as F
+from test_decontam import plain as plain_hits
+from test_simhash import plain_components, plain_fingerprint
+
+import corpus_pipeline
+from keyedload.llm import pii, toxicity
+from keyedload.llm.queries import ORACLES, QUERIES
+
+SF_DIR = "/root/testdata/sf0.001"
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    given = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    more = [(None, None, None, None, None), (9001, None, "en", "src0", 0), (9002, "", None, None, 0), (9003, " ", "de", "src1", 1)]
+    added = given.unionByName(spark.createDataFrame(more, given.schema)).unionByName(given.where("doc_id = 3"))
+    # Names that the operators use themselves.
+    for name in ("fp", "_kept", "t", "spans", "items", "score", "id", "key"):
+        added = added.withColumn(name, F.lit(name))
+    return added
+
+
+def keys(rows):
+    return sorted(repr((r["doc_id"], r["text"])) for r in rows)
+
+
+def test_drop_toxic(spark, docs):
+    kept = corpus_pipeline.drop_toxic(spark, docs, SF_DIR)
+    assert kept.columns == docs.columns
+    machine = toxicity.train(docs, spark.read.parquet(f"{SF_DIR}/labels.parquet"))
+
+    def score(text):
+        return machine.score(sorted(toxicity.rows_of(toxicity.words_in(text or ""), machine.table, {})))
+
+    assert keys(kept.collect()) == keys([r for r in docs.collect() if score(r.text) < 0.5])
+
+
+def test_drop_near_copies(spark, docs):
+    kept = corpus_pipeline.drop_near_copies(spark, docs, SF_DIR)
+    assert kept.columns == docs.columns
+    rows = docs.collect()
+    prints = {r.text: plain_fingerprint(r.text) for r in rows}
+    roots = plain_components(set(prints.values()), 2)
+    least = {}
+    for r in rows:
+        if r.doc_id is not None:
+            root = roots[prints[r.text]]
+            least[root] = min(least.get(root, r.doc_id), r.doc_id)
+    expected = {r.doc_id: r for r in rows if r.doc_id is None or least[roots[prints[r.text]]] == r.doc_id}
+    assert keys(kept.collect()) == keys(expected.values())
+
+
+def test_drop_contaminated(spark, docs):
+    kept = corpus_pipeline.drop_contaminated(spark, docs, SF_DIR)
+    assert kept.columns == docs.columns
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()]
+    expected = [r for r in docs.collect() if not plain_hits(r.text, items)[1]]
+    assert 0 < len(expected) < docs.count()
+    assert keys(kept.collect()) == keys(expected)
+
+
+def test_mask_personal_data(spark, docs):
+    masked = corpus_pipeline.mask_personal_data(spark, docs, SF_DIR)
+    assert masked.columns == docs.columns
+    expected = sorted(repr((r.doc_id, pii.redact(r.text))) for r in docs.collect())
+    assert keys(masked.collect()) == expected
+
+
+def test_whole_run(spark):
+    packed = corpus_pipeline.run(spark, SF_DIR)
+    rows = packed.collect()
+    assert rows and all(r.bin_start + r.n_chars <= 8192 for r in rows)
+    given = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    assert len({r.doc_id for r in rows}) <= given.count()
+    assert [name for name, _ in corpus_pipeline.STAGES][1] == "simhash near-dedup" and len(corpus_pipeline.STAGES) == 5
+
+
+def test_no_documents(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, SF_DIR)
+        assert docs.count() == 0
+
+
+def test_all_ten_are_registered():
+    numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES)
+    assert numbers == list(range(1, 11)) and set(ORACLES) <= set(QUERIES)
+
+
+def test_the_rest_works_without_the_subpackage():
+    code = (
+        "import sys\n"
+        "class Gone:\n"
+        "    def find_spec(self, name, *_):\n"
+        "        if name in ('keyedload.llm', 'corpus_pipeline'):\n"
+        "            raise ModuleNotFoundError(name=name)\n"
+        "sys.meta_path.insert(0, Gone())\n"
+        "import __spark_entry__ as e\n"
+        "names = set(e.queries())\n"
+        "assert 'keyed_load' in names and not any(n.startswith('op') or n == 'pipeline' for n in names)\n"
+    )
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=ROOT, env={**os.environ, "PYTHONPATH": ROOT})
+    importlib.import_module("__spark_entry__")

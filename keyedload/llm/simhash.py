@@ -274,7 +274,8 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **o
     kept = staged(kept, "kept")
 
     def rows(which: str) -> DataFrame:
-        return named.join(ids := kept.where(which), named[doc_id] == ids["_kept"], "left_semi")
+        # The ids of a partition are a small hash table; the texts meet them without a sort, in one plan at every size.
+        return named.join(ids := kept.where(which).hint("shuffle_hash"), named[doc_id] == ids["_kept"], "left_semi")
 
     others = F.struct(*[col(c) for c in docs.columns if c != doc_id])
     first = rows("_n is not null").groupBy(col(doc_id)).agg(F.min_by(others, text_of(text)).alias("_row"))

@@ -103,14 +103,14 @@ def strategies(store, table):
 def test_strategy_choice(spark, store, table):
     unique = spark.createDataFrame([(1, 1, 1, "a", 1.0), (1, 2, 2, "b", None)], SCHEMA)
     bulk_load(store, unique, "test", "m", load_epoch=1)
-    assert strategies(store, table) == ["direct", "latest", "tied", "cells"]
+    assert strategies(store, table) == ["direct", "latest", "tied", "newest", "cells"]
     bulk_load(store, unique.limit(0), "test", "m", load_epoch=1)
-    assert strategies(store, table) == ["direct", "latest", "tied", "cells"]
+    assert strategies(store, table) == ["direct", "latest", "tied", "newest", "cells"]
     bulk_load(store, unique, "test", "m", load_epoch=2)
-    assert strategies(store, table) == ["latest", "cells", "overlay"]
+    assert strategies(store, table) == ["latest", "newest", "cells", "overlay"]
     # The same write timestamp again: ties are possible, but not with the first load.
     bulk_load(store, unique, "test", "m", load_epoch=2)
-    assert strategies(store, table) == ["cells", "overlay"]
+    assert strategies(store, table) == ["newest", "cells", "overlay"]
     # Without counted keys there is neither a base nor a bound.
     bulk_load(store, unique, "test", "m", conf=LoadConf(count_keys=False), load_epoch=1)
     facts = facts_of(table, [replace(r, keys=None) for r in store.published(table) if r.rows])
@@ -128,7 +128,7 @@ def test_small_newer_loads_overlay_a_base(spark, store, table):
     bulk_load(store, changes, "test", "m", load_epoch=2)
     expiring = spark.createDataFrame([(7, 1, -7, "soon gone", 2.0)], SCHEMA)
     bulk_load(store, expiring, "test", "m", conf=LoadConf(ttl=10), load_epoch=3)
-    assert strategies(store, table) == ["overlay", "cells"]
+    assert strategies(store, table) == ["overlay", "newest", "cells"]
     for as_of, n in ((12, 101), (13, 100)):
         got = {s: sorted(tuple(r) for r in read_table(store, "test", "m", as_of, s).collect()) for s in ("overlay", "cells")}
         assert got["overlay"] == got["cells"] and len(got["cells"]) == n

@@ -7,6 +7,8 @@ ones; every task then sorts its own rows by bucket, token and key.
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,7 +22,7 @@ SLICE = "_slice"
 
 def with_placement(df: DataFrame, spec: TableSpec, conf: LoadConf) -> DataFrame:
     """Add ``_token`` (not for ordered keys), ``_bucket`` and ``_slice``."""
-    k = conf.writers_per_bucket
+    k = conf.writers_per_bucket or 1
     if conf.partitioner == "ordered":
         types = [spec.type_of(c) for c in spec.partition_key]
         bucket = split_range([col(c) for c in spec.partition_key], conf.split_points, types)
@@ -31,7 +33,9 @@ def with_placement(df: DataFrame, spec: TableSpec, conf: LoadConf) -> DataFrame:
     df = df.withColumn(TOKEN, token(conf.partitioner, spec.partition_key, instants, floats))
     if conf.ring is not None:
         return df.withColumn(BUCKET, ring_range(F.col(TOKEN), conf.ring)).withColumn(SLICE, _key_slice(spec, k))
-    # Slices of an even bucket are token ranges too, so files of one bucket overlap less.
+    # Slices of an even bucket are token ranges too, so files of one bucket overlap less. Adaptive execution joins small ones.
+    if conf.writers_per_bucket is None:
+        k = -(-int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // conf.buckets)
     df = df.withColumn(SLICE, even_range(conf.partitioner, F.col(TOKEN), conf.buckets * k))
     return df.withColumn(BUCKET, F.expr(f"cast({SLICE} div {k} as int)"))
 
@@ -57,6 +61,8 @@ def sort_order(spec: TableSpec, conf: LoadConf) -> list[Column]:
 def clustered(df: DataFrame, spec: TableSpec, conf: LoadConf) -> DataFrame:
     """Move every row to a writer of its bucket and sort it there."""
     placed = with_placement(df, spec, conf)
+    if df.sparkSession.conf.get("spark.sql.adaptive.enabled") != "true":
+        warnings.warn("adaptive execution is off: one task writes each slice, however large a key makes it", stacklevel=3)
     return placed.hint("rebalance", F.col(SLICE)).sortWithinPartitions(*sort_order(spec, conf)).drop(SLICE)
 
 

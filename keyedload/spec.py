@@ -141,7 +141,8 @@ class LoadConf:
     ``partitioner`` chooses the token: ``hash`` (64-bit hash of the partition key), ``md5`` (top
     60 bits of its digest) or ``ordered`` (the key itself, cut at ``split_points``). Tokens fall
     into ``buckets`` equal ranges, or into the ranges that start at the ``ring`` bounds.
-    ``writers_per_bucket`` cuts every bucket further, so that several tasks write it.
+    ``writers_per_bucket`` cuts every bucket further, so that several tasks write it; left out, equal ranges are cut
+    into about as many slices as there are shuffle partitions, and others are not cut.
 
     ``count_keys`` counts the distinct keys of the written load (a scan of the key columns only);
     a load known to be free of duplicates is later read without a shuffle.
@@ -153,7 +154,7 @@ class LoadConf:
     buckets: int = 16
     ring: tuple[int, ...] | None = None
     split_points: tuple = field(default=())
-    writers_per_bucket: int = 1
+    writers_per_bucket: int | None = None
     ttl: int | str | None = None
     timestamp: int | str | None = None
     on_bad_value: str = "fail"
@@ -166,7 +167,7 @@ class LoadConf:
             raise ValueError(f"unknown partitioner {self.partitioner!r}, expected one of {', '.join(PARTITIONERS)}")
         if self.on_bad_value not in BAD_VALUE_MODES:
             raise ValueError(f"on_bad_value must be one of {', '.join(BAD_VALUE_MODES)}")
-        if self.buckets < 1 or self.writers_per_bucket < 1:
+        if self.buckets < 1 or (self.writers_per_bucket is not None and self.writers_per_bucket < 1):
             raise ValueError("buckets and writers_per_bucket must be at least 1")
         if self.ring is not None:
             ring = tuple(int(b) for b in self.ring)

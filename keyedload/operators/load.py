@@ -137,9 +137,10 @@ def count_keys(store: KeyedStore, spec: TableSpec, load_id: str) -> tuple[int, i
 def _write_rejects(store: KeyedStore, spec: TableSpec, bad: DataFrame | None, load_id: str) -> int:
     if bad is None:
         return 0
-    path = store.rejects_path(spec, load_id)
-    bad.write.mode("overwrite").parquet(path)
-    return store.spark.read.schema(bad.schema).parquet(path).count()
+    seen = Observation()
+    counted = bad.observe(seen, F.count(F.lit(1)).alias("rows"))
+    counted.write.mode("overwrite").parquet(store.rejects_path(spec, load_id))
+    return seen.get["rows"]
 
 
 def read_rejects(store: KeyedStore, keyspace: str, table: str, load_id: str) -> DataFrame:

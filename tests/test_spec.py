@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import types as T
 
-from keyedload import KeyedStore, LoadConf, LoadError, TableNotFound, TableSpec, bulk_load, read_table
+from keyedload import KeyedStore, LoadConf, LoadError, TableNotFound, TableSpec, bulk_load, read_table, scratch_root
 from keyedload.spec import UNSET_INT
 
 
@@ -122,3 +122,41 @@ def test_empty_table_reads_as_no_rows(store, notes):
     df = read_table(store, "test", "notes")
     assert df.columns == notes.columns
     assert df.count() == 0
+
+
+@pytest.mark.parametrize("point", [float("inf"), float("-inf"), float("nan")])
+def test_split_points_are_finite(point):
+    with pytest.raises(ValueError, match="finite"):
+        LoadConf("ordered", split_points=(point,))
+
+
+def test_names_that_differ_only_in_case_are_refused():
+    with pytest.raises(ValueError, match="case"):
+        TableSpec("k", "t", "id int, Id int", ("id",))
+    with pytest.raises(ValueError):
+        TableSpec("k", "t", "s struct<m:map<int,int>>, v int", ("s",))
+
+
+class _Session:
+    """What a scratch folder asks of a session."""
+
+    def __init__(self, master, conf=None, checkpoint=None):
+        self.sparkContext = self
+        self.master, self.applicationId, self.set, self.checkpoint = master, f"app-{master}", conf or {}, checkpoint
+        self.conf = self
+
+    def get(self, key, default=None):
+        return self.set.get(key, default)
+
+    def getCheckpointDir(self):
+        return self.checkpoint
+
+
+def test_scratch_folders():
+    with pytest.raises(LoadError, match="spark.checkpoint.dir"):
+        scratch_root(_Session("spark://host:7077"))
+    shared = scratch_root(_Session("yarn", {"spark.checkpoint.dir": "hdfs:///c/"}))
+    assert shared.startswith("hdfs:///c/keyedload-app-yarn/")
+    assert scratch_root(_Session("yarn", checkpoint="hdfs:///d")).startswith("hdfs:///d/keyedload-app-yarn/")
+    a, b = (scratch_root(_Session("local[2]")) for _ in range(2))
+    assert a != b and a.rsplit("/", 1)[0] == b.rsplit("/", 1)[0]

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from keyedload import LoadConf, TableSpec, read_table
+from keyedload import LoadConf, LoadError, TableSpec, bulk_load, read_table
 from keyedload.streaming import stream_load, throttled_files
 
 
@@ -54,3 +54,26 @@ def test_replayed_batch_is_loaded_once(spark, store, numbers, tmp_path):
         run(store, throttled_files(spark, path, spec.schema, conf), str(tmp_path / attempt), conf, stream_id="s")
     assert [r.load_id for r in store.published(spec)] == ["s-0"]
     assert read_table(store, "test", "numbers").count() == 400
+
+
+def test_a_single_load_refuses_a_cap(spark, store, numbers):
+    spec, path = numbers
+    df = spark.read.parquet(path)
+    with pytest.raises(LoadError, match="cannot be capped"):
+        bulk_load(store, df, "test", "numbers", conf=LoadConf(bytes_per_trigger=1))
+    spark.conf.set("spark.keyedload.bytesPerTrigger", "1")
+    try:
+        with pytest.raises(LoadError, match="cannot be capped"):
+            bulk_load(store, df, "test", "numbers")
+    finally:
+        spark.conf.unset("spark.keyedload.bytesPerTrigger")
+    assert store.log(spec).count() == 0
+
+
+def test_a_published_load_is_passed_over_on_demand(spark, store, numbers):
+    spec, path = numbers
+    df = spark.read.parquet(path)
+    assert bulk_load(store, df, "test", "numbers", load_id="one").rows == 400
+    assert bulk_load(store, df, "test", "numbers", load_id="one", if_published="skip") is None
+    with pytest.raises(LoadError):
+        bulk_load(store, df, "test", "numbers", load_id="one")

@@ -230,7 +230,8 @@ def compared_with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
 
     keys = rows.select("id", "h", "n").repartitionByRange(ranges, *order).sortWithinPartitions(*order)
     starts = keys.mapInArrow(first, f"id {kind}, h bigint, n bigint").orderBy(*order).collect()
-    schema = f"id {kind}, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+    schema = f"id {kind}, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string"
+    schema += ", near_edited double, near_next double"
     if not starts:
         return spark.createDataFrame([], schema).withColumnRenamed("id", doc_id)
 

@@ -104,11 +104,14 @@ _INVISIBLE = "\u00AD\u200B\u200C\u200D\u2060\uFEFF"
 _FOREIGN = re.compile(f"[{_INVISIBLE}\u0370-\u052F\u0660-\u0669\u06F0-\u06F9\u0966-\u096F\u2460-\u24FF\uFF01-\uFF5E\U0001d400-\U0001d7ff]")
 _OPEN, _CLOSE = r"\s{0,3}[(\[{<]\s{0,3}", r"\s{0,3}[)\]}>]\s{0,3}"
 _DOT = rf"(?:{_OPEN}(?:{_DOT_WORDS}|\.){_CLOSE}|\s{{1,3}}(?:{_DOT_WORDS})\s{{1,3}})"
-_DIGIT = rf"(?:{'|'.join(sorted(_SPELLED, key=len, reverse=True))}|[0-9])"
+_WORD_DIGIT = "|".join(sorted(_SPELLED, key=len, reverse=True))
+_DIGIT = rf"(?:{_WORD_DIGIT}|[0-9])"
 _RUN = re.compile(
     rf"(?<![^\W_])(?:(?:{_PLUS_WORDS})[\x20-]|\+\x20?)?{_DIGIT}(?:(?:[\x20-]|\s{{0,3}}\.\s{{0,3}}|{_DOT}){_DIGIT}){{3,}}+(?![^\W_])", re.I
 )
-_RUN_PARTS = re.compile(rf"(?P<plus>{_PLUS_WORDS}|\+)|(?P<word>{'|'.join(sorted(_SPELLED, key=len, reverse=True))})|(?P<digit>[0-9])|(?P<dot>{_DOT_WORDS}|\.)", re.I)
+_RUN_PARTS = re.compile(
+    rf"(?P<plus>{_PLUS_WORDS}|\+)|(?P<word>{_WORD_DIGIT})|(?P<digit>[0-9])|(?P<dot>{_DOT_WORDS}|\.)", re.I
+)
 _AT_MARK = re.compile(rf"(?<=[A-Za-z0-9]){_OPEN}(?:{_AT_WORDS}|@){_CLOSE}(?=[A-Za-z0-9])", re.I)
 _AT_SPACED = re.compile(rf"(?<=[A-Za-z0-9])\s{{1,3}}(?:{_AT_WORDS})\s{{1,3}}(?=[A-Za-z0-9-]{{1,63}}{_DOT}[A-Za-z])", re.I)
 _DOT_MARK = re.compile(rf"(?<=[A-Za-z0-9]){_DOT}(?=[A-Za-z0-9])", re.I)

@@ -109,9 +109,8 @@ def postings(texts: DataFrame, trigrams: list[str]) -> DataFrame:
 
 def candidates(index: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     """``key, kinds``: for each text, the rules with an alternative all of whose trigrams it has postings for."""
-    asked = [
-        (rule.kind, i, g, len(grams)) for rule in rules for i, grams in enumerate(trigram_query(rule.pattern) or []) for g in sorted(grams)
-    ]
+    alternatives = [(rule.kind, i, grams) for rule in rules for i, grams in enumerate(trigram_query(rule.pattern) or [])]
+    asked = [(kind, i, g, len(grams)) for kind, i, grams in alternatives for g in sorted(grams)]
     spark = index.sparkSession
     # As many rows as the rules have trigrams: a fixed, small table.
     query = spark.createDataFrame(asked, "kind string, alternative int, trigram string, size int")
@@ -131,7 +130,8 @@ def spans_of(rule: Rule, text: Column) -> Column:
         return F.length(part) >= rule.least
 
     # Odd pieces are matches. One pass adds up lengths and keeps the spans.
-    empty = F.struct(F.lit(0).alias("at"), F.lit(False).alias("is_match"), F.array().cast("array<struct<start:int,end:int>>").alias("found"))
+    none = F.array().cast("array<struct<start:int,end:int>>")
+    empty = F.struct(F.lit(0).alias("at"), F.lit(False).alias("is_match"), none.alias("found"))
 
     def step(state: Column, piece: Column) -> Column:
         end = state["at"] + F.length(piece)

@@ -278,7 +278,8 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **o
         return named.join(ids := kept.where(which).hint("shuffle_hash"), named[doc_id] == ids["_kept"], "left_semi")
 
     others = F.struct(*[col(c) for c in docs.columns if c != doc_id])
-    first = rows("_n is not null").groupBy(col(doc_id)).agg(F.min_by(others, text_of(text)).alias("_row"))
+    # An exchange of its own: a union under the join may claim a partitioning by id that its parts do not share.
+    first = rows("_n is not null").repartition(F.xxhash64(col(doc_id))).groupBy(col(doc_id)).agg(F.min_by(others, text_of(text)).alias("_row"))
     first = first.select(*[col(c) if c == doc_id else F.col("_row")[c].alias(c) for c in docs.columns])
     parts = [rows("_n is null"), first, docs.where(col(doc_id).isNull())]
     return reduce(DataFrame.unionByName, [p.select(*[col(c) for c in docs.columns]) for p in parts])

@@ -196,11 +196,9 @@ def _foreign(text: str) -> bool:
     return "\u00ad" in text
 
 
-def _spelled_in_a_row(words: list[bytes]) -> bool:
-    if _SPELLED_WORDS.isdisjoint(words):
-        return False
-    at = [i for i, w in enumerate(words) if w in _SPELLED_WORDS]
-    return any(a + 2 == c for a, c in zip(at, at[2:]))
+def _may_spell(text: str, words: list[bytes]) -> bool:
+    """Whether a run with two spelled digits may occur. In ASCII each of them is a word by itself; the pattern sees to the rest."""
+    return not text.isascii() or sum(map(_SPELLED_WORDS.__contains__, words)) > 1
 
 
 def normalised(text: str) -> Traced | None:
@@ -208,7 +206,7 @@ def normalised(text: str) -> Traced | None:
     t = Traced(text) if _foreign(text) else None
     t = t and _letters(t)
     words = words_of(t.text if t else text)
-    if _spelled_in_a_row(words):
+    if _may_spell(t.text if t else text, words):
         t = _digits(t or Traced(text))
     if not _DOT_BYTES.isdisjoint(words) or _BRACKETED.search(t.text if t else text):
         t = _marks(t or Traced(text))

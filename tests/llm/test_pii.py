@@ -53,6 +53,24 @@ def test_disguises_are_found_where_they_stand(text, kind, found):
     assert (kind, text.index(found), text.index(found) + len(found), False) in pii.spans_of(text)
 
 
+@pytest.mark.parametrize(
+    "text, kind, found",
+    [
+        ("ask eight dot eight dot eight dot eight now", "ip", "eight dot eight dot eight dot eight"),
+        ("at one dot two dot three dot four.", "ip", "one dot two dot three dot four"),
+        ("host 1 dot two dot 3 dot four ok", "ip", "1 dot two dot 3 dot four"),
+        ("call plus four 9 one 5 one 2 three 4 five 6 seven now", "phone", "plus four 9 one 5 one 2 three 4 five 6 seven"),
+        ("card four 1 1 1 1 1 1 1 1 1 1 1 1 1 1 one.", "card", "four 1 1 1 1 1 1 1 1 1 1 1 1 1 1 one"),
+        ("« FÜNF dot 2 dot fünf dot 4 »", "ip", "FÜNF dot 2 dot fünf dot 4"),
+        ("“eight dot eight dot eight dot eight”", "ip", "eight dot eight dot eight dot eight"),
+    ],
+)
+def test_spelled_digits_need_not_stand_in_a_row(text, kind, found):
+    at = text.index(found)
+    assert (kind, at, at + len(found), False) in pii.spans_of(text)
+    assert pii.redact(text) == f"{text[:at]}[{kind.upper()}]{text[at + len(found):]}"
+
+
 @pytest.mark.parametrize("text", ["meet me at noon", "one two three go", "un deux trois", "point (at) 5", "Привет мир", ""])
 def test_clean_texts_have_no_spans(text):
     assert pii.spans_of(text) == [] and pii.redact(text) == text

@@ -47,9 +47,9 @@ BASE_RULES = (
 # Further well-known forms of credentials.
 MORE_RULES = (
     Rule("private_key", r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----", 20),
-    Rule("code_host_token", r"gh[pousr]_[A-Za-z0-9]{36,255}", 40),
-    Rule("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,250}", 15),
-    Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,4000}\.eyJ[A-Za-z0-9_-]{8,4000}\.[A-Za-z0-9_-]{8,4000}", 30),
+    Rule("code_host_token", r"gh[pousr]_[A-Za-z0-9]{36,}+", 40),
+    Rule("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,}+", 15),
+    Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+", 30),
 )
 RULES = BASE_RULES + MORE_RULES
 

@@ -56,6 +56,15 @@ def test_further_rules_add_spans(spark):
     assert [s.kind for s in spans] == ["code_host_token", "hex", "chat_token", "private_key"]
 
 
+def test_tokens_of_any_length(spark):
+    long = 300_000
+    web = f"eyJ{'h' * long}.eyJ{'p' * long}.{'s' * long}"
+    tokens = {"web_token": web, "code_host_token": "ghp_" + "G" * long, "chat_token": "xoxb-" + "X-" * long}
+    docs = spark.createDataFrame([(k, f"({t})") for k, t in tokens.items()], "doc_id string, text string")
+    for r in secret_scan.find(docs)[0].collect():
+        assert [tuple(s) for s in r.spans] == [(r.doc_id, 1, 1 + len(tokens[r.doc_id]))]
+
+
 def test_no_documents(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string")
     assert secret_scan.find(docs)[0].count() == 0

@@ -1,4 +1,4 @@
-"""An interpolated modified Kneser-Ney bigram model: counted in Spark, kept in sorted arrays, mapped by the workers.
+"""An interpolated modified Kneser-Ney model of order two or three: counted in Spark, kept in sorted arrays, mapped by the workers.
 
 Words become numbers by their place among the sorted hashes of all training words; a bigram is one 64-bit number, context
 above word. Tasks count the bigrams of their texts and send them, sorted and compressed, to shards by context; contexts
@@ -7,6 +7,11 @@ and sends on what the lower order needs: how many words follow each context once
 contexts each word comes. Scoring reads texts where they are: a worker maps the arrays and looks up each batch's
 distinct bigrams in their order. No array is held by the driver, none is cut off, and all grow with the corpus:
 about 12 bytes for each distinct bigram and 32 for each word.
+
+Order three counts trigrams first, in shards by their two context words; contexts of two frequent words are spread over all
+shards, and their sums kept apart. Such a shard also keeps each context's sums, and sends on, in place of the bigrams of the
+texts, after how many words each bigram comes (how often, for one that begins a text). That takes about 12 bytes more for each
+distinct trigram and 24 for each distinct pair of context words.
 """
 
 from __future__ import annotations
@@ -34,8 +39,8 @@ FILE_WORDS = 1 << 20
 BLOCK_WORDS = 1 << 20
 SCORED_ROWS = 2048
 
-#: No word has white space, so these stand for the ends of a text.
-BEGIN, END = (np.uint64(xxhash.xxh64_intdigest(x)) for x in (b"\t", b"\n"))
+#: No word has white space, so these stand for the ends of a text, and for what is before its begin.
+BEGIN, END, BEFORE = (np.uint64(xxhash.xxh64_intdigest(x)) for x in (b"\t", b"\n", b"\r"))
 
 
 def word_lists(text: str) -> Iterator[list[bytes]]:
@@ -54,24 +59,29 @@ def hashes(words: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join([h(w) for w in words]), ">u8").astype(np.uint64)
 
 
-def pairs(texts: list[str], at_once: int = TOKENS_AT_ONCE) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Contexts, tokens and numbers of the texts they are in, a bounded number at a time. The end of a text is a token."""
-    contexts, tokens, numbers, n = [], [], [], 0
+def grams(texts: list[str], order: int, at_once: int = TOKENS_AT_ONCE) -> Iterator[tuple[np.ndarray, ...]]:
+    """Context words, the farthest first, tokens and numbers of the texts they are in, a bounded number at a time. The end of a
+    text is a token."""
+    held, n = [], 0
     end = np.array([END])
     for number, text in enumerate(texts):
-        before = BEGIN
+        before = np.array([BEFORE] * (order - 2) + [BEGIN])
         for found in chain(map(hashes, word_lists(text)), [end]):
             if not len(found):
                 continue
-            contexts.append(np.concatenate([[before], found[:-1]]))
-            tokens.append(found)
-            numbers.append(np.full(len(found), number))
-            before, n = found[-1], n + len(found)
+            line = np.concatenate([before, found])
+            held.append((*(line[i : i + len(found)] for i in range(order)), np.full(len(found), number)))
+            before, n = line[len(found) :], n + len(found)
             if n >= at_once:
-                yield np.concatenate(contexts), np.concatenate(tokens), np.concatenate(numbers)
-                contexts, tokens, numbers, n = [], [], [], 0
+                yield tuple(map(np.concatenate, zip(*held)))
+                held, n = [], 0
     if n:
-        yield np.concatenate(contexts), np.concatenate(tokens), np.concatenate(numbers)
+        yield tuple(map(np.concatenate, zip(*held)))
+
+
+def pairs(texts: list[str], at_once: int = TOKENS_AT_ONCE) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Contexts, tokens and numbers of the texts they are in."""
+    return grams(texts, 2, at_once)
 
 
 def _mix(values: np.ndarray, among: int) -> np.ndarray:
@@ -103,6 +113,13 @@ class Words:
             counts[start:end][same] = mapped(f"{self.root}/words/{i}.counts", np.int64)[at[same]]
         return numbers, counts
 
+    def numbered(self, values: np.ndarray) -> np.ndarray:
+        """Numbers of hashes in any order; the begin of a text and what is before it come behind all words."""
+        distinct, back = np.unique(values, return_inverse=True)
+        numbers, _ = self.find(distinct)
+        numbers[distinct == BEGIN], numbers[distinct == BEFORE] = self.distinct, self.distinct + 1
+        return numbers[back]
+
 
 def _runs(ascending: np.ndarray) -> Iterator[tuple[int, int, int]]:
     """Each value of an ascending array, with where it begins and ends."""
@@ -179,23 +196,28 @@ class Model:
     lower: Discounts
     types: int  # distinct bigrams
     lower_left: float  # what the lower discounts leave to all words alike
+    order: int = 2
+    top: Discounts | None = None  # of trigrams
+    hot_numbers: np.ndarray | None = None  # of the words in ``hot``
 
-    def lookup(self, contexts: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """log10 probability of each token after its context, and the token's training count."""
+    def lookup(self, *grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """log10 probability of each token after its context words, the farthest first, and the token's training count."""
+        contexts, tokens = grams[-2:]
         w = self.words
         values, at = np.unique(np.concatenate([contexts, tokens]), return_inverse=True)
         numbers, counts = w.find(values)
         c, t = at[: len(contexts)], at[len(contexts) :]
         begin = values == BEGIN
         numbers[begin], counts[begin] = w.distinct, w.texts
-        stats = _stats(w, numbers)  # follow once, twice, more; comes after
+        stats = _stats(w, numbers, self.order)  # follow once, twice, more; of order three, together; comes after
         uniform = 1.0 / (w.distinct + 1)
-        after = stats[3]
+        after = stats[-1]
         lower = np.full(len(values), uniform)
         if self.types:
             lower = np.maximum(after - self.lower.from_(after), 0) / self.types + self.lower_left * uniform
-        seen = np.maximum(counts, 1)
-        left = np.where(counts > 0, (self.upper.off @ stats[:3].astype(np.float64)) / seen, 1.0)
+        of = counts if self.order == 2 else stats[3]
+        seen = np.maximum(of, 1)
+        left = np.where(of > 0, (self.upper.off @ stats[:3].astype(np.float64)) / seen, 1.0)
         both = (numbers[c] >= 0) & (numbers[t] >= 0)
         found = np.zeros(len(c), np.int64)
         if both.any():
@@ -204,8 +226,35 @@ class Model:
             shard = _shard(contexts[both][first], distinct, numbers[c[both]][first], self.hot, self.shards)
             found[both] = self._counts(distinct, shard)[back]
         p = np.maximum(found - self.upper.from_(found), 0) / seen[c] + left[c] * lower[t]
+        if self.order == 3:
+            p = self._third(w.numbered(grams[0]), numbers[c], numbers[t], p)
         return np.log10(p), counts[t]
 
+    def _third(self, u: np.ndarray, v: np.ndarray, words: np.ndarray, lower: np.ndarray) -> np.ndarray:
+        """Probabilities of words after two others; ``lower`` where the two were never seen or a text begins."""
+        asked = np.flatnonzero((u >= 0) & (v >= 0) & (u <= self.words.distinct))
+        keys, words = _keys(u[asked], v[asked]), words[asked]
+        hot = np.isin(u[asked], self.hot_numbers) & np.isin(v[asked], self.hot_numbers)
+        found, sums = np.zeros(len(asked), np.int64), np.zeros((4, len(asked)), np.int64)
+        root = f"{self.words.root}/trigrams"
+        for s, at, place in _found(f"{root}/%d.contexts", keys, _shard3(keys, words, hot, self.shards)):
+            sums[:, at] = mapped(f"{root}/{s}.sums", np.uint32).reshape(4, -1)[:, place]
+            known, n = mapped(f"{root}/{s}.keys", np.uint64), mapped(f"{root}/{s}.counts", np.uint32)
+            word = words[at] >= 0
+            at, own = at[word], _keys(place[word], words[at[word]])
+            i = np.minimum(np.searchsorted(known, own), len(known) - 1)
+            same = known[i] == own
+            found[at[same]] = n[i[same]]
+        spread = np.flatnonzero(hot)
+        sums[:, spread] = 0
+        for s, at, place in _found(f"{root}/%d.spread", keys[spread], _mix(keys[spread], self.shards).astype(np.int64)):
+            sums[:, spread[at]] = mapped(f"{root}/{s}.spread_sums", np.uint64).reshape(4, -1)[:, place]
+        total = np.maximum(sums[3], 1)
+        left = np.where(sums[3] > 0, (self.top.off @ sums[:3].astype(np.float64)) / total, 1.0)
+        out = lower.copy()
+        out[asked] = np.maximum(found - self.top.from_(found), 0) / total + left * lower[asked]
+        return out
+
     def _counts(self, keys: np.ndarray, shard: np.ndarray) -> np.ndarray:
         out = np.zeros(len(keys), np.int64)
         order = np.lexsort((keys, shard))
@@ -228,23 +277,48 @@ def _shard(hashed: np.ndarray, keys: np.ndarray, contexts: np.ndarray, hot: np.n
     return np.where(np.isin(hashed, hot), _mix(keys, shards), _mix(contexts.astype(np.uint64), shards)).astype(np.int64)
 
 
-def _stats(w: Words, numbers: np.ndarray) -> np.ndarray:
-    """For numbers in any order (-1: zeros): how many words follow once, twice, more often; how many contexts it comes after."""
-    out = np.zeros((4, len(numbers)), np.int64)
+def _shard3(keys: np.ndarray, words: np.ndarray, hot: np.ndarray, shards: int) -> np.ndarray:
+    """By both context words; a hot context's trigrams by themselves."""
+    spread = keys ^ (words.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+    return np.where(hot, _mix(spread, shards), _mix(keys, shards)).astype(np.int64)
+
+
+def _found(files: str, keys: np.ndarray, shard: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """By shard: which keys the file of the shard has, and where in it."""
+    order = np.lexsort((keys, shard))
+    for s, start, end in _runs(shard[order]):
+        known, at = mapped(files % s, np.uint64), order[start:end]
+        if len(known):
+            place = np.minimum(np.searchsorted(known, keys[at]), len(known) - 1)
+            same = known[place] == keys[at]
+            yield s, at[same], place[same]
+
+
+def _stats_kind(order: int) -> type:
+    # Sums of a context's counts may pass 32 bits.
+    return np.uint32 if order == 2 else np.uint64
+
+
+def _stats(w: Words, numbers: np.ndarray, order_: int) -> np.ndarray:
+    """For numbers in any order (-1: zeros): how many words follow once, twice, more often; of order three, the sum of their
+    counts; how many contexts it comes after."""
+    out = np.zeros((order_ + 2, len(numbers)), np.int64)
     order = np.argsort(numbers, kind="stable")
     order = order[np.searchsorted(numbers[order], 0) :]
     for block, start, end in _runs(numbers[order] // BLOCK_WORDS):
-        kept = mapped(f"{w.root}/stats/{block}", np.uint32).reshape(4, -1)
+        kept = mapped(f"{w.root}/stats/{block}", _stats_kind(order_)).reshape(order_ + 2, -1)
         here = order[start:end]
         out[:, here] = kept[:, numbers[here] - block * BLOCK_WORDS]
     return out
 
 
-def train(texts: DataFrame, text: str = "text", shard_tokens: int = SHARD_TOKENS) -> Model:
+def train(texts: DataFrame, text: str = "text", shard_tokens: int = SHARD_TOKENS, order: int = 2) -> Model:
     """A model of all rows of ``texts``; null texts are empty. Without rows every text has probability one.
 
-    A text's begin is a context only, its end a token.
+    A text's begin is a context only, its end a token. ``order`` is two or three words.
     """
+    if order not in (2, 3):
+        raise ValueError("the order is 2 or 3")
     root = shared_dir(texts.sparkSession, "model")
     rows = texts.select(text_of(text).alias("t"))
     words, counts = count_words(rows, root)
@@ -254,6 +328,10 @@ def train(texts: DataFrame, text: str = "text", shard_tokens: int = SHARD_TOKENS
     hot = [r.h for r in counts.where(F.col("n") > most).select("h").collect()]
     hot = np.array([*hot, *([BEGIN.view(np.int64)] if words.texts > most else [])], np.int64).view(np.uint64)
 
+    hot_numbers = words.numbered(hot)
+    if BEGIN in hot:
+        hot_numbers = np.append(hot_numbers, words.distinct + 1)
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for contexts, tokens, _ in pairs(b.column(0).to_pylist()):
@@ -263,11 +341,8 @@ def train(texts: DataFrame, text: str = "text", shard_tokens: int = SHARD_TOKENS
                 c = numbers[at[: len(contexts)]]
                 keys, first, n = np.unique(_keys(c, numbers[at[len(contexts) :]]), return_index=True, return_counts=True)
                 shard = _shard(contexts[first], keys, c[first], hot, shards)
-                order = np.argsort(shard, kind="stable")
-                out = [
-                    (s, squeeze(keys[order[i:j]], True), squeeze(n[order[i:j]].astype(np.uint32)))
-                    for s, i, j in _runs(shard[order])
-                ]
+                by = np.argsort(shard, kind="stable")
+                out = [(s, squeeze(keys[by[i:j]], True), squeeze(n[by[i:j]].astype(np.uint32))) for s, i, j in _runs(shard[by])]
                 yield batch(
                     dict(zip(("shard", "k", "c"), map(list, zip(*out)))), {"shard": pa.int32(), "k": pa.binary(), "c": pa.binary()}
                 )
@@ -281,8 +356,8 @@ def train(texts: DataFrame, text: str = "text", shard_tokens: int = SHARD_TOKENS
         if shard is None:
             return
         keys, n = np.concatenate(keys), np.concatenate(n).astype(np.int64)
-        order = np.argsort(keys, kind="stable")
-        keys, n = keys[order], n[order]
+        by = np.argsort(keys, kind="stable")
+        keys, n = keys[by], n[by]
         starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
         keys, n = keys[starts], np.add.reduceat(n, starts)
         save(f"{root}/bigrams/{shard}.keys", keys)
@@ -290,14 +365,19 @@ def train(texts: DataFrame, text: str = "text", shard_tokens: int = SHARD_TOKENS
         of = np.bincount(np.minimum(n, 5), minlength=6)
         yield _stat_rows([-1], [np.zeros(0, np.int64)], [np.append(of[1:5], len(keys)).astype(np.uint32)])
         contexts, starts = np.unique((keys >> np.uint64(32)).astype(np.int64), return_index=True)
-        follow = np.stack([np.add.reduceat((n == k) if k < 3 else (n >= 3), starts, dtype=np.uint32) for k in (1, 2, 3)])
+        follow = _sums(n, starts)[: order + 1]
         comes, after = np.unique((keys & np.uint64(2**32 - 1)).astype(np.int64), return_counts=True)
         for block, i, j in _runs(contexts // BLOCK_WORDS):
             yield _stat_rows([block], [contexts[i:j]], [follow[:, i:j].astype(np.uint32).reshape(-1)])
         for block, i, j in _runs(comes // BLOCK_WORDS):
             yield _stat_rows([block], [comes[i:j]], [after[i:j].astype(np.uint32)])
 
-    counted = map_batches(rows, count, "shard int, k binary, c binary", 1 << 16).repartitionById(shards, F.col("shard"))
+    top = None
+    if order == 3:
+        counted, top = _train_third(rows, words, hot_numbers, shards)
+    else:
+        counted = map_batches(rows, count, "shard int, k binary, c binary", 1 << 16)
+    counted = counted.repartitionById(shards, F.col("shard"))
     stats = staged(counted.mapInArrow(gather, "block int, i binary, v binary"), "statistics")
     # One row per shard.
     of = sum((unsqueeze(bytes(r.v), np.uint32).astype(np.int64) for r in stats.where("block < 0").collect()), np.zeros(5, np.int64))
@@ -308,13 +388,13 @@ def train(texts: DataFrame, text: str = "text", shard_tokens: int = SHARD_TOKENS
             for block, i, v in zip(*(b.column(k).to_pylist() for k in range(3))):
                 if sums is None:
                     size = min(BLOCK_WORDS, words.distinct + 1 - block * BLOCK_WORDS)
-                    sums = np.zeros((4, size), np.uint32)
+                    sums = np.zeros((order + 2, size), _stats_kind(order))
                 at = unsqueeze(i, np.int64, True) - block * BLOCK_WORDS
                 values = unsqueeze(v, np.uint32).reshape(-1, len(at))
-                sums[slice(0, 3) if len(values) == 3 else slice(3, 4), at] += values
+                sums[slice(0, -1) if len(values) > 1 else slice(-1, None), at] += values
         if sums is not None:
             save(f"{root}/stats/{block}", sums)
-            after = sums[3].astype(np.int64)
+            after = sums[-1].astype(np.int64)
             m = np.bincount(np.minimum(after, 5), minlength=6)
             yield batch({"m": [[*m[1:5].tolist(), int((after >= 3).sum())]]}, {"m": pa.list_(pa.int64())})
 
@@ -325,10 +405,116 @@ def train(texts: DataFrame, text: str = "text", shard_tokens: int = SHARD_TOKENS
         m += np.array(r.m)
     if not words.total:
         for block in range(blocks):
-            save(f"{root}/stats/{block}", np.zeros((4, min(BLOCK_WORDS, words.distinct + 1 - block * BLOCK_WORDS)), np.uint32))
+            save(f"{root}/stats/{block}", np.zeros((order + 2, min(BLOCK_WORDS, words.distinct + 1 - block * BLOCK_WORDS)), _stats_kind(order)))
     lower = Discounts.of(*map(int, m[:4]))
     left = float(np.dot(lower.off, [m[0], m[1], m[4]]) / of[4]) if of[4] else 1.0
-    return Model(words, shards, hot, Discounts.of(*map(int, of[:4])), lower, int(of[4]), left)
+    return Model(words, shards, hot, Discounts.of(*map(int, of[:4])), lower, int(of[4]), left, order, top, hot_numbers)
+
+
+def _sums(n: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Of each context, how many counts are one, two, more; and their sum."""
+    return np.stack([*(np.add.reduceat((n == k) if k < 3 else (n >= 3), starts, dtype=np.int64) for k in (1, 2, 3)), np.add.reduceat(n, starts)])
+
+
+def _firsts(keys: np.ndarray, words: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (words[1:] != words[:-1])]))
+
+
+def _train_third(rows: DataFrame, words: Words, hot: np.ndarray, shards: int) -> tuple[DataFrame, Discounts]:
+    """Writes the arrays of trigrams; ``shard, k, c`` of the bigrams below them, and the discounts.
+
+    A context of both words in ``hot`` may have more tokens than a shard; no other has, as it is no more frequent than each.
+    """
+    root = f"{words.root}/trigrams"
+
+    def is_hot(keys: np.ndarray) -> np.ndarray:
+        return np.isin(keys >> np.uint64(32), hot.astype(np.uint64)) & np.isin(keys & np.uint64(2**32 - 1), hot.astype(np.uint64))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for *triple, _ in grams(b.column(0).to_pylist(), 3):
+                u, v, w = np.split(words.numbered(np.concatenate(triple)), 3)
+                keys, w = _keys(u, v), w.astype(np.uint32)
+                by = np.lexsort((w, keys))
+                keys, w = keys[by], w[by]
+                firsts = _firsts(keys, w)
+                n = np.diff(firsts, append=len(keys)).astype(np.uint32)
+                keys, w = keys[firsts], w[firsts]
+                shard = _shard3(keys, w, is_hot(keys), shards)
+                by = np.argsort(shard, kind="stable")
+                out = [(s, squeeze(keys[by[i:j]], True), squeeze(w[by[i:j]]), squeeze(n[by[i:j]])) for s, i, j in _runs(shard[by])]
+                yield batch(
+                    dict(zip(("shard", "k", "w", "c"), map(list, zip(*out)))),
+                    {"shard": pa.int32(), "k": pa.binary(), "w": pa.binary(), "c": pa.binary()},
+                )
+
+    def sent(kind: int, shard: np.ndarray, keys: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
+        by = np.argsort(shard, kind="stable")
+        out = [(kind, s, squeeze(keys[by[i:j]], True), squeeze(values[..., by[i:j]].reshape(-1))) for s, i, j in _runs(shard[by])]
+        names = {"kind": pa.int32(), "shard": pa.int32(), "k": pa.binary(), "c": pa.binary()}
+        return batch(dict(zip(names, map(list, zip(*out)))), names)
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, held = None, []
+        for b in batches:
+            for shard, k, w, c in zip(*(b.column(i).to_pylist() for i in range(4))):
+                held.append((unsqueeze(k, np.uint64, True), unsqueeze(w, np.uint32), unsqueeze(c, np.uint32)))
+        if shard is None:
+            return
+        keys, w, n = (np.concatenate(x) for x in zip(*held))
+        held.clear()
+        by = np.lexsort((w, keys))
+        keys, w, n = keys[by], w[by], n[by].astype(np.int64)
+        firsts = _firsts(keys, w)
+        keys, w, n = keys[firsts], w[firsts], np.add.reduceat(n, firsts)
+        begins = (keys >> np.uint64(32)) > np.uint64(words.distinct)
+        # A bigram counts once for each word before it; at the begin of a text there is none, and it counts as often as it comes.
+        pair = _keys(keys & np.uint64(2**32 - 1), w)
+        below, back = np.unique(pair, return_inverse=True)
+        comes = np.zeros(len(below), np.int64)
+        np.add.at(comes, back, np.where(begins, n, 1))
+        context = (below >> np.uint64(32)).astype(np.int64)
+        yield sent(0, _shard(context, below, context, hot, shards), below, np.minimum(comes, 2**32 - 1).astype(np.uint32))
+        keys, w, n = keys[~begins], w[~begins], n[~begins]
+        of = np.bincount(np.minimum(n, 5), minlength=6)[1:5].astype(np.uint32)
+        yield sent(1, np.full(4, shard), np.arange(4, dtype=np.uint64), of)
+        contexts, starts, place = np.unique(keys, return_index=True, return_inverse=True)
+        sums = _sums(n, starts) if len(n) else np.zeros((4, 0), np.int64)
+        save(f"{root}/{shard}.contexts", contexts)
+        save(f"{root}/{shard}.sums", sums.astype(np.uint32))
+        save(f"{root}/{shard}.keys", _keys(place, w))
+        save(f"{root}/{shard}.counts", np.minimum(n, 2**32 - 1).astype(np.uint32))
+        spread = np.flatnonzero(is_hot(contexts))
+        if len(spread):
+            own = contexts[spread]
+            yield sent(2, _mix(own, shards).astype(np.int64), own, sums[:, spread].astype(np.uint64))
+
+    def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, keys, sums = None, np.zeros(0, np.uint64), np.zeros((4, 0), np.uint64)
+        for b in batches:
+            for shard, k, c in zip(*(b.column(i).to_pylist() for i in range(3))):
+                k = unsqueeze(k, np.uint64, True)
+                keys, back = np.unique(np.concatenate([keys, k]), return_inverse=True)
+                both = np.concatenate([sums, unsqueeze(c, np.uint64).reshape(4, -1)], axis=1)
+                sums = np.zeros((4, len(keys)), np.uint64)
+                np.add.at(sums, (slice(None), back), both)
+        if shard is not None:
+            save(f"{root}/{shard}.spread", keys)
+            save(f"{root}/{shard}.spread_sums", sums)
+            yield batch({"shard": [shard]}, {"shard": pa.int32()})
+
+    counted = map_batches(rows, count, "shard int, k binary, w binary, c binary", 1 << 16).repartitionById(shards, F.col("shard"))
+    made = staged(counted.mapInArrow(gather, "kind int, shard int, k binary, c binary"), "continuations")
+    of, full = np.zeros(4, np.int64), set()
+    for r in made.where("kind = 1").collect():  # one row per shard
+        of += unsqueeze(bytes(r.c), np.uint32)
+        full.add(r.shard)
+    spread = made.where("kind = 2").select("shard", "k", "c").repartitionById(shards, F.col("shard"))
+    summed = {r.shard for r in spread.mapInArrow(together, "shard int").collect()} if len(hot) else set()
+    for shard in range(shards):
+        for name in (() if shard in full else ("contexts", "sums", "keys", "counts")) + (() if shard in summed else ("spread", "spread_sums")):
+            save(f"{root}/{shard}.{name}", np.zeros(0, np.uint64))
+    return made.where("kind = 0").select("shard", "k", "c"), Discounts.of(*map(int, of))
 
 
 def _stat_rows(blocks: list[int], numbers: list[np.ndarray], values: list[np.ndarray]) -> pa.RecordBatch:
@@ -353,8 +539,8 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
         for b in batches:
             n = b.num_rows
             sums = {"n_tokens": np.zeros(n), "n_known": np.zeros(n), "base_score": np.zeros(n), "score": np.zeros(n)}
-            for contexts, tokens, numbers in pairs(b.column(1).to_pylist()):
-                logs, counts = known.lookup(contexts, tokens)
+            for *words, numbers in grams(b.column(1).to_pylist(), known.order):
+                logs, counts = known.lookup(*words)
                 base = np.log10((counts + 1.0) / (w.total + (w.distinct + 1.0)))
                 for name, values in (("n_tokens", None), ("n_known", counts > 0), ("base_score", base), ("score", logs)):
                     sums[name] += np.bincount(numbers, values, n)

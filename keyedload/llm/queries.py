@@ -121,7 +121,7 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     held_out = crc_remainder("doc_id", 7) == 2
-    scored = kneser_ney.score(docs, kneser_ney.train(docs.where(~held_out)))
+    scored = kneser_ney.score(docs, kneser_ney.train(docs.where(~held_out), order=3))
     return scored.select("*", held_out.alias("held_out"))
 
 

@@ -93,6 +93,59 @@ def test_scores_are_those_of_a_plain_model(spark, shard_tokens):
         assert sum(plain.p(context, w) for w in [*plain.counts, b"?"]) == pytest.approx(1)
 
 
+class Plain3(Plain):
+    """Trigrams above bigrams, which count once for each word before them, or, at the begin of a text, as often as they come."""
+
+    def __init__(self, texts):
+        super().__init__(texts)
+        lines = [[b"<s>", *words(t), b"</s>"] for t in texts]
+        self.triples = Counter(x for line in lines for x in zip(line, line[1:], line[2:]))
+        begins = Counter({k: n for k, n in self.pairs.items() if k[0] == b"<s>"})
+        self.pairs = begins + Counter((v, w) for _, v, w in self.triples)
+        self.follow, self.sums, self.follow3, self.sums3 = defaultdict(Counter), Counter(), defaultdict(Counter), Counter()
+        for (v, _), n in self.pairs.items():
+            self.follow[v][min(n, 3)] += 1
+            self.sums[v] += n
+        for (u, v, _), n in self.triples.items():
+            self.follow3[u, v][min(n, 3)] += 1
+            self.sums3[u, v] += n
+        self.upper, self.top = self.discounts(Counter(self.pairs.values())), self.discounts(Counter(self.triples.values()))
+        self.texts, self.all = self.sums[b"<s>"], self.counts
+
+    def p3(self, u, v, w):
+        self.counts, kept = self.sums, self.counts
+        low = self.p(v, w)
+        self.counts = kept
+        total = self.sums3[u, v]
+        if not total:
+            return low
+        n = self.triples[u, v, w]
+        left = sum(self.top[i] * self.follow3[u, v][i] for i in (1, 2, 3)) / total
+        return max(n - self.top[min(n, 3)], 0) / total + left * low
+
+    def score(self, text):
+        line = [None, b"<s>", *words(text), b"</s>"]
+        return sum(math.log10(self.p3(*x)) for x in zip(line, line[1:], line[2:]))
+
+
+@pytest.mark.parametrize("shard_tokens", [10_000, 25])
+def test_order_three(spark, shard_tokens):
+    texts = [*TEXTS, *["the the cat sat"] * 3]
+    asked = [*texts, "never seen words", "the never cat", "cat the the cat the", "sat on the the", "x " * 3000]
+    train = spark.createDataFrame([(t, 1) for t in texts], "text string, t int").repartition(3)
+    docs = spark.createDataFrame(list(enumerate(asked)), "doc_id bigint, text string")
+    model = kneser_ney.train(train, shard_tokens=shard_tokens, order=3)
+    assert (len(model.hot) > 0) == (shard_tokens == 25)
+    plain = Plain3(texts)
+    for r in kneser_ney.score(docs, model).collect():
+        assert r.score == pytest.approx(plain.score(asked[r.doc_id]), abs=1e-9)
+        assert r.base_score == pytest.approx(plain.base(asked[r.doc_id]), abs=1e-9)
+    for context in ((b"the", b"cat"), (b"<s>", b"the"), (None, b"<s>"), (b"the", b"unseen")):
+        assert sum(plain.p3(*context, w) for w in [*plain.counts, b"?"]) == pytest.approx(1)
+    # The word before the last one counts.
+    assert plain.p3(b"sat", b"on", b"the") != plain.p3(b"mat", b"on", b"the")
+
+
 def test_no_training_texts(spark):
     model = kneser_ney.train(spark.createDataFrame([], "text string"))
     docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id int, text string")
@@ -116,3 +169,9 @@ def test_arrays_come_back():
     a = np.sort(np.random.default_rng(1).integers(0, 2**63, 1000).astype(np.uint64))
     assert (unsqueeze(squeeze(a, True), np.uint64, True) == a).all()
     assert len(unsqueeze(squeeze(np.zeros(0, np.uint32)), np.uint32)) == 0
+
+
+def test_no_training_texts_of_order_three(spark):
+    model = kneser_ney.train(spark.createDataFrame([], "text string"), order=3)
+    docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id int, text string")
+    assert [r.score for r in kneser_ney.score(docs, model).collect()] == [0.0, 0.0]

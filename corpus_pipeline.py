@@ -20,8 +20,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each component of 3-word SimHash fingerprints linked at 2 bits or fewer."""
-    return simhash.one_of_each(docs, shingle=3, max_distance=2)
+    """One row of each component of 3-word SimHash fingerprints linked at 2 bits or fewer: that with the smallest id, nulls last."""
+    return simhash.one_of_each_group(docs, shingle=3, max_distance=2)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

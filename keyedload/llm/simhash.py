@@ -56,11 +56,11 @@ def fingerprint(text: str, shingle: int) -> int:
     return int.from_bytes(np.packbits(ones * 2 > n, bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3) -> DataFrame:
+def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, hashed: bool = False) -> DataFrame:
     """``doc_id`` and ``fp`` (the 64 bits as a signed bigint) of every row.
 
     A-Z are lower-cased, words end at ASCII white space; a text with fewer words than a shingle is one shingle, a text
-    without words (null, empty, blank) has fingerprint 0.
+    without words (null, empty, blank) has fingerprint 0. With ``hashed`` there is also ``h``, a hash of the text.
     """
     if shingle < 1:
         raise ValueError("a shingle has at least one word")
@@ -69,10 +69,10 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sh
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             values = np.array([fingerprint(t, shingle) for t in b.column(1).to_pylist()], np.uint64)
-            yield batch({"id": b.column(0), "fp": pa.array(values.view(np.int64))})
+            yield batch({"id": b.column(0), "fp": pa.array(values.view(np.int64))} | ({"h": b.column(2)} if hashed else {}))
 
-    rows = docs.select(col(doc_id).alias("id"), text_of(text).alias("t"))
-    return map_batches(rows, work, f"id {kind}, fp bigint").withColumnRenamed("id", doc_id)
+    rows = docs.select(col(doc_id).alias("id"), text_of(text).alias("t"), *([F.xxhash64(text_of(text)).alias("h")] if hashed else []))
+    return map_batches(rows, work, f"id {kind}, fp bigint" + ", h bigint" * hashed).withColumnRenamed("id", doc_id)
 
 
 def _signed(value: int) -> int:
@@ -230,6 +230,12 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
+def _rooted(known: DataFrame, max_distance: int = 2, segment_bits: int = 2, cell_rows: int = CELL_ROWS) -> DataFrame:
+    """``known``, of distinct ``fp``, with ``root``, the smallest fingerprint that links reach."""
+    member = components(links(known.select("fp"), max_distance, segment_bits, cell_rows))
+    return known.join(member, known.fp == member.node, "left").select(*known.columns, F.coalesce("root", "fp").alias("root"))
+
+
 def near_copies(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -248,9 +254,7 @@ def near_copies(
     """
     rows = staged(fingerprints(docs, doc_id, text, shingle).select(col(doc_id).alias("id"), "fp"), "fingerprints")
     known = rows.groupBy("fp").agg(F.min("id").alias("id"))
-    member = components(links(rows.select("fp").distinct(), max_distance, segment_bits, cell_rows))
-    rooted = known.join(member, known.fp == member.node, "left").select("fp", "id", F.coalesce("root", "fp").alias("root"))
-    rooted = staged(rooted, "roots")
+    rooted = staged(_rooted(known, max_distance, segment_bits, cell_rows), "roots")
     smallest = rooted.groupBy("root").agg(F.min("id").alias("component_id"))
     named = rooted.join(smallest, "root").select("fp", "component_id")
     out = rows.join(named, "fp")
@@ -264,22 +268,59 @@ def hex_fingerprint(fp: str = "fp") -> Column:
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``docs`` with one document of each group of near copies: the one with the smallest id.
 
-    Rows that repeat the id of a kept document count as that document; of these the one with the smallest text stays.
-    A row without an id cannot be named as the one to keep and always stays.
+    Ids are taken to name documents: of kept rows with one id, the one with the smallest text stays, and a row without an id
+    cannot be named and always stays. ``one_of_each_group`` takes rows for documents.
+    """
+    named = one_of_each_group(docs.where(col(doc_id).isNotNull()), doc_id, text, **options)
+    others = F.struct(*[col(c) for c in docs.columns if c != doc_id])
+    first = named.repartition(F.xxhash64(col(doc_id))).groupBy(col(doc_id)).agg(F.min_by(others, text_of(text)).alias("_row"))
+    first = first.select(*[col(c) if c == doc_id else F.col("_row")[c].alias(c) for c in docs.columns])
+    return first.unionByName(docs.where(col(doc_id).isNull()).select(*[col(c) for c in docs.columns]))
+
+
+def one_of_each_group(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, hot_share: float = 0.001, **options
+) -> DataFrame:
+    """``docs`` with exactly one row of each group of near copies: that with the smallest id, then fingerprint, then text hash.
+
+    Rows with different texts are different documents even where they share an id, and rows without an id come after all
+    others of their group. Of rows equal in id and text any one stays. Rows with neither an id nor words are copies of
+    nothing and all stay. An id and text that more than ``hot_share`` of all rows have is summed up before it is dealt out.
     """
-    named = docs.where(col(doc_id).isNotNull())
-    kept = near_copies(named, doc_id, text, **options).where(F.col("component_id") == col(doc_id))
-    repeats = named.groupBy(col(doc_id).alias("_kept")).agg(F.count("*").alias("_n")).where("_n > 1")
-    kept = kept.select(F.col("component_id").alias("_kept")).distinct().join(repeats, "_kept", "left")
+    wordless = col(doc_id).isNull() & ~text_of(text).rlike("[^ \\t\\n\\r\\x0B\\x0C]")
+    judged = docs.where(~wordless)
+    rows = fingerprints(judged, doc_id, text, shingle, hashed=True).select(col(doc_id).alias("id"), "fp", "h")
+    rows = staged(rows, "fingerprints")
+    place = F.struct(F.col("id").isNull().alias("last"), "id", "fp", "h")
+    rooted = _rooted(rows.groupBy("fp").agg(F.min(place).alias("first")), **options)
+    kept = rooted.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.id").alias("_id"), F.col("first.h").alias("_h"))
+    often = rows.groupBy("id", "h").agg(F.count("*").alias("_n")).where("_n > 1")
+    kept = kept.join(often, kept["_id"].eqNullSafe(often["id"]) & (kept["_h"] == often["h"]), "left").select("_id", "_h", "_n")
     kept = staged(kept, "kept")
+    # All with so many rows are hot, kept or not: fewer than 1 / hot_share, so they can be sent to all tasks.
+    most = max(1.0, hot_share * rows.count())
+    hot = staged(often.where(F.col("_n") > most).select(F.col("id").alias("_id"), F.col("h").alias("_h")), "hot")
+    hash_of = F.xxhash64(text_of(text))
+
+    def meets(ids: DataFrame) -> Column:
+        return judged[doc_id].eqNullSafe(ids["_id"]) & (hash_of == ids["_h"])
+
+    none = hot.isEmpty()
+    even = judged if none else judged.join(ids := F.broadcast(hot), meets(ids), "left_anti")
 
-    def rows(which: str) -> DataFrame:
+    def those(which: str) -> DataFrame:
         # The ids of a partition are a small hash table; the texts meet them without a sort, in one plan at every size.
-        return named.join(ids := kept.where(which).hint("shuffle_hash"), named[doc_id] == ids["_kept"], "left_semi")
+        ids = kept.where(which).hint("shuffle_hash")
+        return even.join(ids, meets(ids), "left_semi")
+
+    def one_by_one(repeated: DataFrame) -> DataFrame:
+        whole = repeated.select(F.struct(*[col(c) for c in docs.columns]).alias("_row"), col(doc_id).alias("_id"), hash_of.alias("_h"))
+        first = whole.groupBy("_id", "_h").agg(F.first("_row").alias("_row"))
+        return first.select(*[F.col("_row")[c].alias(c) for c in docs.columns])
 
-    others = F.struct(*[col(c) for c in docs.columns if c != doc_id])
     # An exchange of its own: a union under the join may claim a partitioning by id that its parts do not share.
-    first = rows("_n is not null").repartition(F.xxhash64(col(doc_id))).groupBy(col(doc_id)).agg(F.min_by(others, text_of(text)).alias("_row"))
-    first = first.select(*[col(c) if c == doc_id else F.col("_row")[c].alias(c) for c in docs.columns])
-    parts = [rows("_n is null"), first, docs.where(col(doc_id).isNull())]
+    parts = [those("_n is null"), one_by_one(those("_n is not null").repartition(hash_of, col(doc_id))), docs.where(wordless)]
+    if not none:
+        held = kept.join(hot, kept["_id"].eqNullSafe(hot["_id"]) & (kept["_h"] == hot["_h"]), "left_semi").select("_id", "_h")
+        parts.append(one_by_one(judged.join(ids := F.broadcast(held), meets(ids), "left_semi")))
     return reduce(DataFrame.unionByName, [p.select(*[col(c) for c in docs.columns]) for p in parts])

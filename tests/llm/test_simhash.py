@@ -114,6 +114,22 @@ def test_one_of_each(spark):
     assert kept.where("doc_id = 5").first().text == "another text with id five"
 
 
+@pytest.mark.parametrize("hot_share", [0.001, 0.2, 1.0])
+def test_every_group_keeps_one_row(spark, hot_share):
+    other = [" ".join(f"g{k}w{i * (k + 3)}" for i in range(200)) for k in range(4)]
+    rows = [(3, BASE), (5, BASE), (5, "zz " + other[0])]  # 5 is a copy of 3, and alone in another group
+    rows += [(7, other[1]), (7, other[2]), (8, other[1]), (8, other[2])]  # the smallest of two groups
+    rows += [(None, BASE)] * 9 + [(None, other[3])] * 9  # copies of a row with an id, and of each other
+    rows += [(None, None), (None, " ")]
+    docs = spark.createDataFrame([(*r, "s") for r in rows], "doc_id bigint, text string, _kept string").repartition(3)
+    kept = simhash.one_of_each_group(docs, hot_share=hot_share)
+    assert kept.columns == docs.columns
+    expected = [(3, BASE), (5, "zz " + other[0]), (7, other[1]), (7, other[2]), (None, other[3]), (None, None), (None, " ")]
+    assert sorted(repr((r.doc_id, r.text)) for r in kept.collect()) == sorted(map(repr, expected))
+    # By ids, 5 is still kept for the group it is the smallest of.
+    assert [r.text for r in simhash.one_of_each(docs).where("doc_id = 5").collect()] == ["zz " + other[0]]
+
+
 def test_no_documents(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string")
     assert simhash.near_copies(docs).count() == 0 and simhash.one_of_each(docs).count() == 0

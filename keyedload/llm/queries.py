@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyedload.llm import decontam, kneser_ney, langid, merkle, packing, pii, secret_scan, simhash, tokens, toxicity
+from keyedload.llm import decontam, kneser_ney, langid, merkle, packing, pii, search, secret_scan, simhash, tokens, toxicity
 from keyedload.llm.common import crc_remainder, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -146,3 +146,25 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_copies(documents(spark, sf_dir), shingle=3, max_distance=2)
     return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
+
+
+SEARCH_SQL = f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS no, regexp_extract_all({_LOWER}, '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') AS w FROM documents),
+i AS (SELECT item_id, row_number() OVER () AS q, regexp_extract_all({_LOWER}, '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') AS w FROM benchmark),
+totals AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(len(w)) AS BIGINT) AS terms FROM d WHERE len(w) > 0),
+qt AS (SELECT q, t, count(*) AS r FROM (SELECT q, unnest(w) AS t FROM i) GROUP BY q, t),
+dt AS (SELECT no, doc_id, n, t, count(*) AS tf FROM (SELECT no, doc_id, len(w) AS n, unnest(w) AS t FROM d)
+       WHERE t IN (SELECT t FROM qt) GROUP BY no, doc_id, n, t),
+weights AS (SELECT t, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS weight
+            FROM (SELECT t, count(*) AS df FROM dt GROUP BY t), totals),
+impacts AS (SELECT no, doc_id, t, (1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // terms)) AS impact FROM dt, totals),
+sums AS (SELECT q, no, doc_id, CAST(sum(r * weight * impact) AS BIGINT) AS score
+         FROM qt JOIN weights USING (t) JOIN impacts USING (t) GROUP BY q, no, doc_id),
+ranks AS (SELECT q, doc_id, score, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS rank FROM sums WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranks JOIN i USING (q) WHERE rank <= 10
+"""
+
+
+@query("op12_search", SEARCH_SQL)
+def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), k=10)

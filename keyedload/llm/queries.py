@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyedload.llm import decontam, kneser_ney, langid, merkle, packing, pii, search, secret_scan, simhash, tokens, toxicity
+from keyedload.llm import decontam, kneser_ney, langid, merkle, packing, periodic, pii, search, secret_scan, simhash, tokens, toxicity
 from keyedload.llm.common import crc_remainder, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -168,3 +168,41 @@ SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranks JOIN i U
 @query("op12_search", SEARCH_SQL)
 def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), k=10)
+
+
+def _with_periodic_tail(docs: DataFrame) -> DataFrame:
+    """The texts of the query's contract: of each tenth document by checksum, the words from a place on repeat."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    rows = docs.select("doc_id", text.alias("text"), h.alias("h"), F.floor(h / 10).alias("g"), F.when(h % 10 == 0, words).alias("w"))
+    rows = rows.withColumn("n", F.coalesce(F.size("w"), F.lit(0)).cast("bigint"))
+    a = F.col("g") % F.col("n")
+    rows = rows.withColumn("a", F.when(F.col("n") > 0, a))
+    rows = rows.withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)))
+    place = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))
+    changed = F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1), lambda i: F.get("w", place(i).cast("int")))
+    return rows.select("doc_id", F.when(F.col("a").isNotNull(), F.array_join(changed, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query("op13_periodic")
+def op13_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.runs(_with_periodic_tail(documents(spark, sf_dir)))
+    run = "struct<start:bigint,length:bigint,period:bigint>"
+
+    def greater(best, r):
+        # Runs come by start and then period, so the first of equals stays.
+        return F.when(best.isNull() | (r["length"] * best["period"] > best["length"] * r["period"]), r).otherwise(best)
+
+    best = F.aggregate("runs", F.lit(None).cast(run), greater)
+    listed = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), best.alias("b"), listed.alias("listed"), "collapsed"
+    ).select(
+        "doc_id",
+        "n_runs",
+        *[F.col(f"b.{c}").alias(c) for c in ("start", "length", "period")],
+        F.expr("(1000 * b.length) div b.period").alias("exponent_milli"),
+        F.sha2(F.array_join("listed", ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )

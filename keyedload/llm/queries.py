@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyedload.llm import decontam, kneser_ney, langid, merkle, packing, periodic, pii, search, secret_scan, simhash, tokens, toxicity
+from keyedload.llm import decontam, kneser_ney, langid, merkle, packing, periodic, pii, repeats, search, secret_scan, simhash, tokens, toxicity
 from keyedload.llm.common import crc_remainder, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -148,6 +148,18 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
 
 
+@query("op11_repeats")
+def op11_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.without_repeats(documents(spark, sf_dir), least=200)
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + (s["end"] - s["start"])).alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 SEARCH_SQL = f"""
 WITH d AS (SELECT doc_id, row_number() OVER () AS no, regexp_extract_all({_LOWER}, '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') AS w FROM documents),
 i AS (SELECT item_id, row_number() OVER () AS q, regexp_extract_all({_LOWER}, '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') AS w FROM benchmark),

@@ -161,14 +161,17 @@ def convert_columns(df: DataFrame, spec: TableSpec, columns: list[str]) -> dict[
     return out
 
 
+def bad_columns(df: DataFrame, spec: TableSpec, columns: list[str]) -> Column | None:
+    """Names of a row's columns whose values do not fit, an empty array for a row that fits; None when every row fits."""
+    bad = {c: is_bad(c, df.schema[c].dataType, spec.type_of(c)) for c in columns}
+    names = [F.when(cond, F.lit(c)) for c, cond in bad.items() if cond is not None]
+    return F.filter(F.array(*names), lambda x: x.isNotNull()) if names else None
+
+
 def split_rejects(df: DataFrame, spec: TableSpec, columns: list[str]) -> tuple[DataFrame, DataFrame | None]:
     """Rows that fit, and rows that do not with the names of the bad columns in ``_bad_columns``."""
-    bad = {c: is_bad(c, df.schema[c].dataType, spec.type_of(c)) for c in columns}
-    bad = {c: cond for c, cond in bad.items() if cond is not None}
-    if not bad:
+    names = bad_columns(df, spec, columns)
+    if names is None:
         return df, None
-    any_bad = F.lit(False)
-    for cond in bad.values():
-        any_bad = any_bad | cond
-    names = F.filter(F.array(*[F.when(cond, F.lit(c)) for c, cond in bad.items()]), lambda x: x.isNotNull())
-    return df.where(~any_bad), df.where(any_bad).withColumn("_bad_columns", names)
+    marked = df.withColumn("_bad_columns", names)
+    return marked.where(F.size("_bad_columns") == 0).drop("_bad_columns"), marked.where(F.size("_bad_columns") > 0)

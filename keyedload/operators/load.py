@@ -1,25 +1,29 @@
 """Bulk load: check, convert, place, sort, write, publish.
 
-One Spark write job with one shuffle. Nothing is visible before the load's row is in the log, and a
-failed or retried task leaves nothing behind: Spark's commit protocol owns the files.
+One Spark write job with one shuffle. Nothing is visible before the load's entry is in the log. Every attempt of a load writes
+to a directory of its own: Spark's commit protocol owns the files of a task, the log decides which attempt counts, and an
+attempt that fails or comes too late removes what it has written. What a lost driver leaves, ``clean_up`` removes.
 """
 
 from __future__ import annotations
 
 import json
 import time
+import uuid
 from collections.abc import Callable, Sequence
+from dataclasses import replace
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from keyedload.functions.convert import convert_columns, split_rejects
+from keyedload.functions.convert import bad_columns, convert_columns
 from keyedload.functions.names import col
 from keyedload.operators.contract import bind_by_position, check_input, selected_columns
 from keyedload.operators.options import has_ttl, per_row_options, with_static_options
-from keyedload.operators.place import bucket_count, clustered
+from keyedload.operators.capped import capped_write
+from keyedload.operators.place import ASIDE, bucket_count, clustered
 from keyedload.sources.store import KeyedStore, LogRow, check_load_id, new_load_id
-from keyedload.spec import BUCKET, WTS, LoadConf, LoadError, TableSpec
+from keyedload.spec import BUCKET, REJECTED, WTS, AlreadyPublished, LoadConf, LoadError, TableSpec
 
 Mapper = Callable[[DataFrame], DataFrame]
 
@@ -47,13 +51,11 @@ def bulk_load(
     ``load_epoch`` is the clock of the load in seconds: the default write timestamp, and the start
     of every ttl; left out, it is the time of the call, for the timestamp to the microsecond. With
     ``publish=False`` the files are written but stay invisible until ``publish_load``. A ``load_id`` that is published
-    already fails the call, or with ``if_published="skip"`` is passed over with None. A cap on the rate holds for
-    streams only, so a load with one is refused.
+    already fails the call, or with ``if_published="skip"`` is passed over with None; so does one that another attempt
+    publishes meanwhile. With a cap in ``conf`` the rows are written in slices at that pace, and published once.
     """
     spec = store.spec(keyspace, table)
     conf = LoadConf.from_spark(store.spark) if conf is None else conf
-    if conf.throttled:
-        raise LoadError(f"{spec.full_name}: one load cannot be capped; stream the input with stream_load")
     micros = time.time_ns() // 1000 if load_epoch is None else load_epoch * 1_000_000
     load_epoch = micros // 1_000_000
     if load_id is None:
@@ -71,39 +73,39 @@ def bulk_load(
     check_input(df, spec, names, conf, strict=columns is None)
 
     started = time.monotonic()
-    rejected = 0
-    if conf.on_bad_value == "reject":
-        df, bad = split_rejects(df, spec, names)
-        rejected = _write_rejects(store, spec, bad, load_id)
-
-    metrics = Observation()
-    rows = mutation_rows(df, spec, names, conf, micros)
-    rows = rows.observe(
-        metrics, F.count(F.lit(1)).alias("rows"), F.min(WTS).alias("min_wts"), F.max(WTS).alias("max_wts")
-    )
-    rows.write.mode("overwrite").partitionBy(BUCKET).parquet(store.data_path(spec, load_id))
-    seen = metrics.get
-
-    keys, most_versions = count_keys(store, spec, load_id) if conf.count_keys and seen["rows"] else (None, None)
-    entry = LogRow(
-        load_id=load_id,
-        load_epoch=load_epoch,
-        rows=seen["rows"],
-        keys=keys,
-        most_versions=most_versions,
-        rejected=rejected,
-        min_wts=seen["min_wts"],
-        max_wts=seen["max_wts"],
-        has_ttl=has_ttl(conf),
-        columns=tuple(names),
-        partitioner=conf.partitioner,
-        buckets=bucket_count(conf),
-        ring=conf.ring,
-        split_points=json.dumps(conf.split_points),
-        seconds=time.monotonic() - started,
-    )
-    if publish:
-        store.publish(spec, entry)
+    attempt = uuid.uuid4().hex
+    try:
+        rows = mutation_rows(df, spec, names, conf, micros)
+        seen = write_attempt(store, spec, rows, load_id, attempt, conf)
+        entry = LogRow(
+            load_id=load_id,
+            load_epoch=load_epoch,
+            rows=seen["rows"],
+            keys=None,
+            most_versions=None,
+            rejected=seen["rejected"],
+            min_wts=seen["min_wts"],
+            max_wts=seen["max_wts"],
+            has_ttl=has_ttl(conf),
+            columns=tuple(names),
+            partitioner=conf.partitioner,
+            buckets=bucket_count(conf),
+            ring=conf.ring,
+            split_points=json.dumps(conf.split_points),
+            seconds=0.0,
+            attempt=attempt,
+        )
+        if conf.count_keys and entry.rows:
+            keys, most_versions = count_keys(store, spec, entry)
+            entry = replace(entry, keys=keys, most_versions=most_versions)
+        entry = replace(entry, seconds=time.monotonic() - started)
+        if publish:
+            store.publish(spec, entry)
+    except BaseException as e:
+        store.drop_attempt(spec, load_id, attempt)
+        if isinstance(e, AlreadyPublished) and if_published == "skip":
+            return None
+        raise
     return entry
 
 
@@ -117,33 +119,71 @@ def publish_load(store: KeyedStore, keyspace: str, table: str, entry: LogRow) ->
 
 def mutation_rows(df: DataFrame, spec: TableSpec, names: list[str], conf: LoadConf, micros: int) -> DataFrame:
     """The rows a load of the clock ``micros`` writes: converted, placed, sorted, with system columns."""
-    data = convert_columns(df, spec, names)
-    options = per_row_options(df, conf, micros)
-    rows = clustered(df.select(*data.values(), *options.values()), spec, conf)
-    partial = None if set(names) == set(spec.columns) else names
-    return with_static_options(rows, conf, micros, partial)
+    return with_constants(clustered(converted_rows(df, spec, names, conf, micros), spec, conf), spec, names, conf, micros)
+
+
+def converted_rows(df: DataFrame, spec: TableSpec, names: list[str], conf: LoadConf, micros: int) -> DataFrame:
+    """Converted data and options by row; a row to set aside has only ``_rejected``, itself with the names of its bad columns.
+
+    Good and bad rows come of one evaluation of the input.
+    """
+    bad = bad_columns(df, spec, names) if conf.on_bad_value == "reject" else None
+    if bad is None:
+        return df.select(*convert_columns(df, spec, names).values(), *per_row_options(df, conf, micros).values())
+    asked = [col(c) for c in df.columns if c != "_bad_columns"]
+    marked = df.select("*", bad.alias(REJECTED))
+    good = F.size(REJECTED) == 0
+    values = convert_columns(marked, spec, names) | per_row_options(marked, conf, micros)
+    aside = F.when(~good, F.struct(*asked, F.col(REJECTED).alias("_bad_columns"))).alias(REJECTED)
+    return marked.select(*[F.when(good, v).alias(c) for c, v in values.items()], aside)
+
+
+def with_constants(rows: DataFrame, spec: TableSpec, names: list[str], conf: LoadConf, micros: int) -> DataFrame:
+    return with_static_options(rows, conf, micros, None if set(names) == set(spec.columns) else names)
+
+
+def totals(rows: DataFrame) -> dict[str, Column]:
+    """What the log keeps of the rows of a load."""
+    kept = F.col(BUCKET) != ASIDE
+    return {
+        "rows": F.count(F.when(kept, 1)),
+        "rejected": F.count(F.when(~kept, 1)),
+        "min_wts": F.min(F.when(kept, F.col(WTS))),
+        "max_wts": F.max(F.when(kept, F.col(WTS))),
+    }
+
+
+def write_attempt(
+    store: KeyedStore, spec: TableSpec, rows: DataFrame, load_id: str, attempt: str, conf: LoadConf, more: dict[str, Column] | None = None
+) -> dict:
+    """Writes the rows of an attempt, and returns their totals."""
+    wanted = totals(rows) | (more or {})
+    path = store.data_path(spec, load_id, attempt)
+    if conf.throttled:
+        return capped_write(rows, spec, path, conf, wanted)
+    metrics = Observation()
+    observed = rows.observe(metrics, *[c.alias(name) for name, c in wanted.items()])
+    observed.drop(*[c for c in rows.columns if c.startswith("_only_")]).write.partitionBy(BUCKET).parquet(path)
+    return metrics.get
 
 
-def count_keys(store: KeyedStore, spec: TableSpec, load_id: str) -> tuple[int, int]:
+def count_keys(store: KeyedStore, spec: TableSpec, entry: LogRow) -> tuple[int, int]:
     """Distinct primary keys of a written load, and the rows of the most frequent one.
 
     Scans and shuffles key columns only, one row per key and map task.
     """
-    keys = store.loads(spec, [load_id]).groupBy(*[col(c) for c in spec.key]).agg(F.count(F.lit(1)).alias("_n"))
+    keys = store.loads(spec, [entry]).groupBy(*[col(c) for c in spec.key]).agg(F.count(F.lit(1)).alias("_n"))
     found = keys.agg(F.count(F.lit(1)), F.max("_n")).first()
     return found[0], found[1]
 
 
-def _write_rejects(store: KeyedStore, spec: TableSpec, bad: DataFrame | None, load_id: str) -> int:
-    if bad is None:
-        return 0
-    seen = Observation()
-    counted = bad.observe(seen, F.count(F.lit(1)).alias("rows"))
-    counted.write.mode("overwrite").parquet(store.rejects_path(spec, load_id))
-    return seen.get["rows"]
-
-
 def read_rejects(store: KeyedStore, keyspace: str, table: str, load_id: str) -> DataFrame:
-    """Rows a load has rejected, as they came in, with the names of their bad columns."""
+    """Rows a published load has set aside, as they came in, with the names of their bad columns; also after a compaction."""
     spec = store.spec(keyspace, table)
-    return store.spark.read.parquet(store.rejects_path(spec, load_id))
+    entry = store.entries(spec)[0].where(F.col("load_id") == load_id).select("attempt").first()
+    if entry is None:
+        raise LoadError(f"load {load_id} of {spec.full_name} is not published")
+    rows = store.spark.read.option("basePath", store.data_path(spec)).parquet(store.data_path(spec, load_id, entry.attempt))
+    if REJECTED not in rows.columns:
+        raise LoadError(f"load {load_id} of {spec.full_name} could set no rows aside")
+    return rows.where(F.col(BUCKET) == ASIDE).select(f"{REJECTED}.*")

@@ -15,9 +15,11 @@ from pyspark.sql import types as T
 
 from keyedload.functions.names import col
 from keyedload.functions.tokens import even_range, ring_range, split_range, token
-from keyedload.spec import BUCKET, TOKEN, LoadConf, TableSpec
+from keyedload.spec import BUCKET, REJECTED, TOKEN, LoadConf, TableSpec
 
 SLICE = "_slice"
+# Bucket of rows that a load sets aside.
+ASIDE = -1
 
 
 def with_placement(df: DataFrame, spec: TableSpec, conf: LoadConf) -> DataFrame:
@@ -61,6 +63,13 @@ def sort_order(spec: TableSpec, conf: LoadConf) -> list[Column]:
 def clustered(df: DataFrame, spec: TableSpec, conf: LoadConf) -> DataFrame:
     """Move every row to a writer of its bucket and sort it there."""
     placed = with_placement(df, spec, conf)
+    if REJECTED in df.columns:
+        # Rows set aside have no place of their own; they are dealt over as many slices as others are, before them all.
+        names = [f.name for f in df.schema[REJECTED].dataType.fields if "map<" not in f.dataType.simpleString()]
+        spread = F.pmod(F.xxhash64(*[F.col(REJECTED).getField(n) for n in names]), F.lit(bucket_count(conf))).cast("int")
+        aside = F.col(REJECTED).isNotNull()
+        placed = placed.withColumn(SLICE, F.when(aside, -1 - spread).otherwise(F.col(SLICE)))
+        placed = placed.withColumn(BUCKET, F.when(aside, F.lit(ASIDE)).otherwise(F.col(BUCKET)))
     if df.sparkSession.conf.get("spark.sql.adaptive.enabled") != "true":
         warnings.warn("adaptive execution is off: one task writes each slice, however large a key makes it", stacklevel=3)
     return placed.hint("rebalance", F.col(SLICE)).sortWithinPartitions(*sort_order(spec, conf)).drop(SLICE)

@@ -88,6 +88,8 @@ class Facts:
 
 def facts_of(spec: TableSpec, loads: list[LogRow]) -> Facts:
     sets = [frozenset(r.columns) for r in loads]
+    # Rows of a compacted load may lack some of its columns.
+    whole = [s if r.whole else frozenset(spec.key) for r, s in zip(loads, sets)]
     times = sorted((r.min_wts, r.max_wts) for r in loads)
     candidates = [r for r in loads if r.distinct_keys] if len(loads) > 1 else []
     base = max(candidates, key=lambda r: r.rows, default=None)
@@ -96,18 +98,18 @@ def facts_of(spec: TableSpec, loads: list[LogRow]) -> Facts:
     return Facts(
         loads=len(loads),
         distinct=all(r.distinct_keys for r in loads),
-        same_columns=len(set(sets)) == 1,
+        same_columns=len(set(sets)) == 1 and whole == sets,
         disjoint_times=all(a[1] < b[0] for a, b in zip(times, times[1:])),
         one_time=bool(times) and times[0][0] == max(t[1] for t in times),
         has_ttl=any(r.has_ttl for r in loads),
         few_versions=_few_versions(loads),
-        always=frozenset.intersection(*sets) if sets else frozenset(),
+        always=frozenset.intersection(*whole) if sets else frozenset(),
         ever=frozenset.union(*sets) if sets else frozenset(),
         base=base.load_id if base else None,
         base_rows=base.rows if base else 0,
         others=tuple(others),
         other_rows=other_rows,
-        others_hide_base=bool(base) and len(set(sets)) == 1 and base.max_wts < min(r.min_wts for r in others),
+        others_hide_base=bool(base) and len(set(sets)) == 1 and whole == sets and base.max_wts < min(r.min_wts for r in others),
         few_other_keys=_bounded(spec, other_rows),
     )
 
@@ -165,7 +167,7 @@ def published_rows(store: KeyedStore, spec: TableSpec) -> tuple[DataFrame, Facts
 
 def _rows_of(store: KeyedStore, spec: TableSpec, loads: list[LogRow]) -> tuple[DataFrame, Facts]:
     loads = [r for r in loads if r.rows]
-    return store.loads(spec, [r.load_id for r in loads]), facts_of(spec, loads)
+    return store.loads(spec, loads), facts_of(spec, loads)
 
 
 def resolve(
@@ -220,7 +222,7 @@ def _overlay(rows: DataFrame, spec: TableSpec, facts: Facts, as_of: int) -> Data
     return untouched.unionByName(merged)
 
 
-def _by_key(rows: DataFrame, spec: TableSpec, facts: Facts) -> GroupedData:
+def by_key(rows: DataFrame, spec: TableSpec, facts: Facts) -> GroupedData:
     key = [col(c) for c in spec.key]
     if facts.few_versions:
         rows = rows.repartition(*key)
@@ -234,29 +236,34 @@ def _tied(rows: DataFrame, spec: TableSpec, facts: Facts) -> DataFrame:
     else:
         aggs = []
         for i, c in enumerate(written):
-            value = F.max(_comparable(col(c), spec.type_of(c)))
+            value = F.max(comparable(col(c), spec.type_of(c)))
             aggs.append(F.when(F.count(col(c)) == F.count(F.lit(1)), value).alias(f"_v{i}"))
-        merged = _by_key(rows, spec, facts).agg(*aggs)
+        merged = by_key(rows, spec, facts).agg(*aggs)
     values = {c: F.col(f"_v{i}") for i, c in enumerate(written)}
     return merged.select(*_output(spec, values))
 
 
+def cell(name: str, spec: TableSpec, facts: Facts) -> Column:
+    """What decides a cell, in order: write timestamp, deletion, value, expiry; null where the row has not written it."""
+    parts = [F.col(WTS).alias("t"), col(name).isNull().alias("dead"), comparable(col(name), spec.type_of(name)).alias("v")]
+    if facts.has_ttl:
+        parts.append(F.coalesce(F.col(EXPIRES), F.lit(NEVER)).alias("e"))
+    out = F.struct(*parts)
+    if name in facts.always:
+        return out
+    # Loads of all columns carry no set.
+    return F.when(F.col(WRITTEN).isNull() | F.array_contains(F.col(WRITTEN), name), out)
+
+
 def _cells(rows: DataFrame, spec: TableSpec, facts: Facts, as_of: int) -> DataFrame:
     written = [c for c in spec.regular if c in facts.ever]
     expires = F.coalesce(F.col(EXPIRES), F.lit(NEVER)).alias("e")
     aggs = []
     if facts.has_ttl:
         aggs.append(F.max(F.struct(F.col(WTS).alias("t"), expires)).alias("_marker"))
-    for i, c in enumerate(written):
-        value = _comparable(col(c), spec.type_of(c))
-        parts = [F.col(WTS).alias("t"), col(c).isNull().alias("dead"), value.alias("v")]
-        cell = F.struct(*parts, expires) if facts.has_ttl else F.struct(*parts)
-        if c not in facts.always:
-            # Loads of all columns carry no set.
-            cell = F.when(F.col(WRITTEN).isNull() | F.array_contains(F.col(WRITTEN), c), cell)
-        aggs.append(F.max(cell).alias(f"_c{i}"))
+    aggs += [F.max(cell(c, spec, facts)).alias(f"_c{i}") for i, c in enumerate(written)]
     key = [col(c) for c in spec.key]
-    merged = _by_key(rows, spec, facts).agg(*aggs) if aggs else rows.select(*key).distinct()
+    merged = by_key(rows, spec, facts).agg(*aggs) if aggs else rows.select(*key).distinct()
     values = {}
     for i, c in enumerate(written):
         value = F.col(f"_c{i}.v")
@@ -277,31 +284,31 @@ def _holds_map(data_type: T.DataType) -> bool:
     return isinstance(data_type, T.MapType)
 
 
-def _comparable(value: Column, data_type: T.DataType) -> Column:
+def comparable(value: Column, data_type: T.DataType) -> Column:
     """Maps have no order; compare them as their sorted entries, at any depth."""
     if not _holds_map(data_type):
         return value
     if isinstance(data_type, T.ArrayType):
-        return F.transform(value, lambda x: _comparable(x, data_type.elementType))
+        return F.transform(value, lambda x: comparable(x, data_type.elementType))
     if isinstance(data_type, T.StructType):
-        return _rebuilt(value, data_type, _comparable)
+        return _rebuilt(value, data_type, comparable)
     entry = F.transform(
         F.map_entries(value),
-        lambda e: F.struct(e["key"].alias("key"), _comparable(e["value"], data_type.valueType).alias("value")),
+        lambda e: F.struct(e["key"].alias("key"), comparable(e["value"], data_type.valueType).alias("value")),
     )
     return F.array_sort(entry)
 
 
-def _from_comparable(value: Column, data_type: T.DataType) -> Column:
+def from_comparable(value: Column, data_type: T.DataType) -> Column:
     if not _holds_map(data_type):
         return value
     if isinstance(data_type, T.ArrayType):
-        return F.transform(value, lambda x: _from_comparable(x, data_type.elementType))
+        return F.transform(value, lambda x: from_comparable(x, data_type.elementType))
     if isinstance(data_type, T.StructType):
-        return _rebuilt(value, data_type, _from_comparable)
+        return _rebuilt(value, data_type, from_comparable)
     return F.map_from_entries(
         F.transform(
-            value, lambda e: F.struct(e["key"].alias("key"), _from_comparable(e["value"], data_type.valueType).alias("value"))
+            value, lambda e: F.struct(e["key"].alias("key"), from_comparable(e["value"], data_type.valueType).alias("value"))
         )
     )
 
@@ -321,7 +328,7 @@ def _output(spec: TableSpec, values: dict[str, Column]) -> list[Column]:
         elif c not in values:
             value = F.lit(None).cast(data_type)
         else:
-            value = _from_comparable(values[c], data_type)
+            value = from_comparable(values[c], data_type)
         out.append(value.alias(c))
     return out
 

@@ -1,26 +1,45 @@
 """Tables on disk: a definition, immutable load directories, and a log of published loads.
 
     <root>/<keyspace>/<table>/spec                     table definition, one JSON line
-    <root>/<keyspace>/<table>/data/load_id=<id>/_bucket=<b>/*.parquet
-    <root>/<keyspace>/<table>/log/*.parquet            one row per published load
-    <root>/<keyspace>/<table>/rejects/load_id=<id>/*.parquet
+    <root>/<keyspace>/<table>/data/load_id=<id>/_attempt=<attempt>/_bucket=<b>/*.parquet
+    <root>/<keyspace>/<table>/commits/<number>.json    one entry per publication, compaction or clean-up
 
-Everything is written by Spark's own committers, so the root may be on any file system Spark knows.
+Data is written by Spark's own committers, every attempt in a directory of its own, so no attempt touches another's files.
+An entry of the log names the attempt that is published, and gets its number only if nothing has it (``commits.py``): of
+racing loads of one id one is published, and what is published never changes. Tables of the earlier layout (``log/*.parquet``,
+no attempts) are read too.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import json
 import re
 import tempfile
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass, fields
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keyedload.spec import BUCKET, EXPIRES, LOAD_ID, TOKEN, WRITTEN, WTS, LoadError, TableNotFound, TableSpec
+from keyedload.sources.commits import CommitLog, Folder
+from keyedload.spec import (
+    ATTEMPT,
+    BUCKET,
+    EXPIRES,
+    LOAD_ID,
+    TOKEN,
+    WRITTEN,
+    WTS,
+    AlreadyPublished,
+    LoadError,
+    TableNotFound,
+    TableSpec,
+)
 
 LOG_SCHEMA = (
     T.StructType()
@@ -42,6 +61,17 @@ LOG_SCHEMA = (
     .add("seconds", T.DoubleType())
 )
 
+# An entry is a published load ("load"), one that was replaced ("gone", in checkpoints), or the attempts given up by a clean-up
+# ("clean").
+ENTRY_SCHEMA = (
+    T.StructType(LOG_SCHEMA.fields)
+    .add("kind", T.StringType())
+    .add("attempt", T.StringType())
+    .add("whole", T.BooleanType())
+    .add("replaces", T.ArrayType(T.StringType()))
+    .add("abandoned", T.ArrayType(T.StringType()))
+)
+
 MUTATION_FIELDS = (
     T.StructType()
     .add(WTS, T.LongType())
@@ -75,14 +105,23 @@ class LogRow:
     ring: tuple[int, ...] | None
     split_points: str
     seconds: float
+    attempt: str | None = None  # directory of the load's files
+    whole: bool = True  # every row has written all of ``columns``
+    replaces: tuple[str, ...] = ()  # loads this one was made of
 
     @staticmethod
     def from_row(row: Row) -> LogRow:
         values = {f.name: row[f.name] for f in fields(LogRow)}
         values["columns"] = tuple(values["columns"])
         values["ring"] = None if values["ring"] is None else tuple(values["ring"])
+        values["replaces"] = tuple(values["replaces"] or ())
+        values["whole"] = values["whole"] is not False
         return LogRow(**values)
 
+    def to_json(self) -> str:
+        now = dt.datetime.now(dt.timezone.utc).isoformat()
+        return json.dumps({"kind": "load", "published_at": now} | {f.name: getattr(self, f.name) for f in fields(self)})
+
     @property
     def distinct_keys(self) -> bool:
         return self.keys is not None and self.keys == self.rows
@@ -132,12 +171,11 @@ class KeyedStore:
                 raise ValueError(f"{name!r} is not a name of letters, digits and '_'")
         return f"{self.root}/{keyspace}/{table}"
 
-    def data_path(self, spec: TableSpec, load_id: str | None = None) -> str:
+    def data_path(self, spec: TableSpec, load_id: str | None = None, attempt: str | None = None) -> str:
         base = f"{self.table_path(spec.keyspace, spec.name)}/data"
-        return base if load_id is None else f"{base}/{LOAD_ID}={load_id}"
-
-    def rejects_path(self, spec: TableSpec, load_id: str) -> str:
-        return f"{self.table_path(spec.keyspace, spec.name)}/rejects/{LOAD_ID}={load_id}"
+        if load_id is None:
+            return base
+        return f"{base}/{LOAD_ID}={load_id}" + (f"/{ATTEMPT}={attempt}" if attempt else "")
 
     # -- table definitions -------------------------------------------------------------------
 
@@ -173,40 +211,78 @@ class KeyedStore:
 
     # -- log of published loads --------------------------------------------------------------
 
-    def log(self, spec: TableSpec) -> DataFrame:
-        """Published loads, one row each. A load published twice by a replay counts once."""
-        return self._log_files(spec).dropDuplicates([LOAD_ID])
+    def commits(self, spec: TableSpec) -> CommitLog:
+        return CommitLog(self.spark, f"{self.table_path(spec.keyspace, spec.name)}/commits", ENTRY_SCHEMA)
+
+    def entries(self, spec: TableSpec) -> tuple[DataFrame, int]:
+        """All entries of the log, and the number of the last."""
+        found, last = self.commits(spec).read()
+        parts = [found] if found is not None else []
+        earlier = Folder(self.spark, f"{self.table_path(spec.keyspace, spec.name)}/log")
+        if earlier.exists():
+            rows = self.spark.read.schema(LOG_SCHEMA).parquet(earlier.path).dropDuplicates([LOAD_ID])
+            parts.append(rows.withColumn("kind", F.lit("load")))
+        if not parts:
+            return self.spark.createDataFrame([], ENTRY_SCHEMA), last
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts), last
+
+    def summed(self, entries: DataFrame) -> DataFrame:
+        """The entries as they stand now: loads that others replaced are gone, since then."""
+        loads = entries.where("kind = 'load'")
+        replaced = loads.select(F.explode("replaces").alias(LOAD_ID), F.col("published_at").alias("_since"))
+        live = loads.join(replaced, LOAD_ID, "left_anti").withColumn("replaces", F.array().cast("array<string>"))
+        gone = loads.join(replaced, LOAD_ID).withColumn("published_at", F.col("_since")).withColumn("kind", F.lit("gone"))
+        columns = ENTRY_SCHEMA.names
+        out = live.select(columns).unionByName(gone.select(columns).withColumn("replaces", F.lit(None).cast("array<string>")))
+        return out.unionByName(entries.where("kind <> 'load'").select(columns))
 
-    def _log_files(self, spec: TableSpec) -> DataFrame:
-        try:
-            return self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.table_path(spec.keyspace, spec.name)}/log")
-        except AnalysisException as e:
-            # The first publication makes the log.
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], LOG_SCHEMA)
+    def log(self, spec: TableSpec) -> DataFrame:
+        """Published loads, one row each, without those that others have replaced."""
+        return self.summed(self.entries(spec)[0]).where("kind = 'load'").select(LOG_SCHEMA.names)
 
     def published(self, spec: TableSpec) -> list[LogRow]:
         """The published loads as driver objects: one row of metadata per load, however many there are."""
-        return list({r[LOAD_ID]: LogRow.from_row(r) for r in self._log_files(spec).collect()}.values())
+        rows = self.entries(spec)[0].where("kind = 'load'").collect()
+        replaced = {i for r in rows for i in r["replaces"] or ()}
+        return list({r[LOAD_ID]: LogRow.from_row(r) for r in rows if r[LOAD_ID] not in replaced}.values())
 
     def is_published(self, spec: TableSpec, load_id: str) -> bool:
-        return bool(self._log_files(spec).where(F.col(LOAD_ID) == load_id).limit(1).count())
+        """Whether a load of that id was ever published, replaced or not."""
+        return bool(self.entries(spec)[0].where(F.col(LOAD_ID) == load_id).limit(1).count())
 
     def publish(self, spec: TableSpec, row: LogRow) -> None:
-        """Make a written load visible: append its row to the log. One small file, one rename."""
-        values = {f.name: getattr(row, f.name) for f in fields(LogRow)}
-        columns = []
-        for f in LOG_SCHEMA.fields:
-            if f.name == "published_at":
-                value = F.current_timestamp()
-            elif values[f.name] is not None and isinstance(f.dataType, T.ArrayType):
-                value = F.array(*[F.lit(v) for v in values[f.name]])
-            else:
-                value = F.lit(values[f.name])
-            columns.append(value.cast(f.dataType).alias(f.name))
-        one = self.spark.range(1, numPartitions=1).select(*columns)
-        one.write.mode("append").parquet(f"{self.table_path(spec.keyspace, spec.name)}/log")
+        """Make a written load visible: one entry of the log, which also takes away the loads it replaces.
+
+        Publishing an attempt again changes nothing. Raises ``AlreadyPublished`` when another attempt of the load's id was
+        first, and ``LoadError`` when a load to replace is no longer there or a clean-up has given the attempt up.
+        """
+        ids = [F.lit(i) for i in (row.load_id, *row.replaces)]
+        given_up = F.exists("abandoned", lambda a: a == F.lit(row.attempt or ""))
+        touched = F.col(LOAD_ID).isin(ids) | F.exists("replaces", lambda i: i.isin(ids)) | given_up
+        while True:
+            entries, last = self.entries(spec)
+            found = (entries.where(touched) if len(ids) <= 1000 else entries).select(
+                "kind", LOAD_ID, "attempt", "replaces", "abandoned"
+            ).collect()
+            replaced = {i for r in found for i in r["replaces"] or ()} | {r[LOAD_ID] for r in found if r["kind"] == "gone"}
+            known = {r[LOAD_ID]: r["attempt"] for r in found if r["kind"] in ("load", "gone")}
+            if row.load_id in known:
+                if known[row.load_id] == row.attempt:
+                    return
+                raise AlreadyPublished(f"load {row.load_id} of {spec.full_name} is published already")
+            if any(row.attempt in (r["abandoned"] or ()) for r in found):
+                raise LoadError(f"load {row.load_id} of {spec.full_name} was cleaned up before it was published")
+            missing = [i for i in row.replaces if i not in known or i in replaced]
+            if missing:
+                raise LoadError(f"{spec.full_name}: loads {', '.join(missing[:5])} were replaced meanwhile")
+            if self.commits(spec).add(last + 1, row.to_json()):
+                return
+
+    def drop_attempt(self, spec: TableSpec, load_id: str, attempt: str) -> None:
+        """Removes the files of an attempt that will not be published."""
+        data = Folder(self.spark, self.data_path(spec))
+        data.remove(f"{LOAD_ID}={load_id}/{ATTEMPT}={attempt}")
+        data.remove_if_empty(f"{LOAD_ID}={load_id}")
 
     # -- data --------------------------------------------------------------------------------
 
@@ -214,10 +290,24 @@ class KeyedStore:
         """Columns of a mutation row. Columns a load did not write read as null."""
         return T.StructType(spec.schema.fields + MUTATION_FIELDS.fields)
 
-    def loads(self, spec: TableSpec, load_ids: list[str]) -> DataFrame:
-        """Mutation rows of the named loads; other load directories are not even listed."""
-        schema = self.read_schema(spec)
-        if not load_ids:
-            return self.spark.createDataFrame([], schema)
-        paths = [self.data_path(spec, i) for i in load_ids]
-        return self.spark.read.schema(schema).option("basePath", self.data_path(spec)).parquet(*paths)
+    def loads(self, spec: TableSpec, loads: Sequence[LogRow | str]) -> DataFrame:
+        """Mutation rows of loads, given as rows of the log or by the ids of published ones; no other directory is listed."""
+        named = {i for i in loads if isinstance(i, str)}
+        rows = [r for r in loads if isinstance(r, LogRow)]
+        if named:
+            rows += [r for r in self.published(spec) if r.load_id in named]
+        parts = []
+        for earlier in (False, True):
+            some = [r for r in rows if (r.attempt is None) == earlier]
+            if some:
+                schema = self.read_schema(spec)
+                if not earlier:
+                    schema = T.StructType([*schema.fields, T.StructField(ATTEMPT, T.StringType())])
+                paths = [self.data_path(spec, r.load_id, r.attempt) for r in some]
+                found = self.spark.read.schema(schema).option("basePath", self.data_path(spec)).parquet(*paths)
+                if any(r.rejected for r in some):
+                    found = found.where(F.col(BUCKET) >= 0)
+                parts.append(found.drop(ATTEMPT))
+        if not parts:
+            return self.spark.createDataFrame([], self.read_schema(spec))
+        return reduce(DataFrame.unionByName, parts)

@@ -16,7 +16,9 @@ WRITTEN = "_set"  # columns a partial load has written, null = all columns
 TOKEN = "_token"  # placement token of the partition key
 BUCKET = "_bucket"  # token range that owns the row, a directory level on disk
 LOAD_ID = "load_id"  # load that wrote the row, a directory level on disk
-SYSTEM_COLUMNS = (WTS, EXPIRES, WRITTEN, TOKEN, BUCKET, LOAD_ID)
+ATTEMPT = "_attempt"  # attempt whose files are published, a directory level on disk
+REJECTED = "_rejected"  # a row that was set aside, as it came in
+SYSTEM_COLUMNS = (WTS, EXPIRES, WRITTEN, TOKEN, BUCKET, LOAD_ID, ATTEMPT, REJECTED)
 
 PARTITIONERS = ("hash", "md5", "ordered")
 BAD_VALUE_MODES = ("fail", "reject")
@@ -31,6 +33,10 @@ class LoadError(Exception):
     """A load or a read could not be carried out."""
 
 
+class AlreadyPublished(LoadError):
+    """Another attempt of the load was published first."""
+
+
 class TableNotFound(LoadError):
     """The named table has not been created in this store."""
 

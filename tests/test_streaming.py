@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -56,18 +58,19 @@ def test_replayed_batch_is_loaded_once(spark, store, numbers, tmp_path):
     assert read_table(store, "test", "numbers").count() == 400
 
 
-def test_a_single_load_refuses_a_cap(spark, store, numbers):
+def test_a_cap_of_the_session_holds_for_a_single_load(spark, store, numbers):
     spec, path = numbers
     df = spark.read.parquet(path)
-    with pytest.raises(LoadError, match="cannot be capped"):
-        bulk_load(store, df, "test", "numbers", conf=LoadConf(bytes_per_trigger=1))
-    spark.conf.set("spark.keyedload.bytesPerTrigger", "1")
+    started = time.monotonic()
+    spark.conf.set("spark.keyedload.bytesPerTrigger", str(400 * 16 // 2))
+    spark.conf.set("spark.keyedload.triggerSeconds", "3")
     try:
-        with pytest.raises(LoadError, match="cannot be capped"):
-            bulk_load(store, df, "test", "numbers")
+        assert bulk_load(store, df, "test", "numbers").rows == 400
     finally:
         spark.conf.unset("spark.keyedload.bytesPerTrigger")
-    assert store.log(spec).count() == 0
+        spark.conf.unset("spark.keyedload.triggerSeconds")
+    assert time.monotonic() - started > 3
+    assert store.log(spec).count() == 1 and read_table(store, "test", "numbers").count() == 400
 
 
 def test_a_published_load_is_passed_over_on_demand(spark, store, numbers):

@@ -44,6 +44,9 @@ def token(
     """Token column of a partitioner; None where the key itself is the token."""
     if partitioner == "hash":
         return hash_token(partition_key)
+    if partitioner == "bucketed":
+        # What Spark's buckets are made of.
+        return F.hash(*[col(c) for c in partition_key]).cast("bigint")
     if partitioner == "md5":
         return md5_token(partition_key, instants, floats)
     return None

@@ -8,6 +8,7 @@ files, without another shuffle; the target gets no more than a slice in one inte
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from time import monotonic, sleep
 
@@ -90,8 +91,8 @@ def _pieces(staged: DataFrame, cap: int) -> list[Piece]:
     return done
 
 
-def capped_write(rows: DataFrame, spec: TableSpec, path: str, conf: LoadConf, wanted: dict[str, Column]) -> dict:
-    """Writes ``rows``, which are placed, to ``path`` in slices of at most ``conf.bytes_per_trigger`` bytes, one in every
+def capped_write(rows: DataFrame, spec: TableSpec, write: Callable[[DataFrame], None], conf: LoadConf, wanted: dict[str, Column]) -> dict:
+    """Has ``rows``, which are placed, written in slices of at most ``conf.bytes_per_trigger`` bytes, one in every
     ``conf.trigger_seconds``. Returns the totals asked for."""
     spark = rows.sparkSession
     cap, scratch = conf.bytes_per_trigger, scratch_root(spark)
@@ -109,7 +110,7 @@ def capped_write(rows: DataFrame, spec: TableSpec, path: str, conf: LoadConf, wa
     staged = staged.withColumn(RANGE, (F.col(BUCKET) * ranges + F.shiftright(at, 20)).cast("int"))
     slices = planned(_pieces(staged, cap), cap)
     if not slices:
-        staged.drop(ID, BYTES, RANGE).write.partitionBy(BUCKET).parquet(path)
+        write(staged)
         return seen
     plan = [(p.range, p.part, p.parts, i) for i, s in enumerate(slices) for p in s]
     parts = spark.createDataFrame([(r, n) for r, n in {(r, n) for r, _, n, _ in plan}], f"{RANGE} int, parts int")
@@ -123,5 +124,5 @@ def capped_write(rows: DataFrame, spec: TableSpec, path: str, conf: LoadConf, wa
         sleep(max(0.0, due - monotonic()))
         due = max(due, monotonic()) + conf.trigger_seconds
         part = spark.read.schema(data).parquet(f"{scratch}/slices/_only_slice={i}")
-        part.sortWithinPartitions(*sort_order(spec, conf)).write.mode("append").partitionBy(BUCKET).parquet(path)
+        write(part.sortWithinPartitions(*sort_order(spec, conf)))
     return seen

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keyedload.functions.names import col
-from keyedload.operators.load import write_attempt
+from keyedload.operators.load import hot_buckets, write_attempt
 from keyedload.operators.place import ASIDE, bucket_count, clustered
 from keyedload.operators.resolve import NEVER, Facts, by_key, cell, comparable, facts_of, from_comparable
 from keyedload.sources.commits import Folder
@@ -93,6 +93,8 @@ def compact_loads(
             whole=seen["partial"] == 0,
             replaces=tuple(r.load_id for r in chosen),
         )
+        if conf.partitioner == "bucketed":
+            entry = replace(entry, hot=hot_buckets(store, spec, entry))
         store.publish(spec, entry)
     except BaseException:
         store.drop_attempt(spec, load_id, attempt)
@@ -145,7 +147,7 @@ def sum_up(store: KeyedStore, spec: TableSpec, least: int = CHECKPOINT_ENTRIES)
 
 
 def clean_up(store: KeyedStore, keyspace: str, table: str, grace_seconds: int = GRACE_SECONDS) -> list[str]:
-    """Remove load directories that no reader can need, and return their paths below the table's data.
+    """Remove load directories that no reader can need, and return their paths below the table's.
 
     These are of failed attempts and loads never published, once nothing in them has changed for ``grace_seconds``, and of
     loads replaced longer ago than that. The grace must be longer than the longest load and the longest read. An attempt is
@@ -154,7 +156,7 @@ def clean_up(store: KeyedStore, keyspace: str, table: str, grace_seconds: int =
     """
     spec = store.spec(keyspace, table)
     before = int((time.time() - grace_seconds) * 1000)
-    folder = Folder(store.spark, store.data_path(spec))
+    folder = Folder(store.spark, store.table_path(keyspace, table))
     while True:
         entries, last = store.entries(spec)
         listed = store.spark.createDataFrame(_listed(folder), f"{LOAD_ID} string, attempt string, name string")
@@ -175,12 +177,13 @@ def clean_up(store: KeyedStore, keyspace: str, table: str, grace_seconds: int =
     for r in gone + given_up:
         if r.rejected:
             inside = Folder(store.spark, f"{folder.path}/{r.name}")
+            # Files in Spark's buckets hold both.
             buckets = [n for n in inside.list().names if n.startswith(f"{BUCKET}=") and n != f"{BUCKET}={ASIDE}"]
             removed += [f"{r.name}/{n}" for n in buckets if inside.remove(n)]
         elif folder.remove(r.name):
             removed.append(r.name)
             if r.attempt:
-                folder.remove_if_empty(f"{LOAD_ID}={r[LOAD_ID]}")
+                folder.remove_if_empty(r.name.rsplit("/", 1)[0])
     sum_up(store, spec)
     store.commits(spec).remove_before(before)
     return sorted(removed)
@@ -189,12 +192,14 @@ def clean_up(store: KeyedStore, keyspace: str, table: str, grace_seconds: int =
 def _listed(folder: Folder) -> list[tuple[str, str, str]]:
     """Load, attempt and path of every load directory; loads of the earlier layout have no attempts."""
     out = []
-    for name in folder.list().names:
-        if name.startswith(f"{LOAD_ID}="):
-            inside = Folder(folder.spark, f"{folder.path}/{name}").list().names
-            attempts = [n for n in inside if n.startswith(f"{ATTEMPT}=")]
-            load_id = name.removeprefix(f"{LOAD_ID}=")
-            out += [(load_id, n.removeprefix(f"{ATTEMPT}="), f"{name}/{n}") for n in attempts]
-            if len(attempts) < len(inside):
-                out.append((load_id, "", name))
+    for root in ("data", "buckets"):
+        for name in Folder(folder.spark, f"{folder.path}/{root}").list().names:
+            if name.startswith(f"{LOAD_ID}="):
+                path = f"{root}/{name}"
+                inside = Folder(folder.spark, f"{folder.path}/{path}").list().names
+                attempts = [n for n in inside if n.startswith(f"{ATTEMPT}=")]
+                load_id = name.removeprefix(f"{LOAD_ID}=")
+                out += [(load_id, n.removeprefix(f"{ATTEMPT}="), f"{path}/{n}") for n in attempts]
+                if len(attempts) < len(inside):
+                    out.append((load_id, "", path))
     return out

@@ -22,8 +22,11 @@ from keyedload.operators.contract import bind_by_position, check_input, selected
 from keyedload.operators.options import has_ttl, per_row_options, with_static_options
 from keyedload.operators.capped import capped_write
 from keyedload.operators.place import ASIDE, bucket_count, clustered
-from keyedload.sources.store import KeyedStore, LogRow, check_load_id, new_load_id
-from keyedload.spec import BUCKET, REJECTED, WTS, AlreadyPublished, LoadConf, LoadError, TableSpec
+from keyedload.sources.store import KeyedStore, LogRow, catalog_name, check_load_id, new_load_id
+from keyedload.spec import BUCKET, REJECTED, TOKEN, WTS, AlreadyPublished, LoadConf, LoadError, TableSpec
+
+# A bucket is hot from so many times the rows of an even one; at most one in so many is.
+HOT_FACTOR = 4
 
 Mapper = Callable[[DataFrame], DataFrame]
 
@@ -98,6 +101,8 @@ def bulk_load(
         if conf.count_keys and entry.rows:
             keys, most_versions = count_keys(store, spec, entry)
             entry = replace(entry, keys=keys, most_versions=most_versions)
+            if conf.partitioner == "bucketed":
+                entry = replace(entry, hot=hot_buckets(store, spec, entry))
         entry = replace(entry, seconds=time.monotonic() - started)
         if publish:
             store.publish(spec, entry)
@@ -158,13 +163,23 @@ def write_attempt(
 ) -> dict:
     """Writes the rows of an attempt, and returns their totals."""
     wanted = totals(rows) | (more or {})
-    path = store.data_path(spec, load_id, attempt)
-    if conf.throttled:
-        return capped_write(rows, spec, path, conf, wanted)
-    metrics = Observation()
-    observed = rows.observe(metrics, *[c.alias(name) for name, c in wanted.items()])
-    observed.drop(*[c for c in rows.columns if c.startswith("_only_")]).write.partitionBy(BUCKET).parquet(path)
-    return metrics.get
+    path = store.data_path(spec, load_id, attempt, conf.partitioner)
+    with catalog_name(store.spark) as name:
+
+        def write(df: DataFrame) -> None:
+            writer = df.drop(*[c for c in df.columns if c.startswith("_only_")]).write.mode("append")
+            if conf.partitioner == "bucketed":
+                order = [TOKEN, *spec.key]
+                writer = writer.format("parquet").bucketBy(conf.buckets, *spec.partition_key).sortBy(*order)
+                writer.option("path", path).saveAsTable(name)
+            else:
+                writer.partitionBy(BUCKET).parquet(path)
+
+        if conf.throttled:
+            return capped_write(rows, spec, write, conf, wanted)
+        metrics = Observation()
+        write(rows.observe(metrics, *[c.alias(n) for n, c in wanted.items()]))
+        return metrics.get
 
 
 def count_keys(store: KeyedStore, spec: TableSpec, entry: LogRow) -> tuple[int, int]:
@@ -177,13 +192,22 @@ def count_keys(store: KeyedStore, spec: TableSpec, entry: LogRow) -> tuple[int,
     return found[0], found[1]
 
 
+def hot_buckets(store: KeyedStore, spec: TableSpec, entry: LogRow) -> tuple[int, ...]:
+    """Buckets of a load with many times the rows of an even one; one column is read."""
+    counts = store.loads(spec, [entry]).groupBy(BUCKET).agg(F.count(F.lit(1)).alias("n"))
+    even = -(-entry.rows // entry.buckets)
+    found = counts.where(F.col("n") > HOT_FACTOR * even).select(BUCKET).collect()
+    return tuple(sorted(r[BUCKET] for r in found))
+
+
 def read_rejects(store: KeyedStore, keyspace: str, table: str, load_id: str) -> DataFrame:
     """Rows a published load has set aside, as they came in, with the names of their bad columns; also after a compaction."""
     spec = store.spec(keyspace, table)
-    entry = store.entries(spec)[0].where(F.col("load_id") == load_id).select("attempt").first()
+    entry = store.entries(spec)[0].where(F.col("load_id") == load_id).select("attempt", "partitioner").first()
     if entry is None:
         raise LoadError(f"load {load_id} of {spec.full_name} is not published")
-    rows = store.spark.read.option("basePath", store.data_path(spec)).parquet(store.data_path(spec, load_id, entry.attempt))
+    base = store.data_path(spec, partitioner=entry.partitioner)
+    rows = store.spark.read.option("basePath", base).parquet(store.data_path(spec, load_id, entry.attempt, entry.partitioner))
     if REJECTED not in rows.columns:
         raise LoadError(f"load {load_id} of {spec.full_name} could set no rows aside")
     return rows.where(F.col(BUCKET) == ASIDE).select(f"{REJECTED}.*")

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from keyedload.functions.names import col
 from keyedload.functions.tokens import even_range, ring_range, split_range, token
-from keyedload.spec import BUCKET, REJECTED, TOKEN, LoadConf, TableSpec
+from keyedload.spec import BUCKET, REJECTED, TOKEN, LoadConf, LoadError, TableSpec
 
 SLICE = "_slice"
 # Bucket of rows that a load sets aside.
@@ -33,6 +33,11 @@ def with_placement(df: DataFrame, spec: TableSpec, conf: LoadConf) -> DataFrame:
     kinds = {c: spec.type_of(c) for c in spec.partition_key}
     floats = {c: t.simpleString() for c, t in kinds.items() if isinstance(t, (T.FloatType, T.DoubleType))}
     df = df.withColumn(TOKEN, token(conf.partitioner, spec.partition_key, instants, floats))
+    if conf.partitioner == "bucketed":
+        if floats:
+            raise LoadError(f"{spec.full_name}: a key of type float or double has no Spark buckets")
+        bucket = F.pmod(F.col(TOKEN), F.lit(conf.buckets)).cast("int")
+        return df.withColumn(BUCKET, bucket).withColumn(SLICE, _key_slice(spec, k))
     if conf.ring is not None:
         return df.withColumn(BUCKET, ring_range(F.col(TOKEN), conf.ring)).withColumn(SLICE, _key_slice(spec, k))
     # Slices of an even bucket are token ranges too, so files of one bucket overlap less. Adaptive execution joins small ones.
@@ -56,7 +61,7 @@ def sort_order(spec: TableSpec, conf: LoadConf) -> list[Column]:
     if conf.partitioner != "ordered":
         order.append(F.col(TOKEN).asc())
     order += [col(c).asc() for c in spec.partition_key]
-    order += [col(c).asc() if d == "asc" else col(c).desc() for c, d in spec.clustering]
+    order += [col(c).asc() if d == "asc" or conf.partitioner == "bucketed" else col(c).desc() for c, d in spec.clustering]
     return order
 
 
@@ -72,7 +77,9 @@ def clustered(df: DataFrame, spec: TableSpec, conf: LoadConf) -> DataFrame:
         placed = placed.withColumn(BUCKET, F.when(aside, F.lit(ASIDE)).otherwise(F.col(BUCKET)))
     if df.sparkSession.conf.get("spark.sql.adaptive.enabled") != "true":
         warnings.warn("adaptive execution is off: one task writes each slice, however large a key makes it", stacklevel=3)
-    return placed.hint("rebalance", F.col(SLICE)).sortWithinPartitions(*sort_order(spec, conf)).drop(SLICE)
+    dealt = placed.hint("rebalance", F.col(SLICE))
+    # A write of Spark's buckets sorts by itself.
+    return (dealt if conf.partitioner == "bucketed" else dealt.sortWithinPartitions(*sort_order(spec, conf))).drop(SLICE)
 
 
 def bucket_count(conf: LoadConf) -> int:

@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 from keyedload.functions.names import col
 from keyedload.operators.prune import only_partition
 from keyedload.sources.store import KeyedStore, LogRow
-from keyedload.spec import EXPIRES, LOAD_ID, WRITTEN, WTS, LoadError, TableSpec
+from keyedload.spec import BUCKET, EXPIRES, LOAD_ID, WRITTEN, WTS, LoadError, TableSpec
 
 NEVER = 2**63 - 1
 STRATEGIES = ("auto", "direct", "overlay", "latest", "tied", "newest", "cells")
@@ -84,6 +84,7 @@ class Facts:
     other_rows: int = 0
     others_hide_base: bool = False  # newer throughout, and of the same columns
     few_other_keys: bool = False  # proven to fit into memory
+    together: bool = False  # rows of a partition key are read by one task
 
 
 def facts_of(spec: TableSpec, loads: list[LogRow]) -> Facts:
@@ -156,8 +157,26 @@ def read_table(
 ) -> DataFrame:
     """Current rows of a table at ``as_of`` (epoch seconds, default now)."""
     spec = store.spec(keyspace, table)
-    rows, facts = published_rows(store, spec)
-    return resolve(rows, spec, facts, as_of, strategy)
+    as_of = int(time.time()) if as_of is None else as_of
+    loads = [r for r in store.published(spec) if r.rows]
+    rows, facts = _rows_of(store, spec, loads)
+    chosen = allowed_strategies(facts)[0] if strategy == "auto" else strategy
+    if chosen in ("direct", "overlay") or not merged_by_bucket(loads):
+        return resolve(rows, spec, facts, as_of, strategy)
+    # Equally placed loads are merged bucket by bucket. Hot buckets are too much for one task each; their rows are shuffled.
+    hot = sorted({b for r in loads for b in r.hot})
+    even = store.bucketed(spec, loads)
+    if not hot:
+        return resolve(even, spec, replace(facts, together=True), as_of, strategy)
+    is_hot = F.col(BUCKET).isin(hot)
+    out = resolve(even.where(~is_hot), spec, replace(facts, together=True), as_of, strategy)
+    return out.unionByName(resolve(rows.where(is_hot), spec, facts, as_of, strategy))
+
+
+def merged_by_bucket(loads: list[LogRow]) -> bool:
+    """Whether all loads lie in equally many Spark buckets, of which the hot ones are known."""
+    placed = {(r.partitioner, r.buckets, r.hot is None) for r in loads}
+    return len(placed) == 1 and placed <= {("bucketed", r.buckets, False) for r in loads}
 
 
 def published_rows(store: KeyedStore, spec: TableSpec) -> tuple[DataFrame, Facts]:
@@ -224,7 +243,7 @@ def _overlay(rows: DataFrame, spec: TableSpec, facts: Facts, as_of: int) -> Data
 
 def by_key(rows: DataFrame, spec: TableSpec, facts: Facts) -> GroupedData:
     key = [col(c) for c in spec.key]
-    if facts.few_versions:
+    if facts.few_versions and not facts.together:
         rows = rows.repartition(*key)
     return rows.groupBy(*key)
 

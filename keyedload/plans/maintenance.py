@@ -112,3 +112,33 @@ def rejects_of_one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
     aside = read_rejects(table.store, KEYSPACE, table.spec.name, entry.load_id)
     both = table.read().select("o_orderkey").unionByName(aside.select("o_orderkey"))
     return orders.agg(F.count("*").alias("all_rows")).crossJoin(both.agg(F.countDistinct("o_orderkey").alias("loaded_or_rejected")))
+
+
+@query("bucketed_merge", _THIRDS_SQL)
+def bucketed_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three loads in equally many Spark buckets, one of them partial: merged bucket by bucket, without a shuffle."""
+    events = stamped_events(spark, sf_dir)
+    table = events_table(spark, events.drop("w"))
+    for i in range(3):
+        columns = [c for c in events.columns if c not in ("w", "props")] if i == 2 else None
+        table.load(events.where(F.col("event_id") % 3 == i), columns, LoadConf("bucketed", timestamp="w"))
+    return table.read()
+
+
+@query(
+    "bucketed_hot_key",
+    f"""SELECT 7 AS l_orderkey, CAST(l_orderkey * 10 + l_linenumber AS BIGINT) AS line, max(l_quantity) + 1 AS l_quantity
+        FROM lineitem WHERE l_orderkey % 3 = 0 GROUP BY 2
+        UNION ALL
+        SELECT l_orderkey, CAST(l_orderkey * 10 + l_linenumber AS BIGINT), max(l_quantity) + 1
+        FROM lineitem WHERE l_orderkey % 3 <> 0 GROUP BY 1, 2""",
+)
+def bucketed_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A partition key with a third of all rows: its bucket is merged apart, by a shuffle, the others without one."""
+    lineitem = source(spark, sf_dir, "lineitem")
+    key = F.when(F.col("l_orderkey") % 3 == 0, F.lit(7)).otherwise(F.col("l_orderkey")).cast("bigint")
+    rows = lineitem.select(key.alias("l_orderkey"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("line"), "l_quantity")
+    table = Table(spark, "lines", rows.schema, ("l_orderkey",), ("line",))
+    for i in (0, 1):
+        table.load(rows.withColumn("l_quantity", F.col("l_quantity") + i), conf=LoadConf("bucketed"), load_epoch=EPOCH + i)
+    return table.read(EPOCH + 9)

@@ -2,6 +2,7 @@
 
     <root>/<keyspace>/<table>/spec                     table definition, one JSON line
     <root>/<keyspace>/<table>/data/load_id=<id>/_attempt=<attempt>/_bucket=<b>/*.parquet
+    <root>/<keyspace>/<table>/buckets/load_id=<id>/_attempt=<attempt>/*.parquet    loads in Spark's buckets
     <root>/<keyspace>/<table>/commits/<number>.json    one entry per publication, compaction or clean-up
 
 Data is written by Spark's own committers, every attempt in a directory of its own, so no attempt touches another's files.
@@ -17,7 +18,8 @@ import json
 import re
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, fields
 from functools import reduce
 
@@ -70,6 +72,7 @@ ENTRY_SCHEMA = (
     .add("whole", T.BooleanType())
     .add("replaces", T.ArrayType(T.StringType()))
     .add("abandoned", T.ArrayType(T.StringType()))
+    .add("hot", T.ArrayType(T.IntegerType()))
 )
 
 MUTATION_FIELDS = (
@@ -108,6 +111,7 @@ class LogRow:
     attempt: str | None = None  # directory of the load's files
     whole: bool = True  # every row has written all of ``columns``
     replaces: tuple[str, ...] = ()  # loads this one was made of
+    hot: tuple[int, ...] | None = None  # buckets with far more rows than others, where they were counted
 
     @staticmethod
     def from_row(row: Row) -> LogRow:
@@ -116,6 +120,7 @@ class LogRow:
         values["ring"] = None if values["ring"] is None else tuple(values["ring"])
         values["replaces"] = tuple(values["replaces"] or ())
         values["whole"] = values["whole"] is not False
+        values["hot"] = None if values["hot"] is None else tuple(values["hot"])
         return LogRow(**values)
 
     def to_json(self) -> str:
@@ -157,6 +162,25 @@ def scratch_root(spark: SparkSession) -> str:
     return f"{shared.rstrip('/')}/keyedload-{app}/{uuid.uuid4().hex}"
 
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+@contextmanager
+def catalog_name(spark: SparkSession) -> Iterator[str]:
+    """A name in the session's catalog for a table at a path, which is only forgotten afterwards: its files stay."""
+    name = f"keyedload_{uuid.uuid4().hex}"
+    try:
+        yield name
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def _depth(row: LogRow) -> int:
+    """How the files of a load lie: 1 in its attempt, 2 in its buckets, 3 in buckets without an attempt."""
+    return 3 if row.attempt is None else 1 if row.partitioner == "bucketed" else 2
+
+
 class KeyedStore:
     """A root directory with keyed tables."""
 
@@ -171,8 +195,11 @@ class KeyedStore:
                 raise ValueError(f"{name!r} is not a name of letters, digits and '_'")
         return f"{self.root}/{keyspace}/{table}"
 
-    def data_path(self, spec: TableSpec, load_id: str | None = None, attempt: str | None = None) -> str:
-        base = f"{self.table_path(spec.keyspace, spec.name)}/data"
+    def data_path(
+        self, spec: TableSpec, load_id: str | None = None, attempt: str | None = None, partitioner: str | None = None
+    ) -> str:
+        # Spark's buckets are files of an attempt, not directories, and are found apart from these.
+        base = f"{self.table_path(spec.keyspace, spec.name)}/{'buckets' if partitioner == 'bucketed' else 'data'}"
         if load_id is None:
             return base
         return f"{base}/{LOAD_ID}={load_id}" + (f"/{ATTEMPT}={attempt}" if attempt else "")
@@ -280,9 +307,10 @@ class KeyedStore:
 
     def drop_attempt(self, spec: TableSpec, load_id: str, attempt: str) -> None:
         """Removes the files of an attempt that will not be published."""
-        data = Folder(self.spark, self.data_path(spec))
-        data.remove(f"{LOAD_ID}={load_id}/{ATTEMPT}={attempt}")
-        data.remove_if_empty(f"{LOAD_ID}={load_id}")
+        for partitioner in (None, "bucketed"):
+            data = Folder(self.spark, self.data_path(spec, partitioner=partitioner))
+            data.remove(f"{LOAD_ID}={load_id}/{ATTEMPT}={attempt}")
+            data.remove_if_empty(f"{LOAD_ID}={load_id}")
 
     # -- data --------------------------------------------------------------------------------
 
@@ -297,17 +325,37 @@ class KeyedStore:
         if named:
             rows += [r for r in self.published(spec) if r.load_id in named]
         parts = []
-        for earlier in (False, True):
-            some = [r for r in rows if (r.attempt is None) == earlier]
+        # Directories of one depth can be read together.
+        for depth in (1, 2, 3):
+            some = [r for r in rows if _depth(r) == depth]
             if some:
                 schema = self.read_schema(spec)
-                if not earlier:
+                if depth < 3:
                     schema = T.StructType([*schema.fields, T.StructField(ATTEMPT, T.StringType())])
-                paths = [self.data_path(spec, r.load_id, r.attempt) for r in some]
-                found = self.spark.read.schema(schema).option("basePath", self.data_path(spec)).parquet(*paths)
+                kind = some[0].partitioner if depth == 1 else None
+                paths = [self.data_path(spec, r.load_id, r.attempt, kind) for r in some]
+                found = self.spark.read.schema(schema).option("basePath", self.data_path(spec, partitioner=kind)).parquet(*paths)
                 if any(r.rejected for r in some):
                     found = found.where(F.col(BUCKET) >= 0)
                 parts.append(found.drop(ATTEMPT))
         if not parts:
             return self.spark.createDataFrame([], self.read_schema(spec))
         return reduce(DataFrame.unionByName, parts)
+
+    def bucketed(self, spec: TableSpec, loads: Sequence[LogRow]) -> DataFrame:
+        """Mutation rows of loads in equally many Spark buckets, read bucket by bucket: rows of a partition key are together.
+
+        Spark knows buckets by tables of its catalog, so the directory is one for a moment. All its load directories are
+        listed, only the files of ``loads`` are read.
+        """
+        schema = T.StructType([*self.read_schema(spec).fields, T.StructField(ATTEMPT, T.StringType())])
+        with catalog_name(self.spark) as name:
+            columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in schema)
+            key = ", ".join(quoted(c) for c in spec.partition_key)
+            path = self.data_path(spec, partitioner="bucketed").replace("'", "\\'")
+            # Loads and attempts are found as partitions when the table is read; the catalog knows none, and can forget it.
+            buckets = f"CLUSTERED BY ({key}) INTO {loads[0].buckets} BUCKETS"
+            self.spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {buckets} LOCATION '{path}'")
+            rows = self.spark.table(name)
+            wanted = F.col(LOAD_ID).isin([r.load_id for r in loads]) & F.col(ATTEMPT).isin([r.attempt for r in loads])
+            return rows.where(wanted & (F.col(BUCKET) >= 0)).select(*map(quoted, self.read_schema(spec).names))

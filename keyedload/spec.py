@@ -20,7 +20,7 @@ ATTEMPT = "_attempt"  # attempt whose files are published, a directory level on
 REJECTED = "_rejected"  # a row that was set aside, as it came in
 SYSTEM_COLUMNS = (WTS, EXPIRES, WRITTEN, TOKEN, BUCKET, LOAD_ID, ATTEMPT, REJECTED)
 
-PARTITIONERS = ("hash", "md5", "ordered")
+PARTITIONERS = ("hash", "md5", "ordered", "bucketed")
 BAD_VALUE_MODES = ("fail", "reject")
 
 # A session setting with this value means "no limit" / "no expiry".
@@ -146,7 +146,9 @@ class LoadConf:
 
     ``partitioner`` chooses the token: ``hash`` (64-bit hash of the partition key), ``md5`` (top
     60 bits of its digest) or ``ordered`` (the key itself, cut at ``split_points``). Tokens fall
-    into ``buckets`` equal ranges, or into the ranges that start at the ``ring`` bounds.
+    into ``buckets`` equal ranges, or into the ranges that start at the ``ring`` bounds. With ``bucketed`` the files of every
+    load are Spark's buckets of the partition key: loads with equally many are merged bucket by bucket, without a shuffle.
+    Their keys are ascending in the files, whatever the clustering order.
     ``writers_per_bucket`` cuts every bucket further, so that several tasks write it; left out, equal ranges are cut
     into about as many slices as there are shuffle partitions, and others are not cut.
 
@@ -179,8 +181,8 @@ class LoadConf:
             ring = tuple(int(b) for b in self.ring)
             if not ring or list(ring) != sorted(set(ring)):
                 raise ValueError("ring bounds must be distinct and ascending")
-            if self.partitioner == "ordered":
-                raise ValueError("the ordered partitioner takes split_points, not a ring")
+            if self.partitioner in ("ordered", "bucketed"):
+                raise ValueError(f"the {self.partitioner} partitioner takes no ring")
             object.__setattr__(self, "ring", ring)
         split_points = tuple(tuple(p) if isinstance(p, list) else p for p in self.split_points)
         if split_points and self.partitioner != "ordered":

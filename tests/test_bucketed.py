@@ -1,0 +1,108 @@
+"""Loads in Spark buckets: merged without a shuffle, hot buckets apart, everything else as with other partitioners."""
+
+import pytest
+from pyspark.sql import functions as F
+from test_merge import COLUMNS, SCHEMA, model, random_loads
+
+from keyedload import LoadConf, LoadError, TableSpec, bulk_load, compact_loads, lookup, read_rejects, read_table
+from keyedload.operators import load as loading
+from keyedload.operators.resolve import allowed_strategies, facts_of
+
+CONF = LoadConf("bucketed", buckets=8)
+
+
+@pytest.fixture
+def table(store):
+    return store.create_table(TableSpec("test", "m", SCHEMA, ("k",), ("c",)))
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def rows(spark, n, x=0):
+    return spark.range(n).select(
+        (F.col("id") % 50).cast("int").alias("k"),
+        F.expr("cast(id div 50 as int)").alias("c"),
+        (F.col("id") + x).cast("int").alias("x"),
+        F.lit("a").alias("y"),
+        F.lit(1.0).alias("z"),
+    )
+
+
+def test_equally_placed_loads_are_merged_without_an_exchange(spark, store, table):
+    bulk_load(store, rows(spark, 400), "test", "m", conf=CONF, load_epoch=1)
+    bulk_load(store, rows(spark, 300, 1000), "test", "m", ["k", "c", "x"], CONF, load_epoch=2)
+    bulk_load(store, rows(spark, 200, 5000), "test", "m", conf=CONF, load_epoch=2)
+    expected = {(r.k, r.c): r.x for r in rows(spark, 400).collect()}
+    expected |= {(r.k, r.c): r.x for r in rows(spark, 300, 1000).collect()}
+    expected |= {(r.k, r.c): r.x for r in rows(spark, 200, 5000).collect()}
+    tables = spark.catalog.listTables()
+    for strategy in ("auto", "cells"):
+        got = read_table(store, "test", "m", strategy=strategy)
+        assert "Exchange" not in plan(got)
+        assert {(r.k, r.c): r.x for r in got.collect()} == expected
+        assert "Exchange" not in plan(got)
+    assert spark.catalog.listTables() == tables
+    shuffled = read_table(store, "test", "m", strategy="overlay")
+    assert {(r.k, r.c): r.x for r in shuffled.collect()} == expected
+
+
+@pytest.mark.parametrize("strategy", ["latest", "tied", "newest"])
+def test_other_strategies_need_no_exchange_either(spark, store, table, strategy):
+    bulk_load(store, rows(spark, 400), "test", "m", conf=CONF, load_epoch=1)
+    bulk_load(store, rows(spark, 400, 7), "test", "m", conf=CONF, load_epoch=1 if strategy == "tied" else 2)
+    got = read_table(store, "test", "m", strategy=strategy)
+    assert "Exchange" not in plan(got)
+    assert sorted(r.x for r in got.collect()) == sorted(r.x for r in rows(spark, 400, 7).collect())
+
+
+@pytest.mark.parametrize("seed", [1, 12, 111])
+def test_random_bucketed_loads(spark, store, table, seed, monkeypatch):
+    monkeypatch.setattr(loading, "HOT_FACTOR", 2)
+    ttl, partial = seed > 100, seed % 2 == 0
+    loads = random_loads(seed, ttl, partial, True)
+    for n, (data, columns) in enumerate(loads):
+        df = spark.createDataFrame([(*[r[c] for c in COLUMNS], w, life) for r, w, life, _ in data], SCHEMA + ", w bigint, life int")
+        conf = LoadConf("bucketed", buckets=4, timestamp="w", ttl="life" if ttl else None)
+        bulk_load(store, df if ttl else df.drop("life"), "test", "m", columns, conf, load_epoch=n)
+    simple = [([(r, w, e) for r, w, _, e in data], columns) for data, columns in loads]
+    for strategy in allowed_strategies(facts_of(table, [r for r in store.published(table) if r.rows])):
+        got = sorted((tuple(r) for r in read_table(store, "test", "m", 15, strategy).collect()), key=repr)
+        assert got == model(simple, 15), strategy
+
+
+def test_a_hot_bucket_is_split(spark, store, table):
+    hot = rows(spark, 600).withColumn("k", F.when(F.col("c") % 3 > 0, F.lit(-1)).otherwise(F.col("k"))).withColumn("c", F.col("x"))
+    for n in (1, 2):
+        entry = bulk_load(store, hot.withColumn("x", F.col("x") * n), "test", "m", conf=CONF, load_epoch=n)
+    assert len(entry.hot) == 1
+    got = read_table(store, "test", "m")
+    # The even buckets are read bucket by bucket, the hot one is shuffled.
+    text = plan(got)
+    assert "Union" in text and "Exchange" in text and "Bucketed: true" in text
+    assert sorted(r.x for r in got.collect()) == sorted(2 * r.x for r in hot.collect())
+
+
+def test_lookup_rejects_caps_and_compaction(spark, store, table):
+    bad = rows(spark, 100).withColumn("x", F.when(F.col("k") == 3, F.lit("bad")).otherwise(F.col("x").cast("string")))
+    conf = LoadConf("bucketed", buckets=8, on_bad_value="reject", bytes_per_trigger=1200)
+    entry = bulk_load(store, bad, "test", "m", conf=conf, load_id="a", load_epoch=1)
+    assert (entry.rows, entry.rejected) == (98, 2) and read_rejects(store, "test", "m", "a").count() == 2
+    bulk_load(store, rows(spark, 50, 900), "test", "m", conf=CONF, load_epoch=2)
+    assert sorted((r.c, r.x) for r in lookup(store, "test", "m", (7,)).collect()) == [(0, 907), (1, 57)]
+    expected = sorted(map(tuple, read_table(store, "test", "m").collect()))
+    compact_loads(store, "test", "m", conf=CONF)
+    assert sorted(map(tuple, read_table(store, "test", "m").collect())) == expected
+    # Loads of another placement are merged with them by a shuffle.
+    bulk_load(store, rows(spark, 10, 70), "test", "m", load_epoch=3)
+    got = {(r.k, r.c): r.x for r in read_table(store, "test", "m").collect()}
+    assert got == {(r[0], r[1]): r[2] for r in expected} | {(r.k, r.c): r.x for r in rows(spark, 10, 70).collect()}
+
+
+def test_keys_without_buckets_are_refused(spark, store):
+    store.create_table(TableSpec("test", "f", "k double, v int", ("k",)))
+    with pytest.raises(LoadError, match="no Spark buckets"):
+        bulk_load(store, spark.createDataFrame([(1.0, 1)], "k double, v int"), "test", "f", conf=CONF)
+    with pytest.raises(ValueError, match="no ring"):
+        LoadConf("bucketed", ring=(1, 2))

@@ -213,7 +213,7 @@ def test_clean_up_removes_what_no_reader_needs(spark, store, table):
     assert clean_up(store, "test", "m") == []  # nothing is old enough
     assert sorted(map(tuple, old.collect())) == expected
     removed = clean_up(store, "test", "m", grace_seconds=0)
-    assert sorted(r.split("/")[0] for r in removed) == ["load_id=l0", "load_id=l1", "load_id=l2", "load_id=orphan"]
+    assert sorted(r.split("/")[1] for r in removed) == ["load_id=l0", "load_id=l1", "load_id=l2", "load_id=orphan"]
     assert current(store) == expected and clean_up(store, "test", "m", grace_seconds=0) == []
     # What was given up cannot be published any more.
     with pytest.raises(LoadError, match="cleaned up"):

@@ -45,6 +45,43 @@ def _map(path: str, kind: type) -> np.ndarray:
     return np.memmap(path, kind, "r") if os.path.getsize(path) else np.zeros(0, kind)
 
 
+# Numbers that have a byte each; larger ones stand in a list beside them.
+SMALL = 255
+
+
+def save_counts(uri: str, counts: np.ndarray) -> None:
+    """Counts of one byte each, with a list of the places and values of those that have no room."""
+    large = np.flatnonzero(counts >= SMALL)
+    save(uri, np.minimum(counts, SMALL).astype(np.uint8))
+    save(f"{uri}.large", np.stack([large, counts[large].astype(np.int64)]))
+
+
+def counts_at(uri: str, places: np.ndarray) -> np.ndarray:
+    """The counts at some places of what ``save_counts`` has written."""
+    out = mapped(uri, np.uint8)[places].astype(np.int64)
+    full = np.flatnonzero(out == SMALL)
+    if len(full):
+        large, values = mapped(f"{uri}.large", np.int64).reshape(2, -1)
+        out[full] = values[np.searchsorted(large, places[full])]
+    return out
+
+
+def within(values: np.ndarray, low: np.ndarray, high: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """Where each number asked for stands in its own stretch ``low`` to ``high`` of ``values``, which ascends there; -1: nowhere."""
+    low, end = low.copy(), high
+    high = high.copy()
+    while (open_ := np.flatnonzero(low < high)).size:
+        middle = (low[open_] + high[open_]) // 2
+        less = values[middle] < asked[open_]
+        low[open_[less]] = middle[less] + 1
+        high[open_[~less]] = middle[~less]
+    out = np.full(len(low), -1, np.int64)
+    inside = np.flatnonzero(low < end)
+    same = inside[values[low[inside]] == asked[inside]]
+    out[same] = low[same]
+    return out
+
+
 def squeeze(values: np.ndarray, ascending: bool = False) -> bytes:
     """An array as compressed bytes; ascending ones as differences."""
     if ascending and len(values):

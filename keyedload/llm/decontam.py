@@ -50,7 +50,7 @@ def windows(items: DataFrame, item_id: str, text: str, size: int) -> DataFrame:
                     part = found[at : at + 10_000]
                     yield batch({"item": [item] * len(part), "window": part}, {"item": pa.string(), "window": pa.binary()})
 
-    rows = items.where(col(item_id).isNotNull()).select(col(item_id).cast("string").alias("i"), text_of(text).alias("t"))
+    rows = items.select(col(item_id).cast("string").alias("i"), text_of(text).alias("t"))
     return map_batches(rows, work, "item string, window binary").distinct()
 
 
@@ -70,13 +70,16 @@ def word_counts(texts: DataFrame, vocabulary: frozenset[bytes]) -> dict[bytes, i
     return {bytes(r.w): r.n for r in sums.collect()}
 
 
-def prefix_table(block: list[tuple[str, bytes]], counts: dict[bytes, int]) -> dict[bytes, dict]:
+def prefix_table(block: list[tuple[str | None, bytes]], counts: dict[bytes, int]) -> dict[bytes, dict]:
     """Windows by their rarest word, then by its place and the window's length, then by their text."""
     table: dict[bytes, dict] = {}
     for item, window in block:
         words = window.split(b" ")
         at = min(range(len(words)), key=lambda i: (counts.get(words[i], 0), words[i], i))
-        table.setdefault(words[at], {}).setdefault((at, len(words)), {}).setdefault(window, set()).add(item)
+        # The windows of an item without an id count too; it is only not in the list of items.
+        known = table.setdefault(words[at], {}).setdefault((at, len(words)), {}).setdefault(window, set())
+        if item is not None:
+            known.add(item)
     return table
 
 
@@ -89,7 +92,7 @@ def hits_in(words: list[bytes], table: dict[bytes, dict]) -> tuple[list[tuple[in
                 start = i - at
                 if start >= 0 and start + length <= n:
                     found = known.get(b" ".join(words[start : start + length]))
-                    if found:
+                    if found is not None:
                         spans.append((start, start + length))
                         items |= found
     return spans, items
@@ -146,8 +149,8 @@ def contamination(
 
     Spans are merged and in word positions, end exclusive; items are distinct ids as text, sorted as strings. ``carry``
     names columns of ``docs`` to return unchanged (with ``doc_id=None``, only those). A null or empty text has no words.
-    Items without an id, or without words, are no items; rows that repeat an item's id are parts of one item. Repeated
-    documents are judged each, no items mean no hits, and other columns are not read.
+    Items without words are no items, and those without an id are in no list, but their windows count; rows that repeat an item's
+    id are parts of one item. Repeated documents are judged each, no items mean no hits, and other columns are not read.
     """
     if window < 1:
         raise ValueError("a window has at least one word")

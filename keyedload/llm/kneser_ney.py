@@ -6,17 +6,18 @@ frequent enough to fill a shard are spread over all shards. A shard's task write
 and sends on what the lower order needs: how many words follow each context once, twice or more often, and after how many
 contexts each word comes. Scoring reads texts where they are: a worker maps the arrays and looks up each batch's
 distinct bigrams in their order. No array is held by the driver, none is cut off, and all grow with the corpus:
-about 12 bytes for each distinct bigram and 32 for each word.
+about 9 bytes for each distinct bigram and 32 for each word. Counts have one byte, and a list of those that need more.
 
 Order three counts trigrams first, in shards by their two context words; contexts of two frequent words are spread over all
-shards, and their sums kept apart. Such a shard also keeps each context's sums, and sends on, in place of the bigrams of the
-texts, after how many words each bigram comes (how often, for one that begins a text). That takes about 12 bytes more for each
-distinct trigram and 24 for each distinct pair of context words.
+shards, and their sums kept apart. The words after a context stand together, so its sums follow from their counts; those of
+contexts with many are kept. A shard sends on, in place of the bigrams of the texts, after how many words each bigram comes
+(how often, for one that begins a text). That takes about 5 bytes more for each distinct trigram and 12 for each distinct pair
+of context words.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from itertools import chain
 
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keyedload.functions.names import col
-from keyedload.llm.arrays import mapped, save, squeeze, unsqueeze
+from keyedload.llm.arrays import counts_at, mapped, save, save_counts, squeeze, unsqueeze, within
 from keyedload.llm.common import batch, map_batches, shared_dir, staged, text_of
 
 # Tokens that a task counts at once, and the bytes of a text that are split into words at once.
@@ -37,7 +38,11 @@ BYTES_AT_ONCE = 1 << 20
 SHARD_TOKENS = 4_000_000
 FILE_WORDS = 1 << 20
 BLOCK_WORDS = 1 << 20
+# Texts that are scored together, and their bytes from which on there are fewer.
 SCORED_ROWS = 2048
+SCORED_BYTES = 1 << 24
+# Words after a context from which on its sums are kept.
+LONG = 256
 
 #: No word has white space, so these stand for the ends of a text, and for what is before its begin.
 BEGIN, END, BEFORE = (np.uint64(xxhash.xxh64_intdigest(x)) for x in (b"\t", b"\n", b"\r"))
@@ -59,7 +64,7 @@ def hashes(words: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join([h(w) for w in words]), ">u8").astype(np.uint64)
 
 
-def grams(texts: list[str], order: int, at_once: int = TOKENS_AT_ONCE) -> Iterator[tuple[np.ndarray, ...]]:
+def grams(texts: Iterable[str], order: int, at_once: int = TOKENS_AT_ONCE) -> Iterator[tuple[np.ndarray, ...]]:
     """Context words, the farthest first, tokens and numbers of the texts they are in, a bounded number at a time. The end of a
     text is a token."""
     held, n = [], 0
@@ -79,11 +84,28 @@ def grams(texts: list[str], order: int, at_once: int = TOKENS_AT_ONCE) -> Iterat
         yield tuple(map(np.concatenate, zip(*held)))
 
 
-def pairs(texts: list[str], at_once: int = TOKENS_AT_ONCE) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def pairs(texts: Iterable[str], at_once: int = TOKENS_AT_ONCE) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Contexts, tokens and numbers of the texts they are in."""
     return grams(texts, 2, at_once)
 
 
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[str]:
+    """The texts of all batches of a task, one after another."""
+    return chain.from_iterable(b.column(0).to_pylist() for b in batches)
+
+
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches put together up to a number of rows or bytes."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        if held and (sum(x.num_rows for x in held) + b.num_rows > SCORED_ROWS or sum(x.nbytes for x in held) + b.nbytes > SCORED_BYTES):
+            yield pa.concat_batches(held)
+            held = []
+        held.append(b)
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _mix(values: np.ndarray, among: int) -> np.ndarray:
     return ((values * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)) % np.uint64(among)
 
@@ -110,7 +132,7 @@ class Words:
             same = np.zeros(len(at), bool)
             same[inside] = known[at[inside]] == values[start:end][inside]
             numbers[start:end][same] = self.first[i] + at[same]
-            counts[start:end][same] = mapped(f"{self.root}/words/{i}.counts", np.int64)[at[same]]
+            counts[start:end][same] = counts_at(f"{self.root}/words/{i}.counts", at[same])
         return numbers, counts
 
     def numbered(self, values: np.ndarray) -> np.ndarray:
@@ -133,10 +155,9 @@ def count_words(texts: DataFrame, root: str) -> tuple[Words, DataFrame]:
     """Counts the tokens of ``texts`` (column ``t``) and writes them as sorted arrays; also the counts as ``h, n``."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for _, tokens, _ in pairs(b.column(0).to_pylist()):
-                values, n = np.unique(tokens, return_counts=True)
-                yield batch({"h": pa.array(values.view(np.int64)), "n": pa.array(n.astype(np.int64))})
+        for _, tokens, _ in pairs(_texts(batches)):
+            values, n = np.unique(tokens, return_counts=True)
+            yield batch({"h": pa.array(values.view(np.int64)), "n": pa.array(n.astype(np.int64))})
 
     counts = map_batches(texts, work, "h bigint, n bigint", 1 << 16).groupBy("h").agg(F.sum("n").alias("n"))
     counts = staged(counts, "words")
@@ -151,7 +172,7 @@ def count_words(texts: DataFrame, root: str) -> tuple[Words, DataFrame]:
             files, h, n = (np.concatenate(x) for x in zip(*held))
             order = np.argsort(h)
             save(f"{root}/words/{files[0]}.hashes", h[order])
-            save(f"{root}/words/{files[0]}.counts", n[order])
+            save_counts(f"{root}/words/{files[0]}.counts", n[order])
             yield batch({"file": [int(files[0])], "n": [len(h)]}, {"file": pa.int32(), "n": pa.int64()})
 
     file = F.shiftrightunsigned("h", 64 - bits).cast("int") if bits else F.lit(0)
@@ -161,7 +182,7 @@ def count_words(texts: DataFrame, root: str) -> tuple[Words, DataFrame]:
         sizes[r.file] = r.n
     for empty in np.flatnonzero(sizes == 0):
         save(f"{root}/words/{empty}.hashes", np.zeros(0, np.uint64))
-        save(f"{root}/words/{empty}.counts", np.zeros(0, np.int64))
+        save_counts(f"{root}/words/{empty}.counts", np.zeros(0, np.int64))
     words = Words(root, bits, np.cumsum(sizes) - sizes, int(sums.n), int(sums.v), int(sums.t))
     if words.distinct >= 2**32 - 1:
         raise ValueError("bigrams are numbered for fewer than 2**32 words")
@@ -238,13 +259,13 @@ class Model:
         found, sums = np.zeros(len(asked), np.int64), np.zeros((4, len(asked)), np.int64)
         root = f"{self.words.root}/trigrams"
         for s, at, place in _found(f"{root}/%d.contexts", keys, _shard3(keys, words, hot, self.shards)):
-            sums[:, at] = mapped(f"{root}/{s}.sums", np.uint32).reshape(4, -1)[:, place]
-            known, n = mapped(f"{root}/{s}.keys", np.uint64), mapped(f"{root}/{s}.counts", np.uint32)
+            starts = mapped(f"{root}/{s}.starts", np.uint32)
+            sums[:, at] = _sums_of(f"{root}/{s}", starts, place)
             word = words[at] >= 0
-            at, own = at[word], _keys(place[word], words[at[word]])
-            i = np.minimum(np.searchsorted(known, own), len(known) - 1)
-            same = known[i] == own
-            found[at[same]] = n[i[same]]
+            at, place = at[word], place[word]
+            low, high = starts[place].astype(np.int64), starts[place + 1].astype(np.int64)
+            i = within(mapped(f"{root}/{s}.words", np.uint32), low, high, words[at].astype(np.uint32))
+            found[at[i >= 0]] = counts_at(f"{root}/{s}.counts", i[i >= 0])
         spread = np.flatnonzero(hot)
         sums[:, spread] = 0
         for s, at, place in _found(f"{root}/%d.spread", keys[spread], _mix(keys[spread], self.shards).astype(np.int64)):
@@ -264,7 +285,7 @@ class Model:
             at = np.minimum(np.searchsorted(known, asked), max(0, len(known) - 1))
             if len(known):
                 same = known[at] == asked
-                out[order[start:end][same]] = mapped(f"{self.words.root}/bigrams/{s}.counts", np.uint32)[at[same]]
+                out[order[start:end][same]] = counts_at(f"{self.words.root}/bigrams/{s}.counts", at[same])
         return out
 
 
@@ -294,9 +315,28 @@ def _found(files: str, keys: np.ndarray, shard: np.ndarray) -> Iterator[tuple[in
             yield s, at[same], place[same]
 
 
-def _stats_kind(order: int) -> type:
-    # Sums of a context's counts may pass 32 bits.
-    return np.uint32 if order == 2 else np.uint64
+def _sums_of(files: str, starts: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Of the contexts at ``places`` of a shard, how many words follow once, twice, more often; and the sum of their counts."""
+    asked, back = np.unique(places, return_inverse=True)
+    low, high = starts[asked].astype(np.int64), starts[asked + 1].astype(np.int64)
+    out = np.zeros((4, len(asked)), np.int64)
+    long = high - low > LONG
+    if long.any():
+        at = np.searchsorted(mapped(f"{files}.long", np.int64), asked[long])
+        out[:, long] = mapped(f"{files}.long_sums", np.uint64).reshape(4, -1)[:, at]
+    sizes = (high - low)[~long]
+    if len(sizes):
+        begins = np.cumsum(sizes) - sizes
+        counts = counts_at(f"{files}.counts", np.arange(sizes.sum()) + np.repeat(low[~long] - begins, sizes))
+        out[:, ~long] = _sums(counts, begins)
+    return out[:, back]
+
+
+def _save_stats(w_root: str, block: int, sums: np.ndarray) -> None:
+    """How many words and contexts fits into 32 bits; sums of counts, which order three has, may not."""
+    save(f"{w_root}/stats/{block}", sums[[0, 1, 2, -1]].astype(np.uint32))
+    if len(sums) > 4:
+        save(f"{w_root}/stats/{block}.sums", sums[3].astype(np.uint64))
 
 
 def _stats(w: Words, numbers: np.ndarray, order_: int) -> np.ndarray:
@@ -306,9 +346,12 @@ def _stats(w: Words, numbers: np.ndarray, order_: int) -> np.ndarray:
     order = np.argsort(numbers, kind="stable")
     order = order[np.searchsorted(numbers[order], 0) :]
     for block, start, end in _runs(numbers[order] // BLOCK_WORDS):
-        kept = mapped(f"{w.root}/stats/{block}", _stats_kind(order_)).reshape(order_ + 2, -1)
         here = order[start:end]
-        out[:, here] = kept[:, numbers[here] - block * BLOCK_WORDS]
+        places = numbers[here] - block * BLOCK_WORDS
+        few = mapped(f"{w.root}/stats/{block}", np.uint32).reshape(4, -1)[:, places]
+        out[:3, here], out[-1, here] = few[:3], few[3]
+        if order_ == 3:
+            out[3, here] = mapped(f"{w.root}/stats/{block}.sums", np.uint64)[places]
     return out
 
 
@@ -333,27 +376,34 @@ def train(texts: DataFrame, text: str = "text", shard_tokens: int = SHARD_TOKENS
         hot_numbers = np.append(hot_numbers, words.distinct + 1)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for contexts, tokens, _ in pairs(b.column(0).to_pylist()):
-                values, at = np.unique(np.concatenate([contexts, tokens]), return_inverse=True)
-                numbers, _ = words.find(values)
-                numbers[values == BEGIN] = words.distinct
-                c = numbers[at[: len(contexts)]]
-                keys, first, n = np.unique(_keys(c, numbers[at[len(contexts) :]]), return_index=True, return_counts=True)
-                shard = _shard(contexts[first], keys, c[first], hot, shards)
-                by = np.argsort(shard, kind="stable")
-                out = [(s, squeeze(keys[by[i:j]], True), squeeze(n[by[i:j]].astype(np.uint32))) for s, i, j in _runs(shard[by])]
-                yield batch(
-                    dict(zip(("shard", "k", "c"), map(list, zip(*out)))), {"shard": pa.int32(), "k": pa.binary(), "c": pa.binary()}
-                )
+        for contexts, tokens, _ in pairs(_texts(batches)):
+            values, at = np.unique(np.concatenate([contexts, tokens]), return_inverse=True)
+            numbers, _ = words.find(values)
+            numbers[values == BEGIN] = words.distinct
+            c = numbers[at[: len(contexts)]]
+            keys, first, n = np.unique(_keys(c, numbers[at[len(contexts) :]]), return_index=True, return_counts=True)
+            yield _sent(0, _shard(contexts[first], keys, c[first], hot, shards), keys, n.astype(np.uint64))
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, keys, n = None, [], []
+        shard, keys, n, spread = None, [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], []
         for b in batches:
-            for shard, k, c in zip(*(b.column(i).to_pylist() for i in range(3))):
-                keys.append(unsqueeze(k, np.uint64, True))
-                n.append(unsqueeze(c, np.uint32))
-        if shard is None:
+            for kind, shard, k, c in zip(*(b.column(i).to_pylist() for i in range(4))):
+                k, c = unsqueeze(k, np.uint64, True), unsqueeze(c, np.uint64)
+                if kind == 0:
+                    keys.append(k)
+                    n.append(c)
+                elif kind == 1:
+                    yield _stat_rows([-2], [np.array([shard])], [c.astype(np.uint32)])
+                else:
+                    spread.append((k, c.reshape(4, -1)))
+        if spread:
+            own, back = np.unique(np.concatenate([k for k, _ in spread]), return_inverse=True)
+            sums = np.zeros((4, len(own)), np.uint64)
+            np.add.at(sums, (slice(None), back), np.concatenate([c for _, c in spread], axis=1))
+            save(f"{root}/trigrams/{shard}.spread", own)
+            save(f"{root}/trigrams/{shard}.spread_sums", sums)
+            yield _stat_rows([-3], [np.array([shard])], [np.zeros(0, np.uint32)])
+        if len(keys) == 1:
             return
         keys, n = np.concatenate(keys), np.concatenate(n).astype(np.int64)
         by = np.argsort(keys, kind="stable")
@@ -361,26 +411,40 @@ def train(texts: DataFrame, text: str = "text", shard_tokens: int = SHARD_TOKENS
         starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
         keys, n = keys[starts], np.add.reduceat(n, starts)
         save(f"{root}/bigrams/{shard}.keys", keys)
-        save(f"{root}/bigrams/{shard}.counts", np.minimum(n, 2**32 - 1).astype(np.uint32))
+        save_counts(f"{root}/bigrams/{shard}.counts", n)
         of = np.bincount(np.minimum(n, 5), minlength=6)
-        yield _stat_rows([-1], [np.zeros(0, np.int64)], [np.append(of[1:5], len(keys)).astype(np.uint32)])
+        yield _stat_rows([-1], [np.array([shard])], [np.append(of[1:5], len(keys)).astype(np.uint32)])
         contexts, starts = np.unique((keys >> np.uint64(32)).astype(np.int64), return_index=True)
         follow = _sums(n, starts)[: order + 1]
         comes, after = np.unique((keys & np.uint64(2**32 - 1)).astype(np.int64), return_counts=True)
         for block, i, j in _runs(contexts // BLOCK_WORDS):
-            yield _stat_rows([block], [contexts[i:j]], [follow[:, i:j].astype(np.uint32).reshape(-1)])
+            # Sums of counts may pass 32 bits, so all go as halves.
+            both = np.ascontiguousarray(follow[:, i:j].astype(np.uint64).reshape(-1)).view(np.uint32)
+            yield _stat_rows([block], [contexts[i:j]], [both])
         for block, i, j in _runs(comes // BLOCK_WORDS):
             yield _stat_rows([block], [comes[i:j]], [after[i:j].astype(np.uint32)])
 
-    top = None
     if order == 3:
-        counted, top = _train_third(rows, words, hot_numbers, shards)
+        counted = _third(rows, words, hot_numbers, shards)
     else:
-        counted = map_batches(rows, count, "shard int, k binary, c binary", 1 << 16)
+        counted = map_batches(rows, count, _SENT, 1 << 16)
     counted = counted.repartitionById(shards, F.col("shard"))
     stats = staged(counted.mapInArrow(gather, "block int, i binary, v binary"), "statistics")
-    # One row per shard.
-    of = sum((unsqueeze(bytes(r.v), np.uint32).astype(np.int64) for r in stats.where("block < 0").collect()), np.zeros(5, np.int64))
+    # A few rows per shard.
+    of, of_top, made = np.zeros(5, np.int64), np.zeros(4, np.int64), {-1: set(), -2: set(), -3: set()}
+    for r in stats.where("block < 0").collect():
+        made[r.block].add(int(unsqueeze(bytes(r.i), np.int64, True)[0]))
+        if r.block == -1:
+            of += unsqueeze(bytes(r.v), np.uint32)
+        elif r.block == -2:
+            of_top += unsqueeze(bytes(r.v), np.uint32)
+    for shard in range(shards):
+        empty = [] if shard in made[-1] else ["bigrams/{}.keys"]
+        if order == 3:
+            empty += [] if shard in made[-2] else ["trigrams/{}.contexts"]
+            empty += [] if shard in made[-3] else ["trigrams/{}.spread"]
+        for name in empty:
+            save(f"{root}/{name.format(shard)}", np.zeros(0, np.uint64))
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, sums = None, None
@@ -388,13 +452,16 @@ def train(texts: DataFrame, text: str = "text", shard_tokens: int = SHARD_TOKENS
             for block, i, v in zip(*(b.column(k).to_pylist() for k in range(3))):
                 if sums is None:
                     size = min(BLOCK_WORDS, words.distinct + 1 - block * BLOCK_WORDS)
-                    sums = np.zeros((order + 2, size), _stats_kind(order))
+                    sums = np.zeros((order + 2, size), np.int64)
                 at = unsqueeze(i, np.int64, True) - block * BLOCK_WORDS
-                values = unsqueeze(v, np.uint32).reshape(-1, len(at))
-                sums[slice(0, -1) if len(values) > 1 else slice(-1, None), at] += values
+                values = unsqueeze(v, np.uint32)
+                if len(values) == len(at):
+                    sums[-1, at] += values
+                else:
+                    sums[:-1, at] += values.view(np.uint64).reshape(-1, len(at)).astype(sums.dtype)
         if sums is not None:
-            save(f"{root}/stats/{block}", sums)
-            after = sums[-1].astype(np.int64)
+            _save_stats(root, block, sums)
+            after = sums[-1]
             m = np.bincount(np.minimum(after, 5), minlength=6)
             yield batch({"m": [[*m[1:5].tolist(), int((after >= 3).sum())]]}, {"m": pa.list_(pa.int64())})
 
@@ -405,9 +472,10 @@ def train(texts: DataFrame, text: str = "text", shard_tokens: int = SHARD_TOKENS
         m += np.array(r.m)
     if not words.total:
         for block in range(blocks):
-            save(f"{root}/stats/{block}", np.zeros((order + 2, min(BLOCK_WORDS, words.distinct + 1 - block * BLOCK_WORDS)), _stats_kind(order)))
+            _save_stats(root, block, np.zeros((order + 2, min(BLOCK_WORDS, words.distinct + 1 - block * BLOCK_WORDS))))
     lower = Discounts.of(*map(int, m[:4]))
     left = float(np.dot(lower.off, [m[0], m[1], m[4]]) / of[4]) if of[4] else 1.0
+    top = Discounts.of(*map(int, of_top)) if order == 3 else None
     return Model(words, shards, hot, Discounts.of(*map(int, of[:4])), lower, int(of[4]), left, order, top, hot_numbers)
 
 
@@ -416,12 +484,24 @@ def _sums(n: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.stack([*(np.add.reduceat((n == k) if k < 3 else (n >= 3), starts, dtype=np.int64) for k in (1, 2, 3)), np.add.reduceat(n, starts)])
 
 
+_SENT = "kind int, shard int, k binary, c binary"
+
+
+def _sent(kind: int, shard: np.ndarray, keys: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
+    """Ascending keys and their values, a row for each shard they go to."""
+    by = np.argsort(shard, kind="stable")
+    out = [(kind, s, squeeze(keys[by[i:j]], True), squeeze(values[..., by[i:j]].reshape(-1))) for s, i, j in _runs(shard[by])]
+    names = {"kind": pa.int32(), "shard": pa.int32(), "k": pa.binary(), "c": pa.binary()}
+    return batch(dict(zip(names, map(list, zip(*out)))) if out else {n: [] for n in names}, names)
+
+
 def _firsts(keys: np.ndarray, words: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (words[1:] != words[:-1])]))
 
 
-def _train_third(rows: DataFrame, words: Words, hot: np.ndarray, shards: int) -> tuple[DataFrame, Discounts]:
-    """Writes the arrays of trigrams; ``shard, k, c`` of the bigrams below them, and the discounts.
+def _third(rows: DataFrame, words: Words, hot: np.ndarray, shards: int) -> DataFrame:
+    """``kind, shard, k, c`` of what the shards of trigrams send on, whose tasks also write their arrays: the bigrams below (0),
+    how many trigrams have each low count (1), the sums of spread contexts (2).
 
     A context of both words in ``hot`` may have more tokens than a shard; no other has, as it is no more frequent than each.
     """
@@ -431,28 +511,21 @@ def _train_third(rows: DataFrame, words: Words, hot: np.ndarray, shards: int) ->
         return np.isin(keys >> np.uint64(32), hot.astype(np.uint64)) & np.isin(keys & np.uint64(2**32 - 1), hot.astype(np.uint64))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for *triple, _ in grams(b.column(0).to_pylist(), 3):
-                u, v, w = np.split(words.numbered(np.concatenate(triple)), 3)
-                keys, w = _keys(u, v), w.astype(np.uint32)
-                by = np.lexsort((w, keys))
-                keys, w = keys[by], w[by]
-                firsts = _firsts(keys, w)
-                n = np.diff(firsts, append=len(keys)).astype(np.uint32)
-                keys, w = keys[firsts], w[firsts]
-                shard = _shard3(keys, w, is_hot(keys), shards)
-                by = np.argsort(shard, kind="stable")
-                out = [(s, squeeze(keys[by[i:j]], True), squeeze(w[by[i:j]]), squeeze(n[by[i:j]])) for s, i, j in _runs(shard[by])]
-                yield batch(
-                    dict(zip(("shard", "k", "w", "c"), map(list, zip(*out)))),
-                    {"shard": pa.int32(), "k": pa.binary(), "w": pa.binary(), "c": pa.binary()},
-                )
-
-    def sent(kind: int, shard: np.ndarray, keys: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
-        by = np.argsort(shard, kind="stable")
-        out = [(kind, s, squeeze(keys[by[i:j]], True), squeeze(values[..., by[i:j]].reshape(-1))) for s, i, j in _runs(shard[by])]
-        names = {"kind": pa.int32(), "shard": pa.int32(), "k": pa.binary(), "c": pa.binary()}
-        return batch(dict(zip(names, map(list, zip(*out)))), names)
+        for *triple, _ in grams(_texts(batches), 3):
+            u, v, w = np.split(words.numbered(np.concatenate(triple)), 3)
+            keys, w = _keys(u, v), w.astype(np.uint32)
+            by = np.lexsort((w, keys))
+            keys, w = keys[by], w[by]
+            firsts = _firsts(keys, w)
+            n = np.diff(firsts, append=len(keys)).astype(np.uint32)
+            keys, w = keys[firsts], w[firsts]
+            shard = _shard3(keys, w, is_hot(keys), shards)
+            by = np.argsort(shard, kind="stable")
+            out = [(s, squeeze(keys[by[i:j]], True), squeeze(w[by[i:j]]), squeeze(n[by[i:j]])) for s, i, j in _runs(shard[by])]
+            yield batch(
+                dict(zip(("shard", "k", "w", "c"), map(list, zip(*out)))),
+                {"shard": pa.int32(), "k": pa.binary(), "w": pa.binary(), "c": pa.binary()},
+            )
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, held = None, []
@@ -474,47 +547,27 @@ def _train_third(rows: DataFrame, words: Words, hot: np.ndarray, shards: int) ->
         comes = np.zeros(len(below), np.int64)
         np.add.at(comes, back, np.where(begins, n, 1))
         context = (below >> np.uint64(32)).astype(np.int64)
-        yield sent(0, _shard(context, below, context, hot, shards), below, np.minimum(comes, 2**32 - 1).astype(np.uint32))
+        yield _sent(0, _shard(context, below, context, hot, shards), below, comes.astype(np.uint64))
         keys, w, n = keys[~begins], w[~begins], n[~begins]
-        of = np.bincount(np.minimum(n, 5), minlength=6)[1:5].astype(np.uint32)
-        yield sent(1, np.full(4, shard), np.arange(4, dtype=np.uint64), of)
-        contexts, starts, place = np.unique(keys, return_index=True, return_inverse=True)
-        sums = _sums(n, starts) if len(n) else np.zeros((4, 0), np.int64)
+        of = np.bincount(np.minimum(n, 5), minlength=6)[1:5].astype(np.uint64)
+        yield _sent(1, np.full(4, shard), np.arange(4, dtype=np.uint64), of)
+        contexts, starts = np.unique(keys, return_index=True)
+        ends = np.append(starts, len(keys))
         save(f"{root}/{shard}.contexts", contexts)
-        save(f"{root}/{shard}.sums", sums.astype(np.uint32))
-        save(f"{root}/{shard}.keys", _keys(place, w))
-        save(f"{root}/{shard}.counts", np.minimum(n, 2**32 - 1).astype(np.uint32))
+        save(f"{root}/{shard}.starts", ends.astype(np.uint32))
+        save(f"{root}/{shard}.words", w)
+        save_counts(f"{root}/{shard}.counts", n)
+        sums = _sums(n, starts) if len(n) else np.zeros((4, 0), np.int64)
+        long = np.flatnonzero(np.diff(ends) > LONG)
+        save(f"{root}/{shard}.long", long.astype(np.int64))
+        save(f"{root}/{shard}.long_sums", sums[:, long].astype(np.uint64))
         spread = np.flatnonzero(is_hot(contexts))
         if len(spread):
             own = contexts[spread]
-            yield sent(2, _mix(own, shards).astype(np.int64), own, sums[:, spread].astype(np.uint64))
-
-    def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, keys, sums = None, np.zeros(0, np.uint64), np.zeros((4, 0), np.uint64)
-        for b in batches:
-            for shard, k, c in zip(*(b.column(i).to_pylist() for i in range(3))):
-                k = unsqueeze(k, np.uint64, True)
-                keys, back = np.unique(np.concatenate([keys, k]), return_inverse=True)
-                both = np.concatenate([sums, unsqueeze(c, np.uint64).reshape(4, -1)], axis=1)
-                sums = np.zeros((4, len(keys)), np.uint64)
-                np.add.at(sums, (slice(None), back), both)
-        if shard is not None:
-            save(f"{root}/{shard}.spread", keys)
-            save(f"{root}/{shard}.spread_sums", sums)
-            yield batch({"shard": [shard]}, {"shard": pa.int32()})
+            yield _sent(2, _mix(own, shards).astype(np.int64), own, sums[:, spread].astype(np.uint64))
 
     counted = map_batches(rows, count, "shard int, k binary, w binary, c binary", 1 << 16).repartitionById(shards, F.col("shard"))
-    made = staged(counted.mapInArrow(gather, "kind int, shard int, k binary, c binary"), "continuations")
-    of, full = np.zeros(4, np.int64), set()
-    for r in made.where("kind = 1").collect():  # one row per shard
-        of += unsqueeze(bytes(r.c), np.uint32)
-        full.add(r.shard)
-    spread = made.where("kind = 2").select("shard", "k", "c").repartitionById(shards, F.col("shard"))
-    summed = {r.shard for r in spread.mapInArrow(together, "shard int").collect()} if len(hot) else set()
-    for shard in range(shards):
-        for name in (() if shard in full else ("contexts", "sums", "keys", "counts")) + (() if shard in summed else ("spread", "spread_sums")):
-            save(f"{root}/{shard}.{name}", np.zeros(0, np.uint64))
-    return made.where("kind = 0").select("shard", "k", "c"), Discounts.of(*map(int, of))
+    return counted.mapInArrow(gather, _SENT)
 
 
 def _stat_rows(blocks: list[int], numbers: list[np.ndarray], values: list[np.ndarray]) -> pa.RecordBatch:
@@ -536,7 +589,7 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         w = known.words
-        for b in batches:
+        for b in _joined(batches):
             n = b.num_rows
             sums = {"n_tokens": np.zeros(n), "n_known": np.zeros(n), "base_score": np.zeros(n), "score": np.zeros(n)}
             for *words, numbers in grams(b.column(1).to_pylist(), known.order):

@@ -8,13 +8,13 @@ codeword with the least loss; a text whose two best codewords are close is flagg
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,13 +27,15 @@ UNKNOWN = "und"
 AMBIGUOUS = 0.25
 GRAMS_AT_ONCE = 1 << 16
 
-_NOT_LETTERS = re.compile(r"[\W\d_]+")
+# Letters, with the marks that some scripts write on them.
+_NOT_LETTERS = regex.compile(r"[^\p{L}\p{M}]+")
+_LETTER = regex.compile(r"\p{L}")
 
 
 def letters(text: str) -> bytes:
     """Lower-case words between single spaces; empty if the text has no letters."""
     words = _NOT_LETTERS.sub(" ", text.lower()).strip()
-    return f" {words} ".encode("utf-8", "surrogatepass") if words else b""
+    return f" {words} ".encode("utf-8", "surrogatepass") if _LETTER.search(words) else b""
 
 
 def grams(data: bytes) -> Iterator[np.ndarray]:

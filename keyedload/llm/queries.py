@@ -68,7 +68,7 @@ _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
 
 DECONTAMINATION_SQL = f"""
 WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') AS w FROM documents),
-i AS (SELECT item_id, regexp_extract_all({_LOWER}, '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') AS w FROM benchmark WHERE item_id IS NOT NULL),
+i AS (SELECT item_id, regexp_extract_all({_LOWER}, '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') AS w FROM benchmark),
 iw AS (SELECT item_id, w, least(len(w), 10) AS size, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS s FROM i WHERE len(w) > 0),
 item_windows AS (SELECT DISTINCT item_id, size, array_to_string(w[s:s + size - 1], ' ') AS x FROM iw),
 sizes AS (SELECT DISTINCT size FROM item_windows),
@@ -77,7 +77,7 @@ hits AS (SELECT dw.doc_id, dw.s, dw.size, item_id FROM dw JOIN item_windows k
          ON k.size = dw.size AND k.x = array_to_string(dw.w[dw.s:dw.s + dw.size - 1], ' ')),
 words AS (SELECT doc_id, count(*) AS n_hit FROM
           (SELECT DISTINCT doc_id, unnest(range(s, s + size)) AS p FROM hits) GROUP BY doc_id),
-items AS (SELECT doc_id, count(*) AS n_items, string_agg(k, ',' ORDER BY k) AS ids FROM
+items AS (SELECT doc_id, count(k) AS n_items, string_agg(k, ',' ORDER BY k) AS ids FROM
           (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS k FROM hits) GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
@@ -122,7 +122,8 @@ def op8_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     held_out = crc_remainder("doc_id", 7) == 2
     scored = kneser_ney.score(docs, kneser_ney.train(docs.where(~held_out), order=3))
-    return scored.select("*", held_out.alias("held_out"))
+    columns = ["n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"]
+    return scored.select("doc_id", held_out.alias("held_out"), *columns)
 
 
 @query("op9_secrets")

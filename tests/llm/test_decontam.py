@@ -12,14 +12,14 @@ def plain(text, items, size=10):
     hit, found = set(), set()
     for item, t in items:
         w = decontam.words_of(t)
-        if not w or item is None:
+        if not w:
             continue
         for k in range(max(1, len(w) - size + 1)):
             window = w[k : k + size]
             for s in range(len(words) - len(window) + 1):
                 if words[s : s + len(window)] == window:
                     hit |= set(range(s, s + len(window)))
-                    found.add(str(item))
+                    found |= {str(item)} - {"None"}
     return len(words), hit, sorted(found)
 
 
@@ -56,6 +56,32 @@ def test_hits_are_those_of_plain_search(spark, block_windows):
     assert sorted(key(r.doc_id, r.n_words, {p for s in r.spans for p in range(s.start, s.end)}, r["items"]) for r in got) == expected
 
 
+def test_items_without_an_id_are_hit_but_not_listed(spark):
+    b = spark.createDataFrame([(None, "one two three four five six seven eight nine ten"), (7, "six seven eight")], "item_id bigint, text string")
+    d = spark.createDataFrame([(1, "x One two three four five six seven eight nine ten y")], "doc_id bigint, text string")
+    (r,) = decontam.contamination(d, b).collect()
+    assert [tuple(s) for s in r.spans] == [(1, 11)] and r["items"] == ["7"]
+    (r,) = decontam.contamination(d, b.where("item_id IS NULL")).collect()
+    assert [tuple(s) for s in r.spans] == [(1, 11)] and r["items"] == []
+    assert decontam.without_contaminated(d, b.where("item_id IS NULL")).count() == 0
+
+
+def test_query_with_an_item_without_an_id(spark, tmp_path):
+    import oracle
+
+    from keyedload.llm import queries
+
+    docs, items = example(spark)
+    spark.createDataFrame([x for x in docs if x[0] is not None][:60], "doc_id bigint, text string").dropDuplicates(["doc_id"]).coalesce(1).write.parquet(
+        str(tmp_path / "documents.parquet")
+    )
+    spark.createDataFrame(items, "item_id bigint, text string").coalesce(1).write.parquet(str(tmp_path / "benchmark.parquet"))
+    con = oracle.duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
+    assert oracle.differences(queries.QUERIES["op5_decontamination"](spark, str(tmp_path)), con, queries.DECONTAMINATION_SQL) is None
+
+
 def test_clean_documents_stay_with_all_columns(spark):
     docs, items = example(spark)
     d = spark.createDataFrame([(*x, "c") for x in docs], "doc_id bigint, text string, items string")

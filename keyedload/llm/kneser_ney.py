@@ -6,12 +6,12 @@ frequent enough to fill a shard are spread over all shards. A shard's task write
 and sends on what the lower order needs: how many words follow each context once, twice or more often, and after how many
 contexts each word comes. Scoring reads texts where they are: a worker maps the arrays and looks up each batch's
 distinct bigrams in their order. No array is held by the driver, none is cut off, and all grow with the corpus:
-about 9 bytes for each distinct bigram and 32 for each word. Counts have one byte, and a list of those that need more.
+about 9 bytes for each distinct bigram and 33 for each word. Counts have one byte, and a list of those that need more.
 
 Order three counts trigrams first, in shards by their two context words; contexts of two frequent words are spread over all
 shards, and their sums kept apart. The words after a context stand together, so its sums follow from their counts; those of
 contexts with many are kept. A shard sends on, in place of the bigrams of the texts, after how many words each bigram comes
-(how often, for one that begins a text). That takes about 5 bytes more for each distinct trigram and 12 for each distinct pair
+(how often, for one that begins a text). That takes about 5 bytes more for each distinct trigram and 9 for each distinct pair
 of context words.
 """
 
@@ -24,25 +24,26 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keyedload.functions.names import col
-from keyedload.llm.arrays import counts_at, mapped, save, save_counts, squeeze, unsqueeze, within
+from keyedload.llm.arrays import SMALL, counts_at, mapped, save, save_counts, squeeze, unsqueeze, within
 from keyedload.llm.common import batch, map_batches, shared_dir, staged, text_of
 
 # Tokens that a task counts at once, and the bytes of a text that are split into words at once.
 TOKENS_AT_ONCE = 2_000_000
 BYTES_AT_ONCE = 1 << 20
-# Bigram tokens in a shard, words in a file of hashes, numbers in a file of statistics: these bound a task's memory.
+# Bigram tokens in a shard, bytes of text for a file of word hashes, numbers in a file of statistics: these bound a task's memory.
 SHARD_TOKENS = 4_000_000
-FILE_WORDS = 1 << 20
+FILE_BYTES = 1 << 24
 BLOCK_WORDS = 1 << 20
 # Texts that are scored together, and their bytes from which on there are fewer.
 SCORED_ROWS = 2048
 SCORED_BYTES = 1 << 24
-# Words after a context from which on its sums are kept.
-LONG = 256
+# Contexts whose places are found from one of their begins. A context's words are counted in one byte; where these are too many,
+# their number and the context's sums are kept.
+BLOCK_CONTEXTS = 64
 
 #: No word has white space, so these stand for the ends of a text, and for what is before its begin.
 BEGIN, END, BEFORE = (np.uint64(xxhash.xxh64_intdigest(x)) for x in (b"\t", b"\n", b"\r"))
@@ -106,6 +107,25 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.concat_batches(held)
 
 
+def _indexed(grams: tuple[np.ndarray, ...]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The distinct hashes of some tokens and their contexts, ascending, and where each is among them, the farthest context first.
+
+    A context is the token before, but at the begin of a text and of what is looked at together.
+    """
+    *before, tokens = grams
+    values, at = np.unique(tokens, return_inverse=True)
+    every = np.unique(np.concatenate([values, [BEGIN, BEFORE], *(x[:1] for x in before)]))
+    out = [np.searchsorted(every, values)[at]]
+    begins = before[-1] == BEGIN
+    for i, x in enumerate(reversed(before)):
+        shifted = np.empty_like(out[0])
+        shifted[1:] = out[0][:-1]
+        shifted[:1] = np.searchsorted(every, x[:1])
+        shifted[begins] = np.searchsorted(every, BEFORE if i else BEGIN)
+        out.insert(0, shifted)
+    return every, out
+
+
 def _mix(values: np.ndarray, among: int) -> np.ndarray:
     return ((values * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)) % np.uint64(among)
 
@@ -151,42 +171,79 @@ def _runs(ascending: np.ndarray) -> Iterator[tuple[int, int, int]]:
             yield int(ascending[start]), int(start), int(end)
 
 
-def count_words(texts: DataFrame, root: str) -> tuple[Words, DataFrame]:
-    """Counts the tokens of ``texts`` (column ``t``) and writes them as sorted arrays; also the counts as ``h, n``."""
+def count_words(texts: DataFrame, root: str) -> Words:
+    """Counts the tokens of ``texts`` (column ``t``) and writes them as sorted arrays.
+
+    Tasks send their words' hashes, sorted and compressed, to the file they belong to.
+    """
+    size = texts.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
+    bits = max(0, -(-size // FILE_BYTES) - 1).bit_length()
+
+    def added(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        values, n = (np.concatenate(x) for x in zip(*held))
+        by = np.argsort(values)
+        values, n = values[by], n[by]
+        firsts = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
+        return values[firsts], np.add.reduceat(n, firsts)
+
+    def files_of(values: np.ndarray) -> np.ndarray:
+        return (values >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(values), np.int64)
+
+    def sent(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        values, n = added(held)
+        out = [(f, squeeze(values[i:j], True), squeeze(n[i:j].astype(np.uint64))) for f, i, j in _runs(files_of(values))]
+        return batch(dict(zip(("file", "k", "c"), map(list, zip(*out)))), {"file": pa.int32(), "k": pa.binary(), "c": pa.binary()})
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         for _, tokens, _ in pairs(_texts(batches)):
-            values, n = np.unique(tokens, return_counts=True)
-            yield batch({"h": pa.array(values.view(np.int64)), "n": pa.array(n.astype(np.int64))})
-
-    counts = map_batches(texts, work, "h bigint, n bigint", 1 << 16).groupBy("h").agg(F.sum("n").alias("n"))
-    counts = staged(counts, "words")
-    # Every text has one end, and nothing else is an end.
-    end = F.sum(F.when(F.col("h") == int(END.view(np.int64)), F.col("n")))
-    sums = counts.agg(F.count("*").alias("v"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(end, F.lit(0)).alias("t")).first()
-    bits = max(0, -(-sums.v // FILE_WORDS) - 1).bit_length()
+            held.append(np.unique(tokens, return_counts=True))
+            if sum(len(v) for v, _ in held) > TOKENS_AT_ONCE:
+                yield sent(held)
+                held = []
+        if held:
+            yield sent(held)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [(b.column(0).to_numpy(), b.column(1).to_numpy().view(np.uint64), b.column(2).to_numpy()) for b in batches if b.num_rows]
+        file, held = None, []
+        for b in batches:
+            for file, k, c in zip(*(b.column(i).to_pylist() for i in range(3))):
+                held.append((unsqueeze(k, np.uint64, True), unsqueeze(c, np.uint64).astype(np.int64)))
         if held:
-            files, h, n = (np.concatenate(x) for x in zip(*held))
-            order = np.argsort(h)
-            save(f"{root}/words/{files[0]}.hashes", h[order])
-            save_counts(f"{root}/words/{files[0]}.counts", n[order])
-            yield batch({"file": [int(files[0])], "n": [len(h)]}, {"file": pa.int32(), "n": pa.int64()})
-
-    file = F.shiftrightunsigned("h", 64 - bits).cast("int") if bits else F.lit(0)
-    placed = counts.select(file.alias("file"), "h", "n").repartitionById(1 << bits, F.col("file"))
-    sizes = np.zeros(1 << bits, np.int64)
-    for r in placed.mapInArrow(write, "file int, n bigint").collect():  # one row per file
-        sizes[r.file] = r.n
+            h, n = added(held)
+            save(f"{root}/words/{file}.hashes", h)
+            save_counts(f"{root}/words/{file}.counts", n)
+            # Every text has one end, and nothing else is an end.
+            found = {"file": file, "v": len(h), "n": n.sum(), "t": n[h == END].sum()}
+            yield batch({k: [int(v)] for k, v in found.items()}, {"file": pa.int32(), "v": pa.int64(), "n": pa.int64(), "t": pa.int64()})
+
+    counts = map_batches(texts, work, "file int, k binary, c binary", 1 << 16).repartitionById(1 << bits, F.col("file"))
+    sizes, total, ends = np.zeros(1 << bits, np.int64), 0, 0
+    for r in counts.mapInArrow(write, "file int, v bigint, n bigint, t bigint").collect():  # one row per file
+        sizes[r.file], total, ends = r.v, total + r.n, ends + r.t
     for empty in np.flatnonzero(sizes == 0):
         save(f"{root}/words/{empty}.hashes", np.zeros(0, np.uint64))
         save_counts(f"{root}/words/{empty}.counts", np.zeros(0, np.int64))
-    words = Words(root, bits, np.cumsum(sizes) - sizes, int(sums.n), int(sums.v), int(sums.t))
+    words = Words(root, bits, np.cumsum(sizes) - sizes, total, int(sizes.sum()), ends)
     if words.distinct >= 2**32 - 1:
         raise ValueError("bigrams are numbered for fewer than 2**32 words")
-    return words, counts
+    return words
+
+
+def frequent(spark: SparkSession, words: Words, most: int) -> np.ndarray:
+    """Hashes of the words with more tokens than ``most``; each file is looked through by a task."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in b.column(0).to_pylist():
+                few = mapped(f"{words.root}/words/{i}.counts", np.uint8)
+                at = np.flatnonzero(few >= min(most + 1, SMALL))
+                at = at[counts_at(f"{words.root}/words/{i}.counts", at) > most]
+                yield batch({"h": pa.array(mapped(f"{words.root}/words/{i}.hashes", np.uint64)[at].view(np.int64))})
+
+    files = spark.range(1 << words.bits)
+    # Fewer than there are shards, since together they have no more tokens than there are.
+    return np.array([r.h for r in map_batches(files, work, "h bigint").collect()], np.int64).view(np.uint64)
 
 
 @dataclass(frozen=True)
@@ -223,14 +280,14 @@ class Model:
 
     def lookup(self, *grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """log10 probability of each token after its context words, the farthest first, and the token's training count."""
-        contexts, tokens = grams[-2:]
+        contexts = grams[-2]
         w = self.words
-        values, at = np.unique(np.concatenate([contexts, tokens]), return_inverse=True)
+        values, (*far, c, t) = _indexed(grams)
         numbers, counts = w.find(values)
-        c, t = at[: len(contexts)], at[len(contexts) :]
+        numbers[values == BEFORE] = w.distinct + 1
         begin = values == BEGIN
         numbers[begin], counts[begin] = w.distinct, w.texts
-        stats = _stats(w, numbers, self.order)  # follow once, twice, more; of order three, together; comes after
+        stats = _stats(w, np.where(numbers > w.distinct, -1, numbers), self.order)  # follow once, twice, more; of order three, together; comes after
         uniform = 1.0 / (w.distinct + 1)
         after = stats[-1]
         lower = np.full(len(values), uniform)
@@ -248,7 +305,7 @@ class Model:
             found[both] = self._counts(distinct, shard)[back]
         p = np.maximum(found - self.upper.from_(found), 0) / seen[c] + left[c] * lower[t]
         if self.order == 3:
-            p = self._third(w.numbered(grams[0]), numbers[c], numbers[t], p)
+            p = self._third(numbers[far[0]], numbers[c], numbers[t], p)
         return np.log10(p), counts[t]
 
     def _third(self, u: np.ndarray, v: np.ndarray, words: np.ndarray, lower: np.ndarray) -> np.ndarray:
@@ -259,11 +316,11 @@ class Model:
         found, sums = np.zeros(len(asked), np.int64), np.zeros((4, len(asked)), np.int64)
         root = f"{self.words.root}/trigrams"
         for s, at, place in _found(f"{root}/%d.contexts", keys, _shard3(keys, words, hot, self.shards)):
-            starts = mapped(f"{root}/{s}.starts", np.uint32)
-            sums[:, at] = _sums_of(f"{root}/{s}", starts, place)
+            contexts, back = np.unique(place, return_inverse=True)
+            low, high = _stretches(f"{root}/{s}", contexts)
+            sums[:, at] = _sums_of(f"{root}/{s}", contexts, low, high)[:, back]
             word = words[at] >= 0
-            at, place = at[word], place[word]
-            low, high = starts[place].astype(np.int64), starts[place + 1].astype(np.int64)
+            at, low, high = at[word], low[back[word]], high[back[word]]
             i = within(mapped(f"{root}/{s}.words", np.uint32), low, high, words[at].astype(np.uint32))
             found[at[i >= 0]] = counts_at(f"{root}/{s}.counts", i[i >= 0])
         spread = np.flatnonzero(hot)
@@ -278,7 +335,7 @@ class Model:
 
     def _counts(self, keys: np.ndarray, shard: np.ndarray) -> np.ndarray:
         out = np.zeros(len(keys), np.int64)
-        order = np.lexsort((keys, shard))
+        order = _by_shard(keys, shard)
         for s, start, end in _runs(shard[order]):
             asked = keys[order[start:end]]
             known = mapped(f"{self.words.root}/bigrams/{s}.keys", np.uint64)
@@ -304,9 +361,16 @@ def _shard3(keys: np.ndarray, words: np.ndarray, hot: np.ndarray, shards: int) -
     return np.where(hot, _mix(spread, shards), _mix(keys, shards)).astype(np.int64)
 
 
+def _by_shard(keys: np.ndarray, shard: np.ndarray) -> np.ndarray:
+    """The order by shard, and within it by key."""
+    order = np.argsort(keys)
+    few = shard[order].astype(np.uint16) if len(shard) and shard.max() < 1 << 16 else shard[order]
+    return order[np.argsort(few, kind="stable")]
+
+
 def _found(files: str, keys: np.ndarray, shard: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """By shard: which keys the file of the shard has, and where in it."""
-    order = np.lexsort((keys, shard))
+    order = _by_shard(keys, shard)
     for s, start, end in _runs(shard[order]):
         known, at = mapped(files % s, np.uint64), order[start:end]
         if len(known):
@@ -315,21 +379,37 @@ def _found(files: str, keys: np.ndarray, shard: np.ndarray) -> Iterator[tuple[in
             yield s, at[same], place[same]
 
 
-def _sums_of(files: str, starts: np.ndarray, places: np.ndarray) -> np.ndarray:
+def _stretches(files: str, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words after the contexts at ``places`` of a shard, ascending, begin and end."""
+    sizes = mapped(f"{files}.sizes", np.uint8).reshape(-1, BLOCK_CONTEXTS)
+    blocks, long = mapped(f"{files}.blocks", np.uint32), mapped(f"{files}.long", np.int64)
+    more = np.concatenate([[0], np.cumsum(mapped(f"{files}.long_sums", np.int64).reshape(5, -1)[4] - SMALL)])
+    block, inside = np.divmod(places, BLOCK_CONTEXTS)
+    low = blocks[block].astype(np.int64) + more[np.searchsorted(long, places)] - more[np.searchsorted(long, block * BLOCK_CONTEXTS)]
+    before = np.arange(BLOCK_CONTEXTS)
+    for i in range(0, len(places), 1 << 16):
+        part = slice(i, i + (1 << 16))
+        low[part] += (sizes[block[part]] * (before < inside[part, None])).sum(axis=1, dtype=np.int64)
+    size = sizes[block, inside].astype(np.int64)
+    full = np.flatnonzero(size == SMALL)
+    at = np.searchsorted(long, places[full])
+    size[full] += more[at + 1] - more[at]
+    return low, low + size
+
+
+def _sums_of(files: str, places: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     """Of the contexts at ``places`` of a shard, how many words follow once, twice, more often; and the sum of their counts."""
-    asked, back = np.unique(places, return_inverse=True)
-    low, high = starts[asked].astype(np.int64), starts[asked + 1].astype(np.int64)
-    out = np.zeros((4, len(asked)), np.int64)
-    long = high - low > LONG
+    out = np.zeros((4, len(places)), np.int64)
+    long = high - low >= SMALL
     if long.any():
-        at = np.searchsorted(mapped(f"{files}.long", np.int64), asked[long])
-        out[:, long] = mapped(f"{files}.long_sums", np.uint64).reshape(4, -1)[:, at]
+        at = np.searchsorted(mapped(f"{files}.long", np.int64), places[long])
+        out[:, long] = mapped(f"{files}.long_sums", np.int64).reshape(5, -1)[:4, at]
     sizes = (high - low)[~long]
     if len(sizes):
         begins = np.cumsum(sizes) - sizes
         counts = counts_at(f"{files}.counts", np.arange(sizes.sum()) + np.repeat(low[~long] - begins, sizes))
         out[:, ~long] = _sums(counts, begins)
-    return out[:, back]
+    return out
 
 
 def _save_stats(w_root: str, block: int, sums: np.ndarray) -> None:
@@ -364,12 +444,12 @@ def train(texts: DataFrame, text: str = "text", shard_tokens: int = SHARD_TOKENS
         raise ValueError("the order is 2 or 3")
     root = shared_dir(texts.sparkSession, "model")
     rows = texts.select(text_of(text).alias("t"))
-    words, counts = count_words(rows, root)
+    words = count_words(rows, root)
     shards = max(1, -(-words.total // shard_tokens))
     most = max(1, words.total // shards)
-    # Fewer than there are shards, since together they have no more tokens than there are.
-    hot = [r.h for r in counts.where(F.col("n") > most).select("h").collect()]
-    hot = np.array([*hot, *([BEGIN.view(np.int64)] if words.texts > most else [])], np.int64).view(np.uint64)
+    hot = frequent(texts.sparkSession, words, most)
+    if words.texts > most:
+        hot = np.append(hot, BEGIN)
 
     hot_numbers = words.numbered(hot)
     if BEGIN in hot:
@@ -377,11 +457,11 @@ def train(texts: DataFrame, text: str = "text", shard_tokens: int = SHARD_TOKENS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for contexts, tokens, _ in pairs(_texts(batches)):
-            values, at = np.unique(np.concatenate([contexts, tokens]), return_inverse=True)
+            values, (c, t) = _indexed((contexts, tokens))
             numbers, _ = words.find(values)
             numbers[values == BEGIN] = words.distinct
-            c = numbers[at[: len(contexts)]]
-            keys, first, n = np.unique(_keys(c, numbers[at[len(contexts) :]]), return_index=True, return_counts=True)
+            c = numbers[c]
+            keys, first, n = np.unique(_keys(c, numbers[t]), return_index=True, return_counts=True)
             yield _sent(0, _shard(contexts[first], keys, c[first], hot, shards), keys, n.astype(np.uint64))
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -512,8 +592,10 @@ def _third(rows: DataFrame, words: Words, hot: np.ndarray, shards: int) -> DataF
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for *triple, _ in grams(_texts(batches), 3):
-            u, v, w = np.split(words.numbered(np.concatenate(triple)), 3)
-            keys, w = _keys(u, v), w.astype(np.uint32)
+            values, (u, v, w) = _indexed(tuple(triple))
+            numbers, _ = words.find(values)
+            numbers[values == BEGIN], numbers[values == BEFORE] = words.distinct, words.distinct + 1
+            keys, w = _keys(numbers[u], numbers[v]), numbers[w].astype(np.uint32)
             by = np.lexsort((w, keys))
             keys, w = keys[by], w[by]
             firsts = _firsts(keys, w)
@@ -554,13 +636,17 @@ def _third(rows: DataFrame, words: Words, hot: np.ndarray, shards: int) -> DataF
         contexts, starts = np.unique(keys, return_index=True)
         ends = np.append(starts, len(keys))
         save(f"{root}/{shard}.contexts", contexts)
-        save(f"{root}/{shard}.starts", ends.astype(np.uint32))
+        sizes = np.diff(ends)
+        padded = np.zeros(-(-len(sizes) // BLOCK_CONTEXTS) * BLOCK_CONTEXTS, np.uint8)
+        padded[: len(sizes)] = np.minimum(sizes, SMALL)
+        save(f"{root}/{shard}.sizes", padded)
+        save(f"{root}/{shard}.blocks", starts[::BLOCK_CONTEXTS].astype(np.uint32))
         save(f"{root}/{shard}.words", w)
         save_counts(f"{root}/{shard}.counts", n)
         sums = _sums(n, starts) if len(n) else np.zeros((4, 0), np.int64)
-        long = np.flatnonzero(np.diff(ends) > LONG)
+        long = np.flatnonzero(sizes >= SMALL)
         save(f"{root}/{shard}.long", long.astype(np.int64))
-        save(f"{root}/{shard}.long_sums", sums[:, long].astype(np.uint64))
+        save(f"{root}/{shard}.long_sums", np.concatenate([sums[:, long], sizes[None, long]]).astype(np.int64))
         spread = np.flatnonzero(is_hot(contexts))
         if len(spread):
             own = contexts[spread]

@@ -6,7 +6,7 @@ frequent enough to fill a shard are spread over all shards. A shard's task write
 and sends on what the lower order needs: how many words follow each context once, twice or more often, and after how many
 contexts each word comes. Scoring reads texts where they are: a worker maps the arrays and looks up each batch's
 distinct bigrams in their order. No array is held by the driver, none is cut off, and all grow with the corpus:
-about 9 bytes for each distinct bigram and 33 for each word. Counts have one byte, and a list of those that need more.
+about 5 bytes for each distinct bigram and 22 for each word. Counts have one byte, and a list of those that need more.
 
 Order three counts trigrams first, in shards by their two context words; contexts of two frequent words are spread over all
 shards, and their sums kept apart. The words after a context stand together, so its sums follow from their counts; those of
@@ -338,11 +338,15 @@ class Model:
         order = _by_shard(keys, shard)
         for s, start, end in _runs(shard[order]):
             asked = keys[order[start:end]]
-            known = mapped(f"{self.words.root}/bigrams/{s}.keys", np.uint64)
-            at = np.minimum(np.searchsorted(known, asked), max(0, len(known) - 1))
-            if len(known):
-                same = known[at] == asked
-                out[order[start:end][same]] = counts_at(f"{self.words.root}/bigrams/{s}.counts", at[same])
+            files = f"{self.words.root}/bigrams/{s}"
+            heads, starts = mapped(f"{files}.heads", np.uint32), mapped(f"{files}.starts", np.uint32)
+            if len(heads):
+                contexts = (asked >> np.uint64(32)).astype(np.uint32)
+                at = np.minimum(np.searchsorted(heads, contexts), len(heads) - 1)
+                same = np.flatnonzero(heads[at] == contexts)
+                low, high = starts[at[same]].astype(np.int64), starts[at[same] + 1].astype(np.int64)
+                i = within(mapped(f"{files}.words", np.uint32), low, high, (asked[same] & np.uint64(2**32 - 1)).astype(np.uint32))
+                out[order[start:end][same[i >= 0]]] = counts_at(f"{files}.counts", i[i >= 0])
         return out
 
 
@@ -412,11 +416,9 @@ def _sums_of(files: str, places: np.ndarray, low: np.ndarray, high: np.ndarray)
     return out
 
 
-def _save_stats(w_root: str, block: int, sums: np.ndarray) -> None:
-    """How many words and contexts fits into 32 bits; sums of counts, which order three has, may not."""
-    save(f"{w_root}/stats/{block}", sums[[0, 1, 2, -1]].astype(np.uint32))
-    if len(sums) > 4:
-        save(f"{w_root}/stats/{block}.sums", sums[3].astype(np.uint64))
+def _save_stats(root: str, block: int, sums: np.ndarray) -> None:
+    for i, row in enumerate(sums):
+        save_counts(f"{root}/stats/{block}.{i}", row.astype(np.int64))
 
 
 def _stats(w: Words, numbers: np.ndarray, order_: int) -> np.ndarray:
@@ -428,10 +430,8 @@ def _stats(w: Words, numbers: np.ndarray, order_: int) -> np.ndarray:
     for block, start, end in _runs(numbers[order] // BLOCK_WORDS):
         here = order[start:end]
         places = numbers[here] - block * BLOCK_WORDS
-        few = mapped(f"{w.root}/stats/{block}", np.uint32).reshape(4, -1)[:, places]
-        out[:3, here], out[-1, here] = few[:3], few[3]
-        if order_ == 3:
-            out[3, here] = mapped(f"{w.root}/stats/{block}.sums", np.uint64)[places]
+        for i in range(order_ + 2):
+            out[i, here] = counts_at(f"{w.root}/stats/{block}.{i}", places)
     return out
 
 
@@ -490,11 +490,13 @@ def train(texts: DataFrame, text: str = "text", shard_tokens: int = SHARD_TOKENS
         keys, n = keys[by], n[by]
         starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
         keys, n = keys[starts], np.add.reduceat(n, starts)
-        save(f"{root}/bigrams/{shard}.keys", keys)
         save_counts(f"{root}/bigrams/{shard}.counts", n)
         of = np.bincount(np.minimum(n, 5), minlength=6)
         yield _stat_rows([-1], [np.array([shard])], [np.append(of[1:5], len(keys)).astype(np.uint32)])
         contexts, starts = np.unique((keys >> np.uint64(32)).astype(np.int64), return_index=True)
+        save(f"{root}/bigrams/{shard}.heads", contexts.astype(np.uint32))
+        save(f"{root}/bigrams/{shard}.starts", np.append(starts, len(keys)).astype(np.uint32))
+        save(f"{root}/bigrams/{shard}.words", (keys & np.uint64(2**32 - 1)).astype(np.uint32))
         follow = _sums(n, starts)[: order + 1]
         comes, after = np.unique((keys & np.uint64(2**32 - 1)).astype(np.int64), return_counts=True)
         for block, i, j in _runs(contexts // BLOCK_WORDS):
@@ -519,7 +521,7 @@ def train(texts: DataFrame, text: str = "text", shard_tokens: int = SHARD_TOKENS
         elif r.block == -2:
             of_top += unsqueeze(bytes(r.v), np.uint32)
     for shard in range(shards):
-        empty = [] if shard in made[-1] else ["bigrams/{}.keys"]
+        empty = [] if shard in made[-1] else ["bigrams/{}.heads", "bigrams/{}.starts"]
         if order == 3:
             empty += [] if shard in made[-2] else ["trigrams/{}.contexts"]
             empty += [] if shard in made[-3] else ["trigrams/{}.spread"]

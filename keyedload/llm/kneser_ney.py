@@ -280,7 +280,6 @@ class Model:
 
     def lookup(self, *grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """log10 probability of each token after its context words, the farthest first, and the token's training count."""
-        contexts = grams[-2]
         w = self.words
         values, (*far, c, t) = _indexed(grams)
         numbers, counts = w.find(values)
@@ -300,8 +299,9 @@ class Model:
         found = np.zeros(len(c), np.int64)
         if both.any():
             keys = _keys(numbers[c[both]], numbers[t[both]])
-            distinct, first, back = np.unique(keys, return_index=True, return_inverse=True)
-            shard = _shard(contexts[both][first], distinct, numbers[c[both]][first], self.hot, self.shards)
+            distinct, back = np.unique(keys, return_inverse=True)
+            heads = (distinct >> np.uint64(32)).astype(np.int64)
+            shard = _shard(heads, distinct, heads, self.hot_numbers, self.shards)
             found[both] = self._counts(distinct, shard)[back]
         p = np.maximum(found - self.upper.from_(found), 0) / seen[c] + left[c] * lower[t]
         if self.order == 3:

@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from keyedload.operators.compact import clean_up, compact_loads
 from keyedload.operators.load import read_rejects
 from keyedload.operators.report import load_log
+from keyedload.operators.progress import load_progress, session_pairs
 from keyedload.plans.merge import EVENTS_SQL, stamped_events
 from keyedload.plans.registry import EPOCH, KEYSPACE, Table, events_table, lineitem_table, query, source
 from keyedload.spec import LoadConf
+from keyedload.streaming.follow import load_events
 
 _EVENT_COLUMNS = ("event_id", "ts", "value", "props")
 _LINEITEM_COLUMNS = (
@@ -142,3 +144,16 @@ def bucketed_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     for i in (0, 1):
         table.load(rows.withColumn("l_quantity", F.col("l_quantity") + i), conf=LoadConf("bucketed"), load_epoch=EPOCH + i)
     return table.read(EPOCH + 9)
+
+
+@query("real_load_progress", "SELECT count(DISTINCT o_custkey % 5) AS buckets, 100 AS percent, FALSE AS missing FROM orders")
+def real_load_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a load has sent, by the files it has written: every bucket with rows, all bytes."""
+    orders = source(spark, sf_dir, "orders")
+    rows = orders.select((F.col("o_custkey") % 5).alias("part"), "o_orderkey", "o_totalprice")
+    table = Table(spark, "parts", rows.schema, ("part",), ("o_orderkey",))
+    table.load(rows, conf=LoadConf("ordered", split_points=(1, 2, 3, 4)))
+    events = load_events(table.store, KEYSPACE, table.spec.name)
+    buckets = session_pairs(events).agg(F.count("*").alias("buckets"))
+    done = load_progress(events).select("percent", (F.col("files_done") < F.col("files")).alias("missing"))
+    return buckets.crossJoin(done.withColumn("percent", F.col("percent").cast("int")))

@@ -3,20 +3,20 @@
 Leaves are pieces of a few words. A paragraph is a line; a section ends at a blank line, or behind a paragraph whose digest
 says so. Where a piece or a section ends depends on its last word or paragraph only, so an edit moves no border but its own. A
 node's digest is the digest of its children's. The fingerprint writes the tree out: the root, which tells whether texts are
-equal, and below it short digests of sections, paragraphs and leaves, by which two fingerprints are walked down only where
-their branches differ.
+equal, and below it short names of sections, paragraphs and leaves, by which two fingerprints are walked down only where
+their branches differ: that gives both their likeness and the paragraphs that were edited.
 """
 
 from __future__ import annotations
 
 import hashlib
 import zlib
+from base64 import urlsafe_b64encode
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import islice
 
-import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Row
@@ -44,120 +44,149 @@ def leaves(paragraph: bytes) -> list[bytes]:
     return out
 
 
+# A section and a paragraph are written as 8 signs (48 bits), a leaf as 4 (24 bits): leaves are compared only where the
+# paragraphs above them differ.
+NAME_BYTES, LEAF_BYTES = 6, 3
+NAME, LEAF = NAME_BYTES * 4 // 3, LEAF_BYTES * 4 // 3
+
+#: Name of a paragraph, and the names of its leaves one after another.
+Paragraph = tuple[str, str]
+
+
 @dataclass(frozen=True)
 class Tree:
-    """A written fingerprint, and its leaves' short digests with how often each occurs."""
+    """The root's digest, and below it sections and their paragraphs by name."""
 
-    written: str
-    digests: np.ndarray
-    counts: np.ndarray
+    root: str
+    sections: list[tuple[str, list[Paragraph]]]
 
     @property
-    def root(self) -> str:
-        return self.written[:32]
+    def written(self) -> str:
+        return "|".join([self.root, *(f"{name}:{','.join(p + below for p, below in ps)}" for name, ps in self.sections)])
 
 
-def tree(text: str, known: dict[bytes, tuple[bytes, str, bytes]] | None = None) -> Tree:
+def tree(text: str, known: dict[bytes, tuple[bytes, Paragraph]] | None = None) -> Tree:
     """The tree of a text. ``known`` keeps what paragraphs have come to, for texts that share some."""
     known = {} if known is None else known
     digest = xxhash.xxh3_128_digest
-    written, sections, paragraphs, names, short = [], [], [], [], []
+    sections, digests, own_sections, own_paragraphs = [], [], [], []
     lines = text.encode("utf-8", "surrogatepass").split(b"\n")
     for i, line in enumerate(lines, 1):
         if line not in known:
             below = [digest(x) for x in leaves(line)]
-            own, cut = digest(b"".join(below)), b"".join([x[:4] for x in below])
-            known[line] = (own, own[:4].hex() + (cut.hex() if len(below) > 1 else ""), cut if len(below) > 1 else own[:4])
-        own, name, cut = known[line]
-        paragraphs.append(own)
-        names.append(name)
-        short.append(cut)
+            own = digest(b"".join(below))
+            names = urlsafe_b64encode(own[:NAME_BYTES] + b"".join([x[:LEAF_BYTES] for x in below])).decode()
+            known[line] = own, (names[:NAME], names[NAME:])
+        own, paragraph = known[line]
+        digests.append(own)
+        own_paragraphs.append(paragraph)
         if own[15] % PARAGRAPHS_IN_SECTION == 0 or not line or i == len(lines):
-            sections.append(digest(b"".join(paragraphs)))
-            written.append(f"{sections[-1][:4].hex()}:{','.join(names)}")
-            paragraphs, names = [], []
-    digests, counts = np.unique(np.frombuffer(b"".join(short), ">u4"), return_counts=True)
-    return Tree("|".join([digest(b"".join(sections)).hex(), *written]), digests, counts)
+            own_sections.append(digest(b"".join(digests)))
+            sections.append((urlsafe_b64encode(own_sections[-1][:NAME_BYTES]).decode(), own_paragraphs))
+            digests, own_paragraphs = [], []
+    return Tree(digest(b"".join(own_sections)).hex(), sections)
 
 
 def fingerprint(text: str) -> str:
-    """``root|section:paragraph,paragraph|section:...``; the root has 32 hexadecimal digits, all others have eight.
-
-    A paragraph of several leaves is followed by theirs at once. An empty text has one section, paragraph and leaf.
+    """``root|section:paragraph,paragraph|section:...``: the root has 32 hexadecimal digits, a section 8 signs of the URL-safe
+    base64 alphabet, a paragraph 8 and then 4 for each of its leaves. An empty text has one section, paragraph and leaf.
     """
     return tree(text).written
 
 
-def _tree(fp: str) -> tuple[str, list[tuple[str, list[str]]]]:
+def read(fp: str) -> Tree:
+    """The tree that a fingerprint writes out."""
     root, *sections = fp.split("|")
-    return root, [(s[:8], s[9:].split(",")) for s in sections]
-
-
-def _leaf_names(paragraph: str) -> list[str]:
-    return [paragraph[i : i + 8] for i in range(8, len(paragraph), 8)] or [paragraph]
-
-
-def _apart(a: list, b: list, name) -> tuple[list, list, list]:
-    """What is in both, by name and as often as in both, and what is left of each."""
-    spare = Counter(map(name, b))
-    same, left = [], []
-    for x in a:
-        n = name(x)
-        if spare[n] > 0:
-            spare[n] -= 1
-            same.append(x)
-        else:
-            left.append(x)
-    taken = Counter(map(name, same))
-    rest = []
-    for x in b:
-        n = name(x)
-        if taken[n] > 0:
-            taken[n] -= 1
-        else:
-            rest.append(x)
-    return same, left, rest
-
-
-def _common(a: Tree, b: Tree) -> float:
-    if a.root == b.root:
-        return 1.0
-    _, i, j = np.intersect1d(a.digests, b.digests, assume_unique=True, return_indices=True)
-    return float(2.0 * np.minimum(a.counts[i], b.counts[j]).sum() / (a.counts.sum() + b.counts.sum()))
+    return Tree(root, [(s[:NAME], [(p[:NAME], p[NAME:]) for p in s[NAME + 1 :].split(",")]) for s in sections])
+
+
+def _left(a: list, b: list, name: Callable) -> tuple[list, list]:
+    """What each of two lists has that the other has not, or has less often. Equal beginnings and ends are passed over."""
+    start, end, most = 0, 0, min(len(a), len(b))
+    while start < most and name(a[start]) == name(b[start]):
+        start += 1
+    while end < most - start and name(a[-1 - end]) == name(b[-1 - end]):
+        end += 1
+    a, b = a[start : len(a) - end], b[start : len(b) - end]
+
+    def beyond(items: list, others: Counter) -> list:
+        out = []
+        for x in items:
+            n = name(x)
+            if others[n] > 0:
+                others[n] -= 1
+            else:
+                out.append(x)
+        return out
 
+    in_a, in_b = Counter(map(name, a)), Counter(map(name, b))
+    return beyond(a, in_b), beyond(b, in_a)
 
-def likeness(a: str, b: str) -> float:
-    """Share of leaves, as often as they occur, that two fingerprints have in common: 1 for equal roots, 0 for no leaf."""
 
-    def read(fp: str) -> Tree:
-        names = "".join(x for _, ps in _tree(fp)[1] for p in ps for x in _leaf_names(p))
-        return Tree(fp, *np.unique(np.frombuffer(bytes.fromhex(names), ">u4"), return_counts=True))
+@dataclass(frozen=True)
+class Difference:
+    """How like two trees are, and the numbers of the paragraphs of each that the other does not have."""
 
-    return _common(read(a), read(b))
+    likeness: float
+    here: list[int]
+    there: list[int]
 
 
-def edited_paragraphs(a: str, b: str) -> tuple[list[int], list[int]]:
-    """Numbers of the paragraphs of each text that the other does not have: where they were edited."""
-    (root_a, sections_a), (root_b, sections_b) = _tree(a), _tree(b)
-    if root_a == root_b:
-        return [], []
+def compare(a: Tree, b: Tree) -> Difference:
+    """Walks two trees down from their roots, only into branches that differ.
 
-    def numbered(sections: list) -> list:
+    Equal roots are equal texts. Sections of one name are alike as a whole, and so are paragraphs of one name below the
+    sections that are left; leaves are looked at only in paragraphs that the other text does not have. Likeness is the share
+    of leaves, as often as they occur, that both have: in equal branches all, else those that are met at the bottom. A branch
+    that has only moved is no difference but for the root.
+    """
+    if a.root == b.root:
+        return Difference(1.0, [], [])
+
+    def numbered(t: Tree) -> list:
         n, out = 0, []
-        for name, ps in sections:
-            out.append((name, [(n + i, p) for i, p in enumerate(ps)]))
+        for name, ps in t.sections:
+            out.append((name, [(p, below, n + i) for i, (p, below) in enumerate(ps)]))
             n += len(ps)
         return out
 
-    _, left_a, left_b = _apart(numbered(sections_a), numbered(sections_b), lambda s: s[0])
-    _, left_a, left_b = _apart(
-        [p for _, ps in left_a for p in ps], [p for _, ps in left_b for p in ps], lambda p: p[1][:8]
-    )
-    return [n for n, _ in left_a], [n for n, _ in left_b]
+    def size(paragraphs: list) -> int:
+        return sum(len(p[1]) for p in paragraphs) // LEAF
+
+    def bottom(paragraphs: list) -> Counter:
+        return Counter([below[i : i + LEAF] for _, below, _ in paragraphs for i in range(0, len(below), LEAF)])
+
+    first = lambda branch: branch[0]
+    sections = _left(numbered(a), numbered(b), first)
+    here, there = _left(*([p for _, ps in left for p in ps] for left in sections), first)
+    all_here, all_there = (size([p for _, ps in t.sections for p in ps]) for t in (a, b))
+    shared = all_here - size(here) + (bottom(here) & bottom(there)).total()
+    return Difference(2.0 * shared / (all_here + all_there), [n for *_, n in here], [n for *_, n in there])
+
+
+def likeness(a: str, b: str) -> float:
+    """Likeness of two fingerprints: 1 for equal roots, 0 for no branch or leaf in common."""
+    return compare(read(a), read(b)).likeness
+
+
+def edited_paragraphs(a: str, b: str) -> tuple[list[int], list[int]]:
+    """Numbers of the paragraphs of each text that the other does not have: where they were edited."""
+    found = compare(read(a), read(b))
+    return found.here, found.there
+
+
+def ranges_of(numbers: list[int]) -> str:
+    """Ascending numbers as ``start:end`` (end exclusive), comma-joined."""
+    starts = [n for i, n in enumerate(numbers) if i == 0 or numbers[i - 1] != n - 1]
+    ends = [n + 1 for i, n in enumerate(numbers) if i + 1 == len(numbers) or numbers[i + 1] != n + 1]
+    return ",".join(f"{s}:{e}" for s, e in zip(starts, ends))
 
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, fingerprint`` of every row; a null text has the fingerprint of an empty one."""
+    """``doc_id, fingerprint`` of every row, repeated rows and null ids included; other columns are not read.
+
+    A null text has the fingerprint of an empty one. A text of any length is fingerprinted whole. No rows give no rows.
+    """
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,7 +207,7 @@ class _Comparison:
     """Compares each text with its edited form and with the text that follows it."""
 
     def __init__(self) -> None:
-        self.known: dict[bytes, tuple[bytes, str, bytes]] = {}
+        self.known: dict[bytes, tuple[bytes, Paragraph]] = {}
 
     def tree(self, text: str) -> Tree:
         # Paragraphs of this text come again in its edited form and in the one before; older ones are let go.
@@ -190,7 +219,9 @@ class _Comparison:
         new = edited(text, following)
         new_tree = self.tree(new)
         sha = hashlib.sha256(new.encode("utf-8", "surrogatepass")).hexdigest()
-        return len(text), sha, own.written, new_tree.written, _common(own, new_tree), _common(own, after)
+        edit = compare(own, new_tree)
+        near_next = compare(own, after).likeness
+        return len(text), sha, own.written, new_tree.written, edit.likeness, near_next, ranges_of(edit.here)
 
 
 def _rows(ids: list, rows: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
@@ -201,6 +232,7 @@ def _rows(ids: list, rows: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
         "edited_fingerprint": pa.string(),
         "near_edited": pa.float64(),
         "near_next": pa.float64(),
+        "edited_paragraphs": pa.string(),
     }
     columns = zip(*rows) if rows else [()] * len(kinds)
     return batch({"id": pa.array(ids, kind), **{c: list(v) for c, v in zip(kinds, columns)}}, kinds)
@@ -209,12 +241,15 @@ def _rows(ids: list, rows: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
 def compared_with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Every row with its fingerprint, that of its edited text, and how like they and the next row's are.
 
+    ``edited_paragraphs`` are the paragraphs (lines, from 0) of the text that its edited form does not have, as ``start:end``.
+
     The next row is the one that follows by ascending id, null ids first, rows of one id by the hash of their text and then
     in the order read; the first follows the last. A null text is an empty one. One row is its own next; no rows give none.
     Other columns are not read.
 
     Sorting ids and hashes alone gives ranges and the first row of each; only these keys, one per shuffle partition, come
-    to the driver. The texts are then dealt to their ranges in one shuffle, the first of a range also to the one before it.
+    to the driver. Rows equal in id and text are told apart by their place in the input, which must come in one order when read
+    twice, as files do; otherwise the query fails. The texts are then dealt to their ranges in one shuffle, the first of a range also to the one before it.
     """
     spark = docs.sparkSession
     prepare(spark)
@@ -231,7 +266,7 @@ def compared_with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     keys = rows.select("id", "h", "n").repartitionByRange(ranges, *order).sortWithinPartitions(*order)
     starts = keys.mapInArrow(first, f"id {kind}, h bigint, n bigint").orderBy(*order).collect()
     schema = f"id {kind}, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string"
-    schema += ", near_edited double, near_next double"
+    schema += ", near_edited double, near_next double, edited_paragraphs string"
     if not starts:
         return spark.createDataFrame([], schema).withColumnRenamed("id", doc_id)
 

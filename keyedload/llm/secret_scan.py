@@ -13,6 +13,7 @@ from __future__ import annotations
 import re
 import re._constants as c
 import re._parser
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -24,6 +25,9 @@ from keyedload.llm.common import staged, text_of
 # More literal strings than this for one part of a pattern are not followed up; the part then asks for nothing.
 MOST_STRINGS = 64
 
+# Matches, and pieces of text between them, that are folded at a time: an even number.
+PIECES_IN_BLOCK = 256
+
 #: Marks the ends of matches; the sign itself is replaced in texts by a neighbour that no pattern mentions either.
 _MARK, _OTHER = "\u0001", "\u0002"
 
@@ -129,7 +133,8 @@ def spans_of(rule: Rule, text: Column) -> Column:
         part = piece if rule.group == 0 else F.regexp_extract(piece, measured, rule.group)
         return F.length(part) >= rule.least
 
-    # Odd pieces are matches. One pass adds up lengths and keeps the spans.
+    # Odd pieces are matches. Each step of a fold copies what it has found so far, so a block of pieces is folded at a time,
+    # with places from its own beginning; blocks are then moved to where they stand. A block begins outside a match.
     none = F.array().cast("array<struct<start:int,end:int>>")
     empty = F.struct(F.lit(0).alias("at"), F.lit(False).alias("is_match"), none.alias("found"))
 
@@ -139,7 +144,25 @@ def spans_of(rule: Rule, text: Column) -> Column:
         found = F.when(state["is_match"] & long_enough(piece), F.concat(state["found"], span)).otherwise(state["found"])
         return F.struct(end.alias("at"), (~state["is_match"]).alias("is_match"), found.alias("found"))
 
-    return F.aggregate(pieces, empty, step, lambda state: state["found"])
+    def folded(pieces: Column) -> Column:
+        begins = F.sequence(F.lit(1), F.size(pieces), F.lit(PIECES_IN_BLOCK))
+        return F.transform(begins, lambda i: F.aggregate(F.slice(pieces, i, PIECES_IN_BLOCK), empty, step))
+
+    def moved(blocks: Column) -> Column:
+        ends = F.aggregate(blocks, F.array(F.lit(0)), lambda at, b: F.concat(at, F.array(F.element_at(at, -1) + b["at"])))
+        places = F.slice(ends, F.lit(1), F.size(blocks))
+
+        def place(block: Column, at: Column) -> Column:
+            return F.transform(block["found"], lambda s: F.struct((s["start"] + at).alias("start"), (s["end"] + at).alias("end")))
+
+        return F.flatten(F.zip_with(blocks, places, place))
+
+    return _let(_let(pieces, folded), moved)
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), body), 0)
 
 
 def find(

@@ -2,8 +2,10 @@
 
 import hashlib
 import random
+import zlib
 
 import pytest
+import xxhash
 
 from keyedload.llm import merkle
 from keyedload.llm.merkle import edited_paragraphs, fingerprint, likeness
@@ -17,6 +19,96 @@ def test_equal_texts_and_only_they_have_equal_roots():
     assert all(fingerprint(t) == fingerprint("".join(list(t))) for t in texts)
 
 
+def plain_pieces(line):
+    """Pieces of a line, word by word."""
+    out, now = [], []
+    for w in line.split(" "):
+        now.append(w)
+        if zlib.crc32(w.encode()) % 4 == 0:
+            out.append(now)
+            now = []
+    out += [now] if now else []
+    return [" ".join(x[i : i + 12]) for x in out for i in range(0, len(x), 12)]
+
+
+def plain_tree(text):
+    """Sections of paragraphs of pieces, as text; digests serve only to end sections."""
+    sections, now = [], []
+    for line in text.split("\n"):
+        pieces = plain_pieces(line)
+        now.append(pieces)
+        digest = xxhash.xxh3_128_digest(b"".join(xxhash.xxh3_128_digest(p.encode()) for p in pieces))
+        if not line or digest[15] % 4 == 0:
+            sections.append(now)
+            now = []
+    return sections + ([now] if now else [])
+
+
+def plain_likeness(a, b):
+    """Share of common pieces: those of common sections, of common paragraphs in other sections, and then single ones."""
+
+    def less(x, y):
+        x, y = x.copy(), y.copy()
+        for item in x.copy():
+            if item in y:
+                x.remove(item)
+                y.remove(item)
+        return x, y
+
+    if a == b:
+        return 1.0
+    a, b = plain_tree(a), plain_tree(b)
+    n = [sum(len(p) for s in t for p in s) for t in (a, b)]
+    a, b = less(a, b)
+    a, b = less([p for s in a for p in s], [p for s in b for p in s])
+    a, b = [x for p in a for x in p], [x for p in b for x in p]
+    return 2 * (n[0] - len(less(a, b)[0])) / sum(n)
+
+
+def plain_text(rng):
+    lines = [" ".join(rng.choices("a bc def same words again é".split(" "), k=rng.randint(0, 30))) for _ in range(rng.randint(1, 12))]
+    return "\n".join(lines + rng.choices(lines, k=3))
+
+
+def test_likeness_against_a_plain_tree():
+    rng = random.Random(8)
+    for _ in range(150):
+        a = plain_text(rng)
+        b = rng.choice([plain_text(rng), merkle.edited(a, plain_text(rng)), a])
+        assert likeness(fingerprint(a), fingerprint(b)) == pytest.approx(plain_likeness(a, b))
+        assert likeness(fingerprint(b), fingerprint(a)) == pytest.approx(plain_likeness(a, b))
+
+
+def test_a_fingerprint_is_read_back():
+    rng = random.Random(9)
+    for text in ["", "a", "\n\n", *(plain_text(rng) for _ in range(20))]:
+        assert merkle.read(fingerprint(text)) == merkle.tree(text)
+        sections = plain_tree(text)
+        assert [[len(below) // merkle.LEAF for _, below in ps] for _, ps in merkle.tree(text).sections] == [
+            [len(p) for p in s] for s in sections
+        ]
+
+
+def test_only_differing_branches_are_entered():
+    """Equal branches are told by their names: what stands below them in a fingerprint is not looked at."""
+    a = "\n".join(LINES)
+    b = a.replace(LINES[20], "another line")
+    one, other = merkle.tree(a), merkle.tree(b)
+    spoilt = [(s, [(p, below if p != one.sections[0][1][0][0] else "????" * (len(below) // 4)) for p, below in ps]) for s, ps in other.sections]
+    assert merkle.compare(one, merkle.Tree(other.root, spoilt)) == merkle.compare(one, other)
+
+
+def test_ranges():
+    assert merkle.ranges_of([]) == "" and merkle.ranges_of([4]) == "4:5"
+    assert merkle.ranges_of([0, 1, 2, 5, 7, 8]) == "0:3,5:6,7:9"
+
+
+def test_repeated_lines_are_located():
+    lines = ["same line"] * 9
+    changed = [*lines[:4], "other", *lines[5:]]
+    assert edited_paragraphs(fingerprint("\n".join(lines)), fingerprint("\n".join(changed))) == ([4], [4])
+
+
 def test_edits_are_located():
     for at in (0, 7, 29):
         changed = LINES.copy()
@@ -57,8 +149,12 @@ def test_neighbours(spark, partitions):
         r = got[i]
         assert r.n_chars == len(text) and r.edited_sha256 == hashlib.sha256(new.encode()).hexdigest()
         assert r.fingerprint == fingerprint(text) and r.edited_fingerprint == fingerprint(new)
-        assert r.near_edited == pytest.approx(likeness(fingerprint(text), fingerprint(new)))
-        assert r.near_next == pytest.approx(likeness(fingerprint(text), fingerprint(following)))
+        assert r.near_edited == pytest.approx(plain_likeness(text, new))
+        assert r.near_next == pytest.approx(plain_likeness(text, following))
+        lost = edited_paragraphs(r.fingerprint, r.edited_fingerprint)[0]
+        assert r.edited_paragraphs == merkle.ranges_of(lost) and set(new.split("\n")) >= {
+            p for n, p in enumerate(text.split("\n")) if n not in lost
+        }
 
 
 def test_repeated_rows_and_few_rows(spark):

@@ -1,6 +1,7 @@
 """Secrets against plain Python patterns, and the trigram queries of patterns."""
 
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -65,6 +66,19 @@ def test_tokens_of_any_length(spark):
         assert [tuple(s) for s in r.spans] == [(r.doc_id, 1, 1 + len(tokens[r.doc_id]))]
 
 
+def test_many_finds_in_one_text(spark):
+    def seconds(n):
+        docs = spark.createDataFrame([(1, "é token=abcdefgh12 " * n)], "doc_id bigint, text string")
+        began = time.monotonic()
+        spans = secret_scan.find(docs)[0].first().spans
+        took = time.monotonic() - began
+        assert [tuple(s) for s in spans] == [("assign", 19 * i + 2, 19 * i + 18) for i in range(n)]
+        return took
+
+    seconds(10)
+    assert seconds(40_000) < 10
+
+
 def test_no_documents(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string")
     assert secret_scan.find(docs)[0].count() == 0

@@ -4,10 +4,11 @@ A fingerprint is embedded as the bit counts of its segments. Flipping one bit ch
 Manhattan distance of two embeddings is a lower bound of the bit distance. Pairs are found by a range join on the
 grid of embeddings and then verified on the bits.
 
-The join needs no row for every cell within the distance. The segments form two halves; of two embeddings at most
-two apart, one half differs by at most one. Each fingerprint is therefore entered in the cell of each of its halves,
-and looks up the cells with one count less; of two cells that differ by one, the larger looks up the smaller. That is
-about 28 rows of 16 bytes per distinct fingerprint, at any size.
+The cells are those of the whole embedding, and the join needs no row for every cell within the distance: of two embeddings
+two apart, some cell is one from each. Each fingerprint is therefore entered in its own cell and in those that differ from
+it by one in one count, and whatever shares a cell is compared. That is about 49 rows of 16 bytes per distinct fingerprint,
+at any size. Cells of the whole embedding are narrow: two unrelated fingerprints share one once in some 45 billion times, so
+few comparisons are in vain.
 
 A cell with many rows (a large group of near copies) is not compared pair by pair. Its fingerprints are entered at
 every value that one flipped bit makes of them: two fingerprints at most two bits apart meet at such a value, and no
@@ -93,24 +94,29 @@ def segment_counts(half: Column, segment_bits: int) -> Column:
     return pairs.bitwiseAND(low) + F.shiftrightunsigned(pairs, 2).bitwiseAND(low)
 
 
-def grid_rows(fps: DataFrame, segment_bits: int) -> DataFrame:
-    """Rows ``cell, look, fp`` of distinct fingerprints: their own two cells, and (``look``) those they look up."""
+def grid_rows(fps: DataFrame, segment_bits: int, max_distance: int = 2) -> DataFrame:
+    """Rows ``cell, fp`` of distinct fingerprints: their own cell and those with one count less, or one more.
+
+    At distance 1 the larger of two embeddings meets the smaller in its cell, so counts of one more are left out.
+    """
     full = (1 << segment_bits) - 1
-    cells = []
-    for half in (0, 1):
-        # The halves' cells are told apart by a bit above their counts.
-        own = F.col(f"half{half}") + F.lit(half << 32)
-        cells.append(F.struct(own.alias("cell"), F.lit(False).alias("look")))
+    half = {0: F.col("half0"), 1: F.col("half1")}
+
+    def cell(halves: dict[int, Column]) -> Column:
+        return F.shiftleft(halves[1], 32).bitwiseOR(halves[0])
+
+    cells = [cell(half)]
+    for i in half:
         for at in range(0, 32, segment_bits):
-            present = F.col(f"half{half}").bitwiseAND(F.lit(full << at)) != 0
-            less = own - F.lit(1 << at)
-            cells.append(F.when(present, F.struct(less.alias("cell"), F.lit(True).alias("look"))))
+            count = F.shiftrightunsigned(half[i], at).bitwiseAND(F.lit(full))
+            cells.append(F.when(count > 0, cell(half | {i: half[i] - F.lit(1 << at)})))
+            if max_distance == 2:
+                cells.append(F.when(count < segment_bits, cell(half | {i: half[i] + F.lit(1 << at)})))
     low, high = F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned("fp", 32)
     embedded = fps.select(
         "fp", segment_counts(low, segment_bits).alias("half0"), segment_counts(high, segment_bits).alias("half1")
     )
-    listed = embedded.select("fp", F.explode(F.filter(F.array(*cells), lambda c: c.isNotNull())).alias("c"))
-    return listed.select("c.cell", "c.look", "fp")
+    return embedded.select(F.explode(F.filter(F.array(*cells), lambda c: c.isNotNull())).alias("cell"), "fp")
 
 
 def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -133,8 +139,8 @@ def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[moved], nodes[label[moved]]
 
 
-def _links_in_cells(cell: np.ndarray, look: np.ndarray, fp: np.ndarray, max_distance: int):
-    """Verified links between rows of a cell, of which one at least is no look-up. Rows come sorted by cell."""
+def _links_in_cells(cell: np.ndarray, fp: np.ndarray, max_distance: int):
+    """Verified links between rows of a cell. Rows come sorted by cell."""
     found_a, found_b = [], []
     at, step = np.arange(len(cell)), 0
     while True:
@@ -143,8 +149,7 @@ def _links_in_cells(cell: np.ndarray, look: np.ndarray, fp: np.ndarray, max_dist
         at = at[cell[at] == cell[at + step]]
         if not len(at):
             break
-        near = np.bitwise_count(fp[at] ^ fp[at + step]) <= max_distance
-        ok = at[near & ~(look[at] & look[at + step])]
+        ok = at[np.bitwise_count(fp[at] ^ fp[at + step]) <= max_distance]
         found_a.append(fp[ok])
         found_b.append(fp[ok + step])
     if not found_a:
@@ -156,42 +161,36 @@ def links(fps: DataFrame, max_distance: int = 2, segment_bits: int = 2, cell_row
     """Links ``u, v`` that connect what bit distances connect.
 
     ``fps`` has distinct ``fp``. Each cell gives a spanning forest of its verified links, so a group of near copies
-    gives a few rows per fingerprint, not all of its pairs. With N distinct fingerprints about N * N / 10**5 pairs are
-    compared at two bits a segment; ``segment_bits=1`` divides that by over a thousand for collections of billions.
+    gives a few rows per fingerprint, not all of its pairs. Of N unrelated fingerprints about N * N / (4 * 10**10) pairs
+    are compared in vain at two bits a segment: fewer than one per fingerprint where there are ten billions.
     """
     if max_distance not in (0, 1, 2):
         raise ValueError("the largest bit distance is 0, 1 or 2")
     if max_distance == 0:
         return fps.sparkSession.createDataFrame([], "u bigint, v bigint")
-    rows = grid_rows(fps, segment_bits)
+    rows = grid_rows(fps, segment_bits, max_distance)
     crowded = rows.groupBy("cell").agg(F.count("*").alias("n")).where(F.col("n") > cell_rows).select("cell")
     crowded = staged(crowded, "cells")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
 
-        def links_of(cell, look, fp):
-            a, b = _links_in_cells(cell, look, fp, max_distance)
+        def links_of(cell, fp):
+            a, b = _links_in_cells(cell, fp, max_distance)
             return batch({"u": pa.array(a.view(np.int64)), "v": pa.array(b.view(np.int64))})
 
         for b in batches:
-            held.append(
-                (
-                    b.column(0).to_numpy(),
-                    b.column(1).to_numpy(zero_copy_only=False),
-                    b.column(2).to_numpy().view(np.uint64),
-                )
-            )
+            held.append((b.column(0).to_numpy(), b.column(1).to_numpy().view(np.uint64)))
             if sum(len(x[0]) for x in held) >= ROWS_AT_ONCE:
-                cell, look, fp = (np.concatenate(x) for x in zip(*held))
+                cell, fp = (np.concatenate(x) for x in zip(*held))
                 cut = np.searchsorted(cell, cell[-1], "left")  # the last cell may go on
-                yield links_of(cell[:cut], look[:cut], fp[:cut])
-                held = [(cell[cut:], look[cut:], fp[cut:])]
+                yield links_of(cell[:cut], fp[:cut])
+                held = [(cell[cut:], fp[cut:])]
         if held:
             yield links_of(*(np.concatenate(x) for x in zip(*held)))
 
     compared = rows.join(crowded, "cell", "left_anti").repartition("cell").sortWithinPartitions("cell")
-    by_cell = compared.select("cell", "look", "fp").mapInArrow(work, "u bigint, v bigint")
+    by_cell = compared.select("cell", "fp").mapInArrow(work, "u bigint, v bigint")
 
     # What meets in a crowded cell meets at a flipped bit.
     dense = rows.join(crowded, "cell", "left_semi").select("fp").distinct()
@@ -265,19 +264,6 @@ def hex_fingerprint(fp: str = "fp") -> Column:
     return F.lower(F.lpad(F.hex(F.col(fp)), 16, "0"))
 
 
-def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs`` with one document of each group of near copies: the one with the smallest id.
-
-    Ids are taken to name documents: of kept rows with one id, the one with the smallest text stays, and a row without an id
-    cannot be named and always stays. ``one_of_each_group`` takes rows for documents.
-    """
-    named = one_of_each_group(docs.where(col(doc_id).isNotNull()), doc_id, text, **options)
-    others = F.struct(*[col(c) for c in docs.columns if c != doc_id])
-    first = named.repartition(F.xxhash64(col(doc_id))).groupBy(col(doc_id)).agg(F.min_by(others, text_of(text)).alias("_row"))
-    first = first.select(*[col(c) if c == doc_id else F.col("_row")[c].alias(c) for c in docs.columns])
-    return first.unionByName(docs.where(col(doc_id).isNull()).select(*[col(c) for c in docs.columns]))
-
-
 def one_of_each_group(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, hot_share: float = 0.001, **options
 ) -> DataFrame:

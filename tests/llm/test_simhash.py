@@ -73,6 +73,34 @@ def test_every_link_is_kept(spark, segment_bits, cell_rows, distance):
     assert got == groups(plain_components(values, distance).items())
 
 
+def counts_of(v, bits):
+    return [(v >> at & ((1 << bits) - 1)).bit_count() for at in range(0, 64, bits)]
+
+
+@pytest.mark.parametrize("segment_bits", [1, 2, 4])
+def test_cells_are_those_one_count_away(spark, segment_bits):
+    rng = random.Random(5)
+    values = [0, M64, 1 << 63, (1 << 63) - 1, *(rng.getrandbits(64) for _ in range(20))]
+    fps = spark.createDataFrame([(signed(v),) for v in values], "fp bigint")
+    got = {}
+    for r in simhash.grid_rows(fps, segment_bits).collect():
+        cell = r.cell & M64
+        got.setdefault(r.fp & M64, []).append([cell >> at & ((1 << segment_bits) - 1) for at in range(0, 64, segment_bits)])
+    for v in values:
+        own = counts_of(v, segment_bits)
+        near = [own[:i] + [c + d] + own[i + 1 :] for i, c in enumerate(own) for d in (-1, 1) if 0 <= c + d <= segment_bits]
+        assert sorted(got[v]) == sorted([own, *near])
+
+
+def test_comparisons_in_vain_stay_few(spark):
+    """Unrelated fingerprints hardly meet, and ten times as many do not meet ten times as often each."""
+    for n in (2_000, 20_000):
+        fps = spark.range(n).select(F.xxhash64("id").alias("fp"))
+        met = simhash.grid_rows(fps, 2).groupBy("cell").count()
+        pairs = met.agg(F.sum(F.col("count") * (F.col("count") - 1) / 2)).first()[0]
+        assert pairs <= n / 1000
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.range(200).select((F.col("id") * 7919 % 1009).alias("u"), ((F.col("id") + 1) * 7919 % 1009).alias("v"))
     found = simhash.components(edges).collect()
@@ -104,16 +132,6 @@ def test_near_copies(spark):
     assert sorted((str(r.doc_id), r.fp, r.component_id) for r in got) == expected
 
 
-def test_one_of_each(spark):
-    docs = documents(spark)
-    kept = simhash.one_of_each(docs)
-    assert kept.columns == docs.columns
-    ids = sorted(str(r.doc_id) for r in kept.collect())
-    named = {r.component_id for r in simhash.near_copies(docs.where("doc_id is not null")).collect()}
-    assert ids == sorted([*map(str, named), "None"])
-    assert kept.where("doc_id = 5").first().text == "another text with id five"
-
-
 @pytest.mark.parametrize("hot_share", [0.001, 0.2, 1.0])
 def test_every_group_keeps_one_row(spark, hot_share):
     other = [" ".join(f"g{k}w{i * (k + 3)}" for i in range(200)) for k in range(4)]
@@ -126,10 +144,8 @@ def test_every_group_keeps_one_row(spark, hot_share):
     assert kept.columns == docs.columns
     expected = [(3, BASE), (5, "zz " + other[0]), (7, other[1]), (7, other[2]), (None, other[3]), (None, None), (None, " ")]
     assert sorted(repr((r.doc_id, r.text)) for r in kept.collect()) == sorted(map(repr, expected))
-    # By ids, 5 is still kept for the group it is the smallest of.
-    assert [r.text for r in simhash.one_of_each(docs).where("doc_id = 5").collect()] == ["zz " + other[0]]
 
 
 def test_no_documents(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string")
-    assert simhash.near_copies(docs).count() == 0 and simhash.one_of_each(docs).count() == 0
+    assert simhash.near_copies(docs).count() == 0 and simhash.one_of_each_group(docs).count() == 0

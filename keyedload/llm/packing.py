@@ -22,7 +22,9 @@ from keyedload.llm.common import text_of
 # Characters of a sequence: about 2048 tokens of four characters.
 CAPACITY = 8192
 # Pieces in a shard on average; bounds the task's memory and the length of a search.
-SHARD_PIECES = 1024
+SHARD_PIECES = 4096
+# Copies of one row that are numbered together.
+COPIES_AT_ONCE = 1000
 
 PLACED = "id {id}, copy bigint, piece int, start int, n_chars int, bin_id string, bin_start int"
 
@@ -97,9 +99,15 @@ def pieces(
         (F.when(size > 0, F.xxhash64(text_of(text))) if cluster is None else cluster.cast("bigint")).alias("cluster"),
         size.alias("size"),
     )
-    # Rows that are the same are numbered, so they spread over the shards.
-    rows = rows.groupBy("id", "source", "cluster", "size").agg(F.count("*").alias("n"))
-    rows = rows.select("*", F.explode(F.sequence(F.lit(1).cast("bigint"), "n")).alias("copy")).drop("n")
+    # Rows that are the same are numbered, so they spread over the shards. Blocks of numbers are dealt to tasks before they
+    # are written out; a fixed number of tasks, as adaptive execution would see only how few blocks there are.
+    key = ["id", "source", "cluster", "size"]
+    rows = rows.groupBy(*key).agg(F.count("*").alias("n"))
+    rows = rows.select("*", F.explode(F.sequence(F.lit(1).cast("bigint"), "n", F.lit(COPIES_AT_ONCE).cast("bigint"))).alias("first"))
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(tasks, *key, "first")
+    copies = F.sequence("first", F.least("n", F.col("first") + (COPIES_AT_ONCE - 1)))
+    rows = rows.select(*key, F.explode(copies).alias("copy"))
     last = F.greatest(F.ceil(F.col("size") / capacity), F.lit(1)).cast("int") - 1
     cut = rows.select("*", F.explode(F.sequence(F.lit(0), last)).alias("piece"))
     start = F.col("piece") * capacity

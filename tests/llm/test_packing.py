@@ -81,5 +81,26 @@ def test_repeated_rows_spread_over_shards(spark):
     assert per_shard < 300
 
 
+def test_copies_of_one_row_are_numbered_by_many_tasks(spark):
+    """A million equal rows: each is placed once, and no task writes out more than its share."""
+    n = 1_000_000
+    docs = spark.range(n).select(F.lit(1).alias("doc_id"), F.lit("same text").alias("text"), F.lit("s").alias("source"))
+    cut = packing.pieces(docs, "doc_id", "text", "source", None, 100)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    per_task = cut.groupBy(F.spark_partition_id().alias("task")).agg(F.count("*").alias("n"), F.count_distinct("copy").alias("copies"))
+    found = per_task.collect()
+    assert sum(r.n for r in found) == n and sum(r.copies for r in found) == n
+    assert cut.agg(F.min("copy"), F.max("copy")).first() == (1, n)
+    assert tasks == 1 or max(r.n for r in found) < 2 * n / tasks
+
+
+def test_larger_shards_fill_bins_better(spark):
+    rng = random.Random(11)
+    rows = [(i, "x" * rng.randint(1, 90), rng.choice("abcdefgh")) for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    bins = [packing.pack(docs, capacity=100, shard_pieces=n).select("bin_id").distinct().count() for n in (50, 400, 3000)]
+    assert bins[0] > bins[1] >= bins[2]
+
+
 def test_no_documents(spark):
     assert packing.pack(spark.createDataFrame([], "doc_id bigint, text string, source string")).count() == 0

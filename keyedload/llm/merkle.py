@@ -248,8 +248,9 @@ def compared_with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     Other columns are not read.
 
     Sorting ids and hashes alone gives ranges and the first row of each; only these keys, one per shuffle partition, come
-    to the driver. Rows equal in id and text are told apart by their place in the input, which must come in one order when read
-    twice, as files do; otherwise the query fails. The texts are then dealt to their ranges in one shuffle, the first of a range also to the one before it.
+    to the driver. Rows equal in id and text are told apart by their place in the input, which must come in one order when
+    read twice, as files do; otherwise the query fails. The texts are then dealt to their ranges in one shuffle, the first of
+    a range also to the one before it.
     """
     spark = docs.sparkSession
     prepare(spark)

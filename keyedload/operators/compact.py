@@ -17,12 +17,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keyedload.functions.names import col
+from keyedload.operators.files import write_index
 from keyedload.operators.load import hot_buckets, write_attempt
 from keyedload.operators.place import ASIDE, bucket_count, clustered
-from keyedload.operators.resolve import NEVER, Facts, by_key, cell, comparable, facts_of, from_comparable
+from keyedload.operators.resolve import Facts, by_key, cell, comparable, facts_of, from_comparable
 from keyedload.sources.commits import Folder
 from keyedload.sources.store import KeyedStore, LogRow, new_load_id
-from keyedload.spec import ATTEMPT, BUCKET, EXPIRES, LOAD_ID, WRITTEN, WTS, LoadConf, LoadError, TableSpec
+from keyedload.spec import ATTEMPT, BUCKET, EXPIRES, LOAD_ID, NEVER, WRITTEN, WTS, LoadConf, LoadError, TableSpec
 
 #: Files of what is no longer needed stay that long, for reads that have begun.
 GRACE_SECONDS = 86_400
@@ -92,7 +93,10 @@ def compact_loads(
             attempt=attempt,
             whole=seen["partial"] == 0,
             replaces=tuple(r.load_id for r in chosen),
+            expires=seen["expires"],
         )
+        if conf.index_files and entry.rows:
+            entry = replace(entry, index_blocks=write_index(store, spec, entry))
         if conf.partitioner == "bucketed":
             entry = replace(entry, hot=hot_buckets(store, spec, entry))
         store.publish(spec, entry)

@@ -21,9 +21,10 @@ from keyedload.functions.names import col
 from keyedload.operators.contract import bind_by_position, check_input, selected_columns
 from keyedload.operators.options import has_ttl, per_row_options, with_static_options
 from keyedload.operators.capped import capped_write
+from keyedload.operators.files import write_index
 from keyedload.operators.place import ASIDE, bucket_count, clustered
 from keyedload.sources.store import KeyedStore, LogRow, catalog_name, check_load_id, new_load_id
-from keyedload.spec import BUCKET, REJECTED, TOKEN, WTS, AlreadyPublished, LoadConf, LoadError, TableSpec
+from keyedload.spec import BUCKET, EXPIRES, NEVER, REJECTED, TOKEN, WTS, AlreadyPublished, LoadConf, LoadError, TableSpec
 
 # A bucket is hot from so many times the rows of an even one; at most one in so many is.
 HOT_FACTOR = 4
@@ -97,7 +98,10 @@ def bulk_load(
             split_points=json.dumps(conf.split_points),
             seconds=0.0,
             attempt=attempt,
+            expires=seen["expires"],
         )
+        if conf.index_files and entry.rows:
+            entry = replace(entry, index_blocks=write_index(store, spec, entry))
         if conf.count_keys and entry.rows:
             keys, most_versions = count_keys(store, spec, entry)
             entry = replace(entry, keys=keys, most_versions=most_versions)
@@ -155,6 +159,7 @@ def totals(rows: DataFrame) -> dict[str, Column]:
         "rejected": F.count(F.when(~kept, 1)),
         "min_wts": F.min(F.when(kept, F.col(WTS))),
         "max_wts": F.max(F.when(kept, F.col(WTS))),
+        "expires": F.max(F.when(kept, F.coalesce(F.col(EXPIRES), F.lit(NEVER)) if EXPIRES in rows.columns else F.lit(NEVER))),
     }
 
 
@@ -176,10 +181,12 @@ def write_attempt(
                 writer.partitionBy(BUCKET).parquet(path)
 
         if conf.throttled:
-            return capped_write(rows, spec, write, conf, wanted)
-        metrics = Observation()
-        write(rows.observe(metrics, *[c.alias(n) for n, c in wanted.items()]))
-        return metrics.get
+            seen = capped_write(rows, spec, write, conf, wanted)
+        else:
+            metrics = Observation()
+            write(rows.observe(metrics, *[c.alias(n) for n, c in wanted.items()]))
+            seen = dict(metrics.get)
+    return seen | {"expires": None if seen["expires"] == NEVER else seen["expires"]}
 
 
 def count_keys(store: KeyedStore, spec: TableSpec, entry: LogRow) -> tuple[int, int]:

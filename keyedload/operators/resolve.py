@@ -33,11 +33,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keyedload.functions.names import col
-from keyedload.operators.prune import only_partition
+from keyedload.operators.files import candidates, needed
+from keyedload.operators.prune import only_partition, places_of
 from keyedload.sources.store import KeyedStore, LogRow
-from keyedload.spec import BUCKET, EXPIRES, LOAD_ID, WRITTEN, WTS, LoadError, TableSpec
+from keyedload.spec import BUCKET, EXPIRES, LOAD_ID, NEVER, WRITTEN, WTS, LoadError, TableSpec
 
-NEVER = 2**63 - 1
 STRATEGIES = ("auto", "direct", "overlay", "latest", "tied", "newest", "cells")
 
 # Rows are shuffled before they are merged when no key has more versions than this, and the average is low.
@@ -155,10 +155,15 @@ def allowed_strategies(facts: Facts) -> list[str]:
 def read_table(
     store: KeyedStore, keyspace: str, table: str, as_of: int | None = None, strategy: str = "auto"
 ) -> DataFrame:
-    """Current rows of a table at ``as_of`` (epoch seconds, default now)."""
+    """Current rows of a table at ``as_of`` (epoch seconds, default now).
+
+    Loads that have expired by then are not opened, unless they hide what is alive, or a strategy is asked for.
+    """
     spec = store.spec(keyspace, table)
     as_of = int(time.time()) if as_of is None else as_of
     loads = [r for r in store.published(spec) if r.rows]
+    if strategy == "auto":
+        loads = needed(loads, as_of)
     rows, facts = _rows_of(store, spec, loads)
     chosen = allowed_strategies(facts)[0] if strategy == "auto" else strategy
     if chosen in ("direct", "overlay") or not merged_by_bucket(loads):
@@ -358,11 +363,17 @@ def lookup(
     """Current rows of one partition key.
 
     Every load is narrowed to the bucket and token of the key, so partition pruning and the
-    row-group statistics of the sorted files leave little to read.
+    row-group statistics of the sorted files leave little to read. Of indexed loads only the files that may hold the key are
+    opened.
     """
     spec = store.spec(keyspace, table)
-    loads = store.published(spec)
-    rows, facts = _rows_of(store, spec, loads)
+    as_of = int(time.time()) if as_of is None else as_of
+    loads = needed([r for r in store.published(spec) if r.rows], as_of)
+    wanted, places = places_of(store.spark, spec, loads, partition_key)
+    indexed = [r for r in loads if r.index_blocks]
+    files = candidates(store, spec, indexed, places, as_of if len(indexed) == len(loads) else None) if indexed else {}
+    loads = [r for r in loads if not r.index_blocks or r.load_id in files]
+    rows, facts = store.loads(spec, loads, files), facts_of(spec, loads)
     # Little is left to read, so a base is not worth its joins.
     strategy = next(s for s in allowed_strategies(facts) if s != "overlay")
-    return resolve(only_partition(rows, spec, loads, partition_key), spec, facts, as_of, strategy)
+    return resolve(only_partition(rows, wanted, places, loads), spec, facts, as_of, strategy)

@@ -18,7 +18,7 @@ import json
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, fields
 from functools import reduce
@@ -73,6 +73,8 @@ ENTRY_SCHEMA = (
     .add("replaces", T.ArrayType(T.StringType()))
     .add("abandoned", T.ArrayType(T.StringType()))
     .add("hot", T.ArrayType(T.IntegerType()))
+    .add("expires", T.LongType())
+    .add("index_blocks", T.IntegerType())
 )
 
 MUTATION_FIELDS = (
@@ -112,6 +114,8 @@ class LogRow:
     whole: bool = True  # every row has written all of ``columns``
     replaces: tuple[str, ...] = ()  # loads this one was made of
     hot: tuple[int, ...] | None = None  # buckets with far more rows than others, where they were counted
+    expires: int | None = None  # newest expiry of its rows, where all expire
+    index_blocks: int | None = None  # blocks of keys in the index of each file, where there is one
 
     @staticmethod
     def from_row(row: Row) -> LogRow:
@@ -127,6 +131,10 @@ class LogRow:
         now = dt.datetime.now(dt.timezone.utc).isoformat()
         return json.dumps({"kind": "load", "published_at": now} | {f.name: getattr(self, f.name) for f in fields(self)})
 
+    def alive(self, as_of: int) -> bool:
+        """Whether some row may not have expired."""
+        return self.expires is None or self.expires > as_of
+
     @property
     def distinct_keys(self) -> bool:
         return self.keys is not None and self.keys == self.rows
@@ -318,8 +326,12 @@ class KeyedStore:
         """Columns of a mutation row. Columns a load did not write read as null."""
         return T.StructType(spec.schema.fields + MUTATION_FIELDS.fields)
 
-    def loads(self, spec: TableSpec, loads: Sequence[LogRow | str]) -> DataFrame:
-        """Mutation rows of loads, given as rows of the log or by the ids of published ones; no other directory is listed."""
+    def loads(self, spec: TableSpec, loads: Sequence[LogRow | str], files: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+        """Mutation rows of loads, given as rows of the log or by the ids of published ones; no other directory is listed.
+
+        Of loads that ``files`` names only those files are opened.
+        """
+        files = files or {}
         named = {i for i in loads if isinstance(i, str)}
         rows = [r for r in loads if isinstance(r, LogRow)]
         if named:
@@ -333,7 +345,8 @@ class KeyedStore:
                 if depth < 3:
                     schema = T.StructType([*schema.fields, T.StructField(ATTEMPT, T.StringType())])
                 kind = some[0].partitioner if depth == 1 else None
-                paths = [self.data_path(spec, r.load_id, r.attempt, kind) for r in some]
+                whole = {r.load_id: self.data_path(spec, r.load_id, r.attempt, kind) for r in some}
+                paths = [f"{path}/{f}" if f else path for i, path in whole.items() for f in files.get(i, [""])]
                 found = self.spark.read.schema(schema).option("basePath", self.data_path(spec, partitioner=kind)).parquet(*paths)
                 if any(r.rejected for r in some):
                     found = found.where(F.col(BUCKET) >= 0)

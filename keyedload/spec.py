@@ -20,6 +20,9 @@ ATTEMPT = "_attempt"  # attempt whose files are published, a directory level on
 REJECTED = "_rejected"  # a row that was set aside, as it came in
 SYSTEM_COLUMNS = (WTS, EXPIRES, WRITTEN, TOKEN, BUCKET, LOAD_ID, ATTEMPT, REJECTED)
 
+# Expiry of what never expires.
+NEVER = 2**63 - 1
+
 PARTITIONERS = ("hash", "md5", "ordered", "bucketed")
 BAD_VALUE_MODES = ("fail", "reject")
 
@@ -155,6 +158,9 @@ class LoadConf:
     ``count_keys`` counts the distinct keys of the written load (a scan of the key columns only);
     a load known to be free of duplicates is later read without a shuffle.
 
+    ``index_files`` keeps for every file which partition keys it may hold and until when (``operators/files.py``; one scan of the
+    tokens), so that a lookup opens few files.
+
     ``bytes_per_trigger`` and ``trigger_seconds`` cap the rate of a streamed load.
     """
 
@@ -167,6 +173,7 @@ class LoadConf:
     timestamp: int | str | None = None
     on_bad_value: str = "fail"
     count_keys: bool = True
+    index_files: bool = False
     bytes_per_trigger: int | None = None
     trigger_seconds: int = 1
 
@@ -230,6 +237,7 @@ class LoadConf:
             "ttl": get_int("ttl"),
             "timestamp": get_int("timestamp"),
             "on_bad_value": get("onBadValue"),
+            "index_files": None if get("indexFiles") is None else get("indexFiles").lower() == "true",
             "bytes_per_trigger": get_int("bytesPerTrigger"),
             "trigger_seconds": get_int("triggerSeconds"),
         }

@@ -91,7 +91,9 @@ def index_rows(store: KeyedStore, spec: TableSpec, loads: Sequence[LogRow]) -> D
     return store.spark.read.schema(INDEX).parquet(*[index_path(store, spec, r) for r in loads])
 
 
-def candidates(store: KeyedStore, spec: TableSpec, loads: Sequence[LogRow], places: dict[str, Place], as_of: int | None) -> dict[str, list[str]]:
+def candidates(
+    store: KeyedStore, spec: TableSpec, loads: Sequence[LogRow], places: dict[str, Place], as_of: int | None
+) -> dict[str, list[str]]:
     """The files of indexed loads that may hold a key, by load. ``places`` has the key's place under each load.
 
     With ``as_of`` these loads are all that a read has, and files whose rows of the key's block have expired by then are left out

@@ -38,7 +38,8 @@ def ordered_split_points(df: DataFrame, spec: TableSpec, ranges: int, error: flo
 
     The largest range of several keys is as small as cuts allow, give or take ``error`` of an even one (up to some 10^13 rows); so
     without frequent keys none has over ``(1 + error) / ranges`` of the rows. A key with more rows than that begins a range, with
-    at most ``error`` of an even one besides. Rows that a load refuses or sets aside for their key do not count. Without rows there are no points.
+    at most ``error`` of an even one besides. Rows that a load refuses or sets aside for their key do not count. Without rows
+    there are no points.
     """
     if ranges < 1 or not 0 < error <= 1:
         raise ValueError("ranges must be at least 1, and error between 0 and 1")

@@ -9,24 +9,24 @@ from keyedload.operators.report import load_log
 from keyedload.plans.registry import EPOCH, KEYSPACE, Table, lineitem_table, orders_table, query, source
 from keyedload.spec import CONF_PREFIX, ContractError, LoadConf, TableNotFound
 
-# Rules by name, with what breaks each; a load of orders is the input.
+# Rules by name: the error, a word that its message must have, and what breaks the rule; a load of orders is the input.
 _RULES = {
-    "unknown column": lambda t, df: t.load(df, columns=["o_custkey", "o_orderdate", "o_orderkey", "o_colour"]),
-    "key column missing": lambda t, df: t.load(df, columns=["o_custkey", "o_totalprice"]),
-    "collection behaviour": lambda t, df: t.load(df, columns=[*t.spec.columns[:-1], ("o_orderpriority", "append")]),
+    "unknown column": (ContractError, "o_colour", lambda t, df: t.load(df, columns=["o_custkey", "o_orderdate", "o_orderkey", "o_colour"])),
+    "key column missing": (ContractError, "o_orderdate", lambda t, df: t.load(df, columns=["o_custkey", "o_totalprice"])),
+    "collection behaviour": (ContractError, "append", lambda t, df: t.load(df, columns=[*t.spec.columns[:-1], ("o_orderpriority", "append")])),
     # Behaviours are looked at after names and keys.
-    "unknown column first": lambda t, df: t.load(df, columns=[("o_colour", "append")]),
-    "input column missing": lambda t, df: t.load(df.drop("o_totalprice")),
-    "input column too many": lambda t, df: t.load(df.withColumn("o_colour", F.lit("x"))),
-    "unknown partitioner": lambda t, df: t.load(df, conf=LoadConf(partitioner="random")),
-    "missing table": lambda t, df: t.store.spec(KEYSPACE, "no_such_table"),
+    "unknown column first": (ContractError, "o_colour", lambda t, df: t.load(df, columns=[("o_colour", "append")])),
+    "input column missing": (ContractError, "o_totalprice", lambda t, df: t.load(df.drop("o_totalprice"))),
+    "input column too many": (ContractError, "o_colour", lambda t, df: t.load(df.withColumn("o_colour", F.lit("x")))),
+    "unknown partitioner": (ValueError, "random", lambda t, df: t.load(df, conf=LoadConf(partitioner="random"))),
+    "missing table": (TableNotFound, "no_such_table", lambda t, df: t.store.spec(KEYSPACE, "no_such_table")),
 }
 
 
 @query(
     "contract_checks",
-    f"""SELECT rule, TRUE AS refused, (SELECT count(*) FROM (SELECT DISTINCT o_custkey, o_orderdate, o_orderkey FROM orders)) AS rows_after
-        FROM (VALUES {", ".join(f"('{r}')" for r in _RULES)}) AS rules(rule)""",
+    f"""SELECT rule, refused_as, names, (SELECT count(*) FROM (SELECT DISTINCT o_custkey, o_orderdate, o_orderkey FROM orders)) AS rows_after
+        FROM (VALUES {", ".join(f"('{r}', '{e.__name__}', '{word}')" for r, (e, word, _) in _RULES.items())}) AS rules(rule, refused_as, names)""",
 )
 def contract_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Loads of orders that break a rule are refused, and leave what was loaded before as it was."""
@@ -34,14 +34,14 @@ def contract_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = orders_table(spark, orders)
     table.load(orders)
     refused = []
-    for rule, attempt in _RULES.items():
+    for rule, (_, word, attempt) in _RULES.items():
         try:
             attempt(table, orders)
-            refused.append((rule, False))
-        except (ContractError, TableNotFound, ValueError):
-            refused.append((rule, True))
+            refused.append((rule, None, None))
+        except (ContractError, TableNotFound, ValueError) as e:
+            refused.append((rule, type(e).__name__, word if word in str(e) else None))
     after = table.read().agg(F.count(F.lit(1)).alias("rows_after"))
-    return spark.createDataFrame(refused, "rule string, refused boolean").crossJoin(F.broadcast(after))
+    return spark.createDataFrame(refused, "rule string, refused_as string, names string").crossJoin(F.broadcast(after))
 
 
 @query(

@@ -24,7 +24,8 @@ def file_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = lineitem_table(spark, lineitem)
     entry = table.load(lineitem, conf=LoadConf("md5", count_keys=False, index_files=True))
     index = index_rows(table.store, table.spec, [entry])
-    return index.groupBy(F.col(BUCKET).alias("bucket")).agg(F.sum("rows").alias("rows"), F.min("first").alias("first"), F.max("last").alias("last"))
+    spans = F.sum("rows").alias("rows"), F.min("first").alias("first"), F.max("last").alias("last")
+    return index.groupBy(F.col(BUCKET).alias("bucket")).agg(*spans)
 
 
 @query(

@@ -2,6 +2,7 @@
 
 import pytest
 from pyspark.sql import functions as F
+from test_merge import COLUMNS, SCHEMA, model, random_loads
 
 from keyedload import LoadConf, TableSpec, bulk_load, clean_up, compact_loads, lookup, read_table
 from keyedload.operators.files import BITMAPS, BITS, bit_of, index_rows, is_set
@@ -132,3 +133,21 @@ def test_files_with_rows_that_expire_apart(spark, store, table):
     assert forever.expires is None
     # Older rows without expiry stay hidden by newer ones that have expired.
     assert plain(lookup(store, "test", "f", (1,), 60)) == []
+
+
+@pytest.mark.parametrize("seed, partial", [(201, False), (202, True)])
+def test_random_loads_at_all_times(spark, store, seed, partial):
+    """Reads and indexed lookups as of any second give what a plain model gives, whatever has expired by then."""
+    store.create_table(TableSpec("test", "m", SCHEMA, ("k",), ("c",)))
+    loads = random_loads(seed, True, partial, True)
+    for n, (data, columns) in enumerate(loads):
+        df = spark.createDataFrame([(*[r[c] for c in COLUMNS], w, life) for r, w, life, _ in data], SCHEMA + ", w bigint, life int")
+        conf = LoadConf(buckets=2, timestamp="w", ttl="life", index_files=n % 3 > 0)
+        bulk_load(store, df, "test", "m", columns, conf, load_epoch=n)
+    simple = [([(r, w, e) for r, w, _, e in data], columns) for data, columns in loads]
+    for as_of in (0, 5, 12, 30, 100_000):
+        expected = model(simple, as_of)
+        assert sorted((tuple(r) for r in read_table(store, "test", "m", as_of).collect()), key=repr) == expected
+        k = loads[0][0][0][0]["k"]
+        found = sorted((tuple(r) for r in lookup(store, "test", "m", (k,), as_of).collect()), key=repr)
+        assert found == [r for r in expected if r[0] == k]

@@ -42,7 +42,8 @@ def mapped(uri: str, kind: type) -> np.ndarray:
 
 
 def _map(path: str, kind: type) -> np.ndarray:
-    return np.memmap(path, kind, "r") if os.path.getsize(path) else np.zeros(0, kind)
+    # As a plain array, whose slices cost less; it keeps the map.
+    return np.asarray(np.memmap(path, kind, "r")) if os.path.getsize(path) else np.zeros(0, kind)
 
 
 # Numbers that have a byte each; larger ones stand in a list beside them.
@@ -58,27 +59,97 @@ def save_counts(uri: str, counts: np.ndarray) -> None:
 
 def counts_at(uri: str, places: np.ndarray) -> np.ndarray:
     """The counts at some places of what ``save_counts`` has written."""
-    out = mapped(uri, np.uint8)[places].astype(np.int64)
-    full = np.flatnonzero(out == SMALL)
+    few = mapped(uri, np.uint8)[places]
+    out, full = few.astype(np.int64), np.flatnonzero(few == SMALL)
     if len(full):
         large, values = mapped(f"{uri}.large", np.int64).reshape(2, -1)
         out[full] = values[np.searchsorted(large, places[full])]
     return out
 
 
+# Numbers asked for one after another in the same stretch, from which on the stretch is searched by itself.
+RUN = 32
+
+
+def firsts_of(*columns: np.ndarray) -> np.ndarray:
+    """Where rows of ``columns`` are not as the row before."""
+    differ = np.ones(len(columns[0]), bool)
+    differ[1:] = columns[0][1:] != columns[0][:-1]
+    for x in columns[1:]:
+        differ[1:] |= x[1:] != x[:-1]
+    return np.flatnonzero(differ)
+
+
+def ascending(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes, sorted, and where each was.
+
+    Their top bits are sorted with their places below, many times as fast as places alone; where those bits do not tell them
+    apart, all are compared.
+    """
+    below = np.uint64((1 << len(values).bit_length()) - 1)
+    by = (values & ~below) | np.arange(len(values), dtype=np.uint64)
+    by.sort()
+    by = (by & below).astype(np.int64)
+    out = values[by]
+    if (out[1:] < out[:-1]).any():
+        by = np.argsort(values)
+        out = values[by]
+    return out, by
+
+
+def by_pair(a: np.ndarray, b: np.ndarray, size_a: int, size_b: int) -> np.ndarray:
+    """The order of pairs of numbers below ``size_a`` and ``size_b``; as in ``ascending`` with their places, where there is room."""
+    bits, at = size_b.bit_length(), len(a).bit_length()
+    if size_a.bit_length() + bits > 64:
+        return np.lexsort((b, a))
+    packed = (a.astype(np.uint64) << np.uint64(bits)) | b.astype(np.uint64)
+    if size_a.bit_length() + bits + at > 64:
+        return np.argsort(packed)
+    packed = (packed << np.uint64(at)) | np.arange(len(a), dtype=np.uint64)
+    packed.sort()
+    return (packed & np.uint64((1 << at) - 1)).astype(np.int64)
+
+
+def count_triples(a: np.ndarray, b: np.ndarray, c: np.ndarray, size: int) -> tuple[np.ndarray, ...]:
+    """The distinct triples of numbers below ``size``, ascending, and how often each comes."""
+    bits = size.bit_length()
+    if 3 * bits > 64:
+        by = np.lexsort((c, b, a))
+        firsts = firsts_of(a[by], b[by], c[by])
+        first = by[firsts]
+        return a[first], b[first], c[first], np.diff(firsts, append=len(a))
+    one, two = np.uint64(bits), np.uint64(2 * bits)
+    packed = (a.astype(np.uint64) << two) | (b.astype(np.uint64) << one) | c.astype(np.uint64)
+    packed.sort()
+    firsts = firsts_of(packed)
+    packed, n = packed[firsts], np.diff(firsts, append=len(packed))
+    low = np.uint64((1 << bits) - 1)
+    return *(x.astype(np.int64) for x in (packed >> two, (packed >> one) & low, packed & low)), n
+
+
 def within(values: np.ndarray, low: np.ndarray, high: np.ndarray, asked: np.ndarray) -> np.ndarray:
     """Where each number asked for stands in its own stretch ``low`` to ``high`` of ``values``, which ascends there; -1: nowhere."""
-    low, end = low.copy(), high
-    high = high.copy()
-    while (open_ := np.flatnonzero(low < high)).size:
-        middle = (low[open_] + high[open_]) // 2
-        less = values[middle] < asked[open_]
-        low[open_[less]] = middle[less] + 1
-        high[open_[~less]] = middle[~less]
+    at = low.copy()
+    starts = firsts_of(low, high)
+    sizes = np.diff(starts, append=len(low))
+    many = sizes >= RUN
+    for i, n in zip(starts[many].tolist(), sizes[many].tolist()):
+        at[i : i + n] += values[low[i] : high[i]].searchsorted(asked[i : i + n])
+    # All others at once, those not yet found among them.
+    open_ = np.flatnonzero(np.repeat(~many, sizes) & (low < high))
+    begin, end, x = low[open_], high[open_], asked[open_]
+    while len(open_):
+        middle = (begin + end) >> 1
+        less = values[middle] < x
+        begin, end = np.where(less, middle + 1, begin), np.where(less, end, middle)
+        going = begin < end
+        if not going.all():
+            at[open_[~going]] = begin[~going]
+            open_, begin, end, x = open_[going], begin[going], end[going], x[going]
     out = np.full(len(low), -1, np.int64)
-    inside = np.flatnonzero(low < end)
-    same = inside[values[low[inside]] == asked[inside]]
-    out[same] = low[same]
+    inside = np.flatnonzero(at < high)
+    same = inside[values[at[inside]] == asked[inside]]
+    out[same] = at[same]
     return out
 
 

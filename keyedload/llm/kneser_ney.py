@@ -28,7 +28,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keyedload.functions.names import col
-from keyedload.llm.arrays import SMALL, counts_at, mapped, save, save_counts, squeeze, unsqueeze, within
+from keyedload.llm.arrays import (
+    SMALL,
+    ascending,
+    by_pair,
+    count_triples,
+    counts_at,
+    firsts_of,
+    mapped,
+    save,
+    save_counts,
+    squeeze,
+    unsqueeze,
+    within,
+)
 from keyedload.llm.common import batch, map_batches, shared_dir, staged, text_of
 
 # Tokens that a task counts at once, and the bytes of a text that are split into words at once.
@@ -61,8 +74,7 @@ def word_lists(text: str) -> Iterator[list[bytes]]:
 
 
 def hashes(words: list[bytes]) -> np.ndarray:
-    h = xxhash.xxh64_digest
-    return np.frombuffer(b"".join([h(w) for w in words]), ">u8").astype(np.uint64)
+    return np.frombuffer(b"".join(map(xxhash.xxh64_digest, words)), ">u8").astype(np.uint64)
 
 
 def grams(texts: Iterable[str], order: int, at_once: int = TOKENS_AT_ONCE) -> Iterator[tuple[np.ndarray, ...]]:
@@ -113,9 +125,14 @@ def _indexed(grams: tuple[np.ndarray, ...]) -> tuple[np.ndarray, list[np.ndarray
     A context is the token before, but at the begin of a text and of what is looked at together.
     """
     *before, tokens = grams
-    values, at = np.unique(tokens, return_inverse=True)
-    every = np.unique(np.concatenate([values, [BEGIN, BEFORE], *(x[:1] for x in before)]))
-    out = [np.searchsorted(every, values)[at]]
+    found, by = ascending(tokens)
+    firsts = firsts_of(found)
+    values = found[firsts]
+    every = np.sort(np.concatenate([values, np.array([BEGIN, BEFORE]), *(x[:1] for x in before)]))
+    every = every[firsts_of(every)]
+    place = np.empty(len(tokens), np.int64)
+    place[by] = np.repeat(np.searchsorted(every, values), np.diff(firsts, append=len(tokens)))
+    out = [place]
     begins = before[-1] == BEGIN
     for i, x in enumerate(reversed(before)):
         shifted = np.empty_like(out[0])
@@ -181,10 +198,9 @@ def count_words(texts: DataFrame, root: str) -> Words:
 
     def added(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
         values, n = (np.concatenate(x) for x in zip(*held))
-        by = np.argsort(values)
-        values, n = values[by], n[by]
-        firsts = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
-        return values[firsts], np.add.reduceat(n, firsts)
+        values, by = ascending(values)
+        firsts = firsts_of(values)
+        return values[firsts], np.add.reduceat(n[by], firsts)
 
     def files_of(values: np.ndarray) -> np.ndarray:
         return (values >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(values), np.int64)
@@ -295,58 +311,74 @@ class Model:
         of = counts if self.order == 2 else stats[3]
         seen = np.maximum(of, 1)
         left = np.where(of > 0, (self.upper.off @ stats[:3].astype(np.float64)) / seen, 1.0)
-        both = (numbers[c] >= 0) & (numbers[t] >= 0)
-        found = np.zeros(len(c), np.int64)
-        if both.any():
-            keys = _keys(numbers[c[both]], numbers[t[both]])
-            distinct, back = np.unique(keys, return_inverse=True)
-            heads = (distinct >> np.uint64(32)).astype(np.int64)
-            shard = _shard(heads, distinct, heads, self.hot_numbers, self.shards)
-            found[both] = self._counts(distinct, shard)[back]
-        p = np.maximum(found - self.upper.from_(found), 0) / seen[c] + left[c] * lower[t]
+        # Each distinct bigram once, and where its tokens are.
+        by = by_pair(c, t, len(values), len(values))
+        heads, words = c[by], t[by]
+        firsts = firsts_of(heads, words)
+        heads, words = heads[firsts], words[firsts]
+        found = np.zeros(len(firsts), np.int64)
+        both = np.flatnonzero((numbers[heads] >= 0) & (numbers[words] >= 0))
+        if len(both):
+            contexts = numbers[heads[both]]
+            keys = _keys(contexts, numbers[words[both]])
+            found[both] = self._counts(keys, _shard(contexts, keys, contexts, self.hot_numbers, self.shards))
+        distinct = np.maximum(found - self.upper.from_(found), 0) / seen[heads] + left[heads] * lower[words]
+        p = np.empty(len(c))
+        p[by] = np.repeat(distinct, np.diff(firsts, append=len(c)))
         if self.order == 3:
-            p = self._third(numbers[far[0]], numbers[c], numbers[t], p)
+            p = self._third(far[0], c, t, numbers, p)
         return np.log10(p), counts[t]
 
-    def _third(self, u: np.ndarray, v: np.ndarray, words: np.ndarray, lower: np.ndarray) -> np.ndarray:
-        """Probabilities of words after two others; ``lower`` where the two were never seen or a text begins."""
-        asked = np.flatnonzero((u >= 0) & (v >= 0) & (u <= self.words.distinct))
-        keys, words = _keys(u[asked], v[asked]), words[asked]
-        hot = np.isin(u[asked], self.hot_numbers) & np.isin(v[asked], self.hot_numbers)
-        found, sums = np.zeros(len(asked), np.int64), np.zeros((4, len(asked)), np.int64)
+    def _third(self, u: np.ndarray, v: np.ndarray, t: np.ndarray, numbers: np.ndarray, lower: np.ndarray) -> np.ndarray:
+        """Probabilities of words after two others, all by their places in ``numbers``; ``lower`` where the two were never seen or a
+        text begins."""
+        known = numbers >= 0
+        asked = np.flatnonzero((known & (numbers <= self.words.distinct))[u] & known[v])
+        asked = asked[by_pair(u[asked], v[asked], len(numbers), len(numbers))]
+        u, v, words = u[asked], v[asked], numbers[t[asked]]
+        keys = _keys(numbers[u], numbers[v])
+        frequent = np.isin(numbers, self.hot_numbers)
+        hot = frequent[u] & frequent[v]
+        found, total, left = np.zeros(len(asked), np.int64), np.ones(len(asked)), np.ones(len(asked))
         root = f"{self.words.root}/trigrams"
-        for s, at, place in _found(f"{root}/%d.contexts", keys, _shard3(keys, words, hot, self.shards)):
-            contexts, back = np.unique(place, return_inverse=True)
-            low, high = _stretches(f"{root}/{s}", contexts)
-            sums[:, at] = _sums_of(f"{root}/{s}", contexts, low, high)[:, back]
+        for s, at, back, place in _found(f"{root}/%d.contexts", keys, _shard3(keys, words, hot, self.shards)):
+            low, high = _stretches(f"{root}/{s}", place)
+            sums = _sums_of(f"{root}/{s}", place, low, high)
+            total[at], left[at] = sums[3][back], ((self.top.off @ sums[:3].astype(np.float64)) / sums[3])[back]
             word = words[at] >= 0
             at, low, high = at[word], low[back[word]], high[back[word]]
             i = within(mapped(f"{root}/{s}.words", np.uint32), low, high, words[at].astype(np.uint32))
             found[at[i >= 0]] = counts_at(f"{root}/{s}.counts", i[i >= 0])
         spread = np.flatnonzero(hot)
-        sums[:, spread] = 0
-        for s, at, place in _found(f"{root}/%d.spread", keys[spread], _mix(keys[spread], self.shards).astype(np.int64)):
-            sums[:, spread[at]] = mapped(f"{root}/{s}.spread_sums", np.uint64).reshape(4, -1)[:, place]
-        total = np.maximum(sums[3], 1)
-        left = np.where(sums[3] > 0, (self.top.off @ sums[:3].astype(np.float64)) / total, 1.0)
+        total[spread], left[spread] = 1, 1
+        for s, at, back, place in _found(f"{root}/%d.spread", keys[spread], _mix(keys[spread], self.shards).astype(np.int64)):
+            sums = mapped(f"{root}/{s}.spread_sums", np.uint64).reshape(4, -1)[:, place].astype(np.int64)
+            at = spread[at]
+            total[at], left[at] = sums[3][back], ((self.top.off @ sums[:3].astype(np.float64)) / sums[3])[back]
         out = lower.copy()
         out[asked] = np.maximum(found - self.top.from_(found), 0) / total + left * lower[asked]
         return out
 
     def _counts(self, keys: np.ndarray, shard: np.ndarray) -> np.ndarray:
+        """Counts of distinct bigrams; those of a context stand together."""
         out = np.zeros(len(keys), np.int64)
-        order = _by_shard(keys, shard)
+        order = _by_shard(shard)
         for s, start, end in _runs(shard[order]):
-            asked = keys[order[start:end]]
+            at = order[start:end]
+            asked = keys[at]
             files = f"{self.words.root}/bigrams/{s}"
             heads, starts = mapped(f"{files}.heads", np.uint32), mapped(f"{files}.starts", np.uint32)
             if len(heads):
                 contexts = (asked >> np.uint64(32)).astype(np.uint32)
-                at = np.minimum(np.searchsorted(heads, contexts), len(heads) - 1)
-                same = np.flatnonzero(heads[at] == contexts)
-                low, high = starts[at[same]].astype(np.int64), starts[at[same] + 1].astype(np.int64)
-                i = within(mapped(f"{files}.words", np.uint32), low, high, (asked[same] & np.uint64(2**32 - 1)).astype(np.uint32))
-                out[order[start:end][same[i >= 0]]] = counts_at(f"{files}.counts", i[i >= 0])
+                firsts = firsts_of(contexts)
+                each = np.diff(firsts, append=len(contexts))
+                place = np.minimum(np.searchsorted(heads, contexts[firsts]), len(heads) - 1)
+                known = heads[place] == contexts[firsts]
+                low, high = (np.repeat(starts[x[known]].astype(np.int64), each[known]) for x in (place, place + 1))
+                known = np.repeat(known, each)
+                at, words = at[known], (asked[known] & np.uint64(2**32 - 1)).astype(np.uint32)
+                i = within(mapped(f"{files}.words", np.uint32), low, high, words)
+                out[at[i >= 0]] = counts_at(f"{files}.counts", i[i >= 0])
         return out
 
 
@@ -356,31 +388,39 @@ def _keys(contexts: np.ndarray, words: np.ndarray) -> np.ndarray:
 
 def _shard(hashed: np.ndarray, keys: np.ndarray, contexts: np.ndarray, hot: np.ndarray, shards: int) -> np.ndarray:
     """By context; a hot context's bigrams by themselves."""
-    return np.where(np.isin(hashed, hot), _mix(keys, shards), _mix(contexts.astype(np.uint64), shards)).astype(np.int64)
+    out, spread = _mix(contexts.astype(np.uint64), shards), np.flatnonzero(np.isin(hashed, hot))
+    out[spread] = _mix(keys[spread], shards)
+    return out.astype(np.int64)
 
 
 def _shard3(keys: np.ndarray, words: np.ndarray, hot: np.ndarray, shards: int) -> np.ndarray:
     """By both context words; a hot context's trigrams by themselves."""
-    spread = keys ^ (words.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
-    return np.where(hot, _mix(spread, shards), _mix(keys, shards)).astype(np.int64)
+    out, spread = _mix(keys, shards), np.flatnonzero(hot)
+    out[spread] = _mix(keys[spread] ^ (words[spread].astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)), shards)
+    return out.astype(np.int64)
 
 
-def _by_shard(keys: np.ndarray, shard: np.ndarray) -> np.ndarray:
-    """The order by shard, and within it by key."""
-    order = np.argsort(keys)
-    few = shard[order].astype(np.uint16) if len(shard) and shard.max() < 1 << 16 else shard[order]
-    return order[np.argsort(few, kind="stable")]
+def _by_shard(shard: np.ndarray) -> np.ndarray:
+    """The order by shard, and within it as they come."""
+    few = shard.astype(np.uint16) if len(shard) and shard.max() < 1 << 16 else shard
+    return np.argsort(few, kind="stable")
 
 
-def _found(files: str, keys: np.ndarray, shard: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """By shard: which keys the file of the shard has, and where in it."""
-    order = _by_shard(keys, shard)
+def _found(files: str, keys: np.ndarray, shard: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """By shard: which keys the file of the shard has, to which of the distinct ones each belongs, and where in it those are.
+
+    Equal keys stand together.
+    """
+    order = _by_shard(shard)
     for s, start, end in _runs(shard[order]):
         known, at = mapped(files % s, np.uint64), order[start:end]
         if len(known):
-            place = np.minimum(np.searchsorted(known, keys[at]), len(known) - 1)
-            same = known[place] == keys[at]
-            yield s, at[same], place[same]
+            asked = keys[at]
+            firsts = firsts_of(asked)
+            place = np.minimum(np.searchsorted(known, asked[firsts]), len(known) - 1)
+            same = known[place] == asked[firsts]
+            each = np.diff(firsts, append=len(asked))
+            yield s, at[np.repeat(same, each)], np.repeat(np.arange(same.sum()), each[same]), place[same]
 
 
 def _stretches(files: str, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -390,10 +430,14 @@ def _stretches(files: str, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     more = np.concatenate([[0], np.cumsum(mapped(f"{files}.long_sums", np.int64).reshape(5, -1)[4] - SMALL)])
     block, inside = np.divmod(places, BLOCK_CONTEXTS)
     low = blocks[block].astype(np.int64) + more[np.searchsorted(long, places)] - more[np.searchsorted(long, block * BLOCK_CONTEXTS)]
-    before = np.arange(BLOCK_CONTEXTS)
-    for i in range(0, len(places), 1 << 16):
-        part = slice(i, i + (1 << 16))
-        low[part] += (sizes[block[part]] * (before < inside[part, None])).sum(axis=1, dtype=np.int64)
+    # Eight sizes at once: those before each context in its block, added by pairs in 16 bits.
+    eights, halves = sizes.view(np.uint64), np.uint64(0x00FF00FF00FF00FF)
+    before = (np.tri(BLOCK_CONTEXTS, k=-1, dtype=np.uint8) * np.uint8(255)).view(np.uint64)
+    for i in range(0, len(places), 1 << 12):
+        part = slice(i, i + (1 << 12))
+        some = eights[block[part]] & before[inside[part]]
+        both = ((some & halves) + ((some >> np.uint64(8)) & halves)).sum(axis=1)
+        low[part] += ((both * np.uint64(0x0001000100010001)) >> np.uint64(48)).astype(np.int64)
     size = sizes[block, inside].astype(np.int64)
     full = np.flatnonzero(size == SMALL)
     at = np.searchsorted(long, places[full])
@@ -563,7 +607,9 @@ def train(texts: DataFrame, text: str = "text", shard_tokens: int = SHARD_TOKENS
 
 def _sums(n: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Of each context, how many counts are one, two, more; and their sum."""
-    return np.stack([*(np.add.reduceat((n == k) if k < 3 else (n >= 3), starts, dtype=np.int64) for k in (1, 2, 3)), np.add.reduceat(n, starts)])
+    both = np.add.reduceat(np.array([0, 1, 1 << 32, 0])[np.minimum(n, 3)], starts)
+    once, twice = both & (2**32 - 1), both >> 32
+    return np.stack([once, twice, np.diff(starts, append=len(n)) - once - twice, np.add.reduceat(n, starts)])
 
 
 _SENT = "kind int, shard int, k binary, c binary"
@@ -571,16 +617,12 @@ _SENT = "kind int, shard int, k binary, c binary"
 
 def _sent(kind: int, shard: np.ndarray, keys: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
     """Ascending keys and their values, a row for each shard they go to."""
-    by = np.argsort(shard, kind="stable")
+    by = _by_shard(shard)
     out = [(kind, s, squeeze(keys[by[i:j]], True), squeeze(values[..., by[i:j]].reshape(-1))) for s, i, j in _runs(shard[by])]
     names = {"kind": pa.int32(), "shard": pa.int32(), "k": pa.binary(), "c": pa.binary()}
     return batch(dict(zip(names, map(list, zip(*out)))) if out else {n: [] for n in names}, names)
 
 
-def _firsts(keys: np.ndarray, words: np.ndarray) -> np.ndarray:
-    return np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (words[1:] != words[:-1])]))
-
-
 def _third(rows: DataFrame, words: Words, hot: np.ndarray, shards: int) -> DataFrame:
     """``kind, shard, k, c`` of what the shards of trigrams send on, whose tasks also write their arrays: the bigrams below (0),
     how many trigrams have each low count (1), the sums of spread contexts (2).
@@ -589,22 +631,26 @@ def _third(rows: DataFrame, words: Words, hot: np.ndarray, shards: int) -> DataF
     """
     root = f"{words.root}/trigrams"
 
-    def is_hot(keys: np.ndarray) -> np.ndarray:
-        return np.isin(keys >> np.uint64(32), hot.astype(np.uint64)) & np.isin(keys & np.uint64(2**32 - 1), hot.astype(np.uint64))
+    def is_hot(numbers: np.ndarray) -> np.ndarray:
+        return np.isin(numbers, hot)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for *triple, _ in grams(_texts(batches), 3):
-            values, (u, v, w) = _indexed(tuple(triple))
+            values, places = _indexed(tuple(triple))
+            del triple
             numbers, _ = words.find(values)
             numbers[values == BEGIN], numbers[values == BEFORE] = words.distinct, words.distinct + 1
-            keys, w = _keys(numbers[u], numbers[v]), numbers[w].astype(np.uint32)
-            by = np.lexsort((w, keys))
-            keys, w = keys[by], w[by]
-            firsts = _firsts(keys, w)
-            n = np.diff(firsts, append=len(keys)).astype(np.uint32)
-            keys, w = keys[firsts], w[firsts]
-            shard = _shard3(keys, w, is_hot(keys), shards)
-            by = np.argsort(shard, kind="stable")
+            by = np.argsort(numbers)
+            place = np.empty_like(by)
+            place[by] = np.arange(len(by))
+            numbers = numbers[by]
+            u, v, w, n = count_triples(*(place[x] for x in places), len(numbers))
+            del places
+            frequent = is_hot(numbers)
+            keys, both = _keys(numbers[u], numbers[v]), frequent[u] & frequent[v]
+            w, n = numbers[w].astype(np.uint32), n.astype(np.uint32)
+            shard = _shard3(keys, w, both, shards)
+            by = _by_shard(shard)
             out = [(s, squeeze(keys[by[i:j]], True), squeeze(w[by[i:j]]), squeeze(n[by[i:j]])) for s, i, j in _runs(shard[by])]
             yield batch(
                 dict(zip(("shard", "k", "w", "c"), map(list, zip(*out)))),
@@ -620,16 +666,19 @@ def _third(rows: DataFrame, words: Words, hot: np.ndarray, shards: int) -> DataF
             return
         keys, w, n = (np.concatenate(x) for x in zip(*held))
         held.clear()
-        by = np.lexsort((w, keys))
-        keys, w, n = keys[by], w[by], n[by].astype(np.int64)
-        firsts = _firsts(keys, w)
+        keys, by = ascending(keys)
+        w, n = w[by], n[by]
+        # Within a context by word.
+        starts = firsts_of(keys)
+        by = by_pair(np.repeat(np.arange(len(starts)), np.diff(starts, append=len(keys))), w, len(starts), words.distinct)
+        w, n = w[by], n[by].astype(np.int64)
+        firsts = firsts_of(keys, w)
         keys, w, n = keys[firsts], w[firsts], np.add.reduceat(n, firsts)
         begins = (keys >> np.uint64(32)) > np.uint64(words.distinct)
         # A bigram counts once for each word before it; at the begin of a text there is none, and it counts as often as it comes.
-        pair = _keys(keys & np.uint64(2**32 - 1), w)
-        below, back = np.unique(pair, return_inverse=True)
-        comes = np.zeros(len(below), np.int64)
-        np.add.at(comes, back, np.where(begins, n, 1))
+        below, by = ascending(_keys(keys & np.uint64(2**32 - 1), w))
+        starts = firsts_of(below)
+        below, comes = below[starts], np.add.reduceat(np.where(begins, n, 1)[by], starts)
         context = (below >> np.uint64(32)).astype(np.int64)
         yield _sent(0, _shard(context, below, context, hot, shards), below, comes.astype(np.uint64))
         keys, w, n = keys[~begins], w[~begins], n[~begins]
@@ -649,7 +698,7 @@ def _third(rows: DataFrame, words: Words, hot: np.ndarray, shards: int) -> DataF
         long = np.flatnonzero(sizes >= SMALL)
         save(f"{root}/{shard}.long", long.astype(np.int64))
         save(f"{root}/{shard}.long_sums", np.concatenate([sums[:, long], sizes[None, long]]).astype(np.int64))
-        spread = np.flatnonzero(is_hot(contexts))
+        spread = np.flatnonzero(is_hot((contexts >> np.uint64(32)).astype(np.int64)) & is_hot((contexts & np.uint64(2**32 - 1)).astype(np.int64)))
         if len(spread):
             own = contexts[spread]
             yield _sent(2, _mix(own, shards).astype(np.int64), own, sums[:, spread].astype(np.uint64))

@@ -5,11 +5,12 @@ with one anchor make a piece. Equal windows have equal anchors at equal places,
 its anchor's gram, and only there. Tasks count the pieces of their texts and send a hash and a count of each different one.
 
 Anchors that occur once are done with. Where all pieces of an anchor are equal they repeat whole. Else the different contents of
-the anchor, each once, come to a shard of bounded size as text. There an enhanced suffix array is built over all their
-windows, and its common-prefix intervals are found by one scan with a stack. An interval whose suffixes have different bytes
-before them cannot be extended to the left, so it is a maximal repeat within its pieces: it is given out with all its
-occurrences. Every repeated window lies in such a group, since extending to the left ends at one. An anchor with very many
-different contents (the edge of a passage that many texts share) does not come to one task: its windows are counted by hash.
+the anchor, each once, come to a shard of bounded size as text. There an enhanced suffix array is built over those of their
+windows that come more than once (told by a rolling hash first, then by bytes), and its common-prefix intervals are found by
+one scan with a stack. An interval whose suffixes have different bytes before them cannot be extended to the left, so it is a
+maximal repeat within its pieces: it is given out with all its occurrences. Every repeated window lies in such a group, since
+extending to the left ends at one. An anchor with very many different contents (the edge of a passage that many texts share)
+does not come to one task: its windows are counted by hash.
 
 Texts are read where they are. What is found goes back to the part of the table it was found in, as a file of the shared
 folder, and is looked up by content; no text is shuffled.
@@ -28,21 +29,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keyedload.functions.names import col
-from keyedload.llm.arrays import mapped, save
+from keyedload.llm.arrays import ascending, firsts_of, mapped, save, within
 from keyedload.llm.common import batch, map_batches, shared_dir, staged, text_of
 
 LEAST = 200
 GRAM = 48
 # Bytes whose windows are looked at together; longer texts are cut so, and their windows overlap.
 BYTES_AT_ONCE = 1 << 20
+# Windows hashed at once.
+_BLOCK = 1 << 15
 # Bytes of contents in a shard of suffixes.
 SHARD_BYTES = 1 << 21
 # Contents of an anchor that one task sorts; windows of anchors with more are counted by hash.
 MOST_CONTENTS = 1024
+# Suffixes sorted at once, about.
+SORTED_AT_ONCE = 1 << 13
 
 _BASE = 0x9E3779B97F4A7C15
 _LOW = np.uint64((1 << 24) - 1)
-_SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
 def _pow(n: int) -> np.uint64:
@@ -50,8 +54,11 @@ def _pow(n: int) -> np.uint64:
 
 
 def _mixed(h: np.ndarray, factor: int) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(31))) * np.uint64(factor)
-    return h ^ (h >> np.uint64(29))
+    out = h >> np.uint64(31)
+    out ^= h
+    out *= np.uint64(factor)
+    out ^= out >> np.uint64(29)
+    return out
 
 
 def _sliding_min(values: np.ndarray, size: int) -> np.ndarray:
@@ -62,17 +69,27 @@ def _sliding_min(values: np.ndarray, size: int) -> np.ndarray:
     return values if width == size else np.minimum(values[: -(size - width)], values[size - width :])
 
 
+# What a byte counts as in a gram's hash.
+_BYTES = _mixed(np.arange(256, dtype=np.uint64) + np.uint64(1), 0xBF58476D1CE4E5B9)
+
+
 def _gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
-    power, width = _mixed(data.astype(np.uint64) + np.uint64(1), 0xBF58476D1CE4E5B9), 1
+    power, width = _BYTES[data], 1
     out, have = None, 0
     while True:
         if size & 1:
-            out = power if out is None else out[: len(power) - have] * _pow(width) + power[have:]
+            if out is None:
+                out = power
+            else:
+                out = out[: len(power) - have] * _pow(width)
+                out += power[have:]
             have += width
         size >>= 1
         if not size:
             return out
-        power = power[:-width] * _pow(width) + power[width:]
+        longer = power[:-width] * _pow(width)
+        longer += power[width:]
+        power = longer
         width *= 2
 
 
@@ -81,20 +98,23 @@ def pieces_of(data: np.ndarray, ends: np.ndarray, least: int, gram: int) -> tupl
     none = np.zeros(0, np.int64)
     if len(data) < least:
         return none, none, none.view(np.uint64)
-    grams = _gram_hashes(data, gram)
-    places = np.arange(len(grams), dtype=np.uint64)
-    lowest = _sliding_min((_mixed(grams, 0x94D049BB133111EB) & ~_LOW) | places, least - gram + 1) & _LOW
-    inside = np.ones(len(lowest), bool)
+    hashes, lowest = np.empty(len(data) - gram + 1, np.uint64), np.empty(len(data) - least + 1, np.uint64)
+    # Blocks that stay in a core's cache; a window's grams lie in its block.
+    for at in range(0, len(lowest), _BLOCK):
+        grams = _gram_hashes(data[at : at + _BLOCK + least - 1], gram)
+        ranks = _mixed(grams, 0x94D049BB133111EB)
+        ranks &= ~_LOW
+        ranks |= np.arange(at, at + len(grams), dtype=np.uint64)
+        hashes[at : at + len(grams)] = grams
+        lowest[at : at + _BLOCK] = _sliding_min(ranks, least - gram + 1) & _LOW
     # A window that reaches over the end of a text is none.
     for end in ends:
-        inside[max(0, end - least + 1) : end] = False
-    windows = np.flatnonzero(inside)
-    if not len(windows):
-        return none, none, none.view(np.uint64)
-    anchors = lowest[windows]
-    firsts = np.flatnonzero(np.concatenate([[True], (np.diff(windows) != 1) | (anchors[1:] != anchors[:-1])]))
-    sizes = np.diff(firsts, append=len(windows))
-    return windows[firsts], sizes, _mixed(grams[anchors[firsts].astype(np.int64)], 0xD6E8FEB86659FD93)
+        lowest[max(0, end - least + 1) : end] = _LOW
+    firsts = np.append(0, np.flatnonzero(lowest[1:] != lowest[:-1]) + 1)
+    sizes = np.diff(firsts, append=len(lowest))
+    anchors = lowest[firsts]
+    real = anchors != _LOW
+    return firsts[real], sizes[real], _mixed(hashes[anchors[real].astype(np.int64)], 0xD6E8FEB86659FD93)
 
 
 @dataclass(frozen=True)
@@ -245,9 +265,27 @@ def _contents(texts: DataFrame, root: str, least: int) -> DataFrame:
     return map_batches(texts.select("part", "row", "t"), work, "m bigint, c bigint, n bigint, hot boolean, content binary")
 
 
+def _common(data: np.ndarray, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """How many bytes from ``a`` on are as those from ``b`` on, ``most`` at most."""
+    padded = np.append(data, np.zeros(8, np.uint8))
+    words = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+    common = np.zeros(len(a), np.int64)
+    open_ = np.flatnonzero(most > 0)
+    while len(open_):
+        have = common[open_]
+        differ = words[a[open_] + have] ^ words[b[open_] + have]
+        # The bits below the lowest one set, all 64 if none is: eight for each equal byte.
+        have += np.bitwise_count(~differ & (differ - np.uint64(1))) >> 3
+        common[open_] = have
+        open_ = open_[(differ == 0) & (have < most[open_])]
+    return np.minimum(common, most)
+
+
 @dataclass(frozen=True)
 class SuffixArray:
-    """Suffixes of at least ``least`` bytes of some contents, in order, and how many bytes each has in common with the one before."""
+    """Suffixes of some contents whose first ``least`` bytes come more than once among them, and how many bytes each has in common
+    with the one before. Those with the same first ``least`` bytes stand together, in order. A suffix that begins as no other
+    does is in no group, and seldom is here."""
 
     data: np.ndarray
     starts: np.ndarray
@@ -256,33 +294,26 @@ class SuffixArray:
 
     @staticmethod
     def of(contents: list[bytes], least: int) -> SuffixArray:
-        data = np.frombuffer(b"".join(contents), np.uint8)
+        raw = b"".join(contents)
+        data = np.frombuffer(raw, np.uint8)
         starts = np.cumsum([0, *map(len, contents)])
         ends = np.repeat(starts[1:], np.diff(starts))
-        places = np.arange(len(data))
-        # Ranks of the first 1, 2, 4, ... bytes of every suffix; a content's end is below all bytes.
-        ranks, width, longest = [data.astype(np.int64) + 1], 1, max(map(len, contents))
-        while width < longest:
-            r = ranks[-1]
-            behind = places + width
-            second = np.where(behind < ends, r[np.minimum(behind, len(data) - 1)], 0)
-            pair = r * (int(r.max()) + 1) + second
-            width *= 2
-            ranks.append(pair if width == 2 else np.unique(pair, return_inverse=True)[1].astype(np.int64) + 1)
-        suffixes = places[ends - places >= least]
-        suffixes = suffixes[np.argsort(ranks[-1][suffixes], kind="stable")]
-        a, b = suffixes[:-1].copy(), suffixes[1:].copy()
-        common = np.zeros(len(a), np.int64)
-        last = len(data) - 1
-        for k in reversed(range(len(ranks))):
-            r, size = ranks[k], 1 << k
-            x, y = np.minimum(a, last), np.minimum(b, last)
-            left = np.minimum(ends[suffixes[:-1]] - a, ends[suffixes[1:]] - b)
-            same = (left >= size) & (r[x] == r[y])
-            common += same * size
-            a += same * size
-            b += same * size
-        return SuffixArray(data, starts, suffixes, common)
+        # Equal windows have equal hashes, so none that repeats is left out; bytes are compared below.
+        places = np.flatnonzero(ends - np.arange(len(data)) >= least)
+        hashes, by = ascending(_gram_hashes(data, least)[places])
+        firsts = firsts_of(hashes)
+        sizes = np.diff(firsts, append=len(hashes))
+        again = np.repeat(sizes > 1, sizes)
+        hashes, suffixes = hashes[again], places[by[again]]
+        # Some at a time, whose bytes stay in a core's cache; equal hashes are not parted.
+        cuts = firsts_of(hashes)
+        cuts = cuts[firsts_of(cuts // SORTED_AT_ONCE)]
+        for i, j in zip(cuts.tolist(), [*cuts[1:].tolist(), len(suffixes)]):
+            some = suffixes[i:j]
+            texts = [raw[s:e] for s, e in zip(some.tolist(), ends[some].tolist())]
+            suffixes[i:j] = some[sorted(range(j - i), key=texts.__getitem__)]
+        a, b = suffixes[:-1], suffixes[1:]
+        return SuffixArray(data, starts, suffixes, _common(data, a, b, np.minimum(ends[a] - a, ends[b] - b)))
 
 
 def maximal_groups(array: SuffixArray, least: int) -> tuple[list[tuple[int, int, int, int]], list[tuple[int, int]]]:
@@ -489,6 +520,39 @@ def groups(found: Repeats, doc_id: str = "doc_id") -> tuple[DataFrame, DataFrame
     return nodes.select(F.col("node").alias("group"), "parent", "length").distinct(), places
 
 
+def _stretches(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """The numbers from each ``low`` on that are below its ``high``."""
+    sizes = high - low
+    return np.arange(sizes.sum()) + np.repeat(low - (np.cumsum(sizes) - sizes), sizes)
+
+
+def _joined(starts: np.ndarray, ends: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The maximal stretches that spans cover. Spans lie within the texts that begin at ``texts``, and so do stretches."""
+    by = np.argsort(starts)
+    starts, ends = starts[by], np.maximum.accumulate(ends[by])
+    text = np.searchsorted(texts, starts, "right")
+    apart = (starts[1:] > ends[:-1]) | (text[1:] != text[:-1])
+    edge = np.ones(len(starts) + 1, bool)
+    edge[1:-1] = apart
+    return starts[edge[:-1]], ends[edge[1:]]
+
+
+def _without(texts: Bytes, starts: np.ndarray, ends: np.ndarray) -> dict[str, pa.Array]:
+    """``spans, kept`` of each text, given the stretches to remove."""
+    edges = np.stack([starts, ends], 1).reshape(-1)
+    stays = np.repeat(np.arange(len(edges) + 1) % 2 == 0, np.diff(edges, prepend=0, append=len(texts.data)))
+    behind = np.searchsorted(starts, texts.starts)
+    gone = np.append(0, np.cumsum(ends - starts))[behind]
+    own = np.repeat(texts.starts[:-1], np.diff(behind))
+    spans = pa.StructArray.from_arrays([pa.array(starts - own), pa.array(ends - own)], ["start", "end"])
+    offsets = pa.py_buffer((texts.starts - gone).astype(np.int32))
+    kept = pa.py_buffer(texts.data[stays])
+    return {
+        "spans": pa.ListArray.from_arrays(pa.array(behind.astype(np.int32)), spans),
+        "kept": pa.Array.from_buffers(pa.binary(), len(texts.starts) - 1, [None, offsets, kept]),
+    }
+
+
 def removed(found: Repeats, doc_id: str = "doc_id") -> DataFrame:
     """``doc_id, n_bytes, spans, kept`` of every row: the maximal stretches of repeated bytes, and the bytes that are left."""
     least, gram = found.least, found.gram
@@ -505,39 +569,29 @@ def removed(found: Repeats, doc_id: str = "doc_id") -> DataFrame:
     _deal(parts.unionAll(whole.distinct()), texts, root, kinds, ["m", "c", "low"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, anchors, repeated = None, None, {}
+        current = None
         for whole in batches:
             for part, i, j in _by_part(whole.column(0).to_numpy()):
                 if part != current:
-                    arrays = [mapped(f"{root}/{part}.{x}", np.int64) for x in kinds]
-                    current, anchors, repeated = part, np.unique(arrays[0]), {}
-                    for m, c, low, high in zip(*(x.tolist() for x in arrays)):
-                        repeated.setdefault((m, c), []).append((low, high))
+                    anchors, contents, lows, highs = (mapped(f"{root}/{part}.{x}", np.int64) for x in kinds)
+                    firsts = firsts_of(anchors, contents)
+                    current, bounds = part, np.append(firsts, len(anchors))
+                    anchors, contents = anchors[firsts], contents[firsts]
                 b = whole.slice(i, j - i)
                 texts = Bytes.of(b.column(2))
-                cover = np.zeros(len(texts.data) + 1, np.int32)
+                starts, ends = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
                 for begins, sizes, m in texts.pieces(least, gram):
                     m = m.view(np.int64)
-                    for k in np.flatnonzero(np.isin(m, anchors)).tolist():
-                        begin = int(begins[k])
-                        for low, high in repeated.get((int(m[k]), _hash(texts.content(begin, int(sizes[k]), least))), ()):
-                            cover[begin + low] += 1
-                            cover[begin + high + least - 1] -= 1
-                gone = np.cumsum(cover[:-1]) > 0
-                spans, kept = [], []
-                for s, e in zip(texts.starts[:-1].tolist(), texts.starts[1:].tolist()):
-                    inside = gone[s:e]
-                    edges = np.flatnonzero(np.diff(inside.astype(np.int8), prepend=0, append=0)).reshape(-1, 2)
-                    spans.append([{"start": x, "end": y} for x, y in edges.tolist()])
-                    kept.append(texts.data[s:e][~inside].tobytes() if len(edges) else texts.raw[s:e])
-                yield batch(
-                    {
-                        "id": b.column(1),
-                        "n_bytes": pa.array(np.diff(texts.starts)),
-                        "spans": pa.array(spans, _SPANS),
-                        "kept": pa.array(kept, pa.binary()),
-                    }
-                )
+                    low, high = np.searchsorted(anchors, m), np.searchsorted(anchors, m, "right")
+                    asked = np.flatnonzero(low < high)
+                    c = [_hash(texts.content(s, k, least)) for s, k in zip(begins[asked].tolist(), sizes[asked].tolist())]
+                    at = within(contents, low[asked], high[asked], np.array(c, np.int64))
+                    begins, at = begins[asked[at >= 0]], at[at >= 0]
+                    which, begins = _stretches(bounds[at], bounds[at + 1]), np.repeat(begins, bounds[at + 1] - bounds[at])
+                    starts.append(begins + lows[which])
+                    ends.append(begins + highs[which] + (least - 1))
+                starts, ends = _joined(np.concatenate(starts), np.concatenate(ends), texts.starts)
+                yield batch({"id": b.column(1), "n_bytes": pa.array(np.diff(texts.starts)), **_without(texts, starts, ends)})
 
     kind = texts.schema["id"].dataType.simpleString()
     schema = f"id {kind}, n_bytes bigint, spans array<struct<start:bigint,end:bigint>>, kept binary"

@@ -141,3 +141,43 @@ def test_empty_tables_and_query(spark, tmp_path):
     for i, (spans, kept) in enumerate(plain(texts, 200)):
         n = len((texts[i] or "").encode())
         assert tuple(got[i]) == (i, n, n - len(kept), len(spans), hashlib.sha256(kept).hexdigest())
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_suffixes_that_begin_as_no_other_are_left_out(monkeypatch, seed):
+    monkeypatch.setattr(repeats, "SORTED_AT_ONCE", 3)
+    rng = random.Random(seed)
+    least = 9
+    contents = [rng.randbytes(40) for _ in range(30)]
+    contents += [bytes(rng.choice(b"\0\xff") for _ in range(rng.randrange(least, 40))) for _ in range(30)]
+    contents += [contents[3][5:30] + bytes([k]) * rng.randrange(12) for k in range(5)]
+    array = repeats.SuffixArray.of(contents, least)
+    end = {int(start) + i: int(start) + len(c) for start, c in zip(array.starts, contents) for i in range(len(c))}
+    whole = b"".join(contents)
+    windows = Counter(whole[s : s + least] for s in end if end[s] - s >= least)
+    assert sorted(array.suffixes.tolist()) == [s for s in end if end[s] - s >= least and windows[whole[s : s + least]] > 1]
+    texts = [whole[s : end[s]] for s in array.suffixes.tolist()]
+    for x, y, common in zip(texts, texts[1:], array.common.tolist()):
+        assert common == next((k for k, (p, q) in enumerate(zip(x, y)) if p != q), min(len(x), len(y)))
+        assert common < least or x <= y
+    assert sum(common < least for common in array.common) + 1 == sum(n > 1 for n in windows.values())
+
+
+def test_pieces_do_not_depend_on_blocks(monkeypatch):
+    texts = pa.array([(t or "").encode() for t in example(3, 40)], pa.binary())
+    whole = [x for b, n, m in repeats.Bytes.of(texts).pieces(30, 8) for x in zip(b.tolist(), n.tolist(), m.tolist())]
+    monkeypatch.setattr(repeats, "_BLOCK", 77)
+    assert whole == [x for b, n, m in repeats.Bytes.of(texts).pieces(30, 8) for x in zip(b.tolist(), n.tolist(), m.tolist())]
+
+
+def test_stretches_end_with_their_text():
+    texts = repeats.Bytes.of(pa.array([b"", b"abcdef", b"", b"ghij", b"kl", b""], pa.binary()))
+    spans = [(6, 10), (3, 6), (0, 2), (1, 2), (2, 3), (11, 12)]
+    starts, ends = repeats._joined(*np.array(spans).T, texts.starts)
+    got = repeats._without(texts, starts, ends)
+    pairs = [[(s["start"], s["end"]) for s in x] for x in got["spans"].to_pylist()]
+    assert pairs == [[], [(0, 6)], [], [(0, 4)], [(1, 2)], []]
+    assert got["kept"].to_pylist() == [b"", b"", b"", b"", b"k", b""]
+    none = np.zeros(0, np.int64)
+    got = repeats._without(texts, *repeats._joined(none, none, texts.starts))
+    assert got["spans"].to_pylist() == [[]] * 6 and got["kept"].to_pylist() == [b"", b"abcdef", b"", b"ghij", b"kl", b""]
